@@ -1,15 +1,19 @@
 """The queries of this subpackage and, where SQL can express them, their DuckDB twins."""
 
-from . import chat_format, exact_dedup, packing, quality_rules, url_filter
+from . import chat_format, exact_dedup, html_extract, line_dedup, ngram_join, packing, quality_rules, url_filter
 
 QUERIES = {
+    "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op5_quality_rules": quality_rules.op5_quality_rules,
     "op6_chat_format": chat_format.op6_chat_format,
     "op7_packing": packing.op7_packing,
     "op8_url_filter": url_filter.op8_url_filter,
+    "op9_ngram_join": ngram_join.op9_ngram_join,
+    "op10_html_extract": html_extract.op10_html_extract,
 }
 ORACLES = {
+    "op1_line_dedup": line_dedup.ORACLE,
     "op2_exact_dedup": exact_dedup.ORACLE,
     "op5_quality_rules": quality_rules.ORACLE,
     "op8_url_filter": url_filter.ORACLE,
