@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small, stored, table
+from .common import small, stored, table, text_of
 
 N, THRESHOLD, RECALL, MOST_HASHES = 5, 0.8, 0.999, 160
 #: Documents in a verification block; a task holds the shingles of two.
@@ -119,7 +119,7 @@ def band_hashes(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, set_id (digest of the shingle set; null for none), bands."""
+    """doc_id, text_key, set_id (digest of the shingle set; null for none), bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -131,9 +131,9 @@ def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
                     if d not in seen:
                         seen[d] = band_hashes(min_hash(s, bands * rows), bands, rows) if len(s) else []
                     keys.append(seen[d])
-                yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(ids, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "set_id", "bands"])
+                yield pa.RecordBatch.from_arrays([b["doc_id"], b["text_key"], pa.array(ids, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "text_key", "set_id", "bands"])
 
-    return docs.mapInArrow(run, "doc_id long, set_id binary, bands array<long>")
+    return docs.mapInArrow(run, "doc_id long, text_key long, set_id binary, bands array<long>")
 
 
 def components(links: DataFrame, name: str) -> DataFrame:
@@ -220,7 +220,7 @@ def _verified(placed: DataFrame, threshold: float) -> DataFrame:
 
 
 def ngram_join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """One row per input row: doc_id, rep_id, class_id, n_copies, n_links, n_texts, kept.
+    """One row per input row: doc_id, text_key, rep_id, class_id, n_copies, n_links, n_texts, kept.
 
     Documents are linked when the Jaccard similarity of their sets of n-word shingles is at least the threshold (A-Z
     count as a-z; words lie between white space; texts of fewer than n words have one shingle, all their words).
@@ -232,7 +232,7 @@ def ngram_join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall
     empty result. Columns other than doc_id and text are ignored.
     """
     bands, rows = choose_bands(threshold, recall)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("text_key"), text_of().alias("text"))
     sig = stored(signatures(texts, n, bands, rows), "signatures")
     reps = sig.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("rep_id"), F.count("*").alias("copies"), F.first("bands").alias("bands"))
     reps = stored(reps.withColumnRenamed("set_id", "node"), "reps")
@@ -265,11 +265,12 @@ def ngram_join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall
     named = linked.groupBy("label").agg(F.min("rep_id").alias("class_id"))
     linked = linked.join(named, "label").select("node", "class_id", "n_near", "n_texts")
     of_set = reps.select("node", "rep_id", "copies").join(linked, "node", "left")
-    x = sig.select("doc_id", "set_id").join(of_set, sig.set_id == of_set.node, "left")
+    x = sig.select("doc_id", "text_key", "set_id").join(of_set, sig.set_id == of_set.node, "left")
     none = F.col("set_id").isNull()
     class_id = F.when(none, F.col("doc_id")).otherwise(F.coalesce("class_id", "rep_id"))
     x = x.select(
         "doc_id",
+        "text_key",
         F.when(none, F.col("doc_id")).otherwise(F.col("rep_id")).alias("rep_id"),
         class_id.alias("class_id"),
         F.coalesce("copies", F.lit(1).cast("long")).alias("n_copies"),
@@ -279,5 +280,14 @@ def ngram_join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall
     return x.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
 
 
+def drop_near_copies(docs: DataFrame, **how) -> DataFrame:
+    """The rows of docs that ngram_join keeps, one document of each class, with all their columns."""
+    gone = ngram_join(docs, **how).where("not kept").select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct()
+    gone = small(stored(gone, "gone"), BROADCAST_DOCS)
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    x = row.withColumn("text_key", F.xxhash64(F.coalesce("row.text", F.lit(""))))
+    return x.join(gone, F.col("row.doc_id").eqNullSafe(F.col("gone_id")) & (F.col("text_key") == F.col("gone_key")), "left_anti").select("row.*")
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join(table(spark, sf_dir, "documents"))
+    return ngram_join(table(spark, sf_dir, "documents")).drop("text_key")

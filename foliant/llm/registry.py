@@ -1,10 +1,12 @@
 """The queries of this subpackage and, where SQL can express them, their DuckDB twins."""
 
-from . import chat_format, exact_dedup, html_extract, line_dedup, ngram_join, packing, quality_rules, url_filter
+from . import chat_format, ctw, exact_dedup, html_extract, line_dedup, ngram_join, packing, quality_rules, source_mix, url_filter
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+    "op3_lm_score": ctw.op3_lm_score,
+    "op4_source_mix": source_mix.op4_source_mix,
     "op5_quality_rules": quality_rules.op5_quality_rules,
     "op6_chat_format": chat_format.op6_chat_format,
     "op7_packing": packing.op7_packing,
