@@ -64,7 +64,9 @@ def measured(docs: DataFrame) -> DataFrame:
     rate = lambda a, b: F.when(F.col(b) > 0, F.least(F.expr(f"{a} * 1000 div {b}"), F.lit(1000).cast("long"))).otherwise(F.lit(0).cast("long"))
     rates = [rate(*x).alias(k) for k, x in zip(MARGINS, (("n_symbols", "word_chars"), ("n_bangs", "word_chars"), ("n_upper", "word_chars"), ("n_dup_lines", "n_lines"), ("n_repeat_words", "n_words")), strict=True)]
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
-    return s.select("*", failed.alias("base_failed"), F.struct(*rates).alias("rates"))
+    s = s.withColumns({"base_failed": failed, "rates": F.struct(*rates)})
+    # A generator keeps filters on the measures above it. Pushed below, they would repeat the whole computation, inlined.
+    return s.select("row", F.inline(F.array(F.struct(*[F.col(c) for c in s.columns if c != "row"]))))
 
 
 def sketches(rates: DataFrame) -> DataFrame:
