@@ -19,8 +19,8 @@ from .common import WS, small, stored, table, text_of
 
 #: Lines shorter than this must be equal to count as duplicates: an edit says nothing about so short a line.
 MIN_FUZZY = 16
-#: Characters of a segment, about: variants of a line cost its length times this.
-SEGMENT = 256
+#: Characters of a segment at most (a line has two at least): the variants of a line cost its length times this.
+SEGMENT = 2_048
 #: Rows (digests, documents) that may be broadcast; beyond it joins shuffle.
 BROADCAST_ROWS = 200_000
 
@@ -30,44 +30,58 @@ def _order() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("doc_id"), F.col("text_key").alias("text_key"), F.col("line_no").alias("line_no"))
 
 
+def _split(text: Column) -> Column:
+    """The lines of a text without white space around them. Trimmed inside the array: an expression over an exploded line would be inlined wherever the line is used."""
+    return F.transform(F.split(text, "\n", -1), lambda x: F.trim(x, F.lit(WS)))
+
+
 def lines(docs: DataFrame) -> DataFrame:
     """doc_id, text_key (tells texts with one doc_id apart), line_no from 0, line (trimmed), digest (null for a blank line)."""
     t = docs.select(F.col("doc_id"), text_of().alias("t"))
-    x = t.select("doc_id", F.xxhash64("t").alias("text_key"), F.posexplode(F.split("t", "\n", -1)).alias("line_no", "raw"))
-    x = x.select("doc_id", "text_key", "line_no", F.trim("raw", F.lit(WS)).alias("line"))
+    x = t.select("doc_id", F.xxhash64("t").alias("text_key"), F.posexplode(_split(F.col("t"))).alias("line_no", "line"))
     return x.withColumn("digest", F.when(F.col("line") != "", F.unhex(F.md5("line"))))
 
 
+def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """digest, first, line for wanted (digest, first), read from the documents in which those lines come first."""
+    by_doc = wanted.groupBy(F.col("first.doc_id").alias("w_id"), F.col("first.text_key").alias("w_key"))
+    by_doc = by_doc.agg(F.map_from_entries(F.collect_list(F.struct("first.line_no", "digest"))).alias("want"))
+    by_doc = small(stored(by_doc, "wanted"), BROADCAST_ROWS)
+    t = docs.select("doc_id", text_of().alias("t"))
+    x = t.join(by_doc, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.xxhash64("t") == F.col("w_key")))
+    x = x.select("want", F.posexplode(_split(F.col("t"))).alias("line_no", "line"))
+    x = x.select(F.try_element_at("want", F.col("line_no")).alias("digest"), "line").where("digest is not null")
+    return x.groupBy("digest").agg(F.first("line").alias("line")).join(wanted, "digest")  # a row that is repeated gives its lines again
+
+
 def _parts(m: Column) -> Column:
     return F.greatest(F.lit(2), (m / SEGMENT).cast("int") + 1)
 
 
-def _segment_keys(line: Column) -> Column:
-    """Hashes of the line without one segment, for partners of its own length or longer (m = length) and shorter (m = length - 1)."""
-    n = F.length(line)
+def _segment_keys() -> Column:
+    """Hashes of column line (of length n) without one segment, for partners of its own length or longer (m = n) and shorter (m = n - 1)."""
+    n = F.col("n")
 
     def keys(m: Column) -> Column:
         q = _parts(m)
         lo = lambda i: F.floor(m.cast("long") * i / q).cast("int")
-        return F.transform(F.sequence(F.lit(0), q - 1), lambda i: F.struct(F.xxhash64(m, i, F.left(line, lo(i)), F.right(line, m - lo(i + 1))).alias("key"), m.alias("m"), i.alias("part")))
+        return F.transform(F.sequence(F.lit(0), q - 1), lambda i: F.struct(F.xxhash64(m, i, F.substring("line", F.lit(1), lo(i)), F.substring("line", n - m + lo(i + 1) + 1, m - lo(i + 1))).alias("key"), m.alias("m"), i.alias("part")))
 
     return F.when(n >= MIN_FUZZY, F.concat(keys(n), keys(n - 1)))
 
 
-def _near(slim: DataFrame, unique: DataFrame, docs: DataFrame) -> DataFrame:
+def _near(unique: DataFrame, docs: DataFrame) -> DataFrame:
     """digest of each line that has an earlier line within one edit, and the digest of the earliest such line."""
     keyed = unique.select("digest", F.explode("keys").alias("k")).select("digest", "k.*")
     shared = keyed.groupBy("key").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).where("lo <> hi").select("key")
     match = stored(keyed.join(shared, "key").select("digest", "m", "part"), "matches")
-    wanted = match.select("digest").distinct()
-    found = lines(docs).select("digest", "line").join(small(wanted, BROADCAST_ROWS), "digest", "left_semi")
-    found = found.groupBy("digest").agg(F.first("line").alias("line"))
-    text = stored(found.join(unique.select("digest", "first"), "digest"), "candidates")
+    wanted = stored(match.select("digest").distinct().join(unique.select("digest", "first"), "digest"), "candidates")
+    text = stored(_texts_of(docs, wanted), "candidate-lines")
     x = match.join(text, "digest").select("digest", "first", "line", F.col("m"), F.length("line").alias("n"), F.col("part"), _parts(F.col("m")).alias("q"))
     lo = F.floor(F.col("m").cast("long") * F.col("part") / F.col("q")).cast("int")
     hi = F.floor(F.col("m").cast("long") * (F.col("part") + 1) / F.col("q")).cast("int")
     x = x.select("*", (lo + 1).alias("from"), (F.col("n") - (F.col("m") - hi)).alias("to"))
-    cut = lambda p: (F.left(F.col("line"), p - 1), F.right(F.col("line"), F.col("n") - p))
+    cut = lambda p: (F.substring("line", F.lit(1), p - 1), F.substring("line", p + 1, F.col("n") - p))
     places = F.sequence(F.col("from"), F.col("to"))
     # partners of equal length: the same place deleted leaves the same rest
     same = x.where("n = m and `from` <= `to`").select("digest", "first", F.explode(F.transform(places, lambda p: F.xxhash64(p, F.concat(*cut(p))))).alias("key"))
@@ -84,17 +98,16 @@ def _near(slim: DataFrame, unique: DataFrame, docs: DataFrame) -> DataFrame:
     a = text.select(F.col("digest").alias("later"), F.col("line").alias("a"), F.col("first").alias("fa"))
     b = text.select(F.col("digest").alias("earlier"), F.col("line").alias("b"), F.col("first").alias("fb"))
     link = link.join(a, "later").join(b, "earlier").where((F.levenshtein("a", "b", 1) == 1) & (F.col("fb") < F.col("fa")))
-    del slim
     return stored(link.groupBy("later").agg(F.min_by("earlier", "fb").alias("near_of")).withColumnRenamed("later", "digest"), "near")
 
 
 def judged_lines(docs: DataFrame) -> DataFrame:
     """doc_id, text_key, line_no, exact and near: whether an earlier line is equal, or (if none is) within one edit."""
-    x = lines(docs)
-    slim = stored(x.select("doc_id", "text_key", "line_no", "digest", _segment_keys(F.col("line")).alias("keys")), "lines")
+    x = lines(docs).withColumn("n", F.length("line"))  # a column of its own: it is used at every step of the segment keys
+    slim = stored(x.select("doc_id", "text_key", "line_no", "digest", _segment_keys().alias("keys")), "lines")
     unique = slim.where("digest is not null").groupBy("digest").agg(F.min(_order()).alias("first"), F.count("*").alias("n"), F.first("keys").alias("keys"))
     unique = stored(unique, "unique")
-    near = _near(slim, unique, docs)
+    near = _near(unique, docs)
     told = unique.join(near, "digest", "left").where("n > 1 or near_of is not null").select("digest", "first", F.col("near_of").isNotNull().alias("is_near"))
     y = slim.drop("keys").join(small(told, BROADCAST_ROWS), "digest", "left")
     exact = F.col("first").isNotNull() & (_order() != F.col("first"))
