@@ -1,7 +1,7 @@
 """Host reputation by empirical Bayes, with explicit rules on top.
 
 Labelled page outcomes are counted by host. Beta-binomial priors shrink each host towards its registered domain, the
-domain towards its suffix and the suffix towards the whole table; the strength of each prior is estimated from the
+domain towards its suffix and the suffix towards the whole table, each prior without its own child; the strength of each prior is estimated from the
 spread between its children (method of moments). A host is blocked when the lower posterior bound of its rate of bad
 pages exceeds a limit. Rules name a host and a path prefix; the longest that fits overrides the model.
 """
@@ -68,10 +68,14 @@ def reputations(outcomes: DataFrame, limit: float = LIMIT, z: float = Z) -> Data
     strengths = [_strength(x).withColumnRenamed("k", f"k{i}") for i, x in enumerate((suffixes, domains, hosts))]
     for one in strengths:  # each is a single row
         top = top.join(F.broadcast(one), how="left")
-    post = lambda prior, k: (F.col("bad") + F.col(k) * F.col(prior)) / (F.col("n") + F.col(k))
-    suffixes = suffixes.join(F.broadcast(top), how="left").withColumn("m1", post("m0", "k0"))
-    domains = domains.join(suffixes.select("suffix", "m1", "k1", "k2"), "suffix").withColumn("m2", post("m1", "k1"))
-    hosts = hosts.join(domains.select("domain", "m2", "k2"), "domain").withColumn("m3", post("m2", "k2"))
+    # each level's prior leaves out the outcomes of the child that it is for: they count once
+    suffixes = suffixes.join(F.broadcast(top), how="left").select("suffix", F.col("n").alias("n_s"), F.col("bad").alias("bad_s"), "m0", "k0", "k1", "k2")
+    domains = domains.join(suffixes, "suffix")
+    m1 = (F.col("bad_s") - F.col("bad") + F.col("k0") * F.col("m0")) / (F.col("n_s") - F.col("n") + F.col("k0"))
+    domains = domains.select("domain", F.col("n").alias("n_d"), F.col("bad").alias("bad_d"), m1.alias("m1"), "k1", "k2")
+    m2 = (F.col("bad_d") - F.col("bad") + F.col("k1") * F.col("m1")) / (F.col("n_d") - F.col("n") + F.col("k1"))
+    hosts = hosts.join(domains, "domain").withColumn("m2", m2)
+    hosts = hosts.withColumn("m3", (F.col("bad") + F.col("k2") * F.col("m2")) / (F.col("n") + F.col("k2")))
     sd = F.sqrt(F.col("m3") * (1 - F.col("m3")) / (F.col("n") + F.col("k2") + 1))
     return hosts.select("host", (F.col("m3") - z * sd > limit).alias("blocked"))
 
@@ -125,9 +129,9 @@ k0 AS ("""
     + "),\nk2 AS ("
     + _STRENGTH_SQL.format("h")
     + r"""),
-s1 AS (SELECT suffix, (bad + k0.k * m0) / (n + k0.k) AS m1 FROM s, w, k0),
-d1 AS (SELECT domain, (bad + k1.k * m1) / (n + k1.k) AS m2 FROM d JOIN s1 USING (suffix), k1),
-h1 AS (SELECT host, n, k2.k AS k, (bad + k2.k * m2) / (n + k2.k) AS m3 FROM h JOIN d1 USING (domain), k2),
+d1 AS (SELECT d.domain, d.n AS n_d, d.bad AS bad_d, (s.bad - d.bad + k0.k * m0) / (s.n - d.n + k0.k) AS m1 FROM d JOIN s USING (suffix), w, k0),
+h0 AS (SELECT host, h.n, h.bad, (bad_d - h.bad + k1.k * m1) / (n_d - h.n + k1.k) AS m2 FROM h JOIN d1 USING (domain), k1),
+h1 AS (SELECT host, n, k2.k AS k, (bad + k2.k * m2) / (n + k2.k) AS m3 FROM h0, k2),
 r(verdict, rule, base, path) AS (VALUES ('allow', 'org/', 'org', '/'), ('block', 'example.org/es/', 'example.org', '/es/'),
   ('block', 'example.org/en/1', 'example.org', '/en/1'), ('allow', 'com/fr/', 'com', '/fr/'), ('block', 'com/de/', 'com', '/de/')),
 f AS (SELECT x.host, x.path, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
