@@ -263,10 +263,13 @@ def extract(pages: DataFrame, sample: int = SAMPLE_PAGES, weights: np.ndarray |
     Null and empty html gives empty text. The whole html is parsed, however long; broken markup is read as browsers
     do where it matters here (unclosed elements, cut-off tags, character references without semicolon). Repeated rows
     are pages of their own. An empty table gives an empty result. Columns other than page_id, url and html are
-    ignored. At most `sample` pages are read to train the classifier, those with the smallest hash of their html.
+    ignored. The classifier is trained on at most `sample` pages, picked by a hash of page_id and url.
     """
     if weights is None:
-        pick = pages.where(F.length("html") < 100_000).select("html").orderBy(F.xxhash64("html"), "html").limit(sample)
+        # a share of about 0.8 * sample pages is picked before the limit, so that no task sends more to the driver than its part
+        part = max(1, pages.count() * 5 // (sample * 4))
+        pick = pages.where((F.pmod(F.xxhash64("page_id", "url"), F.lit(part)) == 0) & (F.length("html") < 100_000))
+        pick = pick.select("html").orderBy(F.xxhash64("html"), "html").limit(sample)
         weights = train([r["html"] for r in pick.collect()])
     w = weights
 
