@@ -9,20 +9,20 @@ then ranked within their length and looked up in the plan by rank.
 from __future__ import annotations
 
 import heapq
-import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import stored, table
 
 SIZE, END_ID = 2048, 1
-#: Chunks whose ids a task remembers; the memory it may take, not what it may encode.
-REMEMBERED = 1_000_000
+#: Chunks whose ids a worker remembers: the memory it may take, not what it may encode.
+REMEMBERED = 2_000_000
 #: Buckets in which pieces of one length are ranked apart, per million pieces of that length.
 BUCKETS = 64
 
@@ -35,41 +35,88 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def _tokenizer(path: str):
-    if path not in _TOKENIZERS:
-        from tokenizers import Tokenizer
-
-        _TOKENIZERS[path] = (Tokenizer.from_file(path), {})
-    return _TOKENIZERS[path]
-
-
-class _Ids(dict):
-    """Chunks between ASCII white space (UTF-8) and the bytes of their ids. The tokenizer drops white space, so chunks never interact."""
+class _Ids:
+    """Lower-cased chunks between ASCII white space, and their ids.
 
-    def __init__(self, tokenizer):
-        self.tokenizer = tokenizer
-
-    def learn(self, chunks: set[bytes]) -> None:
-        new = [c for c in chunks if c not in self]
-        if len(self) + len(new) > REMEMBERED:
-            self.clear()
-            new = list(chunks)
-        for at in range(0, len(new), 50_000):
-            part = new[at : at + 50_000]
-            for c, e in zip(part, self.tokenizer.encode_batch([c.decode() for c in part], add_special_tokens=False), strict=True):
-                ids = e.ids
-                self[c] = struct.pack(f"<{len(ids)}I", *ids)
+    The tokenizer lower-cases, drops white space and never merges across it, so chunks do not interact. Full stops and
+    commas after a letter or digit are words of their own to it, and so are encoded apart, which leaves far fewer
+    different words. Words of letters alone are encoded many at once: each ends with the one token marked as an end.
+    """
 
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
 
-def encode(texts: list[str], path: str) -> list[bytes]:
-    """The ids of each text as little-endian 32-bit numbers."""
-    tokenizer, known = _tokenizer(path)
-    if not isinstance(known, _Ids):
-        known = _Ids(tokenizer)
-        _TOKENIZERS[path] = (tokenizer, known)
-    cut = [t.encode().split() for t in texts]
-    known.learn(set().union(*cut) if cut else set())
-    return [b"".join(map(known.__getitem__, c)) for c in cut]
+        self.tokenizer = Tokenizer.from_file(path)
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.is_end = np.zeros(max(vocab.values()) + 1, bool)
+        self.is_end[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
+        self.known: dict[str, bytes] = {"": b""}
+
+    def _each(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+
+    def _letters(self, words: list[str]) -> list[bytes]:
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        stop = (4 * (np.flatnonzero(self.is_end[ids]) + 1)).tolist()
+        if len(stop) != len(words):
+            return self._each(words)
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0, *stop[:-1]], stop, strict=True)]
+
+    def of(self, chunks: list[str]) -> list[bytes]:
+        """The ids of each chunk, as bytes."""
+        known = self.known
+        got = list(map(known.get, chunks))
+        new = [c for c, x in zip(chunks, got, strict=True) if x is None]
+        if not new:
+            return got
+        if len(known) + len(new) > REMEMBERED:
+            self.known = known = {"": b""}
+            new = [c for c in chunks if c]
+        core = {c: x if (x := c.rstrip(".,")) and x[-1].isascii() and x[-1].isalnum() else c for c in new}
+        words = {x for x in core.values() if x not in known} | {c[len(x) :] for c, x in core.items() if len(x) < len(c)}
+        plain = [x for x in words if x.isalpha()]
+        for some, how in ((plain, self._letters), ([x for x in words if not x.isalpha()], self._each)):
+            for at in range(0, len(some), 5_000):
+                part = some[at : at + 5_000]
+                known.update(zip(part, how(part), strict=True))
+        for c, x in core.items():
+            if len(x) < len(c):
+                known[c] = known[x] + known[c[len(x) :]]
+        return [known[c] if x is None else x for c, x in zip(chunks, got, strict=True)]
+
+
+def encode(texts: pa.Array, path: str, end_id: int = END_ID) -> tuple[bytes, list[int]]:
+    """The ids of all texts, each followed by end_id, as little-endian 32-bit numbers; and where each text's begin, and the end.
+
+    Every different chunk of the batch is looked up once; the rest is array work.
+    """
+    if path not in _TOKENIZERS:
+        _TOKENIZERS[path] = _Ids(path)
+    own = _TOKENIZERS[path]
+    texts = pc.fill_null(texts, "")
+    special = np.flatnonzero(pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False))  # may hold special tokens, matched as written
+    mask = np.zeros(len(texts), bool)
+    mask[special] = True
+    words = pc.ascii_split_whitespace(pc.ascii_lower(pc.if_else(pa.array(mask), "", texts) if len(special) else texts))
+    coded = words.flatten().dictionary_encode()
+    ids = own.of(coded.dictionary.to_pylist())
+    # after its words every text has the end id; a text encoded apart has its ids there too
+    apart = [np.array([*own.tokenizer.encode(texts[int(i)].as_py(), add_special_tokens=False).ids, end_id], "<u4").tobytes() for i in special]
+    last = np.full(len(texts), len(ids), np.int32)
+    last[special] = len(ids) + 1 + np.arange(len(special))
+    word_end = np.cumsum(pc.list_value_length(words).to_numpy(zero_copy_only=False))
+    code = np.insert(coded.indices.to_numpy(zero_copy_only=False), word_end, last)
+    ids += [np.array([end_id], "<u4").tobytes(), *apart]
+    size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    pool = np.frombuffer(b"".join(ids), "<u4")
+    length = size[code]
+    upto = np.cumsum(length)
+    bounds = np.concatenate(([0], upto[word_end + np.arange(len(texts))]))
+    kind = np.int32 if bounds[-1] < 2**31 and len(pool) < 2**31 else np.int64
+    source = np.repeat(((np.cumsum(size) - size)[code] - (upto - length)).astype(kind), length)
+    source += np.arange(len(source), dtype=kind)
+    return pool[source].tobytes(), bounds.tolist()
 
 
 _PIECES = "doc_id long, doc_row long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -78,19 +125,18 @@ _PIECES = "doc_id long, doc_row long, start long, length long, ids_crc32 long, d
 def pieces(docs: DataFrame, size: int = SIZE, end_id: int = END_ID, path: str | None = None, with_ids: bool = False) -> DataFrame:
     """A row per piece: doc_id, doc_row (tells rows with one doc_id apart), start, length, ids_crc32, doc_tokens, and ids if asked for."""
     path = path or tokenizer_path()
-    end = struct.pack("<I", end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                b = whole.slice(at, 500)
+            for at in range(0, whole.num_rows, 4_000):
+                b = whole.slice(at, 4_000)
                 out = []
-                for doc, row, ids in zip(b["doc_id"].to_pylist(), b["doc_row"].to_pylist(), encode([t or "" for t in b["text"].to_pylist()], path), strict=True):
-                    ids += end
-                    n = len(ids) // 4
-                    for s in range(0, n, size):
-                        x = ids[4 * s : 4 * (s + size)]
-                        out.append((doc, row, s, len(x) // 4, zlib.crc32(x), n) + ((x,) if with_ids else ()))
+                ids, bounds = encode(b["text"], path, end_id)
+                for doc, row, lo, hi in zip(b["doc_id"].to_pylist(), b["doc_row"].to_pylist(), bounds[:-1], bounds[1:], strict=True):
+                    for s in range(lo, hi, size):
+                        e = min(s + size, hi)
+                        x = ids[4 * s : 4 * e]
+                        out.append((doc, row, s - lo, e - s, zlib.crc32(x), hi - lo) + ((x,) if with_ids else ()))
                 cols = list(zip(*out, strict=True)) if out else [[]] * (6 + with_ids)
                 names = ["doc_id", "doc_row", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols[:6]] + [pa.array(c, pa.binary()) for c in cols[6:]], names=names)
