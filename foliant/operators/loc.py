@@ -34,8 +34,8 @@ def read_lines(spark: SparkSession, root: str) -> DataFrame:
 def classified(lines: DataFrame) -> DataFrame:
     """lines with language, code, comment and blank (0 or 1); a line with code and a comment behind it counts as both.
 
-    Inside block comments the state after a line is that of the last line so far that opens or closes one; a line that
-    closes one counts as code.
+    Inside block comments the state after a line is that of the last line so far that opens or closes one. A line that
+    opens one and does not close it is all comment; a line that closes one opened before counts as code.
     """
     t = F.regexp_replace("text", r"^\s+|\s+$", "")
     x = lines.select("path", "line_no", t.alias("t"), language(F.col("path")).alias("language"))
@@ -51,10 +51,10 @@ def classified(lines: DataFrame) -> DataFrame:
     before = lambda sep: F.trim(F.substring_index("t", sep, 1))
     inside = (slash | markup) & (F.col("_in") == 1)
     hash_comment = lang.isin(*HASH) & F.col("t").startswith("#")
-    tail = F.when(slash & has("//"), "//").when((lang == "SQL") & has("--"), "--")
-    tail_comment = tail.isNotNull() & ~inside
-    comment = ~blank & (inside | hash_comment | tail_comment)
-    code = ~blank & F.when(inside, F.when(markup, before("<!--") != "").otherwise(before("/*") != "") & F.coalesce(F.col("_mark") == 1, F.lit(False))).when(hash_comment, False).when(tail_comment, F.when(tail == "//", before("//")).otherwise(before("--")) != "").otherwise(True)
+    # a comment that follows code on its line: the marker before which the code stands
+    tail = F.when(slash & has("//"), before("//")).when((lang == "SQL") & has("--"), before("--")).when(slash & has("/*") & has("*/"), before("/*")).when(markup & has("<!--") & has("-->"), before("<!--"))
+    comment = ~blank & (inside | hash_comment | tail.isNotNull())
+    code = ~blank & ~inside & ~hash_comment & F.coalesce(tail != "", F.lit(True))
     return x.select("path", "line_no", "language", code.cast("int").alias("code"), comment.cast("int").alias("comment"), blank.cast("int").alias("blank"))
 
 

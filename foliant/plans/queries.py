@@ -364,7 +364,11 @@ def _findings(spark, sf_dir):
     return qa.run_checks({"sums": sums, "balance": balances, "references": notes, "quality": texts, "snapshot": snapshot})
 
 
-@query("SELECT 'sums' AS checker, 'warning' AS severity, count(*) AS n FROM (" + ORACLES["row_total_mismatches"] + ") UNION ALL SELECT 'balance', severity, count(*) FROM (" + ORACLES["balance_equation"] + ") WHERE severity <> 'ok' GROUP BY severity UNION ALL SELECT 'references', 'warning', count(*) FROM (" + ORACLES["missing_notes"] + ") UNION ALL SELECT 'quality', 'warning', count(*) FROM (" + ORACLES["text_quality"] + ") WHERE status = 'bad' UNION ALL SELECT 'snapshot', 'info', count(*) FROM (" + ORACLES["golden_diff"] + ")")
+def _count(checker: str, severity: str, name: str, where: str = "true") -> str:
+    return f"SELECT '{checker}' AS checker, {severity} AS severity, count(*) AS n FROM ({ORACLES[name]}) WHERE {where} GROUP BY ALL HAVING count(*) > 0"
+
+
+@query(" UNION ALL ".join([_count("sums", "'warning'", "row_total_mismatches"), _count("balance", "severity", "balance_equation", "severity <> 'ok'"), _count("references", "'warning'", "missing_notes"), _count("quality", "'warning'", "text_quality", "status = 'bad'"), _count("snapshot", "'info'", "golden_diff")]))
 def findings_by_checker(spark, sf_dir):
     return _findings(spark, sf_dir).groupBy("checker", "severity").agg(F.count("*").alias("n"))
 
@@ -412,7 +416,7 @@ def music_text_class(spark, sf_dir):
 _LOC = rf"""WITH {ad.SOURCE_LINES}, s0 AS (SELECT path, line_no, regexp_replace(text, '^\s+|\s+$', '', 'g') AS t, CASE WHEN ends_with(path, '.html') THEN 'HTML' WHEN ends_with(path, '.md') THEN 'Markdown' ELSE 'Other' END AS language FROM src_lines),
 s1 AS (SELECT *, CASE WHEN language = 'HTML' AND contains(t, '-->') THEN 0 WHEN language = 'HTML' AND contains(t, '<!--') THEN 1 END AS mark FROM s0),
 s2 AS (SELECT *, coalesce(last_value(mark IGNORE NULLS) OVER (PARTITION BY path ORDER BY line_no), 0) AS ins FROM s1),
-s3 AS (SELECT path, language, t = '' AS blank, t <> '' AND ins = 1 AS comment, t <> '' AND (ins = 0 OR (coalesce(mark = 1, false) AND trim(string_split(t, '<!--')[1]) <> '')) AS code FROM s2),
+s3 AS (SELECT path, language, t = '' AS blank, t <> '' AND (ins = 1 OR one) AS comment, t <> '' AND ins = 0 AND (NOT one OR trim(string_split(t, '<!--')[1]) <> '') AS code FROM (SELECT *, language = 'HTML' AND contains(t, '<!--') AND contains(t, '-->') AS one FROM s2)),
 fi AS (SELECT path, language, sum(code::int)::bigint AS code, sum(comment::int)::bigint AS comments, sum(blank::int)::bigint AS blanks, count_if(NOT blank) AS non_empty, CASE WHEN language = 'Markdown' THEN 'docs' ELSE 'code' END AS category FROM s3 GROUP BY path, language HAVING count_if(NOT blank) > 0)"""
 
 
