@@ -8,7 +8,22 @@ from pyspark.sql import functions as F
 # Beats of each duration, in the order in which ties are resolved.
 DURATIONS = {"whole": 4.0, "half": 2.0, "quarter": 1.0, "eighth": 0.5, "16th": 0.25, "32nd": 0.125, "64th": 0.0625, "breve": 8.0, "long": 16.0}
 DYNAMICS = ("ppp", "pp", "p", "mp", "mf", "f", "ff", "fff", "sfz", "sfp", "fp", "rf", "rfz", "fz")
-EXPRESSIONS = ("allegro", "andante", "adagio", "moderato", "presto", "legato", "staccato", "crescendo", "diminuendo", "dolce", "rit", "tempo")
+EXPRESSIONS = (
+    "cresc", "decresc", "dim", "crescendo", "diminuendo",
+    "rit", "ritard", "ritardando", "rall", "rallentando",
+    "accel", "accelerando", "a tempo", "tempo primo",
+    "poco a poco", "subito", "molto", "sempre",
+    "dolce", "espressivo", "cantabile", "legato", "staccato",
+    "marcato", "tenuto", "pizz", "arco",
+    "tasto", "ponticello", "normale", "metallico",
+    "tambora", "rasgueado", "rasg", "golpe",
+    "lontano", "misterioso", "con fuoco", "con brio",
+    "l.v.", "let vibrate", "in tempo",
+)
+# Tokens that are noise of recognition (one dynamic among them), and other words of sheets.
+NOISE = ("fer", "ep", "ef", "eff", "wth", "leap", "ty", "ocr", "or", "op", "of", "oe", "oer", "rer", "ee", "ff", "rr", "tt", "hh")
+SHEET_WORDS = ("andante", "allegro", "adagio", "presto", "moderato", "largo", "lento", "vivace", "grave", "maestoso", "cvii", "cvi", "cv", "civ", "ciii", "cii", "ci", "harm", "harmonics", "nat", "natural")
+LEAST_CONFIDENCE = 0.55
 KEYS = {-7: "Cb", -6: "Gb", -5: "Db", -4: "Ab", -3: "Eb", -2: "Bb", -1: "F", 0: "C", 1: "G", 2: "D", 3: "A", 4: "E", 5: "B", 6: "F#", 7: "C#"}
 
 

@@ -12,7 +12,7 @@ CASH = ("rahoituslaskelma", "cash flow", "rahavirtalaskelma", "cash_assets")
 NOTES = ("liitetiedot", "notes", "liite", "selitykset", "explanatory notes")
 POLICIES = ("tilinpäätöksen laatimisperiaatteet", "accounting policies", "financial_statement_principles")
 #: Financial type -> keywords, by priority.
-FINANCIAL = {"balance_sheet": BALANCE, "income_statement": INCOME, "cash_flow": CASH, "notes": NOTES, "accounting_policies": POLICIES}
+FINANCIAL = {"balance_sheet": BALANCE, "income_statement": INCOME, "cash_flow_statement": CASH, "notes": NOTES, "accounting_policies": POLICIES}
 
 _WORD = "[a-zäöå]"
 

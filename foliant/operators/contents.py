@@ -9,7 +9,7 @@ from foliant.functions.text import FINANCIAL, toc_target_page
 
 # Words of contents pages, covers and management reports, and of contents entries by type.
 TOC_WORDS = ("sisällysluettelo", "sisallysluettelo", "contents", "table of contents")
-ENTRY_WORDS = {"tuloslaskelma": "income_statement", "income statement": "income_statement", "rahoituslaskelma": "cash_flow", "cash flow": "cash_flow", "tase": "balance_sheet", "balance sheet": "balance_sheet", "liitetiedot": "notes", "notes": "notes"}
+ENTRY_WORDS = {"tuloslaskelma": "income_statement", "income statement": "income_statement", "rahoituslaskelma": "cash_flow_statement", "cash flow": "cash_flow_statement", "tase": "balance_sheet", "balance sheet": "balance_sheet", "liitetiedot": "notes", "notes": "notes"}
 
 
 def any_of(text, words):
@@ -76,7 +76,7 @@ def section(page_text: DataFrame) -> DataFrame:
         (any_of(low, FINANCIAL["notes"]), "notes", 0.8),
         (any_of(low, FINANCIAL["balance_sheet"]), "balance_sheet", 0.7),
         (any_of(low, FINANCIAL["income_statement"]), "income_statement", 0.7),
-        (any_of(low, FINANCIAL["cash_flow"]), "cash_flow", 0.7),
+        (any_of(low, FINANCIAL["cash_flow_statement"]), "cash_flow_statement", 0.7),
         (any_of(low, FINANCIAL["accounting_policies"]), "accounting_policies", 0.7),
         (F.col("page_index") > F.col("n_items") * 0.8, "appendix", 0.3),
     ]

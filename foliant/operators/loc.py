@@ -24,11 +24,16 @@ def category(lang):
     return F.when(lang.isin(*DATA), "data").when(lang.isin(*DOCS), "docs").otherwise("code")
 
 
+def without_excluded(files: DataFrame, ignored: DataFrame | None = None) -> DataFrame:
+    """files (path) outside the excluded folders, and without those that contain a pattern of `ignored` (pattern)."""
+    kept = files.where(~F.arrays_overlap(F.split("path", "/"), F.array(*[F.lit(d) for d in EXCLUDED_DIRS])))
+    return kept if ignored is None else kept.join(ignored, F.col("path").contains(F.col("pattern")), "left_anti")
+
+
 def read_lines(spark: SparkSession, root: str) -> DataFrame:
     """Text files below root, without the excluded folders; paths are filtered before any content is read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    kept = files.where(~F.arrays_overlap(F.split("path", "/"), F.array(*[F.lit(d) for d in EXCLUDED_DIRS])))
-    return kept.select("path", F.posexplode(F.split(F.decode("content", F.lit("UTF-8")), "\n", -1)).alias("line_no", "text"))
+    return without_excluded(files).select("path", F.posexplode(F.split(F.decode("content", F.lit("UTF-8")), "\n", -1)).alias("line_no", "text"))
 
 
 def classified(lines: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from foliant.functions import music as fm
 from foliant.functions import text as ft
-from foliant.operators import contents, layout, loc, music, qa, quality, tables
+from foliant.operators import contents, elements, layout, loc, music, qa, quality, sheet, tables
 from foliant.sources import adapters as ad
 
 QUERIES: dict = {}
@@ -273,7 +273,7 @@ def toc_page_detect(spark, sf_dir):
 
 
 _ENTRY = f"""WITH {ad.TOC_LINES}, k AS (SELECT page_index, seq, lower(text) AS low, text, unnest(['tuloslaskelma', 'income statement', 'rahoituslaskelma', 'cash flow', 'tase', 'balance sheet', 'liitetiedot', 'notes']) AS word,
-  unnest(['income_statement', 'income_statement', 'cash_flow', 'cash_flow', 'balance_sheet', 'balance_sheet', 'notes', 'notes']) AS type, unnest(range(0, 8)) AS i FROM toc),
+  unnest(['income_statement', 'income_statement', 'cash_flow_statement', 'cash_flow_statement', 'balance_sheet', 'balance_sheet', 'notes', 'notes']) AS type, unnest(range(0, 8)) AS i FROM toc),
 e0 AS (SELECT page_index, seq * 100 + i AS write, coalesce(nullif(regexp_extract(low, '[0-9]+\\.[0-9]+(?:\\.[0-9]+)?\\s*' || word || '[^\\n]*'), ''), word) AS entry, type, coalesce({_TARGET}, -1) AS target FROM k WHERE contains(low, word)),
 en AS (SELECT page_index, entry, arg_max(type, write) AS type, arg_max(target, write) AS target, min(write) AS first FROM e0 GROUP BY ALL)"""
 
@@ -303,7 +303,7 @@ def toc_first_match(spark, sf_dir):
 
 _SECTION = _PAGES + ", se AS (SELECT page_index, n_items, CASE WHEN is_toc THEN 'toc' WHEN " + " WHEN ".join(
     ["page_index = 0 AND regexp_matches(lower(text), 'tilinpäätös|financial statement|annual report|vuosikertomus') THEN 'cover'", "regexp_matches(lower(text), 'johtajan kertomus|management report|hallituksen kertomus') THEN 'management_report'"]
-    + [f"regexp_matches(lower(text), '{'|'.join(ft.FINANCIAL[k])}') THEN '{k}'" for k in ("notes", "balance_sheet", "income_statement", "cash_flow", "accounting_policies")]
+    + [f"regexp_matches(lower(text), '{'|'.join(ft.FINANCIAL[k])}') THEN '{k}'" for k in ("notes", "balance_sheet", "income_statement", "cash_flow_statement", "accounting_policies")]
     + ["page_index > n_items * 0.8 THEN 'appendix'", "page_index = 0 THEN 'cover'"]
 ) + " ELSE 'appendix' END AS section FROM tp)"
 
@@ -428,3 +428,94 @@ def loc_by_language(spark, sf_dir):
 @query(_LOC + " SELECT * FROM fi ORDER BY code DESC, path LIMIT 20")
 def loc_topk(spark, sf_dir):
     return loc.top_files(ad.source_lines(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ elements and sheets
+
+_FONTS = ("Arial-Bold", "Arial-Black", "Arial-Italic", "Arial")
+
+
+def _fonts(spark, sf_dir):
+    b = ad.blocks(spark, sf_dir)
+    k = F.col("doc_id") + F.col("seq")
+    font = F.element_at(F.array(*[F.lit(f) for f in _FONTS]), (k % 4 + 1).cast("int"))
+    mark = F.element_at(F.array(*[F.lit(m) for m in ("• ", "- ", "1. ", "", "7 ")]), (k % 5 + 1).cast("int"))
+    return b.select("doc_id", "page_index", "seq", font.alias("font"), (k % 6 + 9).cast("double").alias("size"), F.concat(mark, F.substring("text", 1, 120)).alias("text"))
+
+
+_FONTS_SQL = f"{ad.BLOCKS}, fo AS (SELECT doc_id, page_index, seq, ['Arial-Bold', 'Arial-Black', 'Arial-Italic', 'Arial'][(doc_id + seq) % 4 + 1] AS font, ((doc_id + seq) % 6 + 9)::double AS size, ['• ', '- ', '1. ', '', '7 '][(doc_id + seq) % 5 + 1] || substr(text, 1, 120) AS text FROM blocks)"
+
+
+@query(f"WITH {_FONTS_SQL} SELECT doc_id, seq, font IN ('Arial-Bold', 'Arial-Black') AS bold, font = 'Arial-Italic' AS italic, CASE WHEN size > 12 AND length(text) < 100 THEN 'title' WHEN regexp_matches(trim(text), '^(•|-|1\\.|2\\.|3\\.)') THEN 'list_item' ELSE 'text' END AS kind FROM fo")
+def block_kinds(spark, sf_dir):
+
+    return elements.block_kinds(_fonts(spark, sf_dir)).select("doc_id", "seq", "bold", "italic", "kind")
+
+
+_TYPED = f"WITH {ad.TOC_LINES}, ty AS (SELECT page_index, seq, CASE WHEN seq % 11 = 0 THEN 'table' ELSE 'block' END AS kind, CASE WHEN seq % 13 = 0 THEN 'list_item' END AS semantic_type, seq % 20 = 0 AS is_first, seq % 2 = 0 AS bold, CASE seq % 3 WHEN 0 THEN '- ' ELSE '' END || substr(text, 1, (seq % 30 + 8)::int) AS text FROM toc)"
+
+
+@query(_TYPED + r" SELECT seq, CASE WHEN kind = 'table' THEN 'table' WHEN semantic_type IS NOT NULL THEN semantic_type WHEN is_first AND length(trim(lower(text))) < 100 AND len(list_filter(regexp_split_to_array(trim(lower(text)), '\s+'), lambda w: w <> '')) <= 5 THEN 'title' WHEN length(trim(lower(text))) < 50 AND bold AND regexp_matches(lower(text), 'tase|tuloslaskelma|liite|notes') THEN 'section_header' WHEN regexp_matches(trim(lower(text)), '^[0-9•*-]\s+') THEN 'list_item' ELSE 'text' END AS semantic_type FROM ty")
+def element_types(spark, sf_dir):
+
+    s = F.col("seq")
+    t = ad.toc_lines(spark, sf_dir).select("page_index", "seq", F.when(s % 11 == 0, "table").otherwise("block").alias("kind"), F.when(s % 13 == 0, "list_item").alias("semantic_type"), (s % 20 == 0).alias("is_first"), (s % 2 == 0).alias("bold"), F.concat(F.when(s % 3 == 0, "- ").otherwise(""), F.substring("text", F.lit(1), (s % 30 + 8).cast("int"))).alias("text"))
+    return elements.semantic_types(t).select("seq", "semantic_type")
+
+
+_PHRASES = ("Vastaavaa", "VASTATTAVAA", "Pysyvät vastaavat", "Oma pääoma", "Toimintatuotot", "Vuosikate", "TILIKAUDEN TULOS", "Toiminnan rahavirta", "Rahavarojen muutos", "Liite ", "x", "y")
+_PHRASES_SQL = "[" + ", ".join(f"'{p}'" for p in _PHRASES) + "]"
+_HARD = f"WITH ph AS (SELECT o_orderkey // 3 AS page, string_agg({_PHRASES_SQL}[(o_custkey % 12 + 1)::int], ' ' ORDER BY o_orderkey) || repeat('.', (o_orderkey // 3 % 2 * 600)::int) AS text FROM orders GROUP BY o_orderkey // 3)"
+
+
+@query(_HARD + ", h AS (SELECT page, text, " + ", ".join(f"{' + '.join(f'''contains(lower(text), '{p}')::int''' for p in ps)} AS {k}" for k, ps in elements.INDICATORS.items()) + " FROM ph) SELECT page, CASE WHEN balance_sheet >= 2 THEN 'balance_sheet' WHEN income_statement >= 2 THEN 'income_statement' WHEN cash_flow_statement >= 2 THEN 'cash_flow_statement' WHEN contains(lower(text), 'liite ') AND length(text) > 500 THEN 'notes' END AS section FROM h")
+def hard_rules(spark, sf_dir):
+
+    phrase = F.element_at(F.array(*[F.lit(p) for p in _PHRASES]), (F.col("o_custkey") % 12 + 1).cast("int"))
+    o = ad.table(spark, sf_dir, "orders").select(F.expr("o_orderkey div 3").alias("page"), F.col("o_orderkey").alias("seq"), phrase.alias("text"))
+    p = quality.page_text(o, ["page"]).withColumn("text", F.concat("text", F.repeat(F.lit("."), (F.col("page") % 2 * 600).cast("int"))))
+    return elements.indicated(p).select("page", "section")
+
+
+_TOKENS = ("ff", "mf", "cresc", "dolce", "q=96", "123", "Andante", "© 1999", "ab", "Kai Niemiselle", "p", "501")
+_TOKENS_SQL = "tk AS (SELECT user_id AS piece_id, event_id AS seq, ['header', 'footer', 'between_staff_1'][(event_id % 3 + 1)::int] AS region, [" + ", ".join(f"'{t}'" for t in _TOKENS) + "][(event_id % 12 + 1)::int] AS text, (event_id * 7 % 11) / 10::double AS confidence FROM events)"
+
+
+def _tokens(spark, sf_dir):
+    e = F.col("event_id")
+    pick = lambda values, i: F.element_at(F.array(*[F.lit(v) for v in values]), (i + 1).cast("int"))
+    return ad.table(spark, sf_dir, "events").select(F.col("user_id").alias("piece_id"), e.alias("seq"), pick(("header", "footer", "between_staff_1"), e % 3).alias("region"), pick(_TOKENS, e % 12).alias("text"), (e * 7 % 11 / 10).alias("confidence"))
+
+
+@query(f"WITH {_TOKENS_SQL} SELECT seq, CASE WHEN confidence < 0.55 THEN false WHEN text = 'ff' THEN false WHEN text = 'ab' THEN false WHEN region = 'header' AND length(text) >= 3 AND confidence >= 0.7 THEN true WHEN region = 'between_staff_1' THEN text IN ('mf', 'cresc', 'dolce', '123', 'Andante', 'p') OR (confidence >= 0.8 AND length(text) >= 4) WHEN region = 'footer' THEN contains(text, '©') OR text IN ('123', '501') OR confidence >= 0.7 ELSE true END AS valid FROM tk")
+def music_tokens(spark, sf_dir):
+
+    return sheet.valid_tokens(_tokens(spark, sf_dir)).select("seq", "valid")
+
+
+@query(f"WITH {_TOKENS_SQL} SELECT piece_id, coalesce(string_agg(DISTINCT text, ',' ORDER BY text) FILTER (text IN ('ff', 'mf', 'p')), '') AS dynamics, coalesce(string_agg(DISTINCT text, ',' ORDER BY text) FILTER (text IN ('cresc', 'dolce')), '') AS expressions, max(text) FILTER (text = 'q=96') AS tempo, max(CASE WHEN text = '123' THEN 123 END)::int AS measure_count, max(text) FILTER (text = '© 1999' AND region = 'footer') AS copyright FROM tk GROUP BY piece_id")
+def music_metadata(spark, sf_dir):
+
+    return sheet.metadata(_tokens(spark, sf_dir))
+
+
+@query(ORACLES["rhythm_summary"].replace("SELECT b.piece_id, measures, wrong, still_wrong, still_wrong = 0 AS all_valid FROM b JOIN a USING (piece_id)", "SELECT piece_id, unnest(list_concat(CASE WHEN piece_id % 3 = 0 THEN ['metadata_title'] ELSE [] END, ['metadata_composer'], CASE WHEN piece_id % 4 = 0 THEN ['staff_detection'] ELSE [] END, CASE WHEN still_wrong > 0 THEN ['rhythm_validation'] ELSE [] END, CASE WHEN piece_id % 5 = 0 THEN ['time_signature_coverage'] ELSE [] END)) AS check FROM b JOIN a USING (piece_id)").replace("AS check", "AS \"check\""))
+def music_checks(spark, sf_dir):
+
+    r = music.rhythm_summary(ad.notes(spark, sf_dir))
+    p = r.select("piece_id", F.when(F.col("piece_id") % 3 != 0, "t").alias("title"), F.lit(None).cast("string").alias("composer"), F.lit(True).alias("omr_success"), F.lit("score").alias("omr_engine"), (F.col("piece_id") % 4).alias("staff_count"), F.col("measures").alias("measure_count"), "still_wrong", F.when(F.col("piece_id") % 5 == 0, F.col("measures")).otherwise(0).alias("without_time"), F.lit(0).alias("without_beat"))
+    return sheet.checks(p).select("piece_id", "check")
+
+
+@query("SELECT source, count(*) AS documents, count(DISTINCT lang) AS langs, array_to_string(list_sort(list(DISTINCT lang)), ',') AS present FROM documents GROUP BY source")
+def distinct_sets(spark, sf_dir):
+    return _docs(spark, sf_dir).groupBy("source").agg(F.count("*").alias("documents"), F.count_distinct("lang").alias("langs"), F.concat_ws(",", F.array_sort(F.collect_set("lang"))).alias("present"))
+
+
+@query("WITH p AS (SELECT 'src/' || source || CASE WHEN doc_id % 6 = 0 THEN '/node_modules' WHEN doc_id % 6 = 1 THEN '/build' ELSE '' END || '/d' || doc_id || ['.py', '.h', '.JS', '.md', '.xyz'][(doc_id % 5 + 1)::int] AS path FROM documents) SELECT CASE WHEN ends_with(path, '.py') THEN 'Python' WHEN ends_with(path, '.h') THEN 'C' WHEN ends_with(path, '.JS') THEN 'JavaScript' WHEN ends_with(path, '.md') THEN 'Markdown' ELSE 'Other' END AS language, count(*) AS files FROM p WHERE NOT contains(path, '/node_modules/') AND NOT contains(path, '/build/') GROUP BY ALL")
+def path_filter(spark, sf_dir):
+    i = F.col("doc_id")
+    folder = F.when(i % 6 == 0, "/node_modules").when(i % 6 == 1, "/build").otherwise("")
+    ext = F.element_at(F.array(*[F.lit(x) for x in (".py", ".h", ".JS", ".md", ".xyz")]), (i % 5 + 1).cast("int"))
+    p = _docs(spark, sf_dir).select(F.concat(F.lit("src/"), "source", folder, F.lit("/d"), i.cast("string"), ext).alias("path"))
+    return loc.without_excluded(p).select(loc.language(F.col("path")).alias("language")).groupBy("language").agg(F.count("*").alias("files"))

@@ -53,7 +53,7 @@ def test_numbers(spark):
 def test_text_scalars(spark):
     assert apply(spark, ["a  b­c\n\n\n\nd ", "x"], ft.normalize_text) == ["a bc\n\nd", "x"]
     assert apply(spark, ["Tase .... 134", "x 12345", "a 2024", "a .... 555", "none"], ft.toc_target_page) == [134, 345, 24, None, None]
-    assert [t and t.type for t in apply(spark, ["Tase 2023", "cash flow", "Käteisvarat", "Note", "Notes"], ft.financial_type)] == ["balance_sheet", "cash_flow", "balance_sheet", None, "notes"]
+    assert [t and t.type for t in apply(spark, ["Tase 2023", "cash flow", "Käteisvarat", "Note", "Notes"], ft.financial_type)] == ["balance_sheet", "cash_flow_statement", "balance_sheet", None, "notes"]
     assert apply(spark, ["see note 3", "ks. liite 4"], ft.note_references) == [["3", "3"], ["4", "4"]]
     assert apply(spark, ["abcab", "ab"], lambda c: ft.longest_run(c)) == [1, 1]
     df = column(spark, ["abcd", "é"]).select("i", ft.characters(F.col("x")).alias("c"))
