@@ -29,12 +29,12 @@ def tokens_of(text: Column) -> Column:
     return (F.size(F.array_remove(F.split(text, f"[{WS_CLASS}]+"), "")) + 1).cast("long")
 
 
-def _entropy(shares: DataFrame, at: DataFrame) -> DataFrame:
+def _entropy(shares: DataFrame, at: list[float]) -> DataFrame:
     """For each exponent `a` of `at`: the entropy of the tempered shares and the largest number of repetitions.
 
     The budget is the one at which the least repeated source is used once, so nothing is lost to mixing.
     """
-    x = shares.crossJoin(F.broadcast(at))  # a row per source and candidate exponent; `at` has PER_ROUND rows
+    x = shares.select("share", F.explode(F.array(*[F.lit(a) for a in at])).alias("a"))  # a row per source and candidate
     power = F.exp(F.col("a") * F.log("share"))
     x = x.select("a", "share", power.alias("w"))
     x = x.groupBy("a").agg(F.sum("w").alias("z"), F.sum(F.col("w") * F.log("w")).alias("wl"), F.max(F.col("w") / F.col("share")).alias("hi"), F.min(F.col("w") / F.col("share")).alias("lo"))
@@ -47,12 +47,10 @@ def exponent(shares: DataFrame, repeats: float | None = REPEATS, entropy: float
     Both grow monotonically as the exponent falls, so an interval that holds the answer is cut, PER_ROUND ways at
     once, in aggregations over the table of shares. Shares are never collected.
     """
-    spark = shares.sparkSession
     lo, hi = 0.0, 1.0
     for _ in range(ROUNDS):
         step = (hi - lo) / PER_ROUND
-        at = spark.range(PER_ROUND + 1).select((F.lit(lo) + F.col("id") * F.lit(step)).alias("a"))
-        rows = sorted(_entropy(shares, at).collect(), key=lambda r: r["a"])
+        rows = sorted(_entropy(shares, [lo + i * step for i in range(PER_ROUND + 1)]).collect(), key=lambda r: r["a"])
         if not rows:
             return 1.0
         if entropy is not None:  # falls with the exponent
@@ -75,14 +73,14 @@ def weights(sizes: DataFrame, repeats: float | None = REPEATS, entropy: float |
 
     Without a budget the mix is as large as it takes to use the least repeated source once.
     """
-    total = sizes.agg(F.sum("tokens").alias("total"))
-    shares = stored(sizes.crossJoin(F.broadcast(total)).select("source", "docs", "tokens", (F.col("tokens") / F.col("total")).alias("share")), "shares")
+    total = sizes.agg(F.sum("tokens").alias("total")).first()["total"] or 1
+    shares = stored(sizes.select("source", "docs", "tokens", (F.col("tokens") / F.lit(total)).alias("share")), "shares")
     a = exponent(shares, repeats, entropy)
     x = shares.withColumn("w", F.exp(F.lit(a) * F.log("share")))
-    norm = x.agg(F.sum("w").alias("z"), F.min(F.col("w") / F.col("tokens")).alias("least"))
-    x = x.crossJoin(F.broadcast(norm))
-    due = F.col("w") / F.col("least") if budget is None else F.lit(float(budget)) * F.col("w") / F.col("z")
-    return x.select("source", "docs", "tokens", "share", (F.col("w") / F.col("z")).alias("weight"), F.round(due).cast("long").alias("tokens_due"))
+    norm = x.agg(F.sum("w").alias("z"), F.min(F.col("w") / F.col("tokens")).alias("least")).first()
+    z, least = F.lit(norm["z"] or 1.0), F.lit(norm["least"] or 1.0)
+    due = F.col("w") / least if budget is None else F.lit(float(budget)) * F.col("w") / z
+    return x.select("source", "docs", "tokens", "share", (F.col("w") / z).alias("weight"), F.round(due).cast("long").alias("tokens_due"))
 
 
 def copies(docs: DataFrame, repeats: float | None = REPEATS, entropy: float | None = None, budget: int | None = None, block_tokens: int = BLOCK_TOKENS, seed: int = SEED) -> DataFrame:

@@ -45,14 +45,15 @@ def rule_of(rules=RULES) -> tuple[Column, Column]:
     return name, verdict
 
 
-def _strength(level: DataFrame) -> DataFrame:
-    """One row, k: how many pseudo-outcomes the parent is worth, from children with columns n and bad."""
+def _strength(level: DataFrame) -> float:
+    """How many pseudo-outcomes the parent is worth, from children with columns n and bad."""
     m = level.where("n > 0").agg(F.sum("n").alias("N"), F.sum("bad").alias("B"), F.count("*").alias("g"), F.sum(F.lit(1.0) / F.col("n")).alias("inv"), F.sum(F.col("bad") / F.col("n")).alias("s1"), F.sum((F.col("bad") / F.col("n")) * (F.col("bad") / F.col("n"))).alias("s2"))
     mean = F.col("B") / F.col("N")
     spread = F.col("s2") / F.col("g") - (F.col("s1") / F.col("g")) * (F.col("s1") / F.col("g"))
     noise = mean * (1 - mean) * F.col("inv") / F.col("g")
     k = F.when(spread > noise, (mean * (1 - mean) - spread) / F.nullif(spread - noise, F.lit(0.0))).otherwise(F.lit(STRENGTH[1]))
-    return m.select(F.round(F.coalesce(F.least(F.greatest(F.when(F.col("N") > 0, k), F.lit(STRENGTH[0])), F.lit(STRENGTH[1])), F.lit(STRENGTH[1])), 2).alias("k"))
+    k = F.least(F.greatest(F.when(F.col("N") > 0, k), F.lit(STRENGTH[0])), F.lit(STRENGTH[1]))
+    return m.select(F.round(F.coalesce(k, F.lit(STRENGTH[1])), 2).alias("k")).first()["k"]
 
 
 def reputations(outcomes: DataFrame, limit: float = LIMIT, z: float = Z) -> DataFrame:
@@ -63,20 +64,18 @@ def reputations(outcomes: DataFrame, limit: float = LIMIT, z: float = Z) -> Data
     hosts = outcomes.withColumn("suffix", F.substring_index("host", ".", -1)).withColumn("domain", F.substring_index("host", ".", -2))
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    whole = suffixes.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    top = whole.select(F.coalesce((F.col("bad") + 0.5) / (F.col("n") + 1.0), F.lit(0.5)).alias("m0"))
-    strengths = [_strength(x).withColumnRenamed("k", f"k{i}") for i, x in enumerate((suffixes, domains, hosts))]
-    for one in strengths:  # each is a single row
-        top = top.join(F.broadcast(one), how="left")
+    whole = suffixes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")).first()
+    m0 = (whole["bad"] + 0.5) / (whole["n"] + 1.0)
+    k0, k1, k2 = (F.lit(_strength(x)) for x in (suffixes, domains, hosts))
     # each level's prior leaves out the outcomes of the child that it is for: they count once
-    suffixes = suffixes.join(F.broadcast(top), how="left").select("suffix", F.col("n").alias("n_s"), F.col("bad").alias("bad_s"), "m0", "k0", "k1", "k2")
+    suffixes = suffixes.select("suffix", F.col("n").alias("n_s"), F.col("bad").alias("bad_s"))
     domains = domains.join(suffixes, "suffix")
-    m1 = (F.col("bad_s") - F.col("bad") + F.col("k0") * F.col("m0")) / (F.col("n_s") - F.col("n") + F.col("k0"))
-    domains = domains.select("domain", F.col("n").alias("n_d"), F.col("bad").alias("bad_d"), m1.alias("m1"), "k1", "k2")
-    m2 = (F.col("bad_d") - F.col("bad") + F.col("k1") * F.col("m1")) / (F.col("n_d") - F.col("n") + F.col("k1"))
+    m1 = (F.col("bad_s") - F.col("bad") + k0 * F.lit(m0)) / (F.col("n_s") - F.col("n") + k0)
+    domains = domains.select("domain", F.col("n").alias("n_d"), F.col("bad").alias("bad_d"), m1.alias("m1"))
+    m2 = (F.col("bad_d") - F.col("bad") + k1 * F.col("m1")) / (F.col("n_d") - F.col("n") + k1)
     hosts = hosts.join(domains, "domain").withColumn("m2", m2)
-    hosts = hosts.withColumn("m3", (F.col("bad") + F.col("k2") * F.col("m2")) / (F.col("n") + F.col("k2")))
-    sd = F.sqrt(F.col("m3") * (1 - F.col("m3")) / (F.col("n") + F.col("k2") + 1))
+    hosts = hosts.withColumn("m3", (F.col("bad") + k2 * F.col("m2")) / (F.col("n") + k2))
+    sd = F.sqrt(F.col("m3") * (1 - F.col("m3")) / (F.col("n") + k2 + 1))
     return hosts.select("host", (F.col("m3") - z * sd > limit).alias("blocked"))
 
 
