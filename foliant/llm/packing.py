@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from .common import stored, table
 
 SIZE, END_ID = 2048, 1
-#: Chunks whose ids a worker remembers: the memory it may take, not what it may encode.
-REMEMBERED = 2_000_000
+#: Words whose ids a worker remembers: the memory it may take, not what it may encode.
+REMEMBERED = 1_000_000
 #: Buckets in which pieces of one length are ranked apart, per million pieces of that length.
 BUCKETS = 64
 
@@ -67,23 +67,17 @@ class _Ids:
         """The ids of each chunk, as bytes."""
         known = self.known
         got = list(map(known.get, chunks))
-        new = [c for c, x in zip(chunks, got, strict=True) if x is None]
-        if not new:
-            return got
-        if len(known) + len(new) > REMEMBERED:
+        cut = {c: x if (x := c.rstrip(".,")) and x[-1].isascii() and x[-1].isalnum() else c for c, i in zip(chunks, got, strict=True) if i is None}
+        words = {w for c, x in cut.items() for w in (x, c[len(x) :]) if w not in known}
+        if len(known) + len(words) > REMEMBERED:
             self.known = known = {"": b""}
-            new = [c for c in chunks if c]
-        core = {c: x if (x := c.rstrip(".,")) and x[-1].isascii() and x[-1].isalnum() else c for c in new}
-        words = {x for x in core.values() if x not in known} | {c[len(x) :] for c, x in core.items() if len(x) < len(c)}
+            words = {w for c, x in cut.items() for w in (x, c[len(x) :]) if w}
         plain = [x for x in words if x.isalpha()]
         for some, how in ((plain, self._letters), ([x for x in words if not x.isalpha()], self._each)):
             for at in range(0, len(some), 5_000):
                 part = some[at : at + 5_000]
                 known.update(zip(part, how(part), strict=True))
-        for c, x in core.items():
-            if len(x) < len(c):
-                known[c] = known[x] + known[c[len(x) :]]
-        return [known[c] if x is None else x for c, x in zip(chunks, got, strict=True)]
+        return [known[cut[c]] + known[c[len(cut[c]) :]] if i is None else i for c, i in zip(chunks, got, strict=True)]
 
 
 def encode(texts: pa.Array, path: str, end_id: int = END_ID) -> tuple[bytes, list[int]]:
@@ -128,8 +122,8 @@ def pieces(docs: DataFrame, size: int = SIZE, end_id: int = END_ID, path: str |
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 4_000):
-                b = whole.slice(at, 4_000)
+            for at in range(0, whole.num_rows, 2_500):
+                b = whole.slice(at, 2_500)
                 out = []
                 ids, bounds = encode(b["text"], path, end_id)
                 for doc, row, lo, hi in zip(b["doc_id"].to_pylist(), b["doc_row"].to_pylist(), bounds[:-1], bounds[1:], strict=True):
