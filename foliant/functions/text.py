@@ -15,6 +15,8 @@ POLICIES = ("tilinpäätöksen laatimisperiaatteet", "accounting policies", "fin
 FINANCIAL = {"balance_sheet": BALANCE, "income_statement": INCOME, "cash_flow_statement": CASH, "notes": NOTES, "accounting_policies": POLICIES}
 
 _WORD = "[a-zäöå]"
+#: White space that is stripped from cells.
+SPACE = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u2002\u2003\u2007\u2009\u202f\u3000"
 
 
 def strip(c: Column) -> Column:
@@ -30,20 +32,21 @@ def ratio(a: Column, b: Column) -> Column:
 
 
 def longest_run(c: Column) -> Column:
-    """Length of the longest run of one character; 0 for an empty text."""
-    return F.coalesce(F.array_max(F.transform(F.regexp_extract_all(c, F.lit(r"(?s)((.)\2*)"), F.lit(1)), F.length)), F.lit(0))
+    """Length of the longest run of one character; 0 for an empty text. Only runs of two or more are extracted."""
+    runs = F.transform(F.regexp_extract_all(c, F.lit(r"(?s)(.)\1+"), F.lit(0)), F.length)
+    return F.coalesce(F.array_max(runs), F.least(F.length(c), F.lit(1)))
 
 
 def quality_counts(text: Column) -> Column:
     """The integers that quality is made of. Only spaces and line feeds are left out of the characters."""
-    c = F.regexp_replace(F.coalesce(text, F.lit("")), "[ \n]", "")
+    c = F.translate(F.coalesce(text, F.lit("")), " \n", "")
     tokens = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"(?U)\S+"), F.lit(0))
     words = F.filter(tokens, lambda x: x.rlike(f"^{_WORD}"))
     junk = F.filter(tokens, lambda x: (F.length(x) <= 3) & ~x.rlike(f"^{_WORD}+$") & ~x.rlike(r"^\p{Nd}+$"))
     return F.struct(
         F.length(c).alias("chars"),
-        F.length(F.regexp_replace(c, r"\P{L}", "")).alias("alpha"),
-        F.length(F.regexp_replace(c, r"\P{Nd}", "")).alias("digits"),
+        F.length(F.regexp_replace(c, r"\P{L}+", "")).alias("alpha"),
+        F.length(F.regexp_replace(c, r"\P{Nd}+", "")).alias("digits"),
         longest_run(c).alias("run"),
         F.size(tokens).alias("tokens"),
         F.size(words).alias("words"),
@@ -67,11 +70,9 @@ def quality(q: str) -> dict[str, Column]:
 
 
 def _number(c: Column) -> Column:
-    """The first number of a text without units; brackets around all of it change its sign."""
+    """The first number of a stripped text without spaces and units; brackets around all of it change its sign."""
     bracketed = c.startswith("(") & c.endswith(")")
-    value = F.expr("try_cast(null as double)")
-    found = F.regexp_extract(F.when(bracketed, F.regexp_replace(c, r"[()]", "")).otherwise(c), r"-?\d+\.?\d*", 0)
-    value = F.nullif(found, F.lit("")).try_cast("double")
+    value = F.nullif(F.regexp_extract(F.when(bracketed, F.translate(c, "()", "")).otherwise(c), r"-?\d+\.?\d*", 0), F.lit("")).try_cast("double")
     return F.when(bracketed, -value).otherwise(value)
 
 
@@ -79,14 +80,14 @@ def normalize_number(text: Column, strict: bool = False) -> Column:
     """struct(value, unit) of a cell. A comma is a decimal point, so "1.234,56" is 1.234.
 
     The euro sign is looked for before "t€", so thousands of euros carry the unit "€"; strict=True tells them apart.
+    Cells are many and short: characters are translated rather than matched.
     """
-    c = F.regexp_replace(F.regexp_replace(strip(text), " ", ""), ",", ".")
-    unit = F.when(c.contains("€"), "€").when(c.contains("%"), "%")
+    unit = F.when(text.contains("€"), "€").when(text.contains("%"), "%")
+    bare = F.translate(F.trim(text, F.lit(SPACE)), ", €%", ".")
     if strict:
-        unit = F.when(c.contains("t€"), "t€").otherwise(unit)
-        c = F.regexp_replace(c, "t€", "")
-    bare = F.regexp_replace(c, "[€%]", "")
-    return F.when(~is_blank(text), F.struct(_number(bare).alias("value"), unit.alias("unit"))).otherwise(F.struct(F.lit(None).cast("double").alias("value"), F.lit(None).cast("string").alias("unit")))
+        unit = F.when(text.contains("t€"), "t€").otherwise(unit)
+    full = F.trim(text, F.lit(SPACE)) != ""
+    return F.struct(F.when(full, _number(bare)).alias("value"), F.when(full, unit).alias("unit"))
 
 
 def parse_number(text: Column) -> Column:

@@ -11,8 +11,12 @@ STRICT, LENIENT = 0.10, 0.20
 
 
 def with_quality(df: DataFrame, text: str = "text") -> DataFrame:
-    """df with its measures, status, score and `noisy` (the noise gate)."""
-    return df.withColumn("_q", quality_counts(F.col(text))).withColumns(quality("_q")).drop("_q")
+    """df with its measures, status, score and `noisy` (the noise gate).
+
+    The counts come out of a generator: as a plain struct they would be inlined, and computed, at every use.
+    """
+    q = df.select("*", F.inline(F.array(F.struct(quality_counts(F.col(text)).alias("_q")))))
+    return q.withColumns(quality("_q")).drop("_q")
 
 
 def page_text(blocks: DataFrame, keys: list[str]) -> DataFrame:
