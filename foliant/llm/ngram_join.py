@@ -291,3 +291,23 @@ def drop_near_copies(docs: DataFrame, **how) -> DataFrame:
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(table(spark, sf_dir, "documents")).drop("text_key")
+
+
+#: All pairs by shared shingles; for tables small enough to join so.
+ORACLE = r"""
+WITH RECURSIVE a AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+g AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN []::varchar[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                          ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM a),
+h AS (SELECT doc_id, s, CASE WHEN len(s) > 0 THEN md5(array_to_string(list_sort(s), chr(10))) END AS k FROM g),
+r AS (SELECT k, min(doc_id) AS rep, count(*) AS copies, len(any_value(s)) AS n, any_value(s) AS s FROM h WHERE k IS NOT NULL GROUP BY k),
+x AS (SELECT rep, n, copies, unnest(s) AS t FROM r),
+p AS (SELECT a.rep AS a, b.rep AS b, b.copies AS c FROM x a JOIN x b ON a.t = b.t AND a.rep <> b.rep
+      GROUP BY a.rep, b.rep, a.n, b.n, b.copies HAVING count(*) >= 0.8 * (a.n + b.n - count(*))),
+c(node, low) AS (SELECT rep, rep FROM r UNION SELECT p.b, c.low FROM c JOIN p ON p.a = c.node),
+cl AS (SELECT node, min(low) AS class_id FROM c GROUP BY node),
+l AS (SELECT a, sum(c) AS near, count(*) AS texts FROM p GROUP BY a)
+SELECT doc_id, coalesce(r.rep, doc_id) AS rep_id, coalesce(class_id, doc_id) AS class_id, coalesce(copies, 1)::bigint AS n_copies,
+       (coalesce(copies, 1) - 1 + coalesce(near, 0))::bigint AS n_links, coalesce(texts, 0)::bigint AS n_texts, doc_id = coalesce(class_id, doc_id) AS kept
+FROM h LEFT JOIN r USING (k) LEFT JOIN cl ON cl.node = r.rep LEFT JOIN l ON l.a = r.rep
+"""

@@ -15,6 +15,8 @@ QUERIES = {
     "op10_html_extract": html_extract.op10_html_extract,
 }
 ORACLES = {
+    "op9_ngram_join": ngram_join.ORACLE,
+    "op6_chat_format": chat_format.ORACLE,
     "op1_line_dedup": line_dedup.ORACLE,
     "op2_exact_dedup": exact_dedup.ORACLE,
     "op5_quality_rules": quality_rules.ORACLE,
