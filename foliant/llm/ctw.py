@@ -6,9 +6,9 @@ mixes, for each bit, the estimates of all depths along the path, half for stoppi
 in the proportion in which they explained the training text.
 
 The Krichevsky-Trofimov probability of a node depends on its counts alone, so training is counting: one aggregation
-of all training bytes with the contexts before them. Contexts that hold less than a fixed fraction of all training
-bytes are pooled with their siblings in a "rest" child, which bounds the tree by its parameters, whatever the size of
-the corpus: at most KEPT contexts of each depth.
+of all training bytes with the contexts before them. Every context that the training text has is kept, however rare,
+so the model grows with the corpus. It is never gathered in one place: contexts that share their two nearest bytes are
+weighted together, each distinct gram gets its probability there, and chunks of documents are joined to their grams.
 """
 
 from __future__ import annotations
@@ -19,20 +19,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .common import stored, table
 
 DEPTH = 5
-#: Contexts of one depth that are kept at most: those with 1 / KEPT of the training bytes or more.
-KEPT = 1 << 17
 #: Words known to every task are those with 1 / HOT_WORDS of the tokens or more; the counts of others come by shuffle.
 HOT_WORDS = 1 << 17
 #: A byte that UTF-8 never has: before the first byte and after the last.
 END = 255
-#: Bytes of text counted at once.
-CHUNK = 2_000_000
+#: Bytes of text counted at once, and bytes of text whose grams are looked up together.
+CHUNK, LOOKUP = 2_000_000, 16_000_000
+#: Bytes of text for each bucket that grams are dealt to, and how many there are at least.
+BUCKET, LEAST_BUCKETS = 32_000_000, 64
+#: Distinct grams weighted at once where more share their two nearest bytes; they are then taken by the third.
+SLICE = 200_000
 
 # ---------------------------------------------------------------- counting
 
@@ -63,8 +68,9 @@ def text_grams(texts: list[bytes], depth: int) -> np.ndarray:
     return g
 
 
-def _merge(a: tuple[np.ndarray, np.ndarray] | None, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _merge(a: tuple[np.ndarray, np.ndarray] | None, g: np.ndarray, weight: int = 1) -> tuple[np.ndarray, np.ndarray]:
     u, n = np.unique(g, return_counts=True)
+    n = n * weight
     if a is None:
         return u, n
     key = np.concatenate((a[0], u))
@@ -88,42 +94,72 @@ def _batches(column: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
         yield at, run
 
 
-def counts(train: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """Over all training texts: kind 'g' (gram, a byte below its context) and 'w' (word; the end is the empty word) with n."""
+def word_counts(train: DataFrame) -> DataFrame:
+    """word (the end is the empty word) and n, over all training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, words = None, Counter()
-        names = ["gram", "word", "n"]
+        words = Counter()
 
-        def flush(some: Counter):
-            items = list(some.items())
+        def flush():
+            items = list(words.items())
             for i in range(0, len(items), 100_000):
                 part = items[i : i + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(part), pa.int64()), pa.array([w for w, _ in part], pa.binary()), pa.array([n for _, n in part], pa.int64())], names=names)
-
-        def flush_grams(g):
-            for i in range(0, len(g[0]), 200_000):
-                k = g[0][i : i + 200_000].view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(k), pa.nulls(len(k), pa.binary()), pa.array(g[1][i : i + 200_000])], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in part], pa.binary()), pa.array([n for _, n in part], pa.int64())], names=["word", "n"])
 
         for b in batches:
             for _, texts in _batches(b["text"]):
                 for t in texts:
                     words.update(t.split())
                 words[b""] += len(texts)
-                grams = _merge(grams, text_grams(texts, depth))
                 if len(words) > 300_000:
-                    yield from flush(words)
+                    yield from flush()
                     words = Counter()
-                if len(grams[0]) > 1_500_000:
-                    yield from flush_grams(grams)
-                    grams = None
-        yield from flush(words)
-        if grams is not None:
-            yield from flush_grams(grams)
+        yield from flush()
+
+    return train.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def _bucket(gram: np.ndarray, buckets: int) -> np.ndarray:
+    """Grams are dealt by the bytes furthest back, so that those of a bucket lie close together."""
+    return ((((gram >> np.uint64(24)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """Numbers below 2**56 as planes of bytes, which compress well where the numbers are small."""
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T[:7]).tobytes()
 
-    part = train.select("text").mapInArrow(run, "gram long, word binary, n long")
-    return part.groupBy("gram", "word").agg(F.sum("n").alias("n"))
+
+def _unpacked(x: bytes) -> np.ndarray:
+    planes = np.frombuffer(x, np.uint8).reshape(7, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :7] = planes.T
+    return out.view("<u8").ravel()
+
+
+def _dealt(chunk: int, grams: tuple[np.ndarray, np.ndarray], buckets: int) -> Iterator[tuple[int, int, bytes, bytes]]:
+    """chunk, bucket, the grams of the bucket as steps from one to the next, and their training counts."""
+    bucket = _bucket(grams[0], buckets)
+    order = np.argsort(bucket, kind="stable")
+    g, n, bucket = grams[0][order], grams[1][order], bucket[order]
+    cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
+    for lo, hi in zip(cuts, [*cuts[1:], len(g)], strict=True):
+        yield chunk, int(bucket[lo]), _packed(np.diff(g[lo:hi], prepend=np.uint64(0))), _packed(n[lo:hi])
+
+
+def _summed(t: pa.Table) -> pa.Table:
+    """gram and n of a bucket, from those of its chunks."""
+    have, parts, size = None, [], 0
+    rows = list(zip(t["grams"], t["times"], strict=True))
+    for k, (g, n) in enumerate(rows):
+        parts.append((np.cumsum(_unpacked(g.as_py()), dtype=np.uint64), _unpacked(n.as_py()).astype(np.int64)))
+        size += len(parts[-1][0])
+        if size > 2_000_000 or k == len(rows) - 1:
+            key, val = (np.concatenate(c) for c in zip(*([have] if have else []), *parts, strict=True))
+            order = np.argsort(key, kind="stable")
+            key, val = key[order], val[order]
+            new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+            have, parts, size = (key[new], np.add.reduceat(val, new)), [], 0
+    return pa.table({"gram": have[0].view(np.int64), "n": have[1]})
 
 
 # ---------------------------------------------------------------- the tree
@@ -132,16 +168,6 @@ _NODE = np.array([[(256 | y) >> (8 - k) for k in range(8)] for y in range(256)])
 _BIT = np.array([[y >> (7 - k) & 1 for k in range(8)] for y in range(256)])
 
 
-def _bit_counts(byte_counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(zeros, ones) at the 255 nodes (index 1 to 255 of 256) of each row's byte decision tree."""
-    tree = np.zeros((len(byte_counts), 512))
-    tree[:, 256:] = byte_counts
-    for k in range(7, -1, -1):
-        lo = 1 << k
-        tree[:, lo : 2 * lo] = tree[:, 2 * lo : 4 * lo : 2] + tree[:, 2 * lo + 1 : 4 * lo : 2]
-    return tree[:, 0:512:2][:, :256], tree[:, 1:512:2][:, :256]
-
-
 def _log_gamma(x: np.ndarray) -> np.ndarray:
     """ln Gamma for x >= 0.5, by Stirling's series above 8."""
     x = x.astype(float).copy()
@@ -159,209 +185,143 @@ def _kt(zeros: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return block, (ones + 0.5) / (zeros + ones + 1)
 
 
-class _State:
-    """A kept context: its counts, kept children by the next byte back, and what weighting makes of it."""
-
-    __slots__ = ("block", "children", "counts", "depth", "one", "rest_one", "stop", "weighted")
-
-    def __init__(self, depth: int, counts: np.ndarray):
-        self.depth, self.counts, self.children = depth, counts, {}
-
-
-def _weigh(states: list[_State]) -> None:
-    """Fills block, one, weighted, stop and rest_one of states of one depth; their children are done."""
-    if not states:
-        return
-    zeros, ones = _bit_counts(np.stack([s.counts for s in states]))
-    block, one = _kt(zeros, ones)
-    for i, s in enumerate(states):
-        s.block, s.one = block[i], one[i]
-        s.weighted, s.stop, s.rest_one = block[i], None, None
-    inner = [i for i, s in enumerate(states) if s.children]
-    if not inner:
-        return
-    rest = np.stack([states[i].counts - sum(c.counts for c in states[i].children.values()) for i in inner])
-    block_r, one_r = _kt(*_bit_counts(rest))
-    for k, i in enumerate(inner):
-        s = states[i]
-        split = block_r[k] + sum(c.weighted for c in s.children.values())
-        s.weighted = np.logaddexp(s.block, split) - math.log(2)
-        s.stop = np.exp(np.minimum(s.block - math.log(2) - s.weighted, 0.0))
-        s.rest_one = one_r[k]
-
-
-def _subtree(root: _State, keys: np.ndarray, rows: np.ndarray, n: np.ndarray, depth: int, least: float) -> list[list[_State]]:
-    """Grows kept contexts below root. keys: remaining context bytes, nearest lowest; rows: the byte. Returns states by depth."""
-    levels, work = [[root]], [(root, keys, rows, n)]
-    for d in range(root.depth + 1, depth + 1):
-        nxt, level = [], []
-        for s, k, y, c in work:
-            near = (k & np.uint64(255)).astype(np.int64)
-            total = np.bincount(near, c, 256)
-            for b in np.flatnonzero(total >= least):
-                own = near == b
-                child = _State(d, np.bincount(y[own], c[own], 256))
-                s.children[int(b)] = child
-                level.append(child)
-                nxt.append((child, k[own] >> np.uint64(8), y[own], c[own]))
-        levels.append(level)
-        work = nxt
-    return levels
-
-
-def _paths(s: _State) -> Iterator[tuple[bytes, _State, list[_State]]]:
-    stack = [(b"", s, [s])]
-    while stack:
-        path, x, line = stack.pop()
-        yield path, x, line
-        for b, c in x.children.items():
-            stack.append((path + bytes([b]), c, [*line, c]))
-
-
-def _mixture(line: list[_State]) -> np.ndarray:
-    """Probability of a one at every node, in the deepest of the states from the root of the subtree down."""
-    last = line[-1]
-    q = last.one if last.stop is None else last.stop * last.one + (1 - last.stop) * last.rest_one
-    for s in reversed(line[:-1]):
-        q = s.stop * s.one + (1 - s.stop) * q
-    return q
-
-
-def _build(least: float, depth: int):
-    """For grams that share their two nearest bytes: a row for each kept context below them."""
-
-    def run(key, t):
-        near2 = int(key[0].as_py())
+def _key(gram: np.ndarray, d: int) -> np.ndarray:
+    """(context of d bytes, node) at the eight decisions of each gram's byte, as one number each."""
+    context = (gram >> np.uint64(8)) & np.uint64((1 << 8 * d) - 1)
+    return (context[:, None] << np.uint64(8)) | _NODE[(gram & np.uint64(255)).astype(np.int64)].astype(np.uint64)
+
+
+def _sums(key: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
+    """The different keys, in order, and the sums of values at each."""
+    u, at = np.unique(key, return_inverse=True)
+    return [u, *(np.bincount(at, v, len(u)) for v in values)]
+
+
+def _weigh(block: np.ndarray, split: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ln of the weighted probability, share of stopping) from those of stopping and of going on."""
+    weighted = np.logaddexp(block, split) - math.log(2)
+    return weighted, np.exp(np.minimum(block - math.log(2) - weighted, 0.0))
+
+
+class _Levels:
+    """Contexts of low to depth bytes, with the nodes that the training text visits; others have probability one half."""
+
+    __slots__ = ("edge", "levels")
+
+    def __init__(self, gram: np.ndarray, n: np.ndarray, low: int, depth: int):
+        self.levels = []
+        ones = n[:, None] * _BIT[(gram & np.uint64(255)).astype(np.int64)]
+        key, zero, one = _sums(_key(gram, depth).ravel(), (n[:, None] - ones).ravel(), ones.ravel())
+        block, p = _kt(zero, one)
+        weighted, stop = block, np.ones(len(key))
+        for d in range(depth, low - 1, -1):
+            self.levels.append((d, key, stop, p))
+            self.edge = key, zero, one, weighted
+            if d > low:
+                key, zero, one, weighted, stop, p = above(*self.edge, d - 1)
+
+    def ask(self, gram: np.ndarray) -> np.ndarray:
+        """Probability that each decision of each gram's byte is as it is, as mixed by the context of `low` bytes."""
+        q = np.full((len(gram), 8), 0.5)
+        bit = _BIT[(gram & np.uint64(255)).astype(np.int64)] == 1
+        for d, key, stop, p in self.levels:
+            q = mixed(_key(gram, d), bit, key, stop, p, q)
+        return q
+
+
+def above(key: np.ndarray, zero: np.ndarray, one: np.ndarray, weighted: np.ndarray, d: int) -> tuple[np.ndarray, ...]:
+    """key, zeros, ones, weighted, stop and probability of a one, at the contexts of d bytes above those given."""
+    up = ((key >> np.uint64(8)) & np.uint64((1 << 8 * d) - 1)) << np.uint64(8) | (key & np.uint64(255))
+    key, zero, one, split = _sums(up, zero, one, weighted)
+    block, p = _kt(zero, one)
+    return key, zero, one, *_weigh(block, split), p
+
+
+def mixed(asked: np.ndarray, bit: np.ndarray, key: np.ndarray, stop: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """q, what the deeper contexts say, mixed with the contexts of one level."""
+    if not len(key):
+        return np.full(q.shape, 0.5)
+    at = np.minimum(np.searchsorted(key, asked), len(key) - 1)
+    s, here = stop[at], np.where(bit, p[at], 1 - p[at])
+    return np.where(key[at] == asked, s * here + (1 - s) * q, 0.5)
+
+
+def _build(depth: int):
+    """For grams that share their two nearest bytes: the probabilities of their decisions from there on down.
+
+    A row for each gram, and one with the sums of the two bytes' own nodes, for the levels above.
+    """
+
+    def run(t):
         gram, n = t["gram"].to_numpy().view(np.uint64), t["n"].to_numpy().astype(float)
-        y = (gram & np.uint64(255)).astype(np.int64)
-        counts_ = np.bincount(y, n, 256)
-        root = _State(2, counts_)
-        levels = _subtree(root, gram >> np.uint64(24), y, n, depth, least) if counts_.sum() >= least else [[root]]
-        for level in reversed(levels):
-            _weigh(level)
-        ctx, q = [], []
-        if counts_.sum() >= least:
-            for path, _, line in _paths(root):
-                ctx.append(bytes([near2 & 255, near2 >> 8]) + path)
-                q.append(_mixture(line).astype(np.float32).tobytes())
-        else:
-            ctx, q = [bytes([near2 & 255, near2 >> 8])], [None]
-        many = len(ctx)
-        return pa.table(
-            {
-                "context": pa.array(ctx, pa.binary()),
-                "one": pa.array(q, pa.binary()),
-                "counts": pa.array([counts_.tobytes()] + [None] * (many - 1), pa.binary()),
-                "weighted": pa.array([root.weighted.tobytes()] + [None] * (many - 1), pa.binary()),
-            }
-        )
+        q, edges = np.full((len(gram), 8), 0.5), []
+        # by the third byte, in runs of about SLICE grams: contexts of three bytes and more are apart
+        third = (gram >> np.uint64(24)) & np.uint64(255)
+        order = np.argsort(third, kind="stable")
+        ends = np.flatnonzero(np.diff(third[order], append=256))
+        lo = 0
+        for k, end in enumerate(ends + 1):
+            if k < len(ends) - 1 and ends[k + 1] + 1 - lo <= SLICE:
+                continue
+            part, lo = order[lo:end], end
+            seen = part[n[part] > 0]
+            if len(seen):
+                x = _Levels(gram[seen], n[seen], 3, depth)
+                q[part] = x.ask(gram[part])
+                edges.append(x.edge)
+        top = None
+        if edges:
+            key, zero, one, weighted, stop, p = above(*(np.concatenate(c) for c in zip(*edges, strict=True)), 2)
+            bit = _BIT[(gram & np.uint64(255)).astype(np.int64)] == 1
+            q = mixed(_key(gram, 2), bit, key, stop, p, q)
+            top = np.stack((key.astype(float), zero, one, weighted)).tobytes()
+        q = q.astype(np.float32)
+        rows = pa.FixedSizeBinaryArray.from_buffers(pa.binary(32), len(q), [None, pa.py_buffer(q.tobytes())]).cast(pa.binary())
+        grams = pa.concat_arrays([pa.array(gram.view(np.int64)), pa.nulls(1, pa.int64())])
+        tops = pa.concat_arrays([pa.nulls(len(q), pa.binary()), pa.array([top], pa.binary())])
+        return pa.table({"gram": grams, "q": pa.concat_arrays([rows, pa.nulls(1, pa.binary())]), "top": tops})
 
     return run
 
 
-def _top(rows, least: float) -> tuple[_State, dict[bytes, _State]]:
-    """The states of depth 0 and 1, from the at most 65,536 roots of depth 2."""
-    ones: dict[int, list] = {}
-    for r in rows:
-        s = _State(2, np.frombuffer(r["counts"]))
-        s.weighted = np.frombuffer(r["weighted"])
-        ones.setdefault(r["context"][0], []).append((r["context"][1], s, r["one"] is not None))
-    root = _State(0, sum((s.counts for x in ones.values() for _, s, _ in x), np.zeros(256)))
-    level = []
-    for b, x in ones.items():
-        c = _State(1, sum(s.counts for _, s, _ in x))
-        if c.counts.sum() < least:
-            continue
-        c.children = {k: s for k, s, kept in x if kept}
-        root.children[b] = c
-        level.append(c)
-    _weigh(level)
-    _weigh([root])
-    return root, {bytes([b]): c for b, c in root.children.items()}
-
-
-def _log_bytes(one: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-    """log10 probability of each symbol, from the probabilities of ones at the nodes."""
-    one = np.clip(one.astype(float), 1e-12, 1 - 1e-12)
-    lp1, lp0 = np.log10(one), np.log10(1 - one)
-    out = np.zeros((len(one), len(symbols)))
-    for k in range(8):
-        node, bit = _NODE[symbols, k], _BIT[symbols, k]
-        out += np.where(bit[None, :] == 1, lp1[:, node], lp0[:, node])
-    return out.astype(np.float32)
-
-
-class Model:
-    """Kept contexts as a trie walked from the nearest byte back, and a table of log10 probabilities for each.
-
-    Bytes that the training text never has share one column: what a context leaves for them, in equal parts.
-    """
+def gram_logs(grams: DataFrame, depth: int, buckets: int) -> DataFrame:
+    """grams: gram, n (0 for those to be scored only). Returns bucket, gram and the log10 probability of its byte in its context.
 
-    def __init__(self, contexts: list[bytes], ones: list[np.ndarray], seen: np.ndarray, depth: int):
-        self.depth = depth
-        self.symbols = np.flatnonzero(seen)
-        width = len(self.symbols) + 1
-        self.code = np.full(256, width - 1, np.int64)
-        self.code[self.symbols] = np.arange(width - 1)
-        number = {c: i for i, c in enumerate(contexts)}
-        self.child = np.full((len(contexts), width), -1, np.int32)
-        for c, i in number.items():
-            if c:
-                self.child[number[c[:-1]], self.code[c[-1]]] = i
-        self.root = number[b""]
-        self.log = np.zeros((len(contexts), width), np.float32)
-        for at in range(0, len(contexts), 4096):
-            self.log[at : at + 4096, : width - 1] = _log_bytes(np.stack(ones[at : at + 4096]), self.symbols)
-        left = np.zeros(len(contexts))
-        for at in range(0, len(contexts), 4096):
-            left[at : at + 4096] = 1 - (10.0 ** self.log[at : at + 4096, : width - 1].astype(float)).sum(axis=1)
-        self.log[:, width - 1] = np.log10(np.maximum(left, 1e-12) / max(256 - len(self.symbols), 1))
-        self.width = width
-
-    def scores(self, texts: list[bytes]) -> np.ndarray:
-        """log10 probability of each text and its end."""
-        pad = bytes([END]) * self.depth
-        b = self.code[np.frombuffer(b"".join([x for t in texts for x in (pad, t, pad[:1])]), np.uint8)]
-        n = len(b) - self.depth
-        flat, state = self.child.ravel(), np.full(n, self.root, np.int32)
-        alive = np.arange(n)
-        for d in range(1, self.depth + 1):
-            nxt = flat[state[alive].astype(np.int64) * self.width + b[self.depth - d : self.depth - d + n][alive]]
-            ok = nxt >= 0
-            alive = alive[ok]
-            state[alive] = nxt[ok]
-        got = self.log.ravel()[state.astype(np.int64) * self.width + b[self.depth :]]
-        # sums over each text, without the padding that follows its end
-        size = np.array([len(t) for t in texts])
-        first = np.concatenate(([0], np.cumsum(size + self.depth + 1)[:-1]))
-        bounds = np.stack((first, first + size + 1), 1).ravel()
-        sums = np.add.reduceat(np.concatenate((got, [0.0])).astype(float), bounds)
-        return sums[::2]
-
-
-def train_model(grams: DataFrame, depth: int = DEPTH, kept: int = KEPT) -> Model:
-    """grams: gram, n. What reaches the driver is bounded by `kept` contexts of each depth, not by the corpus."""
-    total = grams.agg(F.sum("n").alias("n")).first()["n"] or 0
-    least = max(1.0, total / kept)
+    Only sums over one byte of context and a node reach the driver: 256 * 255 at most, whatever the corpus.
+    """
+    if not 3 <= depth <= 6:
+        raise ValueError(f"depth {depth}; contexts have 3 to 6 bytes")
     near2 = F.shiftright("gram", 8).bitwiseAND(F.lit(0xFFFF)).alias("near2")
-    built = stored(grams.select(near2, "gram", "n").groupBy("near2").applyInArrow(_build(least, depth), "context binary, one binary, counts binary, weighted binary"), "contexts")
-    root, ones1 = _top(built.where("counts is not null").toLocalIterator(), least)
-    if not total:
-        return Model([b""], [np.full(256, 0.5)], np.zeros(256, bool), depth)
-    contexts, mixed = [b""], [_mixture([root])]
-    for b, s in ones1.items():
-        contexts.append(b)
-        mixed.append(_mixture([root, s]))
-    for batch in built.where("one is not null").select("context", "one").toArrow().to_batches():
-        for c, q in zip(batch["context"].to_pylist(), batch["one"].to_pylist(), strict=True):
-            s = ones1.get(c[:1])
-            if s is None or not len(s.children):
-                continue
-            q = np.frombuffer(q, np.float32)
-            q = s.stop * s.one + (1 - s.stop) * q
-            contexts.append(c)
-            mixed.append((root.stop * root.one + (1 - root.stop) * q).astype(np.float32))
-    return Model(contexts, mixed, root.counts > 0, depth)
+    built = stored(grams.select(near2, "gram", "n").groupBy("near2").applyInArrow(_build(depth), "gram long, q binary, top binary"), "contexts")
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for x in b["top"].to_pylist():
+                key, zero, one, weighted = np.frombuffer(x).reshape(4, -1)
+                key = key.astype(np.int64) & 0xFFFF
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in (key, zero, one, weighted)], names=["key", "zero", "one", "weighted"])
+
+    tops = built.where("top is not null").select("top").mapInArrow(split, "key long, zero double, one double, weighted double")
+    rows = tops.groupBy("key").agg(F.sum("zero").alias("zero"), F.sum("one").alias("one"), F.sum("weighted").alias("weighted")).orderBy("key").collect()
+    key = np.array([r["key"] for r in rows], np.uint64)
+    zero, one, weighted = (np.array([r[c] for r in rows], float) for c in ("zero", "one", "weighted"))
+    block, p = _kt(zero, one)
+    weighted, stop = _weigh(block, weighted)
+    high = [(1, key, stop, p)]
+    if len(key):
+        key, _, _, _, stop, p = above(key, zero, one, weighted, 0)
+        high.append((0, key, stop, p))
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            gram = b["gram"].to_numpy().view(np.uint64)
+            q = np.frombuffer(b"".join(b["q"].to_pylist()), np.float32).reshape(-1, 8).astype(float)
+            bit = _BIT[(gram & np.uint64(255)).astype(np.int64)] == 1
+            for level in high:
+                q = mixed(_key(gram, level[0]), bit, *level[1:], q)
+            yield pa.RecordBatch.from_arrays([pa.array(_bucket(gram, buckets), pa.int32()), b["gram"], pa.array(np.log10(np.maximum(q, 1e-30)).sum(axis=1))], names=["bucket", "gram", "log"])
+
+    return built.where("gram is not null").select("gram", "q").mapInArrow(finish, "bucket int, gram long, log double")
 
 
 # ---------------------------------------------------------------- scoring
@@ -372,31 +332,64 @@ def held_out(doc_id: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 7 == 2
 
 
-def score(docs: DataFrame, depth: int = DEPTH, kept: int = KEPT, hot_words: int = HOT_WORDS) -> DataFrame:
+def _answered(asks: pa.Table, logs: pa.Table) -> pa.Table:
+    """The rows of asks, all of one bucket, with the logs of their grams."""
+    known, log = logs["gram"].to_numpy().view(np.uint64), logs["log"].to_numpy().astype(np.float32)
+    order = np.argsort(known)
+    known, log = known[order], log[order]
+    out = [log[np.searchsorted(known, np.cumsum(_unpacked(g.as_py()), dtype=np.uint64))].tobytes() for g in asks["grams"]]
+    return pa.table({"chunk": asks["chunk"], "grams": asks["grams"], "logs": pa.array(out, pa.binary())})
+
+
+def _looked_up(depth: int, names: list[str]):
+    """For the rows of a chunk and the logs of its grams: the rows with their scores."""
+
+    def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        known = pa.array(np.concatenate([np.cumsum(_unpacked(g.as_py()), dtype=np.uint64) for g in answers["grams"]]).view(np.int64))
+        log, sums = np.concatenate([np.frombuffer(x.as_py(), np.float32) for x in answers["logs"]]).astype(float), []
+        for _, texts in _batches(rows["text"]):
+            at = pc.index_in(pa.array(text_grams(texts, depth).view(np.int64)), value_set=known)
+            assert not at.null_count
+            first = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])[:-1]))
+            sums.append(np.add.reduceat(log[at.to_numpy()], first))
+        return rows.select(names).append_column("score", pa.array(np.concatenate(sums)))
+
+    return run
+
+
+def score(docs: DataFrame, depth: int = DEPTH, kept: int | None = None, hot_words: int = HOT_WORDS) -> DataFrame:
     """One row per input row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
 
     score is the log10 probability that the weighted context trees give the text's bytes, A-Z lower-cased, and its
     end; bits_per_byte is its code length over all bytes and the end. base_score sums log10((c + 1) / (N + V + 1)) over
     the tokens: words between white space, then one end; c, N and V as counted in the training rows. Training rows are
     those that are not held out. Null texts count as empty: one token, the end. Repeated rows are scored one by one.
-    An empty table gives an empty result; without training rows every bit has probability one half and every token
+    All contexts of the training rows count; `kept` is read no more. An empty table gives an empty result; without training rows every bit has probability one half and every token
     counts as unknown. Columns other than doc_id and text are ignored.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    table_ = stored(counts(rows.where(~held_out()), depth), "counts")
-    model = train_model(table_.where("gram is not null").select("gram", "n"), depth, kept)
-    words = table_.where("word is not null").select("word", "n")
+    rows = rows.withColumn("held_out", held_out())
+    words = stored(word_counts(rows.where("not held_out")), "words")
+    buckets = max(LEAST_BUCKETS, (rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0) // BUCKET)
     of = words.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     n_all, v_all = of["n"] or 0, of["v"] or 0
     line = max(1, n_all // hot_words)
     hot = {bytes(r["word"]): r["n"] for r in words.where(F.col("n") > line).toLocalIterator()}  # fewer than hot_words rows
-    known = spark.sparkContext.broadcast((model, hot))
+    known = spark.sparkContext.broadcast(hot)
     base = math.log10(n_all + v_all + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, hot = known.value
-        logs = {w: math.log10(c + 1) for w, c in hot.items()}
+        logs = {w: math.log10(c + 1) for w, c in known.value.items()}
+        chunk, filled, grams = TaskContext.get().partitionId() << 32, 0, None
+
+        def asks():
+            rows = list(_dealt(chunk, grams, buckets))
+            for i in range(0, len(rows), 64):
+                cols = list(zip(*rows[i : i + 64], strict=True))
+                have = {"chunk": pa.array(cols[0], pa.int64()), "bucket": pa.array(cols[1], pa.int32()), "grams": pa.array(cols[2], pa.binary()), "times": pa.array(cols[3], pa.binary())}
+                yield pa.RecordBatch.from_arrays([have.get(f.name, pa.nulls(len(cols[0]), f.type)) for f in fields], schema=pa.schema(fields))
+
         for whole in batches:
             for at, texts in _batches(whole["text"]):
                 b = whole.slice(at, len(texts))
@@ -419,20 +412,37 @@ def score(docs: DataFrame, depth: int = DEPTH, kept: int = KEPT, hot_words: int
                     sums.append(s)
                     rare.append(left)
                     many.append(times)
-                got = model.scores(texts)
                 size = [len(t) + 1 for t in texts]
-                yield pa.RecordBatch.from_arrays(
-                    [b["doc_id"], b["held_out"], pa.array(tokens, pa.int64()), pa.array(sure, pa.int64()), pa.array(sums, pa.float64()), pa.array(got, pa.float64()), pa.array(size, pa.int64()), pa.array(rare, pa.list_(pa.binary())), pa.array(many, pa.list_(pa.int64()))],
-                    names=["doc_id", "held_out", "n_tokens", "sure", "sums", "score", "n_bytes", "rare", "times"],
-                )
+                filled += sum(size)
+                if filled > LOOKUP and grams is not None:
+                    yield from asks()
+                    chunk, filled, grams = chunk + 1, sum(size), None
+                for out in (False, True):
+                    some = [t for t, o in zip(texts, b["held_out"].to_pylist(), strict=True) if o == out]
+                    if some:
+                        grams = _merge(grams, text_grams(some, depth), int(not out))
+                have = {"doc_id": b["doc_id"], "held_out": b["held_out"], "n_tokens": tokens, "sure": sure, "sums": sums, "n_bytes": size, "rare": rare, "m": many, "chunk": [chunk] * len(texts), "text": b["text"]}
+                cols = [have.get(f.name, [None] * len(texts)) for f in fields]
+                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(cols, fields, strict=True)], schema=pa.schema(fields))
+        if grams is not None:
+            yield from asks()
 
     kinds = dict(rows.dtypes)
-    scored = rows.select("doc_id", held_out().alias("held_out"), "text").mapInArrow(run, f"doc_id {kinds['doc_id']}, held_out boolean, n_tokens long, sure long, sums double, score double, n_bytes long, rare array<binary>, times array<long>")
-    scored = stored(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
-    each = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("m"))
+    shape = f"doc_id {kinds['doc_id']}, held_out boolean, n_tokens long, sure long, sums double, n_bytes long, rare array<binary>, m array<long>, text string, chunk long, bucket int, grams binary, times binary"
+    fields = list(to_arrow_schema(spark.createDataFrame([], shape).schema))
+    # rows of documents, and rows of grams (with a bucket) that the documents of a chunk ask for
+    both = stored(rows.select("doc_id", "held_out", "text").mapInArrow(run, shape).withColumn("row", F.monotonically_increasing_id()), "scored")
+    asks, scored = both.where("bucket is not null"), both.where("bucket is null")
+    grams = stored(asks.select("bucket", "grams", "times").groupBy("bucket").applyInArrow(_summed, "gram long, n long"), "grams")
+    logs = gram_logs(grams, depth, buckets)
+    each = scored.select("row", F.explode(F.arrays_zip("rare", "m")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.m").alias("m"))
     cold = words.where(F.col("n") <= line).withColumnRenamed("n", "c")
     late = each.join(cold, "word").groupBy("row").agg(F.sum("m").alias("late"), F.sum(F.col("m") * F.log10(F.col("c") + 1)).alias("late_sum"))
-    out = scored.drop("rare", "times").join(late, "row", "left")
+    answers = asks.select("bucket", "chunk", "grams").groupBy("bucket").cogroup(logs.groupBy("bucket")).applyInArrow(_answered, "chunk long, grams binary, logs binary")
+    names = ["row", "doc_id", "held_out", "n_tokens", "sure", "sums", "n_bytes"]
+    told = scored.select("chunk", "text", *names).groupBy("chunk").cogroup(answers.groupBy("chunk"))
+    told = told.applyInArrow(_looked_up(depth, names), f"row long, doc_id {kinds['doc_id']}, held_out boolean, n_tokens long, sure long, sums double, n_bytes long, score double")
+    out = told.join(late, "row", "left")
     n_known = F.col("sure") + F.coalesce("late", F.lit(0))
     return out.select(
         "doc_id",

@@ -193,6 +193,17 @@ def test_ctw_equals_the_definition(spark):
             assert got[i].score == pytest.approx(score(t.encode()), rel=1e-4)
 
 
+def test_ctw_keeps_rare_contexts_at_any_bound(spark, monkeypatch):
+    monkeypatch.setattr(ctw, "SLICE", 3, raising=False)
+    monkeypatch.setattr(ctw, "LOOKUP", 40, raising=False)
+    rng = random.Random(6)
+    rows = [(i, "ab" * rng.randrange(9)) for i in range(30)] + [(40 + i, "".join(rng.choice("cdeé") for _ in range(6))) for i in range(12)] + [(90, "zz~"), (91, "")]
+    train = [t.encode() for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    score = brute_ctw(train, 3)
+    got = {r.doc_id: r.score for r in ctw.score(docs(spark, rows), depth=3, kept=4).collect()}
+    assert len(train) < len(rows) and got == {i: pytest.approx(score(t.encode()), rel=1e-4) for i, t in rows}
+
+
 def test_base_score_and_tokens(spark):
     rng = random.Random(9)
     rows = [(i, " ".join(rng.choice(["The", "the", "cat", f"r{rng.randrange(50)}", "é"]) for _ in range(rng.randrange(30)))) for i in range(80)] + [(500, None), (None, "x"), (7, "the the")]
