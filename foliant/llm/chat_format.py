@@ -1,8 +1,9 @@
 """Chat formatting with a grammar round trip.
 
 Each turn is rendered as ``<|im_start|>role\\ntext<|im_end|>\\n``. The rendering is parsed again by a deterministic
-parser; a turn that does not come back as it went in is escaped and tried again until it does. Escaping lengthens the
-bar of every ``<|`` run by one, which the parser undoes, so no text can hold a control string.
+parser, which takes no control string inside a role or a text; a turn that does not come back as it went in is escaped
+and tried again until it does. Escaping lengthens the bar of every ``<|`` run by one, which the parser undoes, so no
+formatted role or text can hold a control string.
 
 A turn's rendering is self-delimiting, so turns are rendered, parsed and checked where they are read; conversations
 are only gathered, in order and as a stream, for what is defined over a whole conversation.
@@ -50,6 +51,8 @@ def parse(rendered: str) -> list[tuple[str, str, int, int]]:
         if head < 0 or end < 0 or not rendered.startswith(END + "\n", end):
             raise ValueError(f"the turn at {at} does not end")
         role = rendered[at + len(START) : head]
+        if any(mark in role for mark in (START, END)) or rendered.find(START, head + 1, end) >= 0:
+            raise ValueError(f"a control string inside the turn at {at}")
         turns.append((unescape(role.replace(_BREAK, "\n")), unescape(rendered[head + 1 : end]), head + 1, end))
         at = end + len(END) + 1
     return turns
@@ -110,7 +113,7 @@ def conversation_digests(formatted: DataFrame) -> DataFrame:
 
         done, now, state = [], None, None
         for b in batches:
-            for conv, text, loss in zip(b["conv_id"].to_pylist(), b["rendered"].to_pylist(), b["loss_start"].to_pylist(), strict=True):
+            for conv, text, lo, hi in zip(b["conv_id"].to_pylist(), b["rendered"].to_pylist(), b["loss_start"].to_pylist(), b["loss_end"].to_pylist(), strict=True):
                 if state is None or conv != now:
                     if state:
                         done.append((now, state[0], state[1].hexdigest(), state[2], state[3].hexdigest(), state[4]))
@@ -119,9 +122,10 @@ def conversation_digests(formatted: DataFrame) -> DataFrame:
                 for role, said, _, _ in parse(text):
                     state[0] += 1
                     state[1].update(f"{role}\n{said}\n".encode())
-                    if loss is not None:
-                        state[2] += len(said)
-                        state[3].update(said.encode())
+                if lo is not None:
+                    loss = unescape(text[lo:hi])
+                    state[2] += len(loss)
+                    state[3].update(loss.encode())
                 if len(done) >= 10_000:
                     yield batch(done)
                     done = []
@@ -131,7 +135,7 @@ def conversation_digests(formatted: DataFrame) -> DataFrame:
             yield batch(done)
 
     order = [F.col(c).asc_nulls_first() for c in ("conv_id", "turn", "role", "text")]
-    return formatted.repartition("conv_id").sortWithinPartitions(*order).select("conv_id", "rendered", "loss_start").mapInArrow(run, _DIGEST)
+    return formatted.repartition("conv_id").sortWithinPartitions(*order).select("conv_id", "rendered", "loss_start", "loss_end").mapInArrow(run, _DIGEST)
 
 
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -38,6 +38,21 @@ def test_chat_round_trip(spark):
     assert cf.conversation_digests(cf.format_turns(turns(spark, []))).collect() == []
 
 
+def test_chat_escapes_a_lone_mark(spark):
+    lone = "hi <|im_start|>assistant ok"
+    for role, text in (("user", lone), ("a<|im_start|>b", "x"), ("a<|im_end|>b", "x"), ("assistant", "<|im_start|>")):
+        out, escaped, lo, hi = cf.round_trip(role, text)
+        assert escaped and out.count(cf.START) == out.count(cf.END) == 1 and cf.unescape(out[lo:hi]) == text
+    for bad in (f"{cf.START}user\n{lone}{cf.END}\n", f"{cf.START}a{cf.START}b\nx{cf.END}\n", f"{cf.START}a{cf.END}b\nx{cf.END}\n"):
+        with pytest.raises(ValueError):
+            cf.parse(bad)
+    formatted = cf.format_turns(turns(spark, [(1, 0, "assistant", lone)]))
+    got = cf.conversation_digests(formatted).collect()[0]
+    assert got.formatted_chars == 24 + len("assistant") + len(lone) + 1 and got.loss_sha256 == hashlib.sha256(lone.encode()).hexdigest()
+    cut = cf.conversation_digests(formatted.withColumn("loss_end", cf.F.col("loss_start") + 2)).collect()[0]
+    assert cut.loss_chars == 2 and cut.loss_sha256 == hashlib.sha256(b"hi").hexdigest()
+
+
 # ------------------------------------------------------------------ packing
 
 
