@@ -27,13 +27,21 @@ SAMPLE_PAGES, STEPS = 1_000, 300
 ADJACENT, PROXIMITY = 0.3, 0.3
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style template noscript textarea title iframe svg math select option button".split())
-_INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
+#: Elements whose text is none of the page's; those of _TEXT_ONLY run to the end of the page where no end tag comes.
+_RAW = frozenset("script style template noscript textarea title iframe svg annotation annotation-xml select option button".split())
+_TEXT_ONLY = frozenset("script style textarea title iframe".split())
+#: An option ends with its end tag, and before the next option or the end of its container.
+_OPTION_END = re.compile(r"</option\s*>|(?=<(?:option|optgroup)\b|</(?:optgroup|select|datalist)\b)", re.I)
+_INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark math mfrac mi mn mo mover mroot mrow ms msqrt mstyle msub msubsup msup mtext munder munderover q s samp semantics small span strike strong sub sup time tt u var wbr".split())
 #: A start tag that ends an open element of the same kind, as HTML lets it.
 _SELF_CLOSING = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 _BLOCK_ENDS_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?][^>]*>", re.S)
-_ATTR = re.compile(r"\b(class|id|role|aria-label|hidden|style)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+#: A quoted value that holds < or > is one only where white space or the tag's end follows it.
+_VALUE = r"""\s*+=\s*+("[^"<>]*+"|'[^'<>]*+'|"[^"]*+"(?=[\s/>])|'[^']*+'(?=[\s/>])|[^\s>]*+)"""
+_TAG = re.compile(rf"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/=]++|[^\s/>=]++(?:{_VALUE})?+)*+)>|<[!?][^>]*>", re.S)
+#: A tag whose quotes do not balance ends at the next '>'.
+_LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
+_ATTR = re.compile(rf"([^\s/>=]++)(?:{_VALUE})?+")
 
 BOILER_TAGS = frozenset("nav footer aside form menu dialog header".split())
 CONTENT_TAGS = frozenset("article main".split())
@@ -92,7 +100,7 @@ def segments(page: str) -> list[_Segment]:
                     linked += len(raw.strip())
         if lt >= n:
             break
-        m = _TAG.match(page, lt)
+        m = _TAG.match(page, lt) or _LOOSE.match(page, lt)
         if not m:
             if re.match(r"</?[a-zA-Z!?]", page[lt : lt + 3]):
                 break  # a tag that the end of the page cuts off
@@ -130,8 +138,9 @@ def segments(page: str) -> list[_Segment]:
         if tag in _VOID or m[3].endswith("/"):
             continue
         if tag in _RAW:
-            close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            at = close.end() if close else n
+            close = (_OPTION_END if tag == "option" else re.compile(rf"</{re.escape(tag)}\s*>", re.I)).search(page, at)
+            if close or tag in _TEXT_ONLY:
+                at = close.end() if close else n
             continue
         top = stack[-1]
         content, boiler, hidden = top[2] or tag in CONTENT_TAGS, top[3] or (tag in BOILER_TAGS and not (tag == "header" and top[2])), top[6]
@@ -140,6 +149,8 @@ def segments(page: str) -> list[_Segment]:
         if m[3] and tag not in ("html", "body"):
             for a in _ATTR.finditer(m[3]):
                 kind, value = a[1].lower(), (a[2] or "").strip("\"'")
+                if kind not in ("class", "id", "role", "hidden", "style"):
+                    continue
                 if kind == "hidden" or kind == "style" and re.search(r"display\s*:\s*none", value):
                     hidden = True
                 elif kind != "style":
@@ -147,7 +158,7 @@ def segments(page: str) -> list[_Segment]:
                     if kind == "role":
                         boiler = boiler or bool(got & {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert"})
                         content = content or bool(got & {"main", "article"})
-                    elif kind != "aria-label":
+                    else:
                         boiler = boiler or bool(got & BOILER_WORDS)
                         content = content or bool(got & CONTENT_WORDS)
         serial += 1

@@ -258,6 +258,24 @@ def test_html(spark):
     assert html_extract.extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
 
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ('<p>a <a href="/hidden-valley?id=comment" title="a hidden gem">b</a></p><div data-hidden="0" aria-hidden="false">c</div>', "a b c"),
+        ("<p>a</p><div hidden>b</div><div HIDDEN=''>c</div><div style='display: none'>d</div><p>e", "a e"),
+        ("<p>a</p><datalist><option>x<option value='1'>y</datalist><p>b</p>", "a b"),
+        ("<p>a</p><select><option>x</select><button>y<p>b</p>", "a y b"),
+        ("<p class=it's>a</p><p>b, it's</p><p>c</p>", "a b, it's c"),
+        ("<p>a</p><p title='it>b</p><p>c, don't</p>", "a b c, don't"),
+        ("<p>a x<y, it's> b</p><p>c", "a x b c"),
+        ("<p>let <math><mi>x</mi><mo>+</mo><mn>1</mn><annotation>x+1</annotation></math> be</p>", "let x+1 be"),
+        ('<p title="1 > 0" class = "q">a</p><img alt="x>y"><p>b<br/>c', "a b c"),
+    ],
+)
+def test_html_keeps_text(page, want):
+    assert " ".join(t for s in html_extract.segments(page) if not s.boiler for t in s.texts) == want
+
+
 def test_min_cut_against_all_labellings():
     rng = random.Random(0)
     for _ in range(40):
