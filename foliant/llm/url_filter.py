@@ -19,6 +19,17 @@ RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org
 MOST_RULES = 1_000
 #: Block when mean - Z * sd of the posterior bad rate exceeds LIMIT. Prior strengths are kept within STRENGTH.
 LIMIT, Z, STRENGTH = 0.30, 1.645, (1.0, 1_000.0)
+#: Suffixes of two labels: the second-level ones of countries, and hosting services whose customers have a name each.
+_SECOND = {
+    "uk": "co org me ltd plc net ac gov sch nhs", "au": "com net org edu gov id asn", "nz": "co net org ac govt school", "jp": "co ne or ac go ad ed gr lg",
+    "br": "com net org gov edu", "ar": "com net org gob edu", "mx": "com net org gob edu", "co": "com net org gov edu", "pe": "com net org gob edu", "ve": "com net org", "uy": "com net org", "ec": "com net org",
+    "za": "co net org ac gov web", "ke": "co or ac go", "ng": "com net org gov edu", "gh": "com org edu gov", "eg": "com net org gov edu",
+    "in": "co net org ac gov edu res", "pk": "com net org gov edu", "bd": "com net org gov edu", "lk": "com org gov ac", "cn": "com net org gov edu ac", "hk": "com net org gov edu", "tw": "com net org gov edu",
+    "kr": "co ne or ac go re", "sg": "com net org gov edu", "my": "com net org gov edu", "th": "co or ac go in", "id": "co or ac go web", "ph": "com net org gov edu", "vn": "com net org gov edu",
+    "tr": "com net org gov edu", "il": "co net org ac gov", "sa": "com net org gov edu", "ae": "co net org ac gov", "ua": "com net org gov edu", "pl": "com net org gov edu", "gr": "com net org gov edu", "pt": "com org gov edu", "es": "com org gob edu", "cy": "com org ac gov", "hu": "co", "at": "co or ac gv",
+    "io": "github gitlab", "com": "blogspot wordpress herokuapp weebly wixsite", "dev": "pages workers web", "app": "netlify vercel web", "net": "azurewebsites cloudfront", "me": "medium",
+}
+SUFFIXES = tuple(f"{x}.{last}" for last, xs in _SECOND.items() for x in xs.split())
 #: Host verdict rows that may be broadcast; beyond it the join shuffles.
 BROADCAST_HOSTS = 200_000
 
@@ -45,6 +56,20 @@ def rule_of(rules=RULES) -> tuple[Column, Column]:
     return name, verdict
 
 
+def site_of(host: str = "host") -> tuple[Column, Column]:
+    """(registered domain, suffix) of a host, read without user info, port and final dot.
+
+    The suffix is the last label, or the last two where SUFFIXES has them; the domain has one label more. An IP address
+    is a domain of its own, and all of them have one suffix.
+    """
+    name = F.regexp_replace(F.regexp_replace(F.regexp_replace(host, r"(?s)^.*@", ""), r":\d*$", ""), r"\.$", "")
+    ip = name.rlike(r"^\d{1,3}(\.\d{1,3}){3}$") | name.startswith("[")
+    two = F.substring_index(name, ".", -2)
+    long = two.isin(*SUFFIXES)
+    domain = F.when(ip, name).when(long, F.substring_index(name, ".", -3)).otherwise(two)
+    return domain, F.when(ip, "[ip]").when(long, two).otherwise(F.substring_index(name, ".", -1))
+
+
 def _strength(level: DataFrame) -> float:
     """How many pseudo-outcomes the parent is worth, from children with columns n and bad."""
     m = level.where("n > 0").agg(F.sum("n").alias("N"), F.sum("bad").alias("B"), F.count("*").alias("g"), F.sum(F.lit(1.0) / F.col("n")).alias("inv"), F.sum(F.col("bad") / F.col("n")).alias("s1"), F.sum((F.col("bad") / F.col("n")) * (F.col("bad") / F.col("n"))).alias("s2"))
@@ -59,9 +84,10 @@ def _strength(level: DataFrame) -> float:
 def reputations(outcomes: DataFrame, limit: float = LIMIT, z: float = Z) -> DataFrame:
     """outcomes: host, n, bad (one row per host, n may be 0). Returns host and blocked.
 
-    The registered domain is the last two labels of the host, the suffix the last one.
+    Domain and suffix are those of `site_of`.
     """
-    hosts = outcomes.withColumn("suffix", F.substring_index("host", ".", -1)).withColumn("domain", F.substring_index("host", ".", -2))
+    domain, suffix = site_of()
+    hosts = outcomes.withColumn("suffix", suffix).withColumn("domain", domain)
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     whole = suffixes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")).first()

@@ -54,6 +54,14 @@ def test_bad_host_is_blocked_and_rare_one_is_not(spark):
     assert got["bad.net"] == "block" and got["once.net"] == "allow" and got["h1.net"] == "allow"
 
 
+def test_sites_below_long_suffixes_ports_and_addresses(spark):
+    rows = [(f"h{i % 2}.good{i // 2}.co.uk", 20, 0) for i in range(80)] + [(f"h{i}.bad.co.uk", 20, 20) for i in range(10)] + [("1.2.3.4", 20, 20)] + [(f"7.7.{i}.1", 20, 0) for i in range(6)]
+    asked = {"new.bad.co.uk": True, "new2.bad.co.uk:8080": True, "me:x@new3.bad.co.uk.": True, "new.good1.co.uk": False, "new.other.co.uk": False, "9.9.3.4": False, "1.2.3.4:80": True}
+    outcomes = spark.createDataFrame(rows + [(h, 0, 0) for h in asked], "host string, n long, bad long")
+    got = {r.host: r.blocked for r in uf.reputations(outcomes).collect()}
+    assert {h: got[h] for h in asked} == asked
+
+
 def test_mix_meets_weights_within_a_document(spark):
     rng = random.Random(5)
     rows = [(i, "w " * rng.randrange(1, 40), "en", rng.choice(["big"] * 8 + ["mid"] * 3 + ["small", None])) for i in range(800)] + [(900, None, "en", "small")]
