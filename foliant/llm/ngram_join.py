@@ -231,6 +231,11 @@ def ngram_join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall
     doc_id are compared one by one; those in one class with its smallest doc_id are all kept. An empty table gives an
     empty result. Columns other than doc_id and text are ignored.
     """
+    return _joined(docs, n, threshold, recall).drop("class_node")
+
+
+def _joined(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """ngram_join with class_node, which tells classes apart that have one class_id; null without shingles."""
     bands, rows = choose_bands(threshold, recall)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("text_key"), text_of().alias("text"))
     sig = stored(signatures(texts, n, bands, rows), "signatures")
@@ -263,7 +268,7 @@ def ngram_join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall
     counts = found.groupBy("node").agg(F.sum("n_near").alias("n_near"), F.sum("n_texts").alias("n_texts"))
     linked = classes.join(counts, "node", "left").join(reps.select("node", "rep_id"), "node")
     named = linked.groupBy("label").agg(F.min("rep_id").alias("class_id"))
-    linked = linked.join(named, "label").select("node", "class_id", "n_near", "n_texts")
+    linked = linked.join(named, "label").select("node", F.col("label").alias("class_node"), "class_id", "n_near", "n_texts")
     of_set = reps.select("node", "rep_id", "copies").join(linked, "node", "left")
     x = sig.select("doc_id", "text_key", "set_id").join(of_set, sig.set_id == of_set.node, "left")
     none = F.col("set_id").isNull()
@@ -276,17 +281,31 @@ def ngram_join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall
         F.coalesce("copies", F.lit(1).cast("long")).alias("n_copies"),
         (F.coalesce("copies", F.lit(1).cast("long")) - 1 + F.coalesce("n_near", F.lit(0).cast("long"))).alias("n_links"),
         F.coalesce("n_texts", F.lit(0).cast("long")).alias("n_texts"),
+        F.coalesce("class_node", "set_id").alias("class_node"),
     )
     return x.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
 
 
 def drop_near_copies(docs: DataFrame, **how) -> DataFrame:
-    """The rows of docs that ngram_join keeps, one document of each class, with all their columns."""
-    gone = ngram_join(docs, **how).where("not kept").select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct()
-    gone = small(stored(gone, "gone"), BROADCAST_DOCS)
+    """The rows of docs that ngram_join keeps, with all their columns, and of each class one row only.
+
+    Of rows in one class that repeat its smallest doc_id the one with the smallest key of its text stays; of rows that
+    repeat that text too, the first by all columns. Documents without shingles are no copies and all stay.
+    """
+    x = stored(_joined(docs, **how).select("doc_id", "text_key", "class_node", "kept"), "joined")
+    key = F.struct("doc_id", "text_key")
+    first = x.where("kept and class_node is not null").groupBy("class_node").agg(F.min(key).alias("first"), F.count("*").alias("n"))
+    several = first.where("n > 1")
+    other = x.where("kept").join(several, "class_node").where(~key.eqNullSafe(F.col("first"))).select("doc_id", "text_key")
+    gone = x.where("not kept").select("doc_id", "text_key").unionByName(other).distinct()
+    gone = small(stored(gone.withColumnsRenamed({"doc_id": "gone_id", "text_key": "gone_key"}), "gone"), BROADCAST_DOCS)
+    twice = small(stored(several.select(F.col("first.doc_id").alias("twice_id"), F.col("first.text_key").alias("twice_key")), "twice"), BROADCAST_DOCS)
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     x = row.withColumn("text_key", F.xxhash64(F.coalesce("row.text", F.lit(""))))
-    return x.join(gone, F.col("row.doc_id").eqNullSafe(F.col("gone_id")) & (F.col("text_key") == F.col("gone_key")), "left_anti").select("row.*")
+    x = x.join(gone, F.col("row.doc_id").eqNullSafe(F.col("gone_id")) & (F.col("text_key") == F.col("gone_key")), "left_anti")
+    same = F.col("row.doc_id").eqNullSafe(F.col("twice_id")) & (F.col("text_key") == F.col("twice_key"))
+    one = x.join(twice, same).groupBy("twice_id", "twice_key").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return x.join(twice, same, "left_anti").select("row.*").unionByName(one.select("row.*"))
 
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -124,6 +124,15 @@ def test_join_against_brute_force(spark):
     assert ngram_join.ngram_join(docs(spark, [])).collect() == []
 
 
+def test_one_row_of_a_class_stays(spark):
+    words = [f"w{i}" for i in range(80)]
+    a, near = " ".join(words), " ".join([*words[:79], "x"])
+    rows = [(1, a), (1, a), (1, near), (2, a), (3, "b c d"), (3, "e f g"), (3, "e f g"), (None, "h i"), (None, "h i"), (None, None)]
+    kept = ngram_join.drop_near_copies(docs(spark, rows)).collect()
+    assert sorted(str(r.doc_id) for r in kept) == ["1", "3", "3", "None", "None"]
+    assert {r.text for r in kept if r.doc_id == 3} == {"b c d", "e f g"} and {r.text for r in kept if r.doc_id is None} == {"h i", None}
+
+
 def test_blocks_of_a_large_cluster(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK", 8)
     base = [f"w{i}" for i in range(100)]
