@@ -7,19 +7,21 @@ in the proportion in which they explained the training text.
 
 The Krichevsky-Trofimov probability of a node depends on its counts alone, so training is counting: one aggregation
 of all training bytes with the contexts before them. Every context that the training text has is kept, however rare,
-so the model grows with the corpus. It is never gathered in one place: contexts that share their two nearest bytes are
-weighted together, each distinct gram gets its probability there, and chunks of documents are joined to their grams.
+so the model grows with the corpus. It is never gathered in one place: groups of contexts of three bytes are weighted
+together, each distinct gram gets its probability there, and chunks of texts are joined to their grams.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
+import zlib
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,16 +30,14 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from .common import stored, table
 
 DEPTH = 5
-#: Words known to every task are those with 1 / HOT_WORDS of the tokens or more; the counts of others come by shuffle.
-HOT_WORDS = 1 << 17
 #: A byte that UTF-8 never has: before the first byte and after the last.
 END = 255
-#: Bytes of text counted at once, and bytes of text whose grams are looked up together.
+#: Bytes of text counted at once, and bytes of text whose grams and words are looked up together.
 CHUNK, LOOKUP = 2_000_000, 16_000_000
-#: Bytes of text for each bucket that grams are dealt to, and how many there are at least.
+#: Bytes of text for each bucket that grams and words are dealt to, and how many buckets there are at least.
 BUCKET, LEAST_BUCKETS = 32_000_000, 64
-#: Distinct grams weighted at once where more share their two nearest bytes; they are then taken by the third.
-SLICE = 200_000
+#: Distinct grams weighted at once, and for each group of contexts that a task weighs.
+SLICE, GROUP = 200_000, 300_000
 
 # ---------------------------------------------------------------- counting
 
@@ -94,64 +94,57 @@ def _batches(column: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
         yield at, run
 
 
-def word_counts(train: DataFrame) -> DataFrame:
-    """word (the end is the empty word) and n, over all training texts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Counter()
-
-        def flush():
-            items = list(words.items())
-            for i in range(0, len(items), 100_000):
-                part = items[i : i + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in part], pa.binary()), pa.array([n for _, n in part], pa.int64())], names=["word", "n"])
-
-        for b in batches:
-            for _, texts in _batches(b["text"]):
-                for t in texts:
-                    words.update(t.split())
-                words[b""] += len(texts)
-                if len(words) > 300_000:
-                    yield from flush()
-                    words = Counter()
-        yield from flush()
-
-    return train.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
 def _bucket(gram: np.ndarray, buckets: int) -> np.ndarray:
     """Grams are dealt by the bytes furthest back, so that those of a bucket lie close together."""
-    return ((((gram >> np.uint64(24)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+    return ((((gram >> np.uint64(16)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
 
 
 def _packed(x: np.ndarray) -> bytes:
-    """Numbers below 2**56 as planes of bytes, which compress well where the numbers are small."""
-    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T[:7]).tobytes()
+    """Numbers below 2**56 as compressed planes of bytes, which are small where the numbers are."""
+    return zstandard.compress(np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T[:7]).tobytes(), 1)
 
 
 def _unpacked(x: bytes) -> np.ndarray:
-    planes = np.frombuffer(x, np.uint8).reshape(7, -1)
+    planes = np.frombuffer(zstandard.decompress(x), np.uint8).reshape(7, -1)
     out = np.zeros((planes.shape[1], 8), np.uint8)
     out[:, :7] = planes.T
     return out.view("<u8").ravel()
 
 
-def _dealt(chunk: int, grams: tuple[np.ndarray, np.ndarray], buckets: int) -> Iterator[tuple[int, int, bytes, bytes]]:
-    """chunk, bucket, the grams of the bucket as steps from one to the next, and their training counts."""
+def _grams_of(x: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(x), dtype=np.uint64)
+
+
+def _words_of(x: bytes) -> list[bytes]:
+    return zstandard.decompress(x).split(b"\n")
+
+
+def _dealt(chunk: int, grams: tuple[np.ndarray, np.ndarray], buckets: int) -> Iterator[tuple]:
+    """chunk, bucket, false, the grams of the bucket as steps from one to the next, and their training counts."""
     bucket = _bucket(grams[0], buckets)
     order = np.argsort(bucket, kind="stable")
     g, n, bucket = grams[0][order], grams[1][order], bucket[order]
     cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
     for lo, hi in zip(cuts, [*cuts[1:], len(g)], strict=True):
-        yield chunk, int(bucket[lo]), _packed(np.diff(g[lo:hi], prepend=np.uint64(0))), _packed(n[lo:hi])
+        yield chunk, int(bucket[lo]), False, _packed(np.diff(g[lo:hi], prepend=np.uint64(0))), _packed(n[lo:hi])
+
+
+def _dealt_words(chunk: int, words: dict[bytes, int], buckets: int) -> Iterator[tuple]:
+    """chunk, bucket, true, the words of the bucket in order, and their training counts."""
+    by = defaultdict(list)
+    for w in words:
+        by[zlib.crc32(w) % buckets].append(w)
+    for bucket, some in by.items():
+        some.sort()
+        yield chunk, bucket, True, zstandard.compress(b"\n".join(some), 1), _packed(np.array([words[w] for w in some]))
 
 
 def _summed(t: pa.Table) -> pa.Table:
     """gram and n of a bucket, from those of its chunks."""
     have, parts, size = None, [], 0
-    rows = list(zip(t["grams"], t["times"], strict=True))
+    rows = list(zip(t["asked"], t["times"], strict=True))
     for k, (g, n) in enumerate(rows):
-        parts.append((np.cumsum(_unpacked(g.as_py()), dtype=np.uint64), _unpacked(n.as_py()).astype(np.int64)))
+        parts.append((_grams_of(g.as_py()), _unpacked(n.as_py()).astype(np.int64)))
         size += len(parts[-1][0])
         if size > 2_000_000 or k == len(rows) - 1:
             key, val = (np.concatenate(c) for c in zip(*([have] if have else []), *parts, strict=True))
@@ -162,6 +155,17 @@ def _summed(t: pa.Table) -> pa.Table:
     return pa.table({"gram": have[0].view(np.int64), "n": have[1]})
 
 
+def _counted(t: pa.Table) -> pa.Table:
+    """For a bucket of words: each chunk's with their counts in all training text, and once how many there are."""
+    total = defaultdict(int)
+    for x, n in zip(t["asked"], t["times"], strict=True):
+        for w, k in zip(_words_of(x.as_py()), _unpacked(n.as_py()).tolist(), strict=True):
+            total[w] += k
+    counts = [_packed(np.array([total[w] for w in _words_of(x.as_py())])) for x in t["asked"]]
+    rest = [0] * (len(counts) - 1)
+    return pa.table({"chunk": t["chunk"], "asked": t["asked"], "counts": pa.array(counts, pa.binary()), "different": [sum(n > 0 for n in total.values()), *rest], "tokens": [sum(total.values()), *rest]})
+
+
 # ---------------------------------------------------------------- the tree
 
 _NODE = np.array([[(256 | y) >> (8 - k) for k in range(8)] for y in range(256)])  # node of each bit of each byte
@@ -229,10 +233,14 @@ class _Levels:
         return q
 
 
+def _up(key: np.ndarray, d: int) -> np.ndarray:
+    """The keys of contexts of d bytes in which those given end."""
+    return ((key >> np.uint64(8)) & np.uint64((1 << 8 * d) - 1)) << np.uint64(8) | (key & np.uint64(255))
+
+
 def above(key: np.ndarray, zero: np.ndarray, one: np.ndarray, weighted: np.ndarray, d: int) -> tuple[np.ndarray, ...]:
     """key, zeros, ones, weighted, stop and probability of a one, at the contexts of d bytes above those given."""
-    up = ((key >> np.uint64(8)) & np.uint64((1 << 8 * d) - 1)) << np.uint64(8) | (key & np.uint64(255))
-    key, zero, one, split = _sums(up, zero, one, weighted)
+    key, zero, one, split = _sums(_up(key, d), zero, one, weighted)
     block, p = _kt(zero, one)
     return key, zero, one, *_weigh(block, split), p
 
@@ -247,18 +255,18 @@ def mixed(asked: np.ndarray, bit: np.ndarray, key: np.ndarray, stop: np.ndarray,
 
 
 def _build(depth: int):
-    """For grams that share their two nearest bytes: the probabilities of their decisions from there on down.
+    """For the grams of some contexts of three bytes: the probabilities of their decisions from there on down.
 
-    A row for each gram, and one with the sums of the two bytes' own nodes, for the levels above.
+    A row for each gram, and one with the sums of its contexts of two bytes, for the levels above.
     """
 
-    def run(t):
+    def run(key, t):
         gram, n = t["gram"].to_numpy().view(np.uint64), t["n"].to_numpy().astype(float)
         q, edges = np.full((len(gram), 8), 0.5), []
-        # by the third byte, in runs of about SLICE grams: contexts of three bytes and more are apart
-        third = (gram >> np.uint64(24)) & np.uint64(255)
-        order = np.argsort(third, kind="stable")
-        ends = np.flatnonzero(np.diff(third[order], append=256))
+        # in runs of about SLICE grams: contexts of three bytes and more are apart
+        three = (gram >> np.uint64(8)) & np.uint64(0xFFFFFF)
+        order = np.argsort(three, kind="stable")
+        ends = np.flatnonzero(np.diff(three[order], append=1 << 24))
         lo = 0
         for k, end in enumerate(ends + 1):
             if k < len(ends) - 1 and ends[k + 1] + 1 - lo <= SLICE:
@@ -271,19 +279,33 @@ def _build(depth: int):
                 edges.append(x.edge)
         top = None
         if edges:
-            key, zero, one, weighted, stop, p = above(*(np.concatenate(c) for c in zip(*edges, strict=True)), 2)
-            bit = _BIT[(gram & np.uint64(255)).astype(np.int64)] == 1
-            q = mixed(_key(gram, 2), bit, key, stop, p, q)
-            top = np.stack((key.astype(float), zero, one, weighted)).tobytes()
+            node, zero, one, weighted = (np.concatenate(c) for c in zip(*edges, strict=True))
+            top = np.stack(_sums(_up(node, 2), zero, one, weighted)).astype(float).tobytes()
         q = q.astype(np.float32)
         rows = pa.FixedSizeBinaryArray.from_buffers(pa.binary(32), len(q), [None, pa.py_buffer(q.tobytes())]).cast(pa.binary())
         grams = pa.concat_arrays([pa.array(gram.view(np.int64)), pa.nulls(1, pa.int64())])
         tops = pa.concat_arrays([pa.nulls(len(q), pa.binary()), pa.array([top], pa.binary())])
-        return pa.table({"gram": grams, "q": pa.concat_arrays([rows, pa.nulls(1, pa.binary())]), "top": tops})
+        part = pa.array(np.full(len(q) + 1, key[0].as_py(), np.int32))
+        return pa.table({"part": part, "gram": grams, "q": pa.concat_arrays([rows, pa.nulls(1, pa.binary())]), "top": tops})
 
     return run
 
 
+def _parted(grams: DataFrame) -> DataFrame:
+    """grams with near2 (the two nearest bytes) and part, a group of contexts of about GROUP grams that are weighted together.
+
+    Contexts that share their two nearest bytes are a group, unless they are many: then they are dealt by the third
+    byte. One context of three bytes has at most 2**24 grams (at depth 5) whatever the corpus, so no part grows with it.
+    """
+    near2 = F.shiftright("gram", 8).bitwiseAND(F.lit(0xFFFF))
+    x = grams.withColumn("near2", near2)
+    sizes = stored(x.groupBy("near2").agg(F.count("*").alias("members")), "near-sizes")  # 65,536 rows at most
+    parts = max(LEAST_BUCKETS, (sizes.agg(F.sum("members").alias("n")).first()["n"] or 0) // GROUP)
+    third = F.when(F.col("members") > SLICE, F.shiftright("gram", 24).bitwiseAND(F.lit(0xFF)))
+    x = x.join(F.broadcast(sizes), "near2")
+    return x.select("gram", "n", "near2", F.pmod(F.xxhash64("near2", third), F.lit(parts)).cast("int").alias("part"))
+
+
 def gram_logs(grams: DataFrame, depth: int, buckets: int) -> DataFrame:
     """grams: gram, n (0 for those to be scored only). Returns bucket, gram and the log10 probability of its byte in its context.
 
@@ -291,19 +313,28 @@ def gram_logs(grams: DataFrame, depth: int, buckets: int) -> DataFrame:
     """
     if not 3 <= depth <= 6:
         raise ValueError(f"depth {depth}; contexts have 3 to 6 bytes")
-    near2 = F.shiftright("gram", 8).bitwiseAND(F.lit(0xFFFF)).alias("near2")
-    built = stored(grams.select(near2, "gram", "n").groupBy("near2").applyInArrow(_build(depth), "gram long, q binary, top binary"), "contexts")
+    parted = _parted(grams)
+    built = stored(parted.select("part", "gram", "n").groupBy("part").applyInArrow(_build(depth), "part int, gram long, q binary, top binary"), "contexts")
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for x in b["top"].to_pylist():
-                key, zero, one, weighted = np.frombuffer(x).reshape(4, -1)
-                key = key.astype(np.int64) & 0xFFFF
-                yield pa.RecordBatch.from_arrays([pa.array(v) for v in (key, zero, one, weighted)], names=["key", "zero", "one", "weighted"])
+                node, zero, one, weighted = np.frombuffer(x).reshape(4, -1)
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in (node.astype(np.int64), zero, one, weighted)], names=["node", "zero", "one", "weighted"])
 
-    tops = built.where("top is not null").select("top").mapInArrow(split, "key long, zero double, one double, weighted double")
-    rows = tops.groupBy("key").agg(F.sum("zero").alias("zero"), F.sum("one").alias("one"), F.sum("weighted").alias("weighted")).orderBy("key").collect()
-    key = np.array([r["key"] for r in rows], np.uint64)
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            zero, one, below = (b[c].to_numpy(zero_copy_only=False) for c in ("zero", "one", "weighted"))
+            block, p = _kt(zero, one)
+            weighted, stop = _weigh(block, below)
+            yield pa.RecordBatch.from_arrays([b["node"], b["zero"], b["one"], *(pa.array(v) for v in (weighted, stop, p))], names=["node", "zero", "one", "weighted", "stop", "p"])
+
+    sums = [F.sum(c).alias(c) for c in ("zero", "one", "weighted")]
+    two = built.where("top is not null").select("top").mapInArrow(split, "node long, zero double, one double, weighted double").groupBy("node").agg(*sums)
+    two = stored(two.mapInArrow(weigh, "node long, zero double, one double, weighted double, stop double, p double"), "two-bytes")
+    above1 = F.shiftright("node", 8).bitwiseAND(F.lit(0xFF)) * 256 + F.col("node").bitwiseAND(F.lit(0xFF))
+    rows = two.groupBy(above1.alias("node")).agg(*sums).orderBy("node").collect()
+    key = np.array([r["node"] for r in rows], np.uint64)
     zero, one, weighted = (np.array([r[c] for r in rows], float) for c in ("zero", "one", "weighted"))
     block, p = _kt(zero, one)
     weighted, stop = _weigh(block, weighted)
@@ -312,16 +343,21 @@ def gram_logs(grams: DataFrame, depth: int, buckets: int) -> DataFrame:
         key, _, _, _, stop, p = above(key, zero, one, weighted, 0)
         high.append((0, key, stop, p))
 
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            gram = b["gram"].to_numpy().view(np.uint64)
-            q = np.frombuffer(b"".join(b["q"].to_pylist()), np.float32).reshape(-1, 8).astype(float)
-            bit = _BIT[(gram & np.uint64(255)).astype(np.int64)] == 1
-            for level in high:
-                q = mixed(_key(gram, level[0]), bit, *level[1:], q)
-            yield pa.RecordBatch.from_arrays([pa.array(_bucket(gram, buckets), pa.int32()), b["gram"], pa.array(np.log10(np.maximum(q, 1e-30)).sum(axis=1))], names=["bucket", "gram", "log"])
+    def finish(rows: pa.Table, nodes: pa.Table) -> pa.Table:
+        gram = rows["gram"].to_numpy().view(np.uint64)
+        q = np.frombuffer(b"".join(rows["q"].to_pylist()), np.float32).reshape(-1, 8).astype(float)
+        bit = _BIT[(gram & np.uint64(255)).astype(np.int64)] == 1
+        order = np.argsort(nodes["node"].to_numpy())
+        levels = [(2, *(nodes[c].to_numpy()[order] for c in ("node", "stop", "p"))), *high]
+        for d, node, stop, p in levels:
+            q = mixed(_key(gram, d), bit, node.astype(np.uint64), stop, p, q)
+        return pa.table({"bucket": pa.array(_bucket(gram, buckets), pa.int32()), "gram": rows["gram"], "log": np.log10(np.maximum(q, 1e-30)).sum(axis=1)})
 
-    return built.where("gram is not null").select("gram", "q").mapInArrow(finish, "bucket int, gram long, log double")
+    near2 = F.shiftright("node", 8)
+    where = parted.select("near2", "part").distinct()
+    nodes = two.select(near2.alias("near2"), "node", "stop", "p").join(where, "near2").select("part", "node", "stop", "p")
+    grams_of = built.where("gram is not null").select("part", "gram", "q")
+    return grams_of.groupBy("part").cogroup(nodes.groupBy("part")).applyInArrow(finish, "bucket int, gram long, log double")
 
 
 # ---------------------------------------------------------------- scoring
@@ -337,123 +373,120 @@ def _answered(asks: pa.Table, logs: pa.Table) -> pa.Table:
     known, log = logs["gram"].to_numpy().view(np.uint64), logs["log"].to_numpy().astype(np.float32)
     order = np.argsort(known)
     known, log = known[order], log[order]
-    out = [log[np.searchsorted(known, np.cumsum(_unpacked(g.as_py()), dtype=np.uint64))].tobytes() for g in asks["grams"]]
-    return pa.table({"chunk": asks["chunk"], "grams": asks["grams"], "logs": pa.array(out, pa.binary())})
+    out = [zstandard.compress(log[np.searchsorted(known, _grams_of(g.as_py()))].tobytes(), 1) for g in asks["asked"]]
+    return pa.table({"chunk": asks["chunk"], "asked": asks["asked"], "logs": pa.array(out, pa.binary()), "counts": pa.nulls(len(out), pa.binary())})
 
 
-def _looked_up(depth: int, names: list[str]):
-    """For the rows of a chunk and the logs of its grams: the rows with their scores."""
+def _tokens(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """All words of lower-cased texts, and how many each text has."""
+    words = pc.ascii_split_whitespace(texts)
+    flat, owner = words.flatten(), np.repeat(np.arange(len(texts)), pc.list_value_length(words).to_numpy(zero_copy_only=False))
+    full = pc.greater(pc.binary_length(flat), 0)
+    flat, owner = flat.filter(full), owner[full.to_numpy(zero_copy_only=False)]
+    return flat.dictionary_encode(), np.bincount(owner, minlength=len(texts))
+
+
+def _looked_up(depth: int, n_all: int, v_all: int, ends: int):
+    """For the texts of a chunk and the answers to its grams and words: a row per text with its scores."""
 
     def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        known = pa.array(np.concatenate([np.cumsum(_unpacked(g.as_py()), dtype=np.uint64) for g in answers["grams"]]).view(np.int64))
-        log, sums = np.concatenate([np.frombuffer(x.as_py(), np.float32) for x in answers["logs"]]).astype(float), []
-        for _, texts in _batches(rows["text"]):
+        known, log, seen = [], [], {}
+        for a, x, c in zip(answers["asked"], answers["logs"], answers["counts"], strict=True):
+            if c.is_valid:
+                seen.update(zip(_words_of(a.as_py()), _unpacked(c.as_py()).tolist(), strict=True))
+            else:
+                known.append(_grams_of(a.as_py()))
+                log.append(np.frombuffer(zstandard.decompress(x.as_py()), np.float32))
+        known, log = pa.array(np.concatenate(known).view(np.int64)), np.concatenate(log).astype(float)
+        out = []
+        for i in range(rows.num_rows):
+            size, raw = rows["size"][i].values.to_numpy(), zstandard.decompress(rows["text"][i].as_py())
+            upto = np.concatenate(([0], np.cumsum(size)))
+            texts = [raw[a:b] for a, b in zip(upto[:-1], upto[1:], strict=True)]
             at = pc.index_in(pa.array(text_grams(texts, depth).view(np.int64)), value_set=known)
             assert not at.null_count
-            first = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])[:-1]))
-            sums.append(np.add.reduceat(log[at.to_numpy()], first))
-        return rows.select(names).append_column("score", pa.array(np.concatenate(sums)))
+            score = np.add.reduceat(log[at.to_numpy()], upto[:-1] + np.arange(len(texts)))
+            words, n = _tokens(pa.array(texts, pa.binary()).cast(pa.string()))
+            count = np.array([seen[w.encode()] for w in words.dictionary.to_pylist()], np.int64)[words.indices.to_numpy(zero_copy_only=False)]
+            bounds = np.concatenate(([0], np.cumsum(n)))
+            upto_known, upto_log = (np.concatenate(([0], np.cumsum(v))) for v in (count > 0, np.log10(count + 1)))
+            n_known = upto_known[bounds[1:]] - upto_known[bounds[:-1]] + (ends > 0)
+            base = upto_log[bounds[1:]] - upto_log[bounds[:-1]] + math.log10(ends + 1) - (n + 1) * math.log10(n_all + v_all + 1)
+            out.append(pa.table({"doc_id": rows["doc_id"][i].values, "held_out": rows["held_out"][i].values, "n_tokens": n + 1, "n_known": n_known, "base_score": base, "score": score, "n_bytes": size + 1}))
+        return pa.concat_tables(out)
 
     return run
 
 
-def score(docs: DataFrame, depth: int = DEPTH, kept: int | None = None, hot_words: int = HOT_WORDS) -> DataFrame:
+def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     """One row per input row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
 
     score is the log10 probability that the weighted context trees give the text's bytes, A-Z lower-cased, and its
     end; bits_per_byte is its code length over all bytes and the end. base_score sums log10((c + 1) / (N + V + 1)) over
     the tokens: words between white space, then one end; c, N and V as counted in the training rows. Training rows are
     those that are not held out. Null texts count as empty: one token, the end. Repeated rows are scored one by one.
-    All contexts of the training rows count; `kept` is read no more. An empty table gives an empty result; without training rows every bit has probability one half and every token
-    counts as unknown. Columns other than doc_id and text are ignored.
+    All contexts and words of the training rows count. An empty table gives an empty result; without training rows
+    every bit has probability one half and every token counts as unknown. Columns other than doc_id and text are
+    ignored.
+
+    Texts are read once, and kept compressed by chunks of about LOOKUP bytes. A chunk asks for each of its different
+    grams and words once; asks are dealt to buckets, where counts are summed and answered. Chunks and buckets are
+    bounded, and their number grows with the corpus.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.withColumn("held_out", held_out())
-    words = stored(word_counts(rows.where("not held_out")), "words")
     buckets = max(LEAST_BUCKETS, (rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0) // BUCKET)
-    of = words.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    n_all, v_all = of["n"] or 0, of["v"] or 0
-    line = max(1, n_all // hot_words)
-    hot = {bytes(r["word"]): r["n"] for r in words.where(F.col("n") > line).toLocalIterator()}  # fewer than hot_words rows
-    known = spark.sparkContext.broadcast(hot)
-    base = math.log10(n_all + v_all + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logs = {w: math.log10(c + 1) for w, c in known.value.items()}
-        chunk, filled, grams = TaskContext.get().partitionId() << 32, 0, None
+        chunk, filled, grams, words = TaskContext.get().partitionId() << 32, 0, None, Counter()
 
         def asks():
-            rows = list(_dealt(chunk, grams, buckets))
+            rows = [*_dealt(chunk, grams, buckets), *_dealt_words(chunk, words, buckets)]
             for i in range(0, len(rows), 64):
                 cols = list(zip(*rows[i : i + 64], strict=True))
-                have = {"chunk": pa.array(cols[0], pa.int64()), "bucket": pa.array(cols[1], pa.int32()), "grams": pa.array(cols[2], pa.binary()), "times": pa.array(cols[3], pa.binary())}
-                yield pa.RecordBatch.from_arrays([have.get(f.name, pa.nulls(len(cols[0]), f.type)) for f in fields], schema=pa.schema(fields))
+                have = dict(zip(("chunk", "bucket", "is_words", "asked", "times"), cols, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(have[f.name], f.type) if f.name in have else pa.nulls(len(cols[0]), f.type) for f in fields], schema=pa.schema(fields))
 
         for whole in batches:
             for at, texts in _batches(whole["text"]):
                 b = whole.slice(at, len(texts))
-                tokens, sure, sums, rare, many = [], [], [], [], []
-                for t in texts:
-                    c = Counter(t.split())
-                    c[b""] += 1
-                    n, k, s, left, times = 0, 0, 0.0, [], []
-                    for w, m in c.items():
-                        n += m
-                        lw = logs.get(w)
-                        if lw is None:
-                            left.append(w)
-                            times.append(m)
-                        else:
-                            k += m
-                            s += m * lw
-                    tokens.append(n)
-                    sure.append(k)
-                    sums.append(s)
-                    rare.append(left)
-                    many.append(times)
-                size = [len(t) + 1 for t in texts]
-                filled += sum(size)
-                if filled > LOOKUP and grams is not None:
+                size = [len(t) for t in texts]
+                if filled and filled + sum(size) > LOOKUP:
                     yield from asks()
-                    chunk, filled, grams = chunk + 1, sum(size), None
-                for out in (False, True):
-                    some = [t for t, o in zip(texts, b["held_out"].to_pylist(), strict=True) if o == out]
+                    chunk, filled, grams, words = chunk + 1, 0, None, Counter()
+                filled += sum(size) + len(texts)
+                out = b["held_out"].to_numpy(zero_copy_only=False)
+                for held in (False, True):
+                    some = [t for t, o in zip(texts, out, strict=True) if o == held]
                     if some:
-                        grams = _merge(grams, text_grams(some, depth), int(not out))
-                have = {"doc_id": b["doc_id"], "held_out": b["held_out"], "n_tokens": tokens, "sure": sure, "sums": sums, "n_bytes": size, "rare": rare, "m": many, "chunk": [chunk] * len(texts), "text": b["text"]}
-                cols = [have.get(f.name, [None] * len(texts)) for f in fields]
-                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(cols, fields, strict=True)], schema=pa.schema(fields))
+                        grams = _merge(grams, text_grams(some, depth), int(not held))
+                        coded, _ = _tokens(pa.array(some, pa.binary()).cast(pa.string()))
+                        times = np.bincount(coded.indices.to_numpy(zero_copy_only=False), minlength=len(coded.dictionary)) * (not held)
+                        for w, k in zip(coded.dictionary.to_pylist(), times.tolist(), strict=True):
+                            words[w.encode()] += k
+                one = {"chunk": [chunk], "doc_id": [b["doc_id"].to_pylist()], "held_out": [out.tolist()], "size": [size], "text": [zstandard.compress(b"".join(texts), 3)]}
+                yield pa.RecordBatch.from_arrays([pa.array(one.get(f.name, [None]), f.type) for f in fields], schema=pa.schema(fields))
         if grams is not None:
             yield from asks()
 
-    kinds = dict(rows.dtypes)
-    shape = f"doc_id {kinds['doc_id']}, held_out boolean, n_tokens long, sure long, sums double, n_bytes long, rare array<binary>, m array<long>, text string, chunk long, bucket int, grams binary, times binary"
-    fields = list(to_arrow_schema(spark.createDataFrame([], shape).schema))
-    # rows of documents, and rows of grams (with a bucket) that the documents of a chunk ask for
-    both = stored(rows.select("doc_id", "held_out", "text").mapInArrow(run, shape).withColumn("row", F.monotonically_increasing_id()), "scored")
-    asks, scored = both.where("bucket is not null"), both.where("bucket is null")
-    grams = stored(asks.select("bucket", "grams", "times").groupBy("bucket").applyInArrow(_summed, "gram long, n long"), "grams")
+    kind = dict(rows.dtypes)["doc_id"]
+    # rows of texts, and rows of grams or words (with a bucket) that the texts of a chunk ask for
+    shape = f"chunk long, doc_id array<{kind}>, held_out array<boolean>, size array<long>, text binary, bucket int, is_words boolean, asked binary, times binary"
+    fields = list(to_arrow_schema(docs.sparkSession.createDataFrame([], shape).schema))
+    both = stored(rows.select("doc_id", held_out().alias("held_out"), "text").mapInArrow(run, shape), "texts")
+    asks, texts = both.where("bucket is not null"), both.where("bucket is null")
+    words = asks.where("is_words").select("bucket", "chunk", "asked", "times").groupBy("bucket").applyInArrow(_counted, "chunk long, asked binary, counts binary, different long, tokens long")
+    words = stored(words, "words")
+    of = words.agg(F.sum("tokens").alias("n"), F.sum("different").alias("v")).first()
+    ends = texts.agg(F.sum(F.size(F.filter("held_out", lambda x: ~x))).alias("n")).first()["n"] or 0
+    n_all, v_all = (of["n"] or 0) + ends, (of["v"] or 0) + (ends > 0)
+    grams = stored(asks.where("not is_words").select("bucket", "asked", "times").groupBy("bucket").applyInArrow(_summed, "gram long, n long"), "grams")
     logs = gram_logs(grams, depth, buckets)
-    each = scored.select("row", F.explode(F.arrays_zip("rare", "m")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.m").alias("m"))
-    cold = words.where(F.col("n") <= line).withColumnRenamed("n", "c")
-    late = each.join(cold, "word").groupBy("row").agg(F.sum("m").alias("late"), F.sum(F.col("m") * F.log10(F.col("c") + 1)).alias("late_sum"))
-    answers = asks.select("bucket", "chunk", "grams").groupBy("bucket").cogroup(logs.groupBy("bucket")).applyInArrow(_answered, "chunk long, grams binary, logs binary")
-    names = ["row", "doc_id", "held_out", "n_tokens", "sure", "sums", "n_bytes"]
-    told = scored.select("chunk", "text", *names).groupBy("chunk").cogroup(answers.groupBy("chunk"))
-    told = told.applyInArrow(_looked_up(depth, names), f"row long, doc_id {kinds['doc_id']}, held_out boolean, n_tokens long, sure long, sums double, n_bytes long, score double")
-    out = told.join(late, "row", "left")
-    n_known = F.col("sure") + F.coalesce("late", F.lit(0))
-    return out.select(
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        n_known.cast("long").alias("n_known"),
-        F.lit(n_all).cast("long").alias("train_tokens"),
-        (F.col("sums") + F.coalesce("late_sum", F.lit(0.0)) - F.col("n_tokens") * F.lit(base)).alias("base_score"),
-        "score",
-        (-F.col("score") * F.lit(math.log2(10)) / F.col("n_bytes")).alias("bits_per_byte"),
-    )
+    answers = asks.where("not is_words").select("bucket", "chunk", "asked").groupBy("bucket").cogroup(logs.groupBy("bucket")).applyInArrow(_answered, "chunk long, asked binary, logs binary, counts binary")
+    answers = answers.unionByName(words.select("chunk", "asked", F.lit(None).cast("binary").alias("logs"), "counts"))
+    told = texts.select("chunk", "doc_id", "held_out", "size", "text").groupBy("chunk").cogroup(answers.groupBy("chunk"))
+    out = told.applyInArrow(_looked_up(depth, n_all, v_all, ends), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double, n_bytes long")
+    bits = -F.col("score") * F.lit(math.log2(10)) / F.col("n_bytes")
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n_all).cast("long").alias("train_tokens"), "base_score", "score", bits.alias("bits_per_byte"))
 
 
 def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -206,10 +206,9 @@ def brute_ctw(train, depth):
 
 def test_ctw_equals_the_definition(spark):
     texts = ["abab", "abba", "aab", "", "babab"]
-    # contexts of two bytes; a threshold under one keeps every context
     rows = [(i, t) for i, t in enumerate(texts)]
     d = docs(spark, rows)
-    got = {r.doc_id: r for r in ctw.score(d, depth=3, kept=1 << 20).collect()}
+    got = {r.doc_id: r for r in ctw.score(d, depth=3).collect()}
     train = [t.encode() for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
     score = brute_ctw(train, 3)
     for i, t in rows:
@@ -224,14 +223,14 @@ def test_ctw_keeps_rare_contexts_at_any_bound(spark, monkeypatch):
     rows = [(i, "ab" * rng.randrange(9)) for i in range(30)] + [(40 + i, "".join(rng.choice("cdeé") for _ in range(6))) for i in range(12)] + [(90, "zz~"), (91, "")]
     train = [t.encode() for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
     score = brute_ctw(train, 3)
-    got = {r.doc_id: r.score for r in ctw.score(docs(spark, rows), depth=3, kept=4).collect()}
+    got = {r.doc_id: r.score for r in ctw.score(docs(spark, rows), depth=3).collect()}
     assert len(train) < len(rows) and got == {i: pytest.approx(score(t.encode()), rel=1e-4) for i, t in rows}
 
 
 def test_base_score_and_tokens(spark):
     rng = random.Random(9)
     rows = [(i, " ".join(rng.choice(["The", "the", "cat", f"r{rng.randrange(50)}", "é"]) for _ in range(rng.randrange(30)))) for i in range(80)] + [(500, None), (None, "x"), (7, "the the")]
-    got = ctw.score(docs(spark, rows), hot_words=20).collect()
+    got = ctw.score(docs(spark, rows)).collect()
     low = lambda t: (t or "").encode().lower().split() + [b""]
     c = Counter(w for i, t in rows if zlib.crc32(str("" if i is None else i).encode()) % 7 != 2 for w in low(t))
     n, v = sum(c.values()), len(c)
