@@ -1,9 +1,12 @@
 """Document quality rules whose cut-offs adapt to language and source.
 
-Every document gets integer measurements. Rates derived from them are counted in bins of one thousandth per
-(language, source): a quantile sketch with an absolute error of one bin, whose merge is addition. Sketches of small
-groups are merged upwards, to the language and then to the whole table. A rate is out of bounds when it lies further
-above the upper quartile than a multiple of the quartile range plus a margin; documents with such a rate are dropped.
+Every document gets integer measurements, and a rate for each rule: occurrences in a million places. A document with one
+occurrence more is as likely as the one seen, so the sketches count the rate that it would have then; a source without any
+occurrence so has a spread, that of its lengths. Rates fall into bins of a sixteenth of a power of two: a quantile sketch
+of bounded size and relative error, whose merge is addition. The sketch of a (language, source) is merged with those of
+the language and of all documents, each with the weight of PRIOR documents, so that small groups lean on larger ones
+and none is cut off by size. A rate beyond the upper quartile by more than SPREAD quartile ranges is out of bounds;
+documents with such a rate are dropped.
 """
 
 from __future__ import annotations
@@ -11,18 +14,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WS, WS_CLASS, small, stored, table, text_of
+from .common import WS_CLASS, small, stored, table, text_of
 
 SYMBOLS = "#*$%&|<>"
-#: Rates, and the margin of each in thousandths: what a clean text may show beyond its group's usual spread.
-MARGINS = {"symbol": 60, "bang": 60, "upper": 300, "dup_line": 500, "repeat": 300}
-#: Cut-off = third quartile + SPREAD * (third - first quartile) + margin.
-SPREAD = 3
-#: Documents a group needs for a sketch of its own.
-LEAST_GROUP = 200
+#: Rates, and the fewest places that an occurrence takes: two windows of three words repeat in six words.
+RULES = {"symbol": 1, "bang": 1, "upper": 1, "dup_line": 1, "repeat": 6}
+#: Cut-off = third quartile + SPREAD * (third - first quartile).
+SPREAD = 4
+#: Weight, in documents, of the language's sketch and of that of all documents in the sketch of each source.
+PRIOR = 50
 MIN_WORDS = 50
 #: (language, source) groups whose thresholds may be broadcast; beyond it the join shuffles.
 BROADCAST_GROUPS = 100_000
+#: Dropped documents whose keys may be broadcast to the reading of the texts.
+BROADCAST_DOCS = 300_000
+
+
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """df with columns out of a generator: computed once, where a projection would be inlined at each of their uses, filters included."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(k) for k, c in columns.items()]))))
 
 
 def _twins(ordered: Column) -> Column:
@@ -31,70 +41,84 @@ def _twins(ordered: Column) -> Column:
     return F.array_sort(F.transform(F.filter(ordered, lambda x, k: F.coalesce(twin(x, k), F.lit(False))), lambda x: x["i"]))
 
 
+def bin_of(rate: Column) -> Column:
+    """Bin of a whole rate: its own below 32, then sixteen to a power of two."""
+    shift = F.greatest(F.length(F.bin(rate)) - 5, F.lit(0))
+    return F.when(rate < 32, rate.cast("int")).otherwise((shift * 16 + rate / F.pow(F.lit(2.0), shift)).cast("int"))
+
+
+def edge_of(bin_: Column) -> Column:
+    """Smallest rate of a bin."""
+    shift = F.greatest(F.floor(bin_ / 16) - 1, F.lit(0))
+    return ((bin_ - shift * 16) * F.pow(F.lit(2.0), shift)).cast("long")
+
+
 def measured(docs: DataFrame) -> DataFrame:
-    """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed and the array `rates`.
+    """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed and the structs `rates` and `bins`.
 
-    Works row by row on the whole text; other columns stay, under names of their own.
+    Works row by row on the whole text; other columns stay, under names of their own. Windows of words are told apart
+    by 64-bit hashes.
     """
     keep = [F.col(f"`{c}`") for c in docs.columns]
     s = docs.select(F.struct(*keep).alias("row"), text_of().alias("t"))
-    s = s.withColumn("words", F.array_remove(F.split("t", f"[{WS_CLASS}]+"), ""))
     lines = F.filter(F.split("t", "\n", -1), lambda x: x.rlike(f"[^{WS_CLASS}]"))
-    s = s.withColumn("lines", lines)
-    n = F.size("words")
-    s = s.select("row", "t", "words", n.alias("n"), F.size("lines").alias("n_lines"), (F.size("lines") - F.size(F.array_distinct("lines"))).alias("dup_lines"))
-    windows = F.transform(F.slice("words", 1, F.greatest(F.col("n") - 2, F.lit(0))), lambda w, i: F.concat_ws(" ", w, F.get("words", i + 1), F.get("words", i + 2)))
-    s = s.withColumn("windows", windows)
+    s = _once(s, words=F.array_remove(F.split("t", f"[{WS_CLASS}]+"), ""), lines=lines)
+    windows = F.transform(F.slice("words", 1, F.greatest(F.size("words") - 2, F.lit(0))), lambda w, i: F.xxhash64(w, F.get("words", i + 1), F.get("words", i + 2)))
+    s = _once(s, windows=windows)
     pairs = F.transform("windows", lambda w, i: F.struct(w.alias("w"), i.alias("i")))
-    s = s.withColumn("ordered", F.when(F.size(F.array_distinct("windows")) < F.size("windows"), F.array_sort(pairs)).otherwise(F.array().cast("array<struct<w:string,i:int>>")))
-    s = s.drop("words", "windows").withColumn("twins", _twins(F.col("ordered")))
+    none = F.array().cast("array<struct<w:bigint,i:int>>")
+    s = _once(s, ordered=F.when(F.size(F.array_distinct("windows")) < F.size("windows"), F.sort_array(pairs)).otherwise(none))
+    s = _once(s, twins=_twins(F.col("ordered")))
     covered = F.aggregate(F.transform("twins", lambda x, k: F.least(F.lit(3), F.coalesce(F.get("twins", k + 1) - x, F.lit(3)))), F.lit(0), lambda a, x: a + x)
-    points = F.length("t")
     s = s.select(
         "row",
-        F.col("n").cast("long").alias("n_words"),
-        F.length(F.translate("t", WS, "")).cast("long").alias("word_chars"),
-        (points - F.length(F.translate("t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        F.col("dup_lines").cast("long").alias("n_dup_lines"),
+        F.size("words").cast("long").alias("n_words"),
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
+        F.regexp_count("t", F.lit(f"[{SYMBOLS}]")).cast("long").alias("n_symbols"),
+        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         covered.cast("long").alias("n_repeat_words"),
-        (points - F.length(F.translate("t", "!", ""))).cast("long").alias("n_bangs"),
-        (points - F.length(F.regexp_replace("t", r"\p{Lu}+", ""))).cast("long").alias("n_upper"),
-        F.col("n_lines").cast("long").alias("n_lines"),
+        F.regexp_count("t", F.lit("!")).cast("long").alias("n_bangs"),
+        F.regexp_count("t", F.lit(r"\p{Lu}")).cast("long").alias("n_upper"),
+        F.size("lines").cast("long").alias("n_lines"),
     )
-    rate = lambda a, b: F.when(F.col(b) > 0, F.least(F.expr(f"{a} * 1000 div {b}"), F.lit(1000).cast("long"))).otherwise(F.lit(0).cast("long"))
-    rates = [rate(*x).alias(k) for k, x in zip(MARGINS, (("n_symbols", "word_chars"), ("n_bangs", "word_chars"), ("n_upper", "word_chars"), ("n_dup_lines", "n_lines"), ("n_repeat_words", "n_words")), strict=True)]
+    of = dict(zip(RULES, (("n_symbols", "word_chars"), ("n_bangs", "word_chars"), ("n_upper", "word_chars"), ("n_dup_lines", "n_lines"), ("n_repeat_words", "n_words")), strict=True))
+    rate = lambda a, b, more: F.expr(f"({a} + {more}) * 1000000 div greatest({b} + {more}, 1)")
+    counts = [c for c in s.columns if c != "row"]
+    s = s.select("row", F.inline(F.array(F.struct(*[F.col(c) for c in counts]))))
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
-    s = s.withColumns({"base_failed": failed, "rates": F.struct(*rates)})
-    # A generator keeps filters on the measures above it. Pushed below, they would repeat the whole computation, inlined.
-    return s.select("row", F.inline(F.array(F.struct(*[F.col(c) for c in s.columns if c != "row"]))))
+    rates, bins = (F.struct(*[f(rate(*of[k], e * more)).alias(k) for k, e in RULES.items()]) for f, more in ((lambda c: c, 0), (bin_of, 1)))
+    return s.withColumns({"base_failed": failed, "rates": rates, "bins": bins})
 
 
-def sketches(rates: DataFrame) -> DataFrame:
-    """rates: lang, source and the struct rates. Returns lang, source, rule, bin, n; merge two of them by adding n."""
-    each = F.explode(F.array(*[F.struct(F.lit(k).alias("rule"), F.col(f"rates.{k}").alias("bin")) for k in MARGINS]))
-    return rates.select("lang", "source", each.alias("x")).groupBy("lang", "source", "x.rule", "x.bin").agg(F.count("*").alias("n"))
+def sketches(bins: DataFrame) -> DataFrame:
+    """bins: lang, source and the struct bins. Returns lang, source, rule, bin, n; merge two of them by adding n."""
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("rule"), F.col(f"bins.{k}").alias("bin")) for k in RULES]))
+    return bins.select("lang", "source", each.alias("x")).groupBy("lang", "source", "x.rule", "x.bin").agg(F.count("*").alias("n"))
 
 
-def _quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """size, q1 and q3 of every group: the smallest bin at or below which lie a quarter, three quarters of the rows."""
+def _shares(sketch: DataFrame, keys: list[str], weight: int) -> DataFrame:
+    """keys, rule, bin, w: the sketches of coarser groups, each with the weight of `weight` documents (in millionths)."""
     merged = sketch.groupBy(*keys, "rule", "bin").agg(F.sum("n").alias("n"))
-    group = Window.partitionBy(*keys, "rule")
-    cum = merged.select("*", F.sum("n").over(group.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)).alias("upto"), F.sum("n").over(group).alias("size"))
-    q = lambda part: F.min(F.when(F.col("upto") * 4 >= F.col("size") * part, F.col("bin")))
-    return cum.groupBy(*keys, "rule").agg(F.max("size").alias("size"), q(1).alias("q1"), q(3).alias("q3"))
-
-
-def thresholds(rates: DataFrame, least: int = LEAST_GROUP, spread: int = SPREAD, margins: dict[str, int] | None = None) -> DataFrame:
-    """One row per (lang, source): a struct `limit` with the cut-off of each rule, from the smallest group that has `least` rows."""
-    margins = margins or MARGINS
-    sketch = stored(sketches(rates), "sketches")
-    cut = lambda at: (F.col(f"{at}.q3") + spread * (F.col(f"{at}.q3") - F.col(f"{at}.q1")))
-    own, lang, whole = (_quartiles(sketch, k) for k in (["lang", "source"], ["lang"], []))
-    x = own.alias("own").join(lang.alias("lang"), (F.col("own.rule") == F.col("lang.rule")) & F.col("own.lang").eqNullSafe(F.col("lang.lang")))
-    x = x.join(F.broadcast(whole).alias("whole"), F.col("own.rule") == F.col("whole.rule"))  # a row per rule
-    best = F.when(F.col("own.size") >= least, cut("own")).when(F.col("lang.size") >= least, cut("lang")).otherwise(cut("whole"))
-    x = x.select("own.lang", "own.source", "own.rule", best.alias("cut"))
-    limit = F.struct(*[(F.max(F.when(F.col("rule") == k, F.col("cut"))) + margins[k]).alias(k) for k in MARGINS])
+    size = F.sum("n").over(Window.partitionBy(*keys, "rule"))
+    return merged.withColumn("size", size).selectExpr(*keys, "rule", "bin", f"{weight} * (n * 1000000 div size) AS w")
+
+
+def thresholds(bins: DataFrame, spread: int = SPREAD, prior: int = PRIOR) -> DataFrame:
+    """One row per (lang, source): a struct `limit` with the cut-off of each rule, from the merged sketches."""
+    sketch = stored(sketches(bins), "sketches")
+    groups = sketch.select("lang", "source", "rule").distinct()
+    lang, whole = _shares(sketch, ["lang"], prior), _shares(sketch, [], prior)
+    own = sketch.selectExpr("lang", "source", "rule", "bin", "n * 1000000 AS w")
+    g, l = groups.alias("g"), lang.alias("l")
+    leans = g.join(l, F.col("g.lang").eqNullSafe(F.col("l.lang")) & (F.col("g.rule") == F.col("l.rule"))).select("g.lang", "g.source", "g.rule", "l.bin", "l.w")
+    on_all = groups.join(F.broadcast(whole), "rule").select("lang", "source", "rule", "bin", "w")  # some hundred bins a rule
+    merged = own.unionByName(leans).unionByName(on_all).groupBy("lang", "source", "rule", "bin").agg(F.sum("w").alias("w"))
+    group = Window.partitionBy("lang", "source", "rule")
+    cum = merged.select("*", F.sum("w").over(group.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)).alias("upto"), F.sum("w").over(group).alias("all"))
+    q = lambda part: edge_of(F.min(F.when(F.col("upto") * 4 >= F.col("all") * part, F.col("bin"))))
+    x = cum.groupBy("lang", "source", "rule").agg(q(1).alias("q1"), q(3).alias("q3"))
+    cut = F.col("q3") + spread * (F.col("q3") - F.col("q1"))
+    limit = F.struct(*[F.max(F.when(F.col("rule") == k, cut)).alias(k) for k in RULES])
     return x.groupBy("lang", "source").agg(limit.alias("limit"))
 
 
@@ -102,7 +126,7 @@ def judged(rows: DataFrame, limits: DataFrame) -> DataFrame:
     """rows (lang, source, base_failed, rates, ...) with kept; limits are joined on language and source, nulls equal."""
     x = rows.alias("r").join(small(limits, BROADCAST_GROUPS).alias("l"), F.col("r.lang").eqNullSafe(F.col("l.lang")) & F.col("r.source").eqNullSafe(F.col("l.source")), "left")
     over = F.lit(False)
-    for k in MARGINS:
+    for k in RULES:
         over = over | F.coalesce(F.col(f"r.rates.{k}") > F.col(f"l.limit.{k}"), F.lit(False))
     return x.select("r.*", (~F.col("r.base_failed") & ~over).alias("kept"))
 
@@ -115,35 +139,32 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     text, lang and source are ignored, whatever their names.
     """
     m = measured(docs.select("doc_id", "text", "lang", "source"))
-    slim = stored(m.select("row.doc_id", "row.lang", "row.source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "rates"), "measures")
+    slim = stored(m.select("row.doc_id", "row.lang", "row.source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "rates", "bins"), "measures")
     return judged(slim, stored(thresholds(slim), "thresholds")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def filter_quality(docs: DataFrame) -> DataFrame:
     """The rows of docs that the rules keep, with all their columns.
 
-    The text is measured twice, once for the sketches and once beside the thresholds, so that it is never shuffled.
+    Texts are measured once. What is dropped is then looked up by doc_id, hash of the text, language and source, which
+    rows with the same verdict share: nulls and repeated rows included. An empty table gives an empty result.
     """
-    slim = measured(docs.select("doc_id", "text", "lang", "source")).select("row.lang", "row.source", "rates")
-    limits = stored(thresholds(slim), "thresholds")
-    m = measured(docs).select("row", "row.lang", "row.source", "base_failed", "rates")
-    return judged(m, limits).where("kept").select("row.*")
+    m = measured(docs.select("doc_id", "text", "lang", "source"))
+    slim = stored(m.select("row.doc_id", F.xxhash64(F.coalesce("row.text", F.lit(""))).alias("text_key"), "row.lang", "row.source", "base_failed", "rates", "bins"), "measures")
+    gone = judged(slim, stored(thresholds(slim), "thresholds")).where("not kept").select(*[F.col(c).alias(f"gone_{c}") for c in ("doc_id", "text_key", "lang", "source")])
+    gone = small(stored(gone.distinct(), "gone"), BROADCAST_DOCS)
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    x = row.withColumn("text_key", F.xxhash64(F.coalesce("row.text", F.lit(""))))
+    same = F.col("row.doc_id").eqNullSafe(F.col("gone_doc_id")) & (F.col("text_key") == F.col("gone_text_key")) & F.col("row.lang").eqNullSafe(F.col("gone_lang")) & F.col("row.source").eqNullSafe(F.col("gone_source"))
+    return x.join(gone, same, "left_anti").select("row.*")
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
-def _oracle_quartiles(keys: str) -> str:
-    head = f"{keys}, " if keys else ""
-    return f"""SELECT {head}rule, max(size) AS size, min(CASE WHEN upto * 4 >= size THEN bin END) AS q1, min(CASE WHEN upto * 4 >= size * 3 THEN bin END) AS q3
-  FROM (SELECT *, sum(n) OVER (PARTITION BY {head}rule ORDER BY bin) AS upto, sum(n) OVER (PARTITION BY {head}rule) AS size
-        FROM (SELECT {head}rule, bin, sum(n) AS n FROM k GROUP BY ALL)) GROUP BY ALL"""
-
-
 #: Measurements and verdicts of a view or CTE `src` (doc_id, text, lang, source).
-ORACLE_PARTS = (
-    r"""
+ORACLE_PARTS = r"""
 a AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS t,
              list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
              list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM src),
@@ -157,23 +178,23 @@ m AS (SELECT a.rid, doc_id, lang, source, len(w)::bigint AS n_words,
              (length(t) - length(replace(t, '!', '')))::bigint AS n_bangs, (length(t) - length(regexp_replace(t, '\p{Lu}+', '', 'g')))::bigint AS n_upper, len(ls)::bigint AS n_lines
       FROM a LEFT JOIN r ON a.rid = r.rid),
 x AS (SELECT *, n_words < 50 OR n_repeat_words * 100 > n_words * 50 AS base_failed,
-             [CASE WHEN word_chars > 0 THEN least(n_symbols * 1000 // word_chars, 1000) ELSE 0 END, CASE WHEN word_chars > 0 THEN least(n_bangs * 1000 // word_chars, 1000) ELSE 0 END,
-              CASE WHEN word_chars > 0 THEN least(n_upper * 1000 // word_chars, 1000) ELSE 0 END, CASE WHEN n_lines > 0 THEN n_dup_lines * 1000 // n_lines ELSE 0 END,
-              CASE WHEN n_words > 0 THEN n_repeat_words * 1000 // n_words ELSE 0 END] AS v FROM m),
-k AS (SELECT lang, source, rule, v[rule] AS bin, count(*) AS n FROM x, (SELECT unnest(range(1, 6)) AS rule) GROUP BY ALL),
-q1 AS ("""
-    + _oracle_quartiles("lang, source")
-    + "),\nq2 AS ("
-    + _oracle_quartiles("lang")
-    + "),\nq3 AS ("
-    + _oracle_quartiles("")
-    + r"""),
-z AS (SELECT q1.lang, q1.source, q1.rule, CASE WHEN q1.size >= 200 THEN q1.q3 + 3 * (q1.q3 - q1.q1) WHEN q2.size >= 200 THEN q2.q3 + 3 * (q2.q3 - q2.q1)
-             ELSE q3.q3 + 3 * (q3.q3 - q3.q1) END + [60, 60, 300, 500, 300][q1.rule] AS cut
-      FROM q1 JOIN q2 ON q1.rule = q2.rule AND q1.lang IS NOT DISTINCT FROM q2.lang JOIN q3 ON q1.rule = q3.rule),
-y AS (SELECT x.rid, NOT any_value(base_failed) AND NOT bool_or(v[rule] > cut) AS kept
-      FROM x JOIN z ON x.lang IS NOT DISTINCT FROM z.lang AND x.source IS NOT DISTINCT FROM z.source GROUP BY x.rid)"""
-)
+             [n_symbols, n_bangs, n_upper, n_dup_lines, n_repeat_words] AS v, [word_chars, word_chars, word_chars, n_lines, n_words] AS w FROM m),
+v AS (SELECT *, v[rule] * 1000000 // greatest(w[rule], 1) AS rate, (v[rule] + e[rule]) * 1000000 // greatest(w[rule] + e[rule], 1) AS more
+      FROM (SELECT *, [1, 1, 1, 1, 6] AS e, unnest(range(1, 6)) AS rule FROM x)),
+k AS (SELECT lang, source, rule, CASE WHEN more < 32 THEN more ELSE (length(bin(more)) - 5) * 16 + (more >> (length(bin(more)) - 5)) END AS bin, count(*) AS n FROM v GROUP BY ALL),
+gr AS (SELECT DISTINCT lang, source, rule FROM k),
+kl AS (SELECT lang, rule, bin, 50 * (n * 1000000 // sum(n) OVER (PARTITION BY lang, rule)) AS w FROM (SELECT lang, rule, bin, sum(n)::bigint AS n FROM k GROUP BY ALL)),
+kw AS (SELECT rule, bin, 50 * (n * 1000000 // sum(n) OVER (PARTITION BY rule)) AS w FROM (SELECT rule, bin, sum(n)::bigint AS n FROM k GROUP BY ALL)),
+km AS (SELECT lang, source, rule, bin, sum(w) AS w FROM (
+         SELECT lang, source, rule, bin, n * 1000000 AS w FROM k
+         UNION ALL SELECT gr.lang, source, gr.rule, bin, w FROM gr JOIN kl ON gr.rule = kl.rule AND gr.lang IS NOT DISTINCT FROM kl.lang
+         UNION ALL SELECT lang, source, gr.rule, bin, w FROM gr JOIN kw ON gr.rule = kw.rule) GROUP BY ALL),
+kq AS (SELECT lang, source, rule, min(CASE WHEN upto * 4 >= total THEN bin END) AS b1, min(CASE WHEN upto * 4 >= total * 3 THEN bin END) AS b3
+       FROM (SELECT *, sum(w) OVER (PARTITION BY lang, source, rule ORDER BY bin) AS upto, sum(w) OVER (PARTITION BY lang, source, rule) AS total FROM km) GROUP BY ALL),
+kc AS (SELECT lang, source, rule, q3 + 4 * (q3 - q1) AS cut
+       FROM (SELECT *, CASE WHEN b1 < 32 THEN b1 ELSE (b1 - (b1 // 16 - 1) * 16) << (b1 // 16 - 1)::int END AS q1, CASE WHEN b3 < 32 THEN b3 ELSE (b3 - (b3 // 16 - 1) * 16) << (b3 // 16 - 1)::int END AS q3 FROM kq)),
+y AS (SELECT v.rid, NOT any_value(base_failed) AND NOT bool_or(rate > cut) AS kept
+      FROM v JOIN kc ON v.rule = kc.rule AND v.lang IS NOT DISTINCT FROM kc.lang AND v.source IS NOT DISTINCT FROM kc.source GROUP BY v.rid)"""
 ORACLE = f"""WITH src AS (SELECT * FROM documents), {ORACLE_PARTS}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM x JOIN y USING (rid)
 """

@@ -35,6 +35,35 @@ def test_filter_keeps_clean_and_columns(spark):
     assert qr.quality_rules(docs(spark, [])).collect() == []
 
 
+def test_cut_offs_adapt_to_each_source(spark):
+    rng = random.Random(8)
+    plain = lambda: "\n".join(" ".join(f"w{rng.randrange(10**6)}" for _ in range(20)) for _ in range(rng.randrange(4, 20)))
+    loud = lambda: "\n".join(["Again This Line!! ## says so"] * rng.randrange(1, 4) + [" ".join(f"{rng.choice(['w', 'W', 'A#', 'b!'])}{rng.randrange(10**6)}" for _ in range(20)) for _ in range(rng.randrange(4, 20))])
+    rows = [(i, plain(), "en", "a") for i in range(150)] + [(200 + i, loud(), "en", "b") for i in range(150)] + [(400, loud(), "en", "c"), (401, loud(), None, None)]
+    m = qr.measured(docs(spark, rows)).select("row.lang", "row.source", "rates", "bins")
+    cut = {r.source: r.limit.asDict() for r in qr.thresholds(m).collect()}
+    assert all(cut["a"][k] != cut["b"][k] for k in qr.RULES) and all(cut["a"][k] < cut["b"][k] for k in ("symbol", "bang", "upper"))
+    assert set(cut) == {"a", "b", "c", None} and all(v is not None for c in cut.values() for v in c.values())  # a source of one document leans on its language
+    kept = {r.doc_id for r in qr.filter_quality(docs(spark, rows)).collect()}
+    assert len(kept & set(range(150))) >= 148 and len(kept & set(range(200, 350))) >= 145
+    moved = {r.doc_id: r.kept for r in qr.quality_rules(docs(spark, rows + [(500, rows[160][1], "en", "a")])).collect()}
+    assert moved[rows[160][0]] and not moved[500]  # what is usual in one source is not in another
+
+
+def test_bins_and_their_edges(spark):
+    values = [*range(70), 1000, 4095, 4096, 999_999, 1_000_000]
+    got = spark.createDataFrame([(v,) for v in values], "v long").select("v", qr.bin_of(sm.F.col("v")).alias("b")).withColumn("e", qr.edge_of(sm.F.col("b"))).collect()
+    assert all(r.e <= r.v < r.e * 17 / 16 + 1 for r in got) and [r.b for r in got] == sorted(r.b for r in got)
+
+
+def test_quality_of_repeated_rows_nulls_and_clashing_columns(spark):
+    clean = " ".join(f"w{j}" for j in range(60))
+    rows = [(1, clean, "en", "s"), (1, clean, "en", "s"), (None, clean, None, None), (2, None, None, "s"), (3, clean + " x" * 20_000, "en", "s")]
+    d = spark.createDataFrame([(*r, 7, "k", 1.0) for r in rows], "doc_id long, text string, lang string, source string, rates int, kept string, bins double")
+    out = qr.filter_quality(d)
+    assert sorted(str(r.doc_id) for r in out.collect()) == ["1", "1", "None"] and out.columns == d.columns
+
+
 def test_urls_and_rules(spark):
     urls = ["http://A.example.ORG/es/1?x", "http://example.org/en/12", "http://badexample.org/en/12", "https://x.com/fr/a#b", "https://com/de/", "http://net", None, "no scheme", "a://b://c/d", "http://example.org"]
     pages = spark.createDataFrame([(i, u, "h") for i, u in enumerate(urls)], "page_id long, url string, host string")
