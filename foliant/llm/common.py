@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,36 +22,73 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one of our own only where the session names none."""
+    """The folder that driver and executors share. Only a session of one machine gets one of its own where none is set."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
         where = spark.sparkContext.getCheckpointDir()
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: intermediate tables need a folder that all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="foliant-")
         spark.sparkContext.setCheckpointDir(where)
         where = spark.sparkContext.getCheckpointDir()
     return where.rstrip("/")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+_SCRATCH: ContextVar[str] = ContextVar("scratch", default="")
+
+
+def _folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/foliant-{spark.sparkContext.applicationId}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables stored inside are deleted at the end, but for those stored to stay: results must be written by then."""
+    name = f"/scratch-{uuid.uuid4().hex}"
+    token = _SCRATCH.set(name)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        _delete(spark, _folder(spark) + name)
+
+
+def stored(df: DataFrame, name: str, stays: bool = False) -> DataFrame:
     """df written as Parquet under the shared folder and read again.
 
     Lineage ends here: a lost executor costs a re-read of the table and never a re-run of the stages before it.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/foliant-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = f"{_folder(spark)}{'' if stays else _SCRATCH.get()}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def release(*tables: DataFrame) -> None:
+    """Deletes stored tables that nothing reads any more."""
+    for t in tables:
+        if path := getattr(t, "_stored_at", None):
+            _delete(t.sparkSession, path)
 
 
-def at_most(df: DataFrame, rows: int) -> bool:
-    """Whether df has at most so many rows; reads no more than it must."""
-    return df.limit(rows + 1).count() <= rows
+def within(df: DataFrame, rows: int, megabytes: int = 64) -> bool:
+    """Whether df has at most so many rows and, written out as JSON, so many megabytes; reads no more rows than it must."""
+    size = F.sum(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
+    found = df.limit(rows + 1).agg(F.count("*").alias("n"), size.alias("b")).first()
+    return found["n"] <= rows and (found["b"] or 0) <= megabytes * 1_000_000
 
 
 def small(df: DataFrame, rows: int) -> DataFrame:
-    """df marked for broadcast when it has at most so many rows; else as it is, for a shuffled join that AQE may split."""
-    return F.broadcast(df) if at_most(df, rows) else df
+    """df marked for broadcast when it is `within` so many rows; else as it is, for a shuffled join that AQE may split."""
+    return F.broadcast(df) if within(df, rows) else df
 
 
 def text_of(column: str = "text") -> Column:

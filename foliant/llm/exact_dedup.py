@@ -1,9 +1,10 @@
 """Exact deduplication with a heavy-hitter split.
 
-A Misra-Gries style summary (Spark's mergeable frequent-items sketch) names the digests that may be frequent. Their
-exact counts and winners come from a partially aggregated pass and are broadcast, so rows of a huge group of copies
-are settled where they are read and never meet in one task. All other digests, each too rare to skew a task, take an
-ordinary shuffle.
+Misra-Gries style summaries (Spark's mergeable frequent-items sketch) name the digests that may be frequent. Digests are
+dealt to SHARDS by their hash, with a summary each, so that no task merges the summaries of all. The exact counts and
+winners of what they name come from a partially aggregated pass and are broadcast, so rows of a huge group of copies are
+settled where they are read and never meet in one task. All other digests, each too rare to skew a task, take an ordinary
+shuffle.
 """
 
 from __future__ import annotations
@@ -13,8 +14,8 @@ from pyspark.sql import functions as F
 
 from .common import WS, id_order, stored, table, text_of
 
-#: Digests followed by the summary, and how many of them may be treated as heavy. Both bound memory, not results.
-TRACKED, HEAVY = 16_384, 1_024
+#: Summaries, digests followed by each, and how many of them may be treated as heavy. They bound memory, not results.
+SHARDS, TRACKED, HEAVY = 64, 1_024, 64
 
 
 def normalised(column: str = "text") -> Column:
@@ -32,8 +33,9 @@ def digests(docs: DataFrame) -> DataFrame:
 
 
 def heavy_winners(rows: DataFrame, tracked: int = TRACKED, heavy: int = HEAVY) -> DataFrame:
-    """At most `heavy` rows: digest, its exact number of rows, and the doc_id that stays."""
-    guess = rows.agg(F.expr(f"approx_top_k(text_sha256, {heavy}, {tracked})").alias("top")).select(F.explode("top").alias("t"))
+    """At most SHARDS * heavy rows: digest, its exact number of rows, and the doc_id that stays."""
+    shard = rows.groupBy(F.pmod(F.xxhash64("text_sha256"), F.lit(SHARDS)))
+    guess = shard.agg(F.expr(f"approx_top_k(text_sha256, {heavy}, {tracked})").alias("top")).select(F.explode("top").alias("t"))
     guess = guess.where("t.count > 1").select(F.col("t.item").alias("text_sha256"))
     exact = rows.join(F.broadcast(guess), "text_sha256").groupBy("text_sha256")
     exact = exact.agg(F.count("*").alias("h_size"), F.min(_rank()).alias("h_best"))

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from .common import WS, small, stored, table, text_of
 
-#: Lines shorter than this must be equal to count as duplicates: an edit says nothing about so short a line.
-MIN_FUZZY = 16
+#: Characters that a line has for each edit that duplicates may differ by: similarity is at least 15/16, and one edit the bound.
+PER_EDIT = 16
 #: Characters of a segment at most (a line has two at least): the variants of a line cost its length times this.
 SEGMENT = 2_048
 #: Rows (digests, documents) that may be broadcast; beyond it joins shuffle.
@@ -67,7 +67,7 @@ def _segment_keys() -> Column:
         lo = lambda i: F.floor(m.cast("long") * i / q).cast("int")
         return F.transform(F.sequence(F.lit(0), q - 1), lambda i: F.struct(F.xxhash64(m, i, F.substring("line", F.lit(1), lo(i)), F.substring("line", n - m + lo(i + 1) + 1, m - lo(i + 1))).alias("key"), m.alias("m"), i.alias("part")))
 
-    return F.when(n >= MIN_FUZZY, F.concat(keys(n), keys(n - 1)))
+    return F.when(n >= PER_EDIT, F.concat(keys(n), keys(n - 1)))
 
 
 def _near(unique: DataFrame, docs: DataFrame) -> DataFrame:
@@ -102,51 +102,67 @@ def _near(unique: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def judged_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key, line_no, exact and near: whether an earlier line is equal, or (if none is) within one edit."""
+    """doc_id, text_key, line_no, exact and near: whether an earlier line is equal, or (if none is) within one edit; full: not blank.
+
+    Rows that repeat doc_id and text each have their lines here, and count as one document.
+    """
     x = lines(docs).withColumn("n", F.length("line"))  # a column of its own: it is used at every step of the segment keys
     slim = stored(x.select("doc_id", "text_key", "line_no", "digest", _segment_keys().alias("keys")), "lines")
     unique = slim.where("digest is not null").groupBy("digest").agg(F.min(_order()).alias("first"), F.count("*").alias("n"), F.first("keys").alias("keys"))
     unique = stored(unique, "unique")
     near = _near(unique, docs)
     told = unique.join(near, "digest", "left").where("n > 1 or near_of is not null").select("digest", "first", F.col("near_of").isNotNull().alias("is_near"))
-    y = slim.drop("keys").join(small(told, BROADCAST_ROWS), "digest", "left")
+    # a blank line has a key of its own, so that blank lines do not meet in one task where the join shuffles
+    own = F.coalesce("digest", F.unhex(F.hex(F.xxhash64("doc_id", "text_key", "line_no"))))
+    y = slim.drop("keys").withColumn("key", own).join(small(stored(told.withColumnRenamed("digest", "key"), "told"), BROADCAST_ROWS), "key", "left")
     exact = F.col("first").isNotNull() & (_order() != F.col("first"))
     near_ = ~F.coalesce(exact, F.lit(False)) & F.coalesce("is_near", F.lit(False))
-    return y.select("doc_id", "text_key", "line_no", F.coalesce(exact, F.lit(False)).alias("exact"), near_.alias("near"))
+    return y.select("doc_id", "text_key", "line_no", F.coalesce(exact, F.lit(False)).alias("exact"), near_.alias("near"), F.col("digest").isNotNull().alias("full"))
 
 
 def line_report(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_lines, n_exact, n_near, n_kept, dropped (line numbers from 0, joined by commas).
+    """One row per input row: doc_id, n_lines, n_exact, n_near, n_kept, dropped (line numbers from 0, joined by commas).
 
     Lines are compared without white space around them. Of equal lines the earliest stays, by doc_id (null last), then
-    place. A line of 16 or more characters also goes when any earlier line is within one edit of it (a character
-    replaced, inserted or removed), whether or not that one stays. Blank lines always stay. Null texts count as empty:
-    one blank line. Rows that repeat both doc_id and text count as one document; those that repeat only the doc_id are
-    told apart. An empty table gives an empty result. Columns other than doc_id and text are ignored.
+    hash of the text, then place. A line of PER_EDIT or more characters also goes when any earlier line is within one
+    edit of it (a character replaced, inserted or removed), whether or not that one stays; shorter lines would differ by
+    more than a sixteenth. Blank lines always stay. Null texts count as empty: one blank line. Of rows that repeat both
+    doc_id and text the first is judged so, and all others lose every line that is not blank; rows that repeat only the
+    doc_id are told apart. An empty table gives an empty result. Columns other than doc_id and text are ignored.
     """
-    j = judged_lines(docs).groupBy("doc_id", "text_key", "line_no").agg(F.max("exact").alias("exact"), F.max("near").alias("near"))
+    j = judged_lines(docs).groupBy("doc_id", "text_key", "line_no").agg(F.max("exact").alias("exact"), F.max("near").alias("near"), F.max("full").alias("full"), F.count("*").alias("rows"))
     gone = F.col("exact") | F.col("near")
     n = lambda c: F.sum(c.cast("long"))
-    dropped = F.concat_ws(",", F.transform(F.array_sort(F.collect_list(F.when(gone, F.col("line_no")))), lambda p: p.cast("string")))
-    out = j.groupBy("doc_id", "text_key").agg(F.count("*").alias("n_lines"), n(F.col("exact")).alias("n_exact"), n(F.col("near")).alias("n_near"), n(~gone).alias("n_kept"), dropped.alias("dropped"))
-    return out.drop("text_key")
+    numbers = lambda c: F.concat_ws(",", F.transform(F.array_sort(F.collect_list(F.when(c, F.col("line_no")))), lambda p: p.cast("string")))
+    first = F.struct(n(F.col("exact")).alias("n_exact"), n(F.col("near")).alias("n_near"), n(~gone).alias("n_kept"), numbers(gone).alias("dropped"))
+    other = F.struct(n(F.col("full")).alias("n_exact"), F.lit(0).cast("long").alias("n_near"), n(~F.col("full")).alias("n_kept"), numbers(F.col("full")).alias("dropped"))
+    out = j.groupBy("doc_id", "text_key").agg(F.count("*").alias("n_lines"), F.max("rows").alias("rows"), first.alias("first"), other.alias("other"))
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))).alias("k")
+    return out.select("doc_id", "n_lines", "first", "other", each).select("doc_id", "n_lines", F.inline(F.array(F.when(F.col("k") == 1, F.col("first")).otherwise(F.col("other")))))
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """docs without the lines that line_report drops; a document that loses its last line with text goes as a whole.
 
-    All columns stay; n_chars, where there is one, is counted again.
+    So of rows that repeat doc_id and text (with text in it) one stays, the first by all columns; rows whose text is
+    null, empty or blank all stay. All columns stay; n_chars, where there is one, is counted again.
     """
-    gone = judged_lines(docs).where("exact or near").groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("gone"))
+    lines_ = judged_lines(docs).groupBy("doc_id", "text_key", "line_no").agg((F.max("exact") | F.max("near")).alias("out"), F.max("full").alias("full"), F.count("*").alias("rows"))
+    gone = lines_.groupBy("doc_id", "text_key").agg(F.collect_list(F.when(F.col("out"), F.col("line_no"))).alias("gone"), ((F.max("rows") > 1) & F.max("full")).alias("again"))
+    gone = gone.where("again or size(gone) > 0")
     gone = small(stored(gone.withColumnsRenamed({"doc_id": "gone_id", "text_key": "gone_key"}), "dropped"), BROADCAST_ROWS)
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     key = F.xxhash64(F.coalesce("row.text", F.lit("")))
     x = row.withColumn("text_key", key).join(gone, F.col("row.doc_id").eqNullSafe(F.col("gone_id")) & (F.col("text_key") == F.col("gone_key")), "left")
     left = F.filter(F.split("row.text", "\n", -1), lambda _, i: ~F.array_contains("gone", i))
-    x = x.withColumn("new", F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(F.array_join(left, "\n")))
-    x = x.where(F.col("gone").isNull() | (F.trim("new", F.lit(WS)) != ""))
+    whole = F.coalesce(F.size("gone"), F.lit(0)) <= 0
+    x = x.withColumn("new", F.when(whole, F.col("row.text")).otherwise(F.array_join(left, "\n")))
+    x = x.where(whole | (F.trim("new", F.lit(WS)) != ""))
     put = {"text": F.col("new"), "n_chars": F.length("new").cast("long")}
-    return x.select(*[(F.when(F.col("gone").isNull(), F.col(f"row.`{c}`")).otherwise(put[c]) if c in put else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    out = F.struct(*[(F.when(whole, F.col(f"row.`{c}`")).otherwise(put[c]) if c in put else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    x = x.select(F.coalesce("again", F.lit(False)).alias("again"), "gone_id", "gone_key", out.alias("row"))
+    one = x.where("again").groupBy("gone_id", "gone_key").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return x.where("not again").select("row.*").unionByName(one.select("row.*"))
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

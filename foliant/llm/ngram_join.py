@@ -2,10 +2,13 @@
 
 1. Every text becomes the set of its 5-word shingles (64-bit hashes) and MinHash bands; band and row counts are chosen
    for a target recall at the threshold. Texts with one shingle set form a class of copies with one representative.
-2. Representatives are shuffled on band hashes; bands with two or more connect their members, and connected members
-   form a candidate cluster (labels move along bands until nothing changes, over written tables).
-3. Inside a cluster every pair is verified on full shingle sets, block against block: a cluster of any size becomes
-   many bounded tasks, and no pair is emitted, only each document's number of links and a spanning forest.
+2. Representatives are shuffled on band hashes; bands with two or more are buckets, and buckets that share members form a
+   candidate cluster (labels move along bands until nothing changes, over written tables).
+3. Pairs are verified on full shingle sets, block against block, so that a group of any size becomes many bounded tasks;
+   blocks are bounded in documents and in shingles. A cluster that fits one block is verified as it is. A larger one is
+   verified bucket by bucket, a pair in the first bucket that it shares; or as a whole, where its buckets overlap so much
+   that this moves less. Long chains of texts so cost in proportion to their buckets, dense clusters the square of their
+   different texts. No pair is emitted, only each document's number of links and a spanning forest.
 4. The forests' components are the classes.
 """
 
@@ -20,11 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small, stored, table, text_of
+from .common import release, small, stored, table, text_of
 
 N, THRESHOLD, RECALL, MOST_HASHES = 5, 0.8, 0.999, 160
-#: Documents in a verification block; a task holds the shingles of two.
-BLOCK = 256
+#: Documents and shingles in a verification block, about; a task holds two blocks.
+BLOCK, BLOCK_SHINGLES = 256, 1_000_000
 #: Candidate documents whose ids and clusters may be broadcast to the second reading of the texts.
 BROADCAST_DOCS = 300_000
 
@@ -119,21 +122,22 @@ def band_hashes(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, text_key, set_id (digest of the shingle set; null for none), bands."""
+    """doc_id, text_key, set_id (digest of the shingle set; null for none), shingles (their number), bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 2_000):
                 b = whole.slice(at, 2_000)
-                ids, keys, seen = [], [], {}
+                ids, sizes, keys, seen = [], [], [], {}
                 for s in shingle_sets([(t or "").encode() for t in b["text"].to_pylist()], n):
                     ids.append(d := _set_id(s))
+                    sizes.append(len(s))
                     if d not in seen:
                         seen[d] = band_hashes(min_hash(s, bands * rows), bands, rows) if len(s) else []
                     keys.append(seen[d])
-                yield pa.RecordBatch.from_arrays([b["doc_id"], b["text_key"], pa.array(ids, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "text_key", "set_id", "bands"])
+                yield pa.RecordBatch.from_arrays([b["doc_id"], b["text_key"], pa.array(ids, pa.binary()), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "text_key", "set_id", "shingles", "bands"])
 
-    return docs.mapInArrow(run, "doc_id long, text_key long, set_id binary, bands array<long>")
+    return docs.mapInArrow(run, "doc_id long, text_key long, set_id binary, shingles long, bands array<long>")
 
 
 def components(links: DataFrame, name: str) -> DataFrame:
@@ -148,18 +152,22 @@ def components(links: DataFrame, name: str) -> DataFrame:
         hubs = links.join(labels, "node").groupBy("hub").agg(F.min("label").alias("low"))
         near = links.join(hubs, "hub").groupBy("node").agg(F.min("low").alias("low"))
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("far"))
-        step = labels.join(near, "node").join(jump, "label", "left")
+        step = labels.select("node", "label").join(near, "node").join(jump, "label", "left")
         new = stored(step.select("node", F.least("label", "low", F.coalesce("far", "label")).alias("label"), (F.least("low", F.coalesce("far", "label")) < F.col("label")).alias("moved")), f"{name}-labels")
-        labels = new.select("node", "label")
+        release(labels)
+        labels = new
         if not new.where("moved").limit(1).count():
-            return labels
+            release(links)
+            return labels.select("node", "label")
 
 
-def verify_block(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, same: bool, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (i, j) of positions with Jaccard at least the threshold; i from left, j from right (i < j when they are the same)."""
-    all_ = np.concatenate(sets)
-    size = np.array([len(s) for s in sets])
-    _, code, times = np.unique(all_, return_inverse=True, return_counts=True)
+def shared_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many members sets[i] and sets[j] share, for every i of left and j of right."""
+    size = [len(s) for s in sets]
+    common = np.zeros((len(left), len(right)), np.float32)
+    if not sum(size):
+        return common
+    _, code, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     often = times > 1
     column = np.cumsum(often) - 1
     owner = np.repeat(np.arange(len(sets)), size)
@@ -167,7 +175,6 @@ def verify_block(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, sa
     col, own = column[code[hit]], owner[hit]
     order = np.argsort(col, kind="stable")
     col, own = col[order], own[order]
-    common = np.zeros((len(left), len(right)), np.float32)
     place_l, place_r = np.full(len(sets), -1), np.full(len(sets), -1)
     place_l[left], place_r[right] = np.arange(len(left)), np.arange(len(right))
     width = 8192
@@ -179,16 +186,28 @@ def verify_block(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, sa
         x[place_l[o][il], c[il]] = 1
         y[place_r[o][ir], c[ir]] = 1
         common += x @ y.T
+    return common
+
+
+def verify_block(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, same: bool, threshold: float, sooner: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (i, j) of positions with Jaccard at least the threshold; i from left, j from right (i < j when they are the same).
+
+    Pairs that share a bucket in `sooner` are left to that bucket.
+    """
+    size = np.array([len(s) for s in sets])
+    common = shared_counts(sets, left, right)
     either = size[left][:, None] + size[right][None, :] - common
     ok = common >= threshold * either - 1e-6
     if same:
         ok &= np.triu(np.ones(ok.shape, bool), 1)
+    if sooner is not None and ok.any():
+        ok &= shared_counts(sooner, left, right) == 0
     i, j = np.nonzero(ok)
     return left[i], right[j]
 
 
 def _verified(placed: DataFrame, threshold: float) -> DataFrame:
-    """placed: cluster, block_a, block_b, node, block, copies, shingles. Rows: node, n_near (copies of linked texts), n_texts, hub."""
+    """placed: cluster, block_a, block_b, node, block, copies, shingles, sooner. Rows: node, n_near (copies of linked texts), n_texts, hub."""
 
     def run(key, t):
         nodes = t["node"].to_pylist()
@@ -201,7 +220,7 @@ def _verified(placed: DataFrame, threshold: float) -> DataFrame:
         right = left if same else np.flatnonzero(block == key[2].as_py())
         near, texts, hub = np.zeros(n, np.int64), np.zeros(n, np.int64), np.arange(n)
         if len(left) and len(right):
-            i, j = verify_block(sets, left, right, same, threshold)
+            i, j = verify_block(sets, left, right, same, threshold, [x.values.to_numpy() for x in t["sooner"]])
             for a, b in ((i, j), (j, i)):
                 near += np.bincount(a, copies[b], n).astype(np.int64)
                 texts += np.bincount(a, minlength=n)
@@ -219,6 +238,38 @@ def _verified(placed: DataFrame, threshold: float) -> DataFrame:
     return placed.groupBy("cluster", "block_a", "block_b").applyInArrow(run, "node binary, n_near long, n_texts long, hub binary")
 
 
+def _blocks(members: str, shingles: str):
+    return F.greatest(F.ceil(F.col(members) / BLOCK), F.ceil(F.col(shingles) / BLOCK_SHINGLES)).cast("int")
+
+
+def _members(reps: DataFrame) -> DataFrame:
+    """Candidates among reps (node, rep_id, copies, shingles, bands): node, rep_id, copies, places.
+
+    A place says with whom a node is verified: cluster (a label or a bucket), its number of blocks, the node's block, and
+    the buckets of the node that come sooner (none for a whole cluster). A node has as many places as bands at most.
+    """
+    banded = reps.select("node", "shingles", F.explode("bands").alias("hub"))
+    shared = banded.groupBy("hub").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("hub")
+    links = stored(banded.join(shared, "hub").select("node", "shingles", "hub"), "bands")
+    label = stored(components(links, "bands").join(reps.select("node", "rep_id", "copies", "shingles"), "node"), "clusters")
+    cluster = label.groupBy("label").agg(F.count("*").alias("members"), F.sum("shingles").alias("all")).withColumn("blocks", _blocks("members", "all"))
+    # buckets of clusters that take several blocks; of buckets with the same members one is enough
+    large = label.join(cluster.where("blocks > 1").select("label"), "label").select("node", "label")
+    bucket = links.join(large, "node").groupBy("label", "hub").agg(F.count("*").alias("members"), F.sum("shingles").alias("all"), F.min("node").alias("lo"), F.max("node").alias("hi"), F.sum(F.shiftright(F.xxhash64("node"), 24)).alias("sum"))
+    bucket = bucket.groupBy("label", "members", "all", "lo", "hi", "sum").agg(F.min("hub").alias("hub")).withColumn("blocks", _blocks("members", "all"))
+    bucket = stored(bucket.select("label", "hub", "all", "blocks"), "buckets")
+    cost = bucket.groupBy("label").agg(F.sum(F.col("all") * F.col("blocks")).alias("apart"))
+    cluster = stored(cluster.join(cost, "label", "left").select("label", "blocks", F.coalesce(F.col("apart") < F.col("all") * F.col("blocks"), F.lit(False)).alias("by_bucket")), "cluster-blocks")
+    at = lambda blocks: F.pmod(F.xxhash64("node"), F.col(blocks)).cast("int").alias("block")
+    whole = label.join(cluster.where("not by_bucket"), "label")
+    whole = whole.select("node", "rep_id", "copies", F.array(F.struct(F.col("label").alias("cluster"), "blocks", at("blocks"), F.array().cast("array<bigint>").alias("sooner"))).alias("places"))
+    apart = links.select("node", "hub").join(bucket.join(cluster.where("by_bucket").select("label"), "label").select("hub", "blocks"), "hub")
+    hubs = apart.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("hub", "blocks", at("blocks")))).alias("hubs"))
+    place = lambda x, i: F.struct(F.unhex(F.hex(x["hub"])).alias("cluster"), x["blocks"].alias("blocks"), x["block"].alias("block"), F.transform(F.slice("hubs", 1, i), lambda y: y["hub"]).alias("sooner"))
+    apart = label.join(hubs, "node").select("node", "rep_id", "copies", F.transform("hubs", place).alias("places"))
+    return whole.unionByName(apart)
+
+
 def ngram_join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """One row per input row: doc_id, text_key, rep_id, class_id, n_copies, n_links, n_texts, kept.
 
@@ -239,16 +290,10 @@ def _joined(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: f
     bands, rows = choose_bands(threshold, recall)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("text_key"), text_of().alias("text"))
     sig = stored(signatures(texts, n, bands, rows), "signatures")
-    reps = sig.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("rep_id"), F.count("*").alias("copies"), F.first("bands").alias("bands"))
+    reps = sig.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("rep_id"), F.count("*").alias("copies"), F.first("shingles").alias("shingles"), F.first("bands").alias("bands"))
     reps = stored(reps.withColumnRenamed("set_id", "node"), "reps")
-    banded = reps.select("node", F.explode("bands").alias("hub"))
-    shared = banded.groupBy("hub").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("hub")
-    cluster = components(banded.join(shared, "hub"), "bands")
-    sizes = cluster.groupBy("label").agg(F.count("*").alias("members"))
-    count = F.ceil(F.col("members") / BLOCK).cast("int")
-    member = cluster.join(sizes, "label").join(reps.select("node", "rep_id", "copies"), "node")
-    member = stored(member.select("node", "rep_id", F.col("label").alias("cluster"), "copies", count.alias("blocks"), F.pmod(F.xxhash64("node"), count).cast("int").alias("block")), "members")
-    again = texts.join(small(member, BROADCAST_DOCS), texts.doc_id.eqNullSafe(member.rep_id)).select("node", "cluster", "copies", "blocks", "block", "text")
+    member = stored(_members(reps), "members")
+    again = texts.join(small(member, BROADCAST_DOCS), texts.doc_id.eqNullSafe(member.rep_id)).select("node", "copies", "places", "text")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -257,12 +302,12 @@ def _joined(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: f
                 s = list(shingle_sets([(t or "").encode() for t in b["text"].to_pylist()], n))
                 own = [i for i, (x, node) in enumerate(zip(s, b["node"].to_pylist(), strict=True)) if _set_id(x) == node]  # another text may have the id
                 b = b.take(pa.array(own, pa.int32()))
-                yield pa.RecordBatch.from_arrays([b[c] for c in ("node", "cluster", "copies", "blocks", "block")] + [pa.array([s[i].tobytes() for i in own], pa.binary())], names=["node", "cluster", "copies", "blocks", "block", "shingles"])
+                yield pa.RecordBatch.from_arrays([b[c] for c in ("node", "copies", "places")] + [pa.array([s[i].tobytes() for i in own], pa.binary())], names=["node", "copies", "places", "shingles"])
 
-    full = again.mapInArrow(sets, "node binary, cluster binary, copies long, blocks int, block int, shingles binary")
+    full = again.mapInArrow(sets, f"node binary, copies long, places {member.schema['places'].dataType.simpleString()}, shingles binary")
     # a row for each block that this one meets
-    met = full.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    placed = met.select("cluster", F.least("block", "other").alias("block_a"), F.greatest("block", "other").alias("block_b"), "node", "block", "copies", "shingles")
+    met = full.select("node", "copies", "shingles", F.explode("places").alias("p")).select("*", F.explode(F.sequence(F.lit(0), F.col("p.blocks") - 1)).alias("other"))
+    placed = met.select(F.col("p.cluster").alias("cluster"), F.least("p.block", "other").alias("block_a"), F.greatest("p.block", "other").alias("block_b"), "node", F.col("p.block").alias("block"), "copies", "shingles", F.col("p.sooner").alias("sooner"))
     found = stored(_verified(placed, threshold), "verified")
     classes = components(found.select("node", "hub").unionByName(found.select(F.col("hub").alias("node"), "hub")), "classes")
     counts = found.groupBy("node").agg(F.sum("n_near").alias("n_near"), F.sum("n_texts").alias("n_texts"))

@@ -2,7 +2,8 @@
 
 Token shares of the sources are raised to an exponent between 0 (uniform) and 1 (as they are). The exponent is found
 by bisection, to meet a target entropy or a limit on repetition. The weights are then realised within a token budget:
-each source is laid out epoch after epoch as a permutation of blocks, permuted inside, and cut where its budget ends.
+each source is laid out epoch after epoch as a permutation of blocks, permuted inside, and cut where its budget ends. What
+comes out is that layout: every copy of a document with its epoch, its block, the block's turn and its first token.
 """
 
 from __future__ import annotations
@@ -14,8 +15,8 @@ from .common import WS_CLASS, small, stored, table, text_of
 
 #: No source is repeated more often than this, on average over its documents.
 REPEATS = 2.0
-#: Tokens of a block, about.
-BLOCK_TOKENS = 1_000_000
+#: Tokens of a block, about; a source has at most so many blocks, larger ones beyond that, since its blocks are put in a row together.
+BLOCK_TOKENS, MOST_BLOCKS = 1_000_000, 100_000
 #: The exponent is found to within 1 / PER_ROUND ** ROUNDS.
 PER_ROUND, ROUNDS = 64, 4
 SEED = 17
@@ -69,7 +70,7 @@ def exponent(shares: DataFrame, repeats: float | None = REPEATS, entropy: float
 
 
 def weights(sizes: DataFrame, repeats: float | None = REPEATS, entropy: float | None = None, budget: int | None = None) -> DataFrame:
-    """sizes: source, docs, tokens. Adds share, weight (tempered, sums to 1) and tokens_due (whole tokens of the budget).
+    """sizes: source, docs, tokens. Adds share, exponent, weight (tempered, sums to 1) and tokens_due (whole tokens of the budget).
 
     Without a budget the mix is as large as it takes to use the least repeated source once.
     """
@@ -80,61 +81,68 @@ def weights(sizes: DataFrame, repeats: float | None = REPEATS, entropy: float |
     norm = x.agg(F.sum("w").alias("z"), F.min(F.col("w") / F.col("tokens")).alias("least")).first()
     z, least = F.lit(norm["z"] or 1.0), F.lit(norm["least"] or 1.0)
     due = F.col("w") / least if budget is None else F.lit(float(budget)) * F.col("w") / z
-    return x.select("source", "docs", "tokens", "share", (F.col("w") / z).alias("weight"), F.round(due).cast("long").alias("tokens_due"))
+    return x.select("source", "docs", "tokens", "share", F.lit(a).alias("exponent"), (F.col("w") / z).alias("weight"), F.round(due).cast("long").alias("tokens_due"))
 
 
 def copies(docs: DataFrame, repeats: float | None = REPEATS, entropy: float | None = None, budget: int | None = None, block_tokens: int = BLOCK_TOKENS, seed: int = SEED) -> DataFrame:
-    """doc_id, text_key, source, tokens, block, epochs and `last`: whether the row is in the last, partial epoch too.
+    """The layout: doc_id, text_key, source, rows, tokens, epoch, block, turn, start, share, exponent, weight, tokens_due.
 
-    A source's rows are dealt to blocks by hash; in every epoch the blocks, and the rows in a block, have an order of
-    their own. The last epoch ends with the row that reaches the budget. Running totals are taken over blocks first
-    and inside the one block where the budget ends, so no source is ever sorted in one task.
+    rows is how many rows repeat doc_id, text and source; they lie next to each other and count as one here, of `tokens`
+    tokens together. A source's rows are dealt to blocks by hash. Every epoch has a permutation of the blocks (turn, from
+    0) and one of the rows inside each; start is how many tokens of the source's mix lie before the row. The last epoch
+    ends with the row that reaches the budget. Running totals are taken over blocks first and then inside each block,
+    so no source is ever sorted in one task.
     """
     key = F.xxhash64(text_of())
-    rows = stored(docs.select("doc_id", key.alias("text_key"), "source", tokens_of(text_of()).alias("tokens")), "tokens")
-    sizes = rows.groupBy("source").agg(F.count("*").alias("docs"), F.sum("tokens").alias("tokens"))
+    rows = docs.select("doc_id", key.alias("text_key"), "source", tokens_of(text_of()).alias("tokens"))
+    rows = stored(rows.groupBy("doc_id", "text_key", "source").agg(F.count("*").alias("rows"), F.sum("tokens").alias("tokens")), "tokens")
+    sizes = rows.groupBy("source").agg(F.sum("rows").alias("docs"), F.sum("tokens").alias("tokens"))
     w = stored(weights(sizes, repeats, entropy, budget), "weights")
-    n = F.greatest(F.lit(1), F.ceil(F.col("tokens") / block_tokens)).cast("long")
-    w = w.select("source", n.alias("blocks"), F.expr("tokens_due div tokens").alias("epochs"), F.expr("tokens_due % tokens").alias("rest"))
-    x = rows.alias("r").join(small(w, BROADCAST_ROWS).alias("w"), F.col("r.source").eqNullSafe(F.col("w.source")))
-    x = x.select("r.*", "epochs", "rest", F.pmod(F.xxhash64("doc_id", "text_key", F.lit(seed)), "blocks").alias("block"))
-    block = x.groupBy("source", "block", "rest", "epochs").agg(F.sum("tokens").alias("size"))
-    turn = F.xxhash64("source", "block", "epochs", F.lit(seed))
-    before = F.coalesce(F.sum("size").over(Window.partitionBy("source").orderBy(turn, "block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    block = block.select(F.col("source").alias("b_source"), F.col("block").alias("b_block"), before.alias("before"), "size")
-    x = x.join(small(block, BROADCAST_ROWS), F.col("source").eqNullSafe(F.col("b_source")) & (F.col("block") == F.col("b_block")))
-    ends = (F.col("before") < F.col("rest")) & (F.col("before") + F.col("size") > F.col("rest"))
-    place = F.xxhash64("doc_id", "text_key", "epochs", F.lit(seed + 1))
-    run = F.coalesce(F.sum("tokens").over(Window.partitionBy("source", "block").orderBy(place, "doc_id", "text_key").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    cut = x.where(ends).withColumn("last", F.col("before") + run < F.col("rest"))
-    whole = x.where(~ends).withColumn("last", F.col("before") + F.col("size") <= F.col("rest"))
-    keep = ["doc_id", "text_key", "source", "tokens", "block", "epochs", "last"]
-    return cut.select(*keep).unionByName(whole.select(*keep))
+    n = F.least(F.greatest(F.lit(1), F.ceil(F.col("tokens") / block_tokens)), F.lit(MOST_BLOCKS)).cast("long")
+    w = w.select("source", n.alias("blocks"), F.col("tokens").alias("all"), F.expr("tokens_due div tokens").alias("epochs"), F.expr("tokens_due % tokens").alias("rest"), "share", "exponent", "weight", "tokens_due")
+    w = small(w, BROADCAST_ROWS).alias("w")
+    x = rows.alias("r").join(w, F.col("r.source").eqNullSafe(F.col("w.source")))
+    x = x.select("r.*", F.pmod(F.xxhash64("doc_id", "text_key", F.lit(seed)), "blocks").alias("block"))
+    block = stored(x.groupBy("source", "block").agg(F.sum("tokens").alias("size")), "blocks")
+    turns = block.alias("b").join(w, F.col("b.source").eqNullSafe(F.col("w.source")))
+    turns = turns.select("b.*", "all", "epochs", "rest", "share", "exponent", "weight", "tokens_due", F.explode(F.expr("sequence(0L, epochs)")).alias("epoch"))
+    order = Window.partitionBy("source", "epoch").orderBy(F.xxhash64("source", "block", "epoch", F.lit(seed)), "block")
+    before = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    turns = turns.withColumns({"before": before, "turn": F.row_number().over(order) - 1}).where("epoch < epochs or before < rest")
+    turns = turns.withColumnsRenamed({"source": "b_source", "block": "b_block"})
+    x = x.join(small(stored(turns, "turns"), BROADCAST_ROWS), F.col("source").eqNullSafe(F.col("b_source")) & (F.col("block") == F.col("b_block")))
+    inside = Window.partitionBy("source", "epoch", "block").orderBy(F.xxhash64("doc_id", "text_key", "epoch", F.lit(seed + 1)), "doc_id", "text_key")
+    run = F.coalesce(F.sum("tokens").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    x = x.withColumn("at", F.col("before") + run).where("epoch < epochs or at < rest")
+    return x.select("doc_id", "text_key", "source", "rows", "tokens", "epoch", "block", "turn", (F.col("epoch") * F.col("all") + F.col("at")).alias("start"), "share", "exponent", "weight", "tokens_due")
 
 
 def mix_report(docs: DataFrame, **how) -> DataFrame:
-    """One row per document: doc_id, source, tokens, block, and copies (how often the mix has it).
+    """One row per document and epoch in which the mix has it: doc_id, source, rows, tokens, epoch, block, turn, start, share, exponent, weight.
 
-    Documents without a source form a source of their own; null texts count as empty (one token, the end). Rows that
-    repeat doc_id and text stay apart as rows, next to each other in the order. An empty table gives an empty result.
-    Columns other than doc_id, text and source are ignored. **how goes to `copies`.
+    The columns are those of `copies`. Documents without a source form a source of their own; null texts count as empty
+    (one token, the end). Rows that repeat doc_id, text and source are one row here, `rows` tells how many. A document
+    that the budget of its source leaves out has no row; with the default budget every document has one at least. An
+    empty table gives an empty result. Columns other than doc_id, text and source are ignored. **how goes to `copies`.
     """
-    x = copies(docs, **how)
-    return x.select("doc_id", "source", "tokens", "block", (F.col("epochs") + F.col("last").cast("long")).alias("copies"))
+    return copies(docs, **how).select("doc_id", "source", "rows", "tokens", "epoch", "block", "turn", "start", "share", "exponent", "weight")
 
 
 def mix(docs: DataFrame, **how) -> DataFrame:
-    """The rows of docs, each as often as the mix has it, with all their columns.
+    """The rows of docs, each as often as the mix has it, with all their columns, laid out in the order of the mix.
 
-    A row that the budget of its source leaves out goes; with the default budget every row is there at least once.
+    Sources advance in proportion: a copy's place is the share of its source's budget that lies before it. Rows are
+    dealt to partitions by ranges of that place and sorted inside, so partitions in their order are the mix. A row that
+    the budget of its source leaves out goes; with the default budget every row is there at least once. Nulls, empty
+    texts, repeated rows and empty tables are treated as in `mix_report`.
     """
-    n = copies(docs, **how).groupBy("doc_id", "text_key", "source").agg(F.max(F.col("epochs") + F.col("last").cast("long")).alias("n"))
+    n = copies(docs, **how).groupBy("doc_id", "text_key", "source").agg(F.collect_list(F.col("start") / F.col("tokens_due")).alias("places"))
     n = stored(n.withColumnsRenamed({"doc_id": "n_id", "text_key": "n_key", "source": "n_source"}), "copies")
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     x = row.withColumn("key", F.xxhash64(F.coalesce("row.text", F.lit(""))))
     same = F.col("row.doc_id").eqNullSafe(F.col("n_id")) & (F.col("key") == F.col("n_key")) & F.col("row.source").eqNullSafe(F.col("n_source"))
-    x = x.join(small(n, BROADCAST_DOCS), same).where("n > 0")
-    return x.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))).select("row.*")
+    x = x.join(small(n, BROADCAST_DOCS), same).select("row", "key", F.explode("places").alias("place"))
+    return x.repartitionByRange("place", "key").sortWithinPartitions("place", "key").select("row.*")
 
 
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,8 +15,8 @@ from .common import small, stored, table
 
 #: (verdict, host and path prefix); fixed by the query's contract.
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
-#: A rule set is compiled into one expression; larger sets belong in a table.
-MOST_RULES = 1_000
+#: Rules up to so many are compiled into one expression; more are joined as a table, with the same result.
+COMPILED_RULES = 100
 #: Block when mean - Z * sd of the posterior bad rate exceeds LIMIT. Prior strengths are kept within STRENGTH.
 LIMIT, Z, STRENGTH = 0.30, 1.645, (1.0, 1_000.0)
 #: Suffixes of two labels: the second-level ones of countries, and hosting services whose customers have a name each.
@@ -46,8 +46,6 @@ def path_of(url: str = "url") -> Column:
 
 def rule_of(rules=RULES) -> tuple[Column, Column]:
     """(rule, verdict) of the longest rule that fits columns host and path; null where none does."""
-    if len(rules) > MOST_RULES:
-        raise ValueError(f"{len(rules)} rules; at most {MOST_RULES} compile into one expression")
     name, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
     for does, rule in sorted(rules, key=lambda r: (len(r[1]), r[1])):
         at, slash, path = rule.partition("/")
@@ -56,6 +54,31 @@ def rule_of(rules=RULES) -> tuple[Column, Column]:
     return name, verdict
 
 
+def with_rules(urls: DataFrame, rules) -> DataFrame:
+    """urls (host, path, ...) with rule and rule_verdict. rules: pairs of verdict and host with path prefix, or a table (verdict, rule).
+
+    A table of rules meets the different (host, path) by an equal join: on the host and each domain above it, and the
+    start of the path up to each length that the rules of that domain have.
+    """
+    if not isinstance(rules, DataFrame):
+        if len(rules) <= COMPILED_RULES:
+            rule, verdict = rule_of(rules)
+            return urls.withColumns({"rule": rule, "rule_verdict": verdict})
+        rules = urls.sparkSession.createDataFrame(list(rules), "verdict string, rule string")
+    at = F.substring_index("rule", "/", 1)
+    r = rules.where("rule is not null").select(at.alias("r_host"), F.expr("substr(rule, length(substring_index(rule, '/', 1)) + 1)").alias("r_path"), "rule", "verdict")
+    lengths = r.groupBy("r_host").agg(F.array_sort(F.collect_set(F.length("r_path"))).alias("lengths")).withColumnRenamed("r_host", "above")
+    each = urls.select("host", "path").distinct()
+    parts = F.split("host", r"\.", -1)
+    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
+    x = each.select("host", "path", F.explode(above).alias("above")).join(lengths, "above")
+    x = x.select("host", "path", "above", F.explode("lengths").alias("n")).where(F.length("path") >= F.col("n"))
+    x = x.join(r, (F.col("above") == F.col("r_host")) & (F.expr("substr(path, 1, n)") == F.col("r_path")))
+    best = x.groupBy("host", "path").agg(F.max(F.struct(F.length("rule"), "rule", "verdict")).alias("best"))
+    best = best.select("host", "path", "best.rule", F.col("best.verdict").alias("rule_verdict"))
+    return urls.join(best, ["host", "path"], "left")
+
+
 def site_of(host: str = "host") -> tuple[Column, Column]:
     """(registered domain, suffix) of a host, read without user info, port and final dot.
 
@@ -109,7 +132,7 @@ def url_filter(pages: DataFrame, labels: DataFrame, rules=RULES, limit: float =
     """One row per page: page_id, host, path, rule, verdict.
 
     labels (doc_id, quality, toxic) are outcomes of the page with the same id; bad is quality 0 or toxic 1, a label
-    with both null is no outcome. A null url, or one without "://", has an empty host and path. Repeated pages and
+    with both null is no outcome. rules are those of `with_rules`. A null url, or one without "://", has an empty host and path. Repeated pages and
     repeated labels count each time. Empty tables give empty results or verdicts from the prior alone.
     """
     seen = stored(pages.select("page_id", host_of().alias("host"), path_of().alias("path")), "urls")
@@ -119,10 +142,9 @@ def url_filter(pages: DataFrame, labels: DataFrame, rules=RULES, limit: float =
     outcome = seen.join(label, seen.page_id == label.doc_id, "left").groupBy("host")
     outcome = outcome.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
     judged = stored(reputations(stored(outcome, "hosts"), limit, z), "reputations")
-    rule, verdict = rule_of(rules)
-    out = seen.join(small(judged, BROADCAST_HOSTS), "host", "left")
+    out = with_rules(seen, rules).join(small(judged, BROADCAST_HOSTS), "host", "left")
     model = F.when(F.col("blocked"), "block").otherwise("allow")
-    return out.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, model).alias("verdict"))
+    return out.select("page_id", "host", "path", "rule", F.coalesce("rule_verdict", model).alias("verdict"))
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -92,3 +92,19 @@ def test_dedup_lines_rebuilds_texts(spark):
     out = {r.doc_id: r for r in ld.dedup_lines(docs(spark, rows)).collect()}
     assert set(out) == {1, 3, 4} and out[3].text == "new" and out[4].text is None and out[1].best == "x"
     assert ld.dedup_lines(docs(spark, [])).collect() == []
+
+
+def test_repeated_rows_lose_their_lines(spark):
+    rows = [(1, "one line of text here\nb")] * 3 + [(1, "other text\n\nb"), (2, "x\n\ny"), (2, "x\n\ny"), (3, None), (3, None), (None, "one line of text hers"), (None, "one line of text hers")]
+    got = sorted((str(r.doc_id), r.n_lines, r.n_exact, r.n_near, r.n_kept, r.dropped) for r in ld.line_report(docs(spark, rows)).collect())
+    first, again = ("1", 2, 0, 0, 2, ""), ("1", 2, 2, 0, 0, "0,1")
+    swapped = {("1", 2, 1, 0, 1, "1"), ("1", 3, 1, 0, 2, "2")}  # which of the two texts of document 1 is first is up to their hashes
+    assert [x for x in got if x[0] == "2"] == [("2", 3, 0, 0, 3, ""), ("2", 3, 2, 0, 1, "0,2")] and got.count(again) == 2 and swapped & set(got) and (first in got or ("1", 2, 1, 0, 1, "1") in got)
+    assert [x for x in got if x[0] == "3"] == [("3", 1, 0, 0, 1, "")] * 2 and [x for x in got if x[0] == "None"] == [("None", 1, 0, 1, 0, "0"), ("None", 1, 1, 0, 0, "0")]
+    left = sorted((str(r.doc_id), r.text) for r in ld.dedup_lines(docs(spark, rows)).collect())
+    assert [x[0] for x in left] == ["1", "1", "2", "3", "3"] and sum(t is not None and "b" in t.split("\n") for _, t in left) == 1
+
+
+def test_a_blank_table_and_columns_named_alike(spark):
+    d = spark.createDataFrame([(1, " \n", 5, "g"), (1, " \n", 5, "g"), (2, "", 6, "h")], "doc_id long, text string, again int, gone string")
+    assert sorted(r.doc_id for r in ld.dedup_lines(d).collect()) == [1, 1, 2] and ld.dedup_lines(d).columns == d.columns

@@ -91,19 +91,67 @@ def test_sites_below_long_suffixes_ports_and_addresses(spark):
     assert {h: got[h] for h in asked} == asked
 
 
+def test_many_rules_join_as_a_table(spark):
+    rng = random.Random(4)
+    host = lambda: ".".join(rng.choice(["a", "b", "c", "org"]) for _ in range(rng.randrange(1, 5)))
+    path = lambda: rng.choice(["", "/", "/x", "/x/", "/x/y1", "/é/z"])
+    rules = list({f"{host()}/{path()[1:]}": rng.choice(["allow", "block"]) for _ in range(150)}.items())
+    rules = [(v, r) for r, v in rules]
+    urls = spark.createDataFrame([(i, host() if i % 9 else "", path()) for i in range(400)], "page_id long, host string, path string")
+    a, b = uf.with_rules(urls, rules[:60]), uf.with_rules(urls, spark.createDataFrame(rules[:60], "verdict string, rule string"))
+    pick = lambda x: sorted(tuple(map(str, r)) for r in x.select("page_id", "rule", "rule_verdict").collect())
+    assert pick(a) == pick(b) and len(rules) > 60
+    fits = lambda h, p, r: (h == r.split("/")[0] or h.endswith("." + r.split("/")[0])) and p.startswith(r[r.index("/") :])
+    want = {u.page_id: max((r for _, r in rules if fits(u.host, u.path, r)), key=lambda r: (len(r), r), default=None) for u in urls.collect()}
+    got = {r.page_id: r.rule for r in uf.with_rules(urls, spark.createDataFrame(rules, "verdict string, rule string")).collect()}
+    assert got == want
+
+
 def test_mix_meets_weights_within_a_document(spark):
     rng = random.Random(5)
     rows = [(i, "w " * rng.randrange(1, 40), "en", rng.choice(["big"] * 8 + ["mid"] * 3 + ["small", None])) for i in range(800)] + [(900, None, "en", "small")]
+    rows += [(901, "twice over", "en", "mid")] * 2
     d = docs(spark, rows)
     for how in ({"repeats": 2.0}, {"repeats": 3.0, "block_tokens": 500}, {"repeats": None, "entropy": 1.2}, {"budget": 5000, "block_tokens": 300}):
         out = sm.copies(d, **how).collect()
-        w = {r.source: r for r in sm.weights(d.groupBy("source").agg(sm.F.count("*").alias("docs"), sm.F.sum(sm.tokens_of(sm.text_of())).alias("tokens")), how.get("repeats", 2.0), how.get("entropy"), how.get("budget")).collect()}
+        sizes = d.groupBy("source").agg(sm.F.count("*").alias("docs"), sm.F.sum(sm.tokens_of(sm.text_of())).alias("tokens"))
+        w = {r.source: r for r in sm.weights(sizes, how.get("repeats", 2.0), how.get("entropy"), how.get("budget")).collect()}
         for s, r in w.items():
-            mixed = sum(x.tokens * (x.epochs + x.last) for x in out if x.source == s)
-            assert 0 <= mixed - r.tokens_due <= 41, (how, s, mixed, r.tokens_due)
+            mine = sorted((x for x in out if x.source == s), key=lambda x: x.start)
+            at, epochs = 0, {}
+            for x in mine:  # copies follow one another without a gap, epoch after epoch
+                assert x.start == at and x.epoch == at // r.tokens and x.tokens == x.rows * len((dict((i, t) for i, t, *_ in rows)[x.doc_id] or "").split() + ["end"])
+                at += x.tokens
+                epochs.setdefault(x.epoch, []).append(x)
+            assert 0 <= at - r.tokens_due <= 41, (how, s, at, r.tokens_due)
+            for xs in epochs.values():  # each epoch has whole blocks, one after the other, each row once
+                turns = [x.turn for x in xs]
+                assert turns == sorted(turns) and len({(x.turn, x.block) for x in xs}) == len(set(turns)) == len({x.block for x in xs})
+                assert len({x.doc_id for x in xs}) == len(xs)
+            whole = [[x.doc_id for x in epochs[e]] for e in sorted(epochs) if (e + 1) * r.tokens <= r.tokens_due]
+            assert all(sorted(x) == sorted(whole[0]) and (x != y or len(x) < 8) for x, y in zip(whole, whole[1:], strict=False))
             if "budget" not in how and how.get("repeats"):
-                assert r.tokens_due <= how["repeats"] * r.tokens * 1.001 and all(x.epochs >= 1 for x in out if x.source == s)
+                assert r.tokens_due <= how["repeats"] * r.tokens * 1.001 and len(epochs[0]) == len({i for i, *_, z in rows if z == s})
         assert abs(sum(r.weight for r in w.values()) - 1) < 1e-9
+        assert all(abs(r.weight * sum(v.share**r.exponent for v in w.values()) - r.share**r.exponent) < 1e-9 for r in w.values())
     mixed = sm.mix(d)
-    assert mixed.columns == d.columns and {r.doc_id for r in mixed.collect()} == {i for i, *_ in rows}
+    times = Counter(r.doc_id for r in mixed.collect())
+    want = Counter()
+    for x in sm.copies(d).collect():
+        want[x.doc_id] += x.rows
+    assert mixed.columns == d.columns and times == want and set(times) == {i for i, *_ in rows} and times[901] == 2 * want[901] // 2
     assert sm.mix(docs(spark, [])).collect() == [] and sm.mix_report(docs(spark, [])).collect() == []
+
+
+def test_exponent_meets_its_target(spark):
+    import math
+
+    tokens = {"a": 700, "b": 200, "c": 90, "d": 10}
+    shares = spark.createDataFrame([(k, 1, v, v / 1000) for k, v in tokens.items()], "source string, docs long, tokens long, share double")
+    p = lambda a: [v**a / sum(x**a for x in tokens.values()) for v in tokens.values()]
+    for target in (1.0, 1.2, 1.35):
+        a = sm.exponent(shares, None, target)
+        assert abs(-sum(x * math.log(x) for x in p(a)) - target) < 1e-4
+    a = sm.exponent(shares, 3.0)
+    w = [v**a / v for v in tokens.values()]
+    assert abs(max(w) / min(w) - 3) < 1e-3

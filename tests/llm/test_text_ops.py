@@ -141,6 +141,39 @@ def test_blocks_of_a_large_cluster(spark, monkeypatch):
     assert {r.n_links for r in got} == {59} and {r.class_id for r in got} == {0}
 
 
+def test_a_chain_is_verified_bucket_by_bucket(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    text = [f"w{i}" for i in range(700)]
+    rows = [(i, " ".join(text[4 * i : 4 * i + 100])) for i in range(140)]  # each like its neighbours, all in one cluster
+    sets = [{tuple(t.split()[k : k + 5]) for k in range(96)} for _, t in rows]
+    link = [sum(j != i and len(a & b) >= 0.8 * len(a | b) for j, b in enumerate(sets)) for i, a in enumerate(sets)]
+    got = {r.doc_id: r for r in ngram_join.ngram_join(docs(spark, rows)).collect()}
+    assert [got[i].n_links for i in range(140)] == link and {r.class_id for r in got.values()} == {0}
+    bands, n = ngram_join.choose_bands()
+    sig = ngram_join.signatures(docs(spark, rows).withColumn("text_key", ngram_join.F.lit(0).cast("long")), 5, bands, n)
+    member = ngram_join._members(sig.selectExpr("doc_id AS rep_id", "set_id AS node", "1L AS copies", "shingles", "bands")).collect()
+    moved = sum(p.blocks for m in member for p in m.places)
+    assert len(member) == 140 and max(p.blocks for m in member for p in m.places) <= 4 and moved < 140 * 18  # 140 * 18 blocks, were it one cluster
+
+
+@pytest.mark.parametrize("changed", [1, 2, 3, 4])
+def test_recall_of_planted_pairs(spark, changed):
+    rng = random.Random(changed)
+    rows, pairs = [], []
+    for i in range(150):
+        w = [f"v{rng.randrange(10**6)}" for _ in range(200)]
+        v = list(w)
+        for p in rng.sample(range(5, 195), changed):
+            v[p] = "new"
+        a, b = ({tuple(x[k : k + 5]) for k in range(196)} for x in (w, v))
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(v))]
+        if len(a & b) >= 0.8 * len(a | b):
+            pairs.append(i)
+    got = {r.doc_id: r.class_id for r in ngram_join.ngram_join(docs(spark, rows)).collect()}
+    assert len(pairs) > 100 and sum(got[2 * i + 1] == 2 * i for i in pairs) >= 0.99 * len(pairs)
+    assert all(got[2 * i + 1] != 2 * i for i in range(150) if i not in pairs)
+
+
 def test_bands_reach_recall():
     for t in (0.5, 0.8, 0.9):
         b, r = ngram_join.choose_bands(t, 0.99)
