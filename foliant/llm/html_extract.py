@@ -1,10 +1,12 @@
 """Main text of web pages by minimum-cut labelling.
 
-A page is cut into blocks of text; neighbouring blocks with the same tag path form a segment. A logistic classifier,
-trained here on a bounded sample of pages that mark their article and boilerplate with semantic tags, prices each
-segment as content and as boilerplate: the capacities from the source and to the sink. Neighbours, and segments that
-share a container, are tied by smoothness edges that weaken with their distance in the tree. The minimum cut, found by
-max-flow, is the cheapest labelling.
+A page is cut into blocks of text; neighbouring blocks with the same tag path form a segment. Two kinds of evidence price
+each segment as content and as boilerplate, the capacities from the source and to the sink. What its text looks like
+(length, punctuation, links, lists, place) is weighed by a logistic classifier, trained here on a bounded sample of pages
+whose tags tell article and boilerplate apart: tags and class names are its labels, and none of its features. What tags,
+roles and class names say is added with fixed weights, since text alone must not overrule an article tag. Neighbours, and
+segments that share a container, are tied by smoothness edges that weaken with their distance in the tree. The minimum
+cut, found by max-flow, is the cheapest labelling.
 """
 
 from __future__ import annotations
@@ -21,8 +23,12 @@ from pyspark.sql import functions as F
 
 from .common import table
 
-#: Pages read to train the classifier, and the seed-free optimiser's steps.
-SAMPLE_PAGES, STEPS = 1_000, 300
+#: Pages read to train the classifier, its steps, and the ridge that keeps its weights finite.
+SAMPLE_PAGES, STEPS, RIDGE = 1_000, 30, 1.0
+#: Weights (log odds) of lying in an article and of boilerplate by name, and how far text may sway the odds.
+IN_ARTICLE, BY_NAME, TEXT_SWAY = 5.0, -8.0, 2.5
+#: Strength of boilerplate evidence: of a tag or role, of a class or id named so, and of one that has such a word among others.
+BY_TAG, BY_CLASS, BY_WORD = 1.5, 1.0, 0.25
 #: Capacity of a smoothness edge between neighbours, and between segments of one container.
 ADJACENT, PROXIMITY = 0.3, 0.3
 
@@ -43,28 +49,51 @@ _TAG = re.compile(rf"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/=]++|[^\s/
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 _ATTR = re.compile(rf"([^\s/>=]++)(?:{_VALUE})?+")
 
-BOILER_TAGS = frozenset("nav footer aside form menu dialog header".split())
+BOILER_TAGS = frozenset("nav footer aside menu dialog header".split())
 CONTENT_TAGS = frozenset("article main".split())
 BOILER_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentary consent cookie cookies discussion disqus feedback footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices notification pagination popup popular promo promoted recommended related replies reply respond share sharing sidebar signup social sponsor sponsored subscribe subscription tags toolbar topbar widget widgets alert".split()
 )
 CONTENT_WORDS = frozenset("article body content entry main post story text".split())
+_HEADERS = frozenset(("header", "masthead"))
+_ROLES = frozenset(("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert"))
+#: Words that make a name say something else: a page that has a sidebar is none.
+_ABOUT = frozenset("has is no not with without".split())
 _WORDS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 
 
+def named(name: str, in_article: bool) -> tuple[float, bool]:
+    """What one class or id says: (strength of boilerplate evidence, whether it names content).
+
+    The last word of a name is what the thing is ("post-comments" are comments, a "comment-body" is a body); other
+    words count little beside a content word. The header of an article is part of it.
+    """
+    words = [w.lower() for w in _WORDS.findall(name)]
+    boiler, content = [w for w in words if w in BOILER_WORDS], any(w in CONTENT_WORDS for w in words)
+    if not words or words[0] in _ABOUT:
+        return 0.0, False
+    if not boiler:
+        return 0.0, words[-1] in CONTENT_WORDS
+    if all(w in _HEADERS for w in boiler) and (in_article or content):
+        return (0.0 if in_article else BY_WORD), False
+    if words[-1] in BOILER_WORDS or not content:
+        return BY_CLASS, False
+    return BY_WORD, False
+
+
 class _Segment:
-    __slots__ = ("boiler", "chars", "content", "depth", "heading", "in_heading", "items", "linked", "marks", "path", "texts", "hard")
+    __slots__ = ("boiler", "chars", "content", "heading", "items", "linked", "marks", "path", "texts")
 
     def __init__(self, path: tuple[int, ...], flags: tuple):
         self.path, self.texts, self.chars, self.linked, self.marks = path, [], 0, 0, 0
-        self.content, self.boiler, self.items, self.heading, self.hard = flags
+        self.content, self.boiler, self.items, self.heading = flags
 
 
 def segments(page: str) -> list[_Segment]:
     """The page's text blocks, in order, gathered into runs that share a container."""
     out: list[_Segment] = []
-    # one entry per open element: tag, number, content?, boiler?, item?, heading?, hidden?
-    stack: list[tuple] = [("", 0, False, False, False, False, False)]
+    # one entry per open element: tag, number, content?, strength of boilerplate evidence, item?, heading?, hidden?, form?
+    stack: list[tuple] = [("", 0, False, 0.0, False, False, False, False)]
     words: list[str] = []
     linked, links, serial, at, n = 0, 0, 0, 0, len(page)
 
@@ -78,7 +107,7 @@ def segments(page: str) -> list[_Segment]:
                 i -= 1
             top = stack[-1]
             path = tuple(x[1] for x in stack[: i + 1])
-            flags = (top[2], top[3], top[4], top[5], top[6])
+            flags = (top[2], max(top[3], BY_TAG) if top[7] else top[3], top[4], top[5])
             if not out or out[-1].path != path or (out[-1].content, out[-1].boiler, out[-1].items) != flags[:3]:
                 out.append(_Segment(path, flags))
             s = out[-1]
@@ -143,107 +172,182 @@ def segments(page: str) -> list[_Segment]:
                 at = close.end() if close else n
             continue
         top = stack[-1]
-        content, boiler, hidden = top[2] or tag in CONTENT_TAGS, top[3] or (tag in BOILER_TAGS and not (tag == "header" and top[2])), top[6]
+        content, boiler, hidden, form = top[2] or tag in CONTENT_TAGS, top[3], top[6], top[7] or tag == "form"
+        if tag in BOILER_TAGS and not (tag == "header" and top[2]):
+            boiler = max(boiler, BY_TAG)
         if tag in CONTENT_TAGS:
-            boiler = False  # an article inside a form or the like
+            form = False  # a form around the whole page
         if m[3] and tag not in ("html", "body"):
             for a in _ATTR.finditer(m[3]):
                 kind, value = a[1].lower(), (a[2] or "").strip("\"'")
-                if kind not in ("class", "id", "role", "hidden", "style"):
-                    continue
                 if kind == "hidden" or kind == "style" and re.search(r"display\s*:\s*none", value):
                     hidden = True
-                elif kind != "style":
+                elif kind == "role":
                     got = {w.lower() for w in _WORDS.findall(value)}
-                    if kind == "role":
-                        boiler = boiler or bool(got & {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert"})
-                        content = content or bool(got & {"main", "article"})
-                    else:
-                        boiler = boiler or bool(got & BOILER_WORDS)
-                        content = content or bool(got & CONTENT_WORDS)
+                    boiler = max(boiler, BY_TAG) if got & _ROLES else boiler
+                    content = content or bool(got & {"main", "article"})
+                elif kind in ("class", "id"):
+                    for name in value.split():
+                        strength, is_content = named(name, top[2] or tag in CONTENT_TAGS)
+                        boiler, content = max(boiler, strength), content or is_content
         serial += 1
-        stack.append((tag, serial, content, boiler, top[4] or tag in ("li", "td", "dd", "dt"), top[5] or tag in ("h1", "h2", "h3"), hidden))
+        stack.append((tag, serial, content, boiler, top[4] or tag in ("li", "td", "dd", "dt"), top[5] or tag in ("h1", "h2", "h3"), hidden, form))
         links += tag == "a"
     flush()
     return out
 
 
 def features(seg: list[_Segment]) -> np.ndarray:
-    """One row per segment: what the classifier sees."""
+    """One row per segment: what the classifier sees, all of it of the text and its place."""
     total = sum(s.chars for s in seg) or 1
     k = len(seg)
     return np.array(
-        [[1.0, s.content and not s.boiler, s.boiler, s.linked / s.chars, min(s.chars, 2000) / 2000, s.chars / total, min(s.marks / s.chars * 50, 2.0), min(s.chars / len(s.texts), 400) / 400, bool(s.items), i / k] for i, s in enumerate(seg)],
+        [[1.0, s.linked / s.chars, min(s.chars, 2000) / 2000, s.chars / total, min(s.marks / s.chars * 50, 2.0), min(s.chars / len(s.texts), 400) / 400, bool(s.items), bool(s.heading), i / k] for i, s in enumerate(seg)],
         dtype=float,
-    ).reshape(k, 10)
+    ).reshape(k, N_FEATURES)
 
 
-def train(pages: list[str], steps: int = STEPS) -> np.ndarray:
-    """Logistic weights from pages that mark both article and boilerplate.
+#: Weights of the features, and where training starts: text that is long, punctuated and not linked.
+PRIOR = (-1.0, -4.0, 2.0, 2.0, 1.0, 1.5, -0.5, 0.5, 0.0)
+N_FEATURES = len(PRIOR)
 
-    Half of the rows hide the two semantic features, so that the others learn to speak for pages without such tags.
+
+def examples(page: str) -> list[tuple[float, np.ndarray]]:
+    """(1, mean features of content) and (0, those of boilerplate) of a page whose tags tell them apart; else none.
+
+    A page speaks once for either, however many segments it has.
     """
-    xs, ys = [], []
-    for p in pages:
-        seg = [s for s in segments(p)]
-        if not (any(s.content and not s.boiler for s in seg) and any(s.boiler for s in seg)):
-            continue
-        x = features(seg)
-        keep = [i for i, s in enumerate(seg) if s.content or s.boiler]
-        y = np.array([bool(seg[i].content and not seg[i].boiler) for i in keep], float)
-        blind = x[keep].copy()
-        blind[:, 1:3] = 0
-        xs += [x[keep], blind]
-        ys += [y, y]
-    #: Without a sample: content and boilerplate by tag, then text that is long, punctuated and not linked.
-    prior = np.array([-1.0, 5.0, -6.0, -4.0, 2.0, 2.0, 1.0, 1.5, -0.5, 0.0])
-    if not xs:
-        return prior
-    x, y, w = np.vstack(xs), np.concatenate(ys), prior.copy()
+    seg = segments(page)
+    if not seg:
+        return []
+    x = features(seg)
+    content, boiler = [s.content and s.boiler < BY_CLASS for s in seg], [s.boiler >= BY_CLASS for s in seg]
+    if not any(content) or not any(boiler):
+        return []
+    return [(y, x[np.array(pick)].mean(axis=0)) for y, pick in ((1.0, content), (0.0, boiler))]
+
+
+def train(rows: list[tuple[float, np.ndarray]], steps: int = STEPS) -> np.ndarray:
+    """Logistic weights from (label, features), by Newton's method with a ridge towards PRIOR; PRIOR without rows."""
+    w, prior = np.array(PRIOR), np.array(PRIOR)
+    if not rows:
+        return w
+    y, x = np.array([r[0] for r in rows]), np.vstack([r[1] for r in rows])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        w -= 1.0 * (x.T @ (p - y) / len(y) + 0.1 * (w - prior))
+        slope = x.T @ (p - y) + RIDGE * (w - prior)
+        w = w - np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + RIDGE * np.eye(N_FEATURES), slope)
     return w
 
 
+def log_odds(seg: list[_Segment], weights: np.ndarray) -> np.ndarray:
+    """Of being content, for each segment: what its text says, within bounds, and what names say."""
+    text = np.clip(features(seg) @ weights, -TEXT_SWAY, TEXT_SWAY)
+    return text + IN_ARTICLE * np.array([s.content for s in seg], float) + BY_NAME * np.array([s.boiler for s in seg])
+
+
 def min_cut(source: list[float], sink: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
-    """Nodes on the source side of a minimum cut; edges are undirected. Shortest augmenting paths."""
+    """Nodes on the source side of a minimum cut; edges are undirected.
+
+    A node whose own costs differ by more than all its edges can carry takes the cheaper side in every minimum cut, and
+    its edges become costs of its neighbours: this settles most nodes in linear time. The others are cut by max-flow with
+    blocking flows.
+    """
     n = len(source)
+    lean = [a - b for a, b in zip(source, sink, strict=True)]  # above 0: the source side is cheaper
+    near: list[dict[int, float]] = [{} for _ in range(n)]
+    for i, j, c in edges:
+        if i != j:
+            near[i][j] = near[i].get(j, 0.0) + c
+            near[j][i] = near[j].get(i, 0.0) + c
+    carry = [sum(x.values()) for x in near]
+    side: list[bool | None] = [None] * n
+    queue = deque(range(n))
+    while queue:
+        i = queue.popleft()
+        if side[i] is not None or abs(lean[i]) <= carry[i]:
+            continue
+        side[i] = lean[i] > 0
+        for j, c in near[i].items():
+            if side[j] is None:
+                lean[j] += c if side[i] else -c
+                carry[j] -= c
+                queue.append(j)
+    rest = [i for i in range(n) if side[i] is None]
+    if rest:
+        at = {i: k for k, i in enumerate(rest)}
+        some = [(at[i], at[j], c) for i in rest for j, c in near[i].items() if i < j and j in at]
+        for i, on in zip(rest, _max_flow([lean[i] for i in rest], some), strict=True):
+            side[i] = on
+    return [bool(x) for x in side]
+
+
+def _max_flow(lean: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
+    """The source side of a minimum cut: nodes that can still be reached when no flow can be added."""
+    n = len(lean)
     s, t = n, n + 1
-    cap: list[dict[int, float]] = [{} for _ in range(n + 2)]
-    for i in range(n):
-        both = min(source[i], sink[i])  # flows straight through
-        cap[s][i], cap[i][s] = source[i] - both, 0.0
-        cap[i][t], cap[t][i] = sink[i] - both, 0.0
+    to: list[int] = []
+    cap: list[float] = []
+    out: list[list[int]] = [[] for _ in range(n + 2)]
+
+    def add(i: int, j: int, there: float, back: float) -> None:
+        out[i].append(len(to))
+        to.append(j)
+        cap.append(there)
+        out[j].append(len(to))
+        to.append(i)
+        cap.append(back)
+
+    for i, x in enumerate(lean):
+        if x > 0:
+            add(s, i, x, 0.0)
+        elif x < 0:
+            add(i, t, -x, 0.0)
     for i, j, c in edges:
-        cap[i][j] = cap[i].get(j, 0.0) + c
-        cap[j][i] = cap[j].get(i, 0.0) + c
+        add(i, j, c, c)
     while True:
-        back, queue = {s: s}, deque([s])
-        while queue and t not in back:
+        level = [-1] * (n + 2)
+        level[s] = 0
+        queue = deque([s])
+        while queue:
             u = queue.popleft()
-            for v, c in cap[u].items():
-                if c > 1e-12 and v not in back:
-                    back[v] = u
-                    queue.append(v)
-        if t not in back:
-            return [i in back for i in range(n)]
-        path, v = [], t
-        while v != s:
-            path.append((back[v], v))
-            v = back[v]
-        flow = min(cap[u][v] for u, v in path)
-        for u, v in path:
-            cap[u][v] -= flow
-            cap[v][u] += flow
+            for e in out[u]:
+                if cap[e] > 1e-12 and level[to[e]] < 0:
+                    level[to[e]] = level[u] + 1
+                    queue.append(to[e])
+        if level[t] < 0:
+            return [level[i] >= 0 for i in range(n)]
+        arc, path, u = [0] * (n + 2), [], s
+        while True:  # a blocking flow: depth first, every arc given up once
+            if u == t:
+                flow = min(cap[e] for e in path)
+                for e in path:
+                    cap[e] -= flow
+                    cap[e ^ 1] += flow
+                k = next(k for k, e in enumerate(path) if cap[e] <= 1e-12)
+                u = to[path[k] ^ 1]
+                del path[k:]
+                continue
+            while arc[u] < len(out[u]):
+                e = out[u][arc[u]]
+                if cap[e] > 1e-12 and level[to[e]] == level[u] + 1:
+                    break
+                arc[u] += 1
+            if arc[u] < len(out[u]):
+                path.append(out[u][arc[u]])
+                u = to[path[-1]]
+            elif path:
+                u = to[path.pop() ^ 1]
+                arc[u] += 1
+            else:
+                break
 
 
 def label(seg: list[_Segment], weights: np.ndarray, adjacent: float = ADJACENT, proximity: float = PROXIMITY) -> list[bool]:
     """Whether each segment is content."""
     if not seg:
         return []
-    p = 1 / (1 + np.exp(-np.clip(features(seg) @ weights, -30, 30)))
-    p = np.clip(p, 1e-9, 1 - 1e-9)
+    odds = log_odds(seg, weights)
     edges, last = [], {}
     for i, s in enumerate(seg):
         if i:
@@ -253,7 +357,8 @@ def label(seg: list[_Segment], weights: np.ndarray, adjacent: float = ADJACENT,
         if s.path in last:
             edges.append((last[s.path], i, proximity))
         last[s.path] = i
-    return min_cut(list(-np.log1p(-p)), list(-np.log(p)), edges)
+    # the cost of calling content boilerplate and the other way round: -log of the other's probability
+    return min_cut(np.logaddexp(0, odds).tolist(), np.logaddexp(0, -odds).tolist(), edges)
 
 
 def _shared(a, b):
@@ -268,21 +373,32 @@ def main_text(page: str, weights: np.ndarray) -> str:
     return " ".join(t for s, is_content in zip(seg, label(seg, weights), strict=True) if is_content for t in s.texts)
 
 
+def sampled_weights(pages: DataFrame, sample: int = SAMPLE_PAGES) -> np.ndarray:
+    """Weights trained on at most `sample` pages, picked by a hash of page_id and url. Pages are read whole, in tasks; two rows of features a page reach the driver."""
+    # a share of about 0.8 * sample pages is parsed, so that the work does not grow with the table
+    part = max(1, pages.count() * 5 // (sample * 4))
+    key = F.xxhash64(F.col("page_id").cast("long"), F.col("url").cast("string"))
+    pick = pages.select(key.alias("key"), F.col("html").cast("string").alias("html")).where(F.pmod("key", F.lit(part)) == 0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [(k, y, x.tolist()) for k, h in zip(b["key"].to_pylist(), b["html"].to_pylist(), strict=True) for y, x in examples(h or "")]
+            cols = list(zip(*rows, strict=True)) if rows else [[], [], []]
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.float64()), pa.array(cols[2], pa.list_(pa.float64()))], names=["key", "y", "x"])
+
+    rows = pick.mapInArrow(run, "key long, y double, x array<double>").orderBy("key", "y", "x").limit(2 * sample).collect()
+    return train([(r["y"], np.array(r["x"])) for r in rows])
+
+
 def extract(pages: DataFrame, sample: int = SAMPLE_PAGES, weights: np.ndarray | None = None) -> DataFrame:
     """One row per page: page_id, url, text, n_chars (code points).
 
     Null and empty html gives empty text. The whole html is parsed, however long; broken markup is read as browsers
     do where it matters here (unclosed elements, cut-off tags, character references without semicolon). Repeated rows
     are pages of their own. An empty table gives an empty result. Columns other than page_id, url and html are
-    ignored. The classifier is trained on at most `sample` pages, picked by a hash of page_id and url.
+    ignored. The classifier is trained on at most `sample` pages (see `sampled_weights`).
     """
-    if weights is None:
-        # a share of about 0.8 * sample pages is picked before the limit, so that no task sends more to the driver than its part
-        part = max(1, pages.count() * 5 // (sample * 4))
-        pick = pages.where((F.pmod(F.xxhash64("page_id", "url"), F.lit(part)) == 0) & (F.length("html") < 100_000))
-        pick = pick.select("html").orderBy(F.xxhash64("html"), "html").limit(sample)
-        weights = train([r["html"] for r in pick.collect()])
-    w = weights
+    w = sampled_weights(pages, sample) if weights is None else weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:

@@ -317,6 +317,72 @@ def test_html_keeps_text(page, want):
     assert " ".join(t for s in html_extract.segments(page) if not s.boiler for t in s.texts) == want
 
 
+LONG = "A paragraph of the article that is long enough, with commas and a full stop, to look like prose to anyone."
+
+
+@pytest.mark.parametrize("name", ["comment-body", "story-header", "story-tags-intro", "has-sidebar", "entry-content", "share-price-text"])
+def test_class_words_do_not_condemn_an_article_paragraph(name):
+    w = np.array(html_extract.PRIOR)
+    page = f"<nav><a href=x>Home</a></nav><article><p>{LONG}</p><div class='{name}'><p>{LONG} Two.</p><p>Short one.</p></div><p data-x=it's>{LONG}</p><p class=\"x>{LONG}</p></article><footer>(c)</footer>"
+    assert html_extract.main_text(page, w) == f"{LONG} {LONG} Two. Short one. {LONG} {LONG}"
+
+
+@pytest.mark.parametrize("name", ["comments", "post-comments", "ad", "ad-container", "relatedPosts", "cookie-notice", "share-buttons", "newsletter_signup"])
+def test_named_boilerplate_goes_even_from_articles(name):
+    w = np.array(html_extract.PRIOR)
+    for where in (f"class='{name}'", f"id={name}"):
+        page = f"<form id=aspnetForm><article><p>{LONG}</p><div {where}><article><p>{LONG} Said a reader.</p></article></div></article><form><p>{LONG}</p></form></form>"
+        assert html_extract.main_text(page, w) == LONG
+
+
+def test_a_trained_classifier_tells_unmarked_pages_apart():
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9)))
+    prose = lambda: "".join(f"<p>{' '.join(word() + rng.choice(['', '', ',', '.']) for _ in range(rng.randrange(25, 80)))}.</p>" for _ in range(rng.randrange(2, 6)))
+    links = lambda: "<ul>" + "".join(f"<li><a href=x>{word()}</a></li>" for _ in range(6)) + "</ul>"
+    page = lambda a, b: f"<{b}>{links()}</{b}><{a}>{prose()}</{a}><{b}>{word()} {word()}</{b}>"
+    w = html_extract.train([r for _ in range(60) for r in html_extract.examples(page("article", "nav"))])
+    for _ in range(60):
+        seg = html_extract.segments(page("div", "section"))  # no tag, class or role to see
+        assert [x > 0 for x in html_extract.log_odds(seg, w)] == [False, True, False]
+    assert html_extract.examples(page("div", "section")) == [] and (html_extract.train([]) == html_extract.PRIOR).all()
+
+
+def test_labels_against_all_labellings_of_small_pages():
+    rng, w = random.Random(5), np.array(html_extract.PRIOR)
+    for _ in range(25):
+        bits = [rng.choice([f"<p>{LONG}</p>", "<div><a href=x>link here</a></div>", "<div class=widget-text>Some words, not many.</div>", "<li>item</li>", "<section><p>Short text.</p></section>"]) for _ in range(rng.randrange(1, 7))]
+        seg = html_extract.segments(f"<article>{''.join(bits[:3])}</article>{''.join(bits[3:])}")
+        odds = html_extract.log_odds(seg, w)
+        tied = [(i, j) for j in range(len(seg)) for i in range(j) if i == j - 1 or seg[i].path == seg[j].path and not any(seg[k].path == seg[j].path for k in range(i + 1, j))]
+
+        def cost(m):
+            c = sum(math.log1p(math.exp(-o if m >> i & 1 else o)) for i, o in enumerate(odds))
+            for i, j in tied:
+                if (m >> i ^ m >> j) & 1:
+                    a, b = seg[i].path, seg[j].path
+                    both = sum(1 for _ in html_extract._shared(a, b))
+                    c += (html_extract.ADJACENT / (1 + len(a) + len(b) - 2 * both) if i == j - 1 else 0) + (html_extract.PROXIMITY if a == b else 0)
+            return c
+
+        got = sum(1 << i for i, x in enumerate(html_extract.label(seg, w)) if x)
+        assert cost(got) == pytest.approx(min(map(cost, range(1 << len(seg)))))
+
+
+def test_very_long_pages_end_soon(spark):
+    import time
+
+    page = "".join(f"<div><p>{LONG}</p></div><div class=x{i}><a href=x>link</a></div>" for i in range(10_000))
+    start = time.time()
+    got = html_extract.extract(spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")).first()
+    assert got.text == " ".join([LONG] * 10_000) and time.time() - start < 60
+    rng = random.Random(2)
+    s, t = [[rng.random() * 0.6 for _ in range(20_000)] for _ in range(2)]
+    start = time.time()
+    html_extract.min_cut(s, t, [(i - k, i, 0.3) for k in (1, 2) for i in range(k, 20_000)])
+    assert time.time() - start < 60
+
+
 def test_min_cut_against_all_labellings():
     rng = random.Random(0)
     for _ in range(40):
