@@ -37,23 +37,33 @@ def longest_run(c: Column) -> Column:
     return F.coalesce(F.array_max(runs), F.least(F.length(c), F.lit(1)))
 
 
-def quality_counts(text: Column) -> Column:
-    """The integers that quality is made of. Only spaces and line feeds are left out of the characters."""
-    c = F.translate(F.coalesce(text, F.lit("")), " \n", "")
-    tokens = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"(?U)\S+"), F.lit(0))
-    words = F.filter(tokens, lambda x: x.rlike(f"^{_WORD}"))
-    junk = F.filter(tokens, lambda x: (F.length(x) <= 3) & ~x.rlike(f"^{_WORD}+$") & ~x.rlike(r"^\p{Nd}+$"))
-    return F.struct(
-        F.length(c).alias("chars"),
-        F.length(F.regexp_replace(c, r"\P{L}+", "")).alias("alpha"),
-        F.length(F.regexp_replace(c, r"\P{Nd}+", "")).alias("digits"),
-        longest_run(c).alias("run"),
-        F.size(tokens).alias("tokens"),
-        F.size(words).alias("words"),
-        F.aggregate(words, F.lit(0), lambda a, x: a + F.length(x)).alias("word_chars"),
-        F.size(junk).alias("junk"),
-        is_blank(text).alias("blank"),
-    )
+def bare(text: Column) -> Column:
+    """The characters that count: all but spaces and line feeds."""
+    return F.translate(F.coalesce(text, F.lit("")), " \n", "")
+
+
+def tokens(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"(?U)\S+"), F.lit(0))
+
+
+def status_counts(c: str, text: Column) -> Column:
+    """The integers that decide whether a text is bad, from the column of its bare characters."""
+    letters, digits = F.length(F.regexp_replace(c, r"\P{L}+", "")), F.length(F.regexp_replace(c, r"\P{Nd}+", ""))
+    return F.struct(F.length(c).alias("chars"), letters.alias("alpha"), digits.alias("digits"), longest_run(F.col(c)).alias("run"), is_blank(text).alias("blank"))
+
+
+def quality_counts(c: str, tok: str, text: Column) -> Column:
+    """The integers that quality is made of, from the columns of a text's bare characters and of its tokens."""
+    s = status_counts(c, text)
+    words = F.filter(tok, lambda x: x.rlike(f"^{_WORD}"))
+    junk = F.filter(tok, lambda x: (F.length(x) <= 3) & ~x.rlike(f"^{_WORD}+$") & ~x.rlike(r"^\p{Nd}+$"))
+    return F.struct(s["chars"].alias("chars"), s["alpha"].alias("alpha"), s["digits"].alias("digits"), s["run"].alias("run"), s["blank"].alias("blank"), F.size(tok).alias("tokens"), F.size(words).alias("words"), F.length(F.array_join(words, "")).alias("word_chars"), F.size(junk).alias("junk"))
+
+
+def is_bad(q: str) -> Column:
+    """The noise gate, from a column of counts: a long run, or few letters and digits."""
+    at = lambda n: F.col(f"{q}.{n}")
+    return (at("run") >= 10) | ((ratio(at("alpha"), at("chars")) < 0.30) & (ratio(at("digits"), at("chars")) < 0.05))
 
 
 def quality(q: str) -> dict[str, Column]:
@@ -64,7 +74,7 @@ def quality(q: str) -> dict[str, Column]:
     alpha, digit, junk, word = ratio(at("alpha"), at("chars")), ratio(at("digits"), at("chars")), ratio(at("junk"), at("tokens")), ratio(at("word_chars"), at("words"))
     one = F.lit(1.0)
     score = F.lit(0.4) * alpha + F.lit(0.3) * (one - F.least(junk, one)) + F.lit(0.2) * (one - F.least(at("run") / F.lit(20.0), one)) + F.lit(0.1) * F.least(word / F.lit(10.0), one)
-    bad = (at("run") >= 10) | ((alpha < 0.30) & (digit < 0.05))
+    bad = is_bad(q)
     status = F.when(blank, "empty").when(bad, "bad").when(score < 0.5, "poor").when(score < 0.7, "fair").otherwise("good")
     return {"alpha_ratio": unless(alpha), "digit_ratio": unless(digit), "repeat_run_max": F.when(blank, F.lit(0)).otherwise(at("run")), "junk_token_ratio": unless(junk), "avg_word_len": unless(word), "status": status, "score": unless(score), "noisy": ~blank & bad}
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from foliant.functions.text import is_blank
+
 # Phrases of which two on a page settle its section. They are compared in lower case.
 INDICATORS = {
     "balance_sheet": ("vastaavaa", "vastattavaa", "pysyvät vastaavat", "vaihtuvat vastaavat", "oma pääoma", "vieras pääoma"),
@@ -25,6 +27,12 @@ def block_kinds(blocks: DataFrame) -> DataFrame:
     return blocks.withColumns({"bold": font.contains("bold") | font.contains("black"), "italic": font.contains("italic") | font.contains("oblique"), "kind": kind})
 
 
+def numbered(blocks: DataFrame, keys: list[str]) -> DataFrame:
+    """blocks (keys, seq, text) without blank ones, with block_no from 0 within their page."""
+    full = blocks.where(~is_blank(F.col("text")))
+    return full.withColumn("block_no", F.row_number().over(Window.partitionBy(*keys).orderBy("seq")) - 1)
+
+
 def semantic_types(items: DataFrame) -> DataFrame:
     """items (kind table or block, semantic_type, is_first, bold, text) with semantic_type filled in; one that is there stays."""
     low = F.trim(F.lower("text"))

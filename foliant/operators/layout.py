@@ -36,6 +36,39 @@ def page_mode(pages: DataFrame) -> DataFrame:
     return x.withColumns({"dpi": dpi, "device": F.when(F.col("mode") == "native", "cpu").otherwise("gpu"), "notes": F.concat_ws(",", notes)})
 
 
+def for_native_text(pages: DataFrame) -> DataFrame:
+    """Pages (mode) whose own text is read."""
+    return pages.where(F.col("mode").isin("native", "mixed"))
+
+
+def for_rendering(pages: DataFrame) -> DataFrame:
+    """Pages (mode, dpi) that are drawn to be recognised."""
+    return pages.where(F.col("mode").isin("scan", "mixed") & (F.col("dpi") > 0))
+
+
+def for_vector_tables(pages: DataFrame) -> DataFrame:
+    """Pages (mode, density) whose lines may draw tables."""
+    return pages.where(F.col("mode").isin("native", "mixed") & (F.col("density") > 0.2))
+
+
+def first_pages(pages: DataFrame, most: int) -> DataFrame:
+    return pages.where(F.col("page_index") < most)
+
+
+def crops(regions: DataFrame) -> DataFrame:
+    """regions (type, x0, y0, x1, y1, width, height of the image) cut to the image, in whole pixels; those with nothing left go, and text under 10 pixels wide or high."""
+    inside = lambda c, most: F.greatest(F.lit(0), F.least(F.col(c).cast("int"), F.col(most).cast("int")))
+    x = regions.withColumns({"x0": inside("x0", "width"), "x1": inside("x1", "width"), "y0": inside("y0", "height"), "y1": inside("y1", "height")})
+    w, h = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
+    return x.where((w > 0) & (h > 0) & ((F.col("type") != "text") | ((w >= 10) & (h >= 10))))
+
+
+def region_order(regions: DataFrame, keys: list[str]) -> DataFrame:
+    """regions (keys, type, region_idx, y0) with rank from 0, from top to bottom; of equals tables come first, then as they came."""
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("y0", F.col("type") != "table", "region_idx")) - 1
+    return regions.withColumn("rank", rank)
+
+
 def free_thirds(pages: DataFrame, regions: DataFrame) -> DataFrame:
     """Thirds of pages (page_id, height) that no table region (page_id, y0, y1) touches."""
     t = pages.select("page_id", "height", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("third"))
@@ -75,7 +108,7 @@ def sheet_confidence(n_staves: str = "n_staves"):
     return F.when(F.col(n_staves) >= 3, F.least(0.5 + F.col(n_staves) / 20, F.lit(0.95))).otherwise(0.0)
 
 
-def header_lines(blocks: DataFrame, near: float = 15.0) -> DataFrame:
+def header_lines(blocks: DataFrame, near: float = 15.0, keys: tuple[str, ...] = ("img_id",)) -> DataFrame:
     """Blocks folded into lines: a new line where y is `near` or more from the first block of the line before.
 
     blocks: img_id, seq, y0, text. The anchor does not move inside a line, so a lag would be wrong; the fold runs over
@@ -91,6 +124,6 @@ def header_lines(blocks: DataFrame, near: float = 15.0) -> DataFrame:
         row = F.struct(n.alias("line_no"), b["seq"].cast("int").alias("seq"), b["text"].alias("text"))
         return F.struct(F.when(new, b["y0"]).otherwise(a["anchor"]).alias("anchor"), n.alias("n"), F.concat(a["out"], F.array(row)).alias("out")).cast(kind)
 
-    x = blocks.groupBy("img_id").agg(F.aggregate(parts, start, step)["out"].alias("out")).select("img_id", F.explode("out").alias("o"))
+    x = blocks.groupBy(*keys).agg(F.aggregate(parts, start, step)["out"].alias("out")).select(*keys, F.explode("out").alias("o"))
     words = F.array_sort(F.collect_list(F.struct("o.seq", "o.text")))
-    return x.groupBy("img_id", "o.line_no").agg(F.concat_ws(" ", F.transform(words, lambda w: w["text"])).alias("line"), F.count("*").alias("blocks"))
+    return x.groupBy(*keys, "o.line_no").agg(F.concat_ws(" ", F.transform(words, lambda w: w["text"])).alias("line"), F.count("*").alias("blocks"))

@@ -6,34 +6,83 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Languages by extension (of two claims the later counts), comment styles and categories.
-EXTENSIONS = {".py": "Python", ".sh": "Shell", ".ps1": "PowerShell", ".yml": "YAML", ".yaml": "YAML", ".js": "JavaScript", ".ts": "TypeScript", ".java": "Java", ".cpp": "C++", ".cc": "C++", ".hpp": "C++", ".c": "C", ".h": "C", ".cs": "C#", ".go": "Go", ".rs": "Rust", ".php": "PHP", ".rb": "Ruby", ".kt": "Kotlin", ".swift": "Swift", ".sql": "SQL", ".html": "HTML", ".xml": "XML", ".css": "CSS", ".json": "JSON", ".toml": "TOML", ".md": "Markdown"}
+EXTENSIONS = {".py": "Python", ".js": "JavaScript", ".ts": "TypeScript", ".tsx": "TypeScript", ".go": "Go", ".java": "Java", ".cs": "C#", ".cpp": "C++", ".cc": "C++", ".cxx": "C++", ".hpp": "C++", ".c": "C", ".h": "C", ".rs": "Rust", ".rb": "Ruby", ".php": "PHP", ".kt": "Kotlin", ".swift": "Swift", ".sql": "SQL", ".sh": "Shell", ".bash": "Shell", ".ps1": "PowerShell", ".yaml": "YAML", ".yml": "YAML", ".toml": "TOML", ".json": "JSON", ".md": "Markdown", ".xml": "XML", ".html": "HTML", ".htm": "HTML", ".css": "CSS"}
 HASH = ("Python", "Shell", "PowerShell", "YAML")
 SLASH = ("JavaScript", "TypeScript", "Java", "C++", "C", "C#", "Go", "Rust", "PHP")
 MARKUP = ("HTML", "XML")
 DATA, DOCS = ("JSON", "XML"), ("Markdown",)
-EXCLUDED_DIRS = (".git", ".hg", ".svn", ".idea", ".vscode", "__pycache__", ".pytest_cache", ".mypy_cache", "node_modules", "venv", ".venv", "env", "dist", "build", "out", "target", "vendor")
+# Folders, suffixes and patterns of files that are not counted.
+EXCLUDED_DIRS = ("node_modules", "dist", "build", ".next", ".nuxt", ".cache", ".venv", "venv", "__pycache__", ".git", "coverage", "target", "out", ".turbo", ".idea", ".vscode", ".pytest_cache")
+BINARY = (".pdf", ".png", ".jpg", ".jpeg", ".gif", ".bmp", ".ico", ".svg", ".zip", ".tar", ".gz", ".7z", ".rar", ".exe", ".dll", ".so", ".dylib", ".pyc", ".pyo", ".pyd", ".db", ".sqlite", ".sqlite3", ".xlsx", ".xls", ".doc", ".docx", ".mxl", ".omr")
+EXCLUDED_PATTERNS = (r"\.min\.", r"\.map$", r"package-lock\.json$", r"yarn\.lock$", r"pnpm-lock\.yaml$", r"poetry\.lock$", r"Pipfile\.lock$")
+
+
+def suffix(path):
+    """The last dot of a file's name and what follows; none for a name that only starts with a dot, or ends with one."""
+    return F.lower(F.regexp_extract(path, r"[^/](\.[^./]+)$", 1))
 
 
 def language(path):
-    ext = F.lower(F.regexp_extract(path, r"(\.[^./]+)$", 1))
     pairs = [F.lit(x) for kv in EXTENSIONS.items() for x in kv]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), ext), F.lit("Other"))
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), suffix(path)), F.lit("Other"))
 
 
 def category(lang):
     return F.when(lang.isin(*DATA), "data").when(lang.isin(*DOCS), "docs").otherwise("code")
 
 
-def without_excluded(files: DataFrame, ignored: DataFrame | None = None) -> DataFrame:
-    """files (path) outside the excluded folders, and without those that contain a pattern of `ignored` (pattern)."""
-    kept = files.where(~F.arrays_overlap(F.split("path", "/"), F.array(*[F.lit(d) for d in EXCLUDED_DIRS])))
-    return kept if ignored is None else kept.join(ignored, F.col("path").contains(F.col("pattern")), "left_anti")
+def excluded(path):
+    """Whether a path lies in an excluded folder, is binary by its suffix, or matches a pattern (in any case)."""
+    folder = F.arrays_overlap(F.split(path, "/"), F.array(*[F.lit(d) for d in EXCLUDED_DIRS]))
+    return folder | suffix(path).isin(*BINARY) | path.rlike("(?i)" + "|".join(EXCLUDED_PATTERNS))
+
+
+def read_ignored(spark: SparkSession, root: str) -> DataFrame:
+    """pattern: the lines of root's .gitignore, without blank lines and comments; none where there is no such file.
+
+    Spark's sources do not see files whose names begin with a dot, so the driver opens this one.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(root, ".gitignore")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    lines = []
+    if fs.exists(path):
+        stream = fs.open(path)
+        lines = [x.strip() for x in spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").splitlines()]
+        stream.close()
+    found = {x.rstrip("/") for x in lines if x and not x.startswith("#")}
+    return spark.createDataFrame([(x,) for x in sorted(found)], "pattern string")
+
+
+def ignored_by(path, pattern):
+    """Whether a path holds a pattern's text, or matches it with * for anything, wherever: no other wildcard counts."""
+    return path.contains(pattern) | (pattern.contains("*") & F.rlike(path, F.regexp_replace(pattern, r"\*", ".*")))
+
 
+def without_excluded(files: DataFrame, ignored: DataFrame | None = None, path: str = "path") -> DataFrame:
+    """files (path) that are not `excluded`, nor `ignored_by` a pattern; patterns are those of one small file and are broadcast."""
+    kept = files.where(~excluded(F.col(path)))
+    return kept if ignored is None else kept.join(F.broadcast(ignored), ignored_by(F.col(path), F.col("pattern")), "left_anti")
 
-def read_lines(spark: SparkSession, root: str) -> DataFrame:
-    """Text files below root, without the excluded folders; paths are filtered before any content is read."""
+
+def read_lines(spark: SparkSession, root: str, use_ignored: bool = False) -> DataFrame:
+    """path (below root), line_no and text of the files that count.
+
+    Paths are tested on the file list: what is excluded is never opened. Files and folders whose names begin with a dot or
+    an underscore are hidden to Spark's sources, and so not counted. Bytes that are no UTF-8 are left out. Lines end
+    with a line feed, a carriage return or both; a last line without text is none.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    return without_excluded(files).select("path", F.posexplode(F.split(F.decode("content", F.lit("UTF-8")), "\n", -1)).alias("line_no", "text"))
+    base = spark._jvm.org.apache.hadoop.fs.Path(root)
+    base = base.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(base).toString().rstrip("/")
+    below = lambda c: F.regexp_replace(F.substring(c, F.length(c) - F.length(F.regexp_replace(c, r"^[a-z][a-z0-9+.\-]*:/*", "")) + 1, 1 << 20), "^/*", "")
+    kept = files.where(~excluded(F.col("_metadata.file_path")))
+    rel = F.substring(below(F.col("path")), F.length(below(F.lit(base))) + 2, 1 << 20)
+    x = kept.select(rel.alias("path"), "content")
+    if use_ignored:
+        x = without_excluded(x, read_ignored(spark, root))
+    text = F.regexp_replace(F.make_valid_utf8(F.col("content").cast("string")), "\ufffd", "")
+    lines = F.split(F.regexp_replace(text, r"(\r\n|\r|\n)\z", ""), r"\r\n|\r|\n", -1)
+    return x.where(F.length("content") > 0).select("path", F.posexplode(lines).alias("line_no", "text"))
 
 
 def classified(lines: DataFrame) -> DataFrame:
@@ -74,5 +123,6 @@ def by_language(lines: DataFrame) -> DataFrame:
     return g.where("code > 0")
 
 
-def top_files(lines: DataFrame, k: int = 20) -> DataFrame:
-    return files(lines).orderBy(F.desc("code"), "path").limit(k)
+def top_files(lines: DataFrame, k: int = 20, by: str = "code") -> DataFrame:
+    """The k files with most lines of code, or most lines that are not blank (by="filled": code and comments)."""
+    return files(lines).withColumn("filled", F.col("code") + F.col("comments")).orderBy(F.desc(by), "path").limit(k).drop("filled")

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliant.functions.music import beats_per_measure, duration_beats, nearest_duration
+from foliant.functions.music import beats_per_measure, duration_beats, key_name, nearest_duration, pitch, text_class
 
 TOLERANCE = 0.1
 
@@ -46,22 +51,79 @@ def filled_keys(notes: DataFrame) -> DataFrame:
     return x.select("piece_id", "measure_seq", F.coalesce("key", "first_other", "first_any").alias("key"))
 
 
+def unpacked(files: DataFrame) -> DataFrame:
+    """files (path, content) with the score inside a compressed one (.mxl): its first XML file outside META-INF that is no container.
+
+    Spark has no reader for zip archives; each is opened where it was read. An archive that cannot be read has null content.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for path, content in zip(b["path"].to_pylist(), b["content"].to_pylist(), strict=True):
+                if path.lower().endswith(".mxl"):
+                    try:
+                        with zipfile.ZipFile(io.BytesIO(content)) as z:
+                            names = [n for n in z.namelist() if n.endswith(".xml") and not n.startswith("META-INF")]
+                            names = [n for n in names if "container" not in n.lower()] or names
+                            content = z.read(names[0]) if names else None
+                    except zipfile.BadZipFile:
+                        content = None
+                out.append(content)
+            yield pa.RecordBatch.from_arrays([b["path"], pa.array(out, pa.binary())], names=["path", "content"])
+
+    return files.select("path", F.col("content").cast("binary").alias("content")).mapInArrow(run, "path string, content binary")
+
+
+def best_scores(files: DataFrame) -> DataFrame:
+    """Of each folder's scores (path) the one to read: compressed ones first, then by name."""
+    x = files.withColumns({"folder": F.regexp_extract("path", r"^(.*?)[^/]*$", 1), "name": F.regexp_extract("path", r"([^/]*)$", 1)})
+    x = x.where(F.col("name").rlike(r"\.(mxl|musicxml)$"))
+    order = Window.partitionBy("folder").orderBy(~F.col("name").endswith(".mxl"), "name")
+    return x.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n", "folder", "name")
+
+
+def _measures_of(files: DataFrame) -> DataFrame:
+    xml = F.make_valid_utf8(F.col("content").cast("string")) if dict(files.dtypes)["content"] == "binary" else F.col("content")
+    text = F.regexp_replace(F.regexp_replace(xml, r"<!DOCTYPE[^>]*>", ""), r"<\?xml[^>]*\?>", "")
+    return files.select("path", F.posexplode(F.regexp_extract_all(text, F.lit(r"(?s)(<measure\b.*?</measure>)"), F.lit(1))).alias("measure_seq", "m"))
+
+
+def _tag(column: str, tag: str):
+    return F.nullif(F.regexp_extract(column, rf"<{tag}>\s*([^<]*?)\s*</{tag}>", 1), F.lit(""))
+
+
+def parse_measures(files: DataFrame) -> DataFrame:
+    """files (path, content as text or bytes) of MusicXML to measures: path, measure_seq, number, time_signature, key_signature (null where a measure states none)."""
+    m = _measures_of(files)
+    time = F.concat_ws("/", _tag("m", "beats"), _tag("m", "beat-type"))
+    key = F.when(F.col("m").rlike(r"<key\b"), key_name(F.coalesce(_tag("m", "fifths"), F.lit("0")).try_cast("int")))
+    return m.select("path", "measure_seq", F.regexp_extract("m", r'number="([^"]*)"', 1).alias("number"), F.when(time.contains("/"), time).alias("time_signature"), key.alias("key_signature"))
+
+
 def parse_musicxml(files: DataFrame) -> DataFrame:
-    """files (path, content) of uncompressed MusicXML to notes, one row each, rests left out.
+    """files (path, content as text or bytes) of uncompressed MusicXML to notes, one row each, rests left out; for .mxl see `unpacked`.
 
     Measures of all parts follow one another, and the notes of a chord count one after another.
     """
-    xml = F.decode("content", F.lit("UTF-8")) if dict(files.dtypes)["content"] == "binary" else F.col("content")
-    text = F.regexp_replace(F.regexp_replace(xml, r"<!DOCTYPE[^>]*>", ""), r"<\?xml[^>]*\?>", "")
-    m = files.select("path", F.posexplode(F.regexp_extract_all(text, F.lit(r"(?s)(<measure\b.*?</measure>)"), F.lit(1))).alias("measure_seq", "m"))
+    m = _measures_of(files)
     n = m.select("path", "measure_seq", F.regexp_extract("m", r'number="([^"]*)"', 1).alias("number"), F.posexplode(F.regexp_extract_all("m", F.lit(r"(?s)(<note\b.*?</note>)"), F.lit(1))).alias("note_seq", "n"))
-    get = lambda tag: F.nullif(F.regexp_extract("n", rf"<{tag}>([^<]*)</{tag}>", 1), F.lit(""))
-    from foliant.functions.music import pitch
-
+    get = lambda tag: _tag("n", tag)
     return n.where(~F.col("n").rlike(r"<rest\b")).select("path", "measure_seq", "number", "note_seq", pitch(get("step"), get("alter"), get("octave")).alias("pitch"), F.coalesce(get("type"), F.lit("quarter")).alias("duration"), F.coalesce(get("voice").try_cast("int"), F.lit(1)).alias("voice"))
 
 
-def classified_tokens(tokens: DataFrame) -> DataFrame:
-    from foliant.functions.music import text_class
+def placed_share(notes: DataFrame) -> DataFrame:
+    """Per piece its notes, and how many have a place other than the start of their measure. notes: piece_id, beat."""
+    return notes.groupBy("piece_id").agg(F.count("*").alias("notes"), F.count_if(F.col("beat").isNotNull() & (F.col("beat") != 0)).alias("placed"))
 
+
+def rhythm_errors(notes: DataFrame) -> DataFrame:
+    """Per piece what is wrong with its measures, joined by "; " in their order."""
+    m = measures(notes).where("state <> 'valid'")
+    said = F.concat(F.lit("measure "), F.col("measure_seq").cast("string"), F.lit(": "), F.col("state"), F.lit(", "), F.col("actual").cast("string"), F.lit(" beats of "), F.col("expected").cast("string"))
+    each = F.array_sort(F.collect_list(F.struct("measure_seq", said.alias("said"))))
+    return m.groupBy("piece_id").agg(F.concat_ws("; ", F.transform(each, lambda x: x["said"])).alias("errors"))
+
+
+def classified_tokens(tokens: DataFrame) -> DataFrame:
     return tokens.withColumn("class", text_class(F.col("text")))

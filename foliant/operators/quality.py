@@ -5,18 +5,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliant.functions.text import quality, quality_counts
+from foliant.functions.text import bare, characters, is_bad, is_blank, quality, quality_counts, ratio, status_counts, tokens, trigrams
 
 STRICT, LENIENT = 0.10, 0.20
 
 
+def _once(df: DataFrame, **columns) -> DataFrame:
+    """df with columns out of a generator: as plain columns they would be inlined, and computed, at every use."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(k) for k, c in columns.items()]))))
+
+
 def with_quality(df: DataFrame, text: str = "text") -> DataFrame:
-    """df with its measures, status, score and `noisy` (the noise gate).
+    """df with its measures, status, score and `noisy` (the noise gate)."""
+    q = _once(df, _c=bare(F.col(text)), _t=tokens(F.col(text)))
+    q = _once(q, _q=quality_counts("_c", "_t", F.col(text)))
+    return q.withColumns(quality("_q")).drop("_q", "_c", "_t")
+
+
+def with_bad(df: DataFrame, text: str = "text") -> DataFrame:
+    """df with `status` "bad" or null: what verdicts need, without looking at tokens."""
+    q = _once(_once(df, _c=bare(F.col(text))), _q=status_counts("_c", F.col(text)))
+    return q.withColumn("status", F.when(~F.col("_q.blank") & is_bad("_q"), "bad")).drop("_q", "_c")
+
+
+def smoke(df: DataFrame, key: str, text: str = "text", k: int = 10) -> DataFrame:
+    """Per text (key) the characters of an average word, the share of other characters than letters, and its k most frequent trigrams as "abc:3", joined by commas.
 
-    The counts come out of a generator: as a plain struct they would be inlined, and computed, at every use.
+    Trigrams are of letters and digits, lower-cased, of the text without spaces and line feeds; of equals the first seen
+    comes first. A blank text has 0, 0 and none.
     """
-    q = df.select("*", F.inline(F.array(F.struct(quality_counts(F.col(text)).alias("_q")))))
-    return q.withColumns(quality("_q")).drop("_q")
+    x = _once(df.select(key, F.col(text).alias("_text")), blank=is_blank(F.col("_text")), bare=bare(F.col("_text")), word=F.regexp_extract_all(F.coalesce(F.col("_text"), F.lit("")), F.lit(r"(?U)\w+"), F.lit(0)))
+    x = x.select(key, "blank", "bare", F.length(F.regexp_replace("bare", r"\P{L}+", "")).alias("letters"), F.length("bare").alias("chars"), F.size("word").alias("words"), F.length(F.array_join("word", "")).alias("word_chars"))
+    unless = lambda c: F.when(F.col("blank"), F.lit(0.0)).otherwise(c)
+    base = x.select(key, unless(ratio(F.col("word_chars"), F.col("words"))).alias("chars_per_word"), unless(ratio(F.col("chars") - F.col("letters"), F.col("chars"))).alias("non_alpha_ratio"))
+    g = x.where("not blank").select(key, characters(F.col("bare")).alias("c")).select(key, F.posexplode(trigrams("c")).alias("i", "t"))
+    g = g.select(key, "i", F.lower("t").alias("t")).where(F.col("t").rlike(r"^[\p{L}\p{Nd}]{3}$")).groupBy(key, "t").agg(F.count("*").alias("n"), F.min("i").alias("i"))
+    g = g.withColumn("r", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("n"), "i"))).where(F.col("r") <= k)
+    top = g.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", "t", "n"))), lambda v: F.concat(v["t"], F.lit(":"), v["n"].cast("string"))), ",").alias("top"))
+    return base.join(top, key, "left").withColumn("top", F.coalesce("top", F.lit("")))
 
 
 def page_text(blocks: DataFrame, keys: list[str]) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliant.functions.music import DYNAMICS, EXPRESSIONS, LEAST_CONFIDENCE, NOISE, SHEET_WORDS, text_class
+from foliant.operators.music import filled_keys
 
 
 def valid_tokens(tokens: DataFrame) -> DataFrame:
@@ -77,6 +78,41 @@ def time_hint(tokens: DataFrame) -> DataFrame:
     return x.groupBy("piece_id").agg(F.min_by("hint", "seq").alias("time_signature"))
 
 
+def clef_hint(images: DataFrame) -> DataFrame:
+    """images (staves, width, height) with clef: G wherever there is a staff and a strip of the image to look at, else null."""
+    first = F.get("staves", F.lit(0))
+    tall = first["bottom_y"] - first["top_y"]
+    left = (F.col("width") * 0.05).cast("int")
+    wide = F.least(F.col("width"), left + (F.col("width") * 0.15).cast("int")) - left
+    high = F.least(F.col("height"), first["bottom_y"] + tall) - F.greatest(F.lit(0), first["top_y"] - tall)
+    return images.withColumn("clef", F.when((F.size("staves") > 0) & (wide > 0) & (high > 0), "G"))
+
+
+def interline(images: DataFrame, distance: str = "interline") -> DataFrame:
+    """Per image the median distance of staff lines, zeros and nulls left out. images: img_id, interline, a row per staff."""
+    return images.where(F.col(distance) != 0).groupBy("img_id").agg(F.percentile(distance, F.lit(0.5)).alias(distance))
+
+
+def structure_hints(images: DataFrame, tokens: DataFrame) -> DataFrame:
+    """Per piece the clef and the time signature that its image and header suggest. images: piece_id, staves, width, height."""
+    clef = clef_hint(images).select("piece_id", "clef")
+    return clef.join(time_hint(tokens), "piece_id", "left")
+
+
+def settled_measures(measures: DataFrame, hints: DataFrame) -> DataFrame:
+    """measures (piece_id, measure_seq, time_signature, key_signature) with one time signature per piece and keys filled in."""
+    m = unified_time(measures, hints.select("piece_id", "time_signature"))
+    keys = filled_keys(m).withColumnRenamed("key", "key_signature")
+    return m.drop("key_signature").join(keys, ["piece_id", "measure_seq"])
+
+
+def settled_metadata(found: DataFrame, score: DataFrame) -> DataFrame:
+    """found (piece_id, ...) with what the score states in its place: score has piece_id and some of found's columns."""
+    names = [c for c in score.columns if c != "piece_id"]
+    x = found.join(score.withColumnsRenamed({c: f"score_{c}" for c in names}), "piece_id", "left")
+    return x.select(*[F.coalesce(f"score_{c}", c).alias(c) if c in names else F.col(c) for c in found.columns])
+
+
 def unified_time(measures: DataFrame, hints: DataFrame) -> DataFrame:
     """measures (piece_id, measure_seq, time_signature) all with one signature: the score's first, the header's, or 4/4."""
     own = measures.where("time_signature is not null").groupBy("piece_id").agg(F.min_by("time_signature", "measure_seq").alias("own"))

@@ -34,56 +34,77 @@ def validity(cells: DataFrame) -> DataFrame:
     return g.withColumn("valid", (F.col("columns") >= 2) & (F.col("numeric") * 10 >= F.col("cells")))
 
 
-def contents_like(cells: DataFrame) -> DataFrame:
+def contents_like(cells: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Per table whether it looks like a table of contents: dotted leaders, and cells that are page numbers."""
-    g = cells.groupBy("table_id").agg(F.count("*").alias("cells"), F.count_if(F.col("text_raw").rlike(r"\.{2,}")).alias("dotted"), F.count_if(F.trim("text_raw").rlike(r"^\d{1,3}$")).alias("paged"))
+    g = cells.groupBy(*(keys or ["table_id"])).agg(F.count("*").alias("cells"), F.count_if(F.col("text_raw").rlike(r"\.{2,}")).alias("dotted"), F.count_if(F.trim("text_raw").rlike(r"^\d{1,3}$")).alias("paged"))
     dots, pages = F.col("dotted") / F.col("cells"), F.col("paged") / F.col("cells")
     return g.withColumn("is_toc", (F.col("cells") >= 3) & (((dots > 0.1) & (pages > 0.1)) | (dots > 0.2)))
 
 
-def row_totals(cells: DataFrame) -> DataFrame:
-    """Rows with a total's label whose last number is not the sum of the ones before it."""
+def _numbered_rows(cells: DataFrame, keys: list[str], labels: tuple[str, ...]) -> DataFrame:
+    """keys, row_idx, label and v (numbers after the first cell, in order) of rows whose first cell holds one of the labels."""
     parts = F.array_sort(F.collect_list(F.struct("cell_seq", "text_raw")))
-    rows = cells.groupBy("table_id", "row_idx").agg(parts.alias("c"))
-    v = F.filter(F.transform(F.slice("c", 2, F.greatest(F.size("c") - 1, F.lit(0))), lambda x: parse_number(x["text_raw"])), lambda x: x.isNotNull())
-    rows = rows.select("table_id", "row_idx", F.lower(F.col("c")[0]["text_raw"]).alias("label"), F.transform(v, lambda x: F.round(x * 100).cast("long")).alias("v"))
+    rows = cells.groupBy(*keys, "row_idx").agg(parts.alias("c"))
+    rows = rows.withColumn("label", F.lower(F.col("c")[0]["text_raw"]))
     said = F.lit(False)
-    for label in SUM_LABELS:
+    for label in labels:
         said = said | F.col("label").contains(label)
-    rows = rows.where(said & (F.size("v") >= 2)).withColumns({"expected": F.aggregate(F.slice("v", 1, F.size("v") - 1), F.lit(0).cast("long"), lambda a, x: a + x), "actual": F.element_at("v", -1)})
-    return rows.where(F.abs(F.col("expected") - F.col("actual")) > 1).select("table_id", "row_idx", F.col("expected").alias("expected_cents"), F.col("actual").alias("actual_cents"))
+    v = F.filter(F.transform(F.slice("c", 2, F.greatest(F.size("c") - 1, F.lit(0))), lambda x: parse_number(x["text_raw"])), lambda x: x.isNotNull())
+    # numbers are read only in such rows: behind a generator, the filter stays before them
+    return rows.where(said).select(*keys, "row_idx", "label", F.inline(F.array(F.struct(v.alias("v")))))
+
 
+def row_totals(cells: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Rows with a total's label whose last number differs by more than a hundredth from the sum of the ones before it."""
+    keys = keys or ["table_id"]
+    rows = _numbered_rows(cells, keys, SUM_LABELS).where(F.size("v") >= 2)
+    expected = F.aggregate(F.slice("v", 1, F.size("v") - 1), F.lit(0.0), lambda a, x: a + x)
+    rows = rows.select(*keys, "row_idx", expected.alias("expected"), F.element_at("v", -1).alias("actual"))
+    return rows.where(F.abs(F.col("expected") - F.col("actual")) > 0.01)
 
-def balance(rows: DataFrame) -> DataFrame:
-    """Per table assets against liabilities, from the last row of either: ok within half a per cent, warning within ten times that."""
-    low, value = F.lower("label"), F.round(parse_number(F.col("text_raw")) * 100).cast("long")
+
+def balance(cells: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Per table assets against liabilities, each the last number of the last row so labelled that has one: ok within half a per cent, warning within ten times that."""
+    keys = keys or ["table_id"]
+    rows = _numbered_rows(cells, keys, ASSETS + LIABILITIES).where(F.size("v") > 0).withColumn("last", F.element_at("v", -1))
 
     def side(words):
         hit = F.lit(False)
         for w in words:
-            hit = hit | low.contains(w)
-        return F.max_by(value, F.when(hit, F.col("row_idx")))
+            hit = hit | F.col("label").contains(w)
+        return F.max_by("last", F.when(hit, F.col("row_idx")))
 
-    hit_assets = rows.where(value.isNotNull()).groupBy("table_id").agg(side(ASSETS).alias("assets"), side(LIABILITIES).alias("liabilities"))
-    both = hit_assets.where("assets is not null and liabilities is not null")
-    diff, most = F.abs(F.col("assets") - F.col("liabilities")), F.greatest(F.abs("assets"), F.abs("liabilities"))
-    # in integers: diff <= 0.005 * most
-    return both.withColumn("severity", F.when(diff * 200 <= most, "ok").when(diff * 20 < most, "warning").otherwise("error"))
+    both = rows.groupBy(*keys).agg(side(ASSETS).alias("assets"), side(LIABILITIES).alias("liabilities")).where("assets is not null and liabilities is not null")
+    diff, tolerance = F.abs(F.col("assets") - F.col("liabilities")), F.greatest(F.abs("assets"), F.abs("liabilities")) * 0.005
+    return both.withColumn("severity", F.when(diff <= tolerance, "ok").when(diff < tolerance * 10, "warning").otherwise("error"))
 
 
-def grid(cells: DataFrame, columns: int = 4) -> DataFrame:
-    """A row per table row, its cells side by side; of several writes to a cell the last counts."""
-    return cells.groupBy("table_id", "row_idx").agg(*[F.max_by("text_raw", F.when(F.col("col_idx") == i, F.col("cell_seq"))).alias(f"c{i}") for i in range(columns)])
+def grid(cells: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """A row per table row from 0 to the last, with `cells`: its texts from column 0 to the table's last column, empty where there is none; of several writes to a cell the last counts."""
+    keys = keys or ["table_id"]
+    one = cells.groupBy(*keys, "row_idx", "col_idx").agg(F.max_by(F.coalesce("text_raw", F.lit("")), "cell_seq").alias("t"))
+    rows = one.groupBy(*keys, "row_idx").agg(F.map_from_entries(F.collect_list(F.struct("col_idx", "t"))).alias("m"), F.max("col_idx").alias("last"))
+    size = rows.groupBy(*keys).agg(F.max("row_idx").alias("rows"), F.max("last").alias("columns"))
+    every = size.select(*keys, "columns", F.explode(F.sequence(F.lit(0), F.col("rows"))).alias("row_idx"))
+    x = every.join(rows.drop("last"), [*keys, "row_idx"], "left")
+    return x.select(*keys, "row_idx", F.transform(F.sequence(F.lit(0), F.col("columns")), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(""))).alias("cells"))
 
 
-def structure_type(cells: DataFrame) -> DataFrame:
+def structure_type(cells: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """What a table states, from words in its first ten cells."""
-    w = Window.partitionBy("table_id").orderBy("cell_seq")
-    first = cells.withColumn("_n", F.row_number().over(w)).where("_n <= 10")
-    low = F.lower("text_raw")
-    has = lambda *words: F.bool_or(low.rlike("|".join(words)))
-    g = first.groupBy("table_id").agg(has("vastaavaa", "vastattavaa", "varat", "velat").alias("bs"), (has("2023", "2024") & has("tuotot", "kulut", "tulos")).alias("inc"))
-    return g.select("table_id", F.when(F.col("bs"), "balance_sheet").when(F.col("inc"), "income_statement").otherwise("unknown").alias("type"))
+    keys = keys or ["table_id"]
+    first = F.slice(F.array_sort(F.collect_list(F.struct("cell_seq", F.lower("text_raw").alias("t")))), 1, 10)
+    text = cells.groupBy(*keys).agg(F.concat_ws(" ", F.transform(first, lambda x: x["t"])).alias("t"))
+    has = lambda *words: F.col("t").rlike("|".join(words))
+    kind = F.when(has("vastaavaa", "vastattavaa", "varat", "velat"), "balance_sheet").when(has("2023", "2024") & has("tuotot", "kulut", "tulos"), "income_statement").otherwise("unknown")
+    return text.select(*keys, kind.alias("type"))
+
+
+def header_text(cells: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """The first five cells of row 0, joined."""
+    keys = keys or ["table_id"]
+    first = F.slice(F.array_sort(F.collect_list(F.struct("cell_seq", "text_raw"))), 1, 5)
+    return cells.where("row_idx = 0").groupBy(*keys).agg(F.concat_ws(" ", F.transform(first, lambda x: x["text_raw"])).alias("header"))
 
 
 def cells_from_text(df: DataFrame) -> DataFrame:
@@ -93,7 +114,12 @@ def cells_from_text(df: DataFrame) -> DataFrame:
 
 
 def cells_from_html(df: DataFrame, tag: str = "td") -> DataFrame:
-    """Cells between <tag> and </tag>, without markup. df: table_id, html. Rows advance only where a cell holds a line feed."""
-    found = F.regexp_extract_all("html", F.lit(rf"(?s)<{tag}[^>]*>(.*?)</{tag}>"), F.lit(1))
-    x = df.select("table_id", F.posexplode(found).alias("cell_seq", "raw"))
-    return x.select("table_id", "cell_seq", F.trim(F.regexp_replace("raw", "<[^>]+>", "")).alias("text_raw"))
+    """Cells between <tag> and </tag>, without markup, with row_idx and col_idx. df: table_id, html.
+
+    A cell lies in the table row whose <tr> comes last before it; cells before any row are in row 0.
+    """
+    rows = F.split("html", r"(?i)<tr(?=[\s>])", -1)
+    r = df.select("table_id", F.posexplode(rows).alias("part", "row"))
+    x = r.select("table_id", "part", F.posexplode(F.regexp_extract_all("row", F.lit(rf"(?si)<{tag}(?=[\s>])[^>]*>(.*?)</{tag}>"), F.lit(1))).alias("col_idx", "raw"))
+    seq = F.row_number().over(Window.partitionBy("table_id").orderBy("part", "col_idx")) - 1
+    return x.select("table_id", F.greatest(F.col("part") - 1, F.lit(0)).alias("row_idx"), "col_idx", seq.alias("cell_seq"), F.trim(F.regexp_replace("raw", "<[^>]+>", "")).alias("text_raw"))

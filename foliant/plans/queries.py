@@ -64,7 +64,7 @@ _VERDICT = "count(*) AS pages, count_if(status = 'bad') AS bad, CASE WHEN count_
 
 @query(_Q_DOCS + f" SELECT source, {_VERDICT} FROM q JOIN documents ON q.id = doc_id GROUP BY source")
 def quality_verdict_by_source(spark, sf_dir):
-    return quality.verdict(quality.with_quality(_docs(spark, sf_dir)), ["source"])
+    return quality.verdict(quality.with_bad(_docs(spark, sf_dir)), ["source"])
 
 
 @query(_Q_DOCS + " SELECT lang, status, count(*) AS n FROM q JOIN documents ON q.id = doc_id GROUP BY ALL")
@@ -91,6 +91,18 @@ def pass_status_hist(spark, sf_dir):
     return quality.with_quality(ad.passes(spark, sf_dir)).groupBy("pass", "status").agg(F.count("*").alias("n"))
 
 
+_SMOKE = r"""WITH b AS (SELECT doc_id, text, replace(replace(text, ' ', ''), chr(10), '') AS c, regexp_full_match(text, '\s*') AS blank, regexp_extract_all(text, '[\p{L}\p{M}\p{Nd}\p{Pc}]+') AS w FROM documents),
+g AS (SELECT doc_id, lower(t) AS t, min(i) AS i, count(*) AS n FROM (SELECT doc_id, i, substr(c, i, 3) AS t FROM (SELECT doc_id, c, unnest(range(1, length(c) - 1)) AS i FROM b WHERE NOT blank)) WHERE regexp_full_match(t, '[\p{L}\p{Nd}]{3}') GROUP BY ALL),
+k AS (SELECT doc_id, string_agg(t || ':' || n, ',' ORDER BY n DESC, i) AS top FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, i) AS r FROM g) WHERE r <= 10 GROUP BY doc_id)
+SELECT b.doc_id, CASE WHEN blank OR len(w) = 0 THEN 0::double ELSE length(array_to_string(w, ''))::double / len(w) END AS chars_per_word,
+       CASE WHEN blank OR length(c) = 0 THEN 0::double ELSE (length(c) - length(regexp_replace(c, '\P{L}', '', 'g')))::double / length(c) END AS non_alpha_ratio, coalesce(top, '') AS top FROM b LEFT JOIN k USING (doc_id)"""
+
+
+@query(_SMOKE)
+def text_smoke(spark, sf_dir):
+    return quality.smoke(_docs(spark, sf_dir), "doc_id")
+
+
 @query("SELECT doc_id, t AS trigram, n FROM (SELECT doc_id, t, n, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, f) AS r FROM (SELECT doc_id, t, count(*) AS n, min(i) AS f FROM (SELECT doc_id, i, substr(text, i, 3) AS t FROM (SELECT doc_id, text, unnest(range(1, length(text) - 1)) AS i FROM documents)) GROUP BY doc_id, t)) WHERE r <= 10")
 def trigram_topk(spark, sf_dir):
     x = _docs(spark, sf_dir).select("doc_id", ft.characters(F.col("text")).alias("c")).select("doc_id", F.posexplode(ft.trigrams("c")).alias("i", "trigram"))
@@ -138,15 +150,18 @@ def toc_table_detect(spark, sf_dir):
     return tables.contents_like(c)
 
 
-@query(_NUMBERS + """, r AS (SELECT table_id, row_idx, max(CASE WHEN col_idx = 0 THEN lower(text_raw) END) AS label, list(round(value_num * 100)::bigint ORDER BY cell_seq) FILTER (col_idx > 0 AND value_num IS NOT NULL) AS v FROM nums GROUP BY ALL)
-SELECT table_id, row_idx, list_sum(v[:-2])::bigint AS expected_cents, v[-1] AS actual_cents FROM r WHERE (contains(label, 'yhteensä') OR contains(label, 'total') OR contains(label, 'sum') OR contains(label, 'kokonaismäärä')) AND len(v) >= 2 AND abs(list_sum(v[:-2]) - v[-1]) > 1""")
+_TOTALS = "list_reduce(list_prepend(0::double, v[:-2]), lambda x, y: x + y)"
+
+
+@query(_NUMBERS + f""", r AS (SELECT table_id, row_idx, max(CASE WHEN col_idx = 0 THEN lower(text_raw) END) AS label, list(value_num ORDER BY cell_seq) FILTER (col_idx > 0 AND value_num IS NOT NULL) AS v FROM nums GROUP BY ALL)
+SELECT table_id, row_idx, {_TOTALS} AS expected, v[-1] AS actual FROM r WHERE regexp_matches(label, 'yhteensä|total|sum|kokonaismäärä') AND len(v) >= 2 AND abs({_TOTALS} - v[-1]) > 0.01::double""")
 def row_total_mismatches(spark, sf_dir):
     return tables.row_totals(ad.cells(spark, sf_dir))
 
 
-@query(f"WITH {ad.CELLS} SELECT table_id, row_idx, " + ", ".join(f"max(CASE WHEN col_idx = {i} THEN text_raw END) AS c{i}" for i in range(4)) + " FROM cells GROUP BY ALL")
+@query(f"WITH {ad.CELLS}, m AS (SELECT table_id, max(row_idx) AS mr, max(col_idx) AS mc FROM cells GROUP BY table_id), gr AS (SELECT table_id, mc, r.i AS row_idx, c.i AS col_idx FROM m, LATERAL (SELECT unnest(range(0, mr + 1))::int AS i) r, LATERAL (SELECT unnest(range(0, mc + 1))::int AS i) c) SELECT table_id, row_idx, string_agg(coalesce(text_raw, ''), ' | ' ORDER BY col_idx) AS line FROM gr LEFT JOIN (SELECT table_id, row_idx, col_idx, arg_max(text_raw, cell_seq) AS text_raw FROM cells GROUP BY ALL) USING (table_id, row_idx, col_idx) GROUP BY ALL")
 def grid_pivot(spark, sf_dir):
-    return tables.grid(ad.cells(spark, sf_dir))
+    return tables.grid(ad.cells(spark, sf_dir)).select("table_id", "row_idx", F.array_join("cells", " | ").alias("line"))
 
 
 @query(f"WITH {ad.CELLS}, f AS (SELECT table_id, lower(text_raw) AS t FROM cells QUALIFY row_number() OVER (PARTITION BY table_id ORDER BY cell_seq) <= 10) SELECT table_id, CASE WHEN bool_or(regexp_matches(t, 'vastaavaa|vastattavaa|varat|velat')) THEN 'balance_sheet' WHEN bool_or(regexp_matches(t, '2023|2024')) AND bool_or(regexp_matches(t, 'tuotot|kulut|tulos')) THEN 'income_statement' ELSE 'unknown' END AS type FROM f GROUP BY table_id")
@@ -154,16 +169,33 @@ def table_structure_type(spark, sf_dir):
     return tables.structure_type(ad.cells(spark, sf_dir))
 
 
-@query(f"WITH {ad.BALANCE_ROWS}, z AS (SELECT table_id, label, round(replace(text_raw, ',', '.')::double * 100)::bigint AS v FROM balance_rows), s AS (SELECT table_id, max(CASE WHEN label = 'Vastaavaa yhteensä' THEN v END) AS assets, max(CASE WHEN label = 'Vastattavaa yhteensä' THEN v END) AS liabilities FROM z GROUP BY table_id) SELECT *, CASE WHEN abs(assets - liabilities) * 200 <= greatest(abs(assets), abs(liabilities)) THEN 'ok' WHEN abs(assets - liabilities) * 20 < greatest(abs(assets), abs(liabilities)) THEN 'warning' ELSE 'error' END AS severity FROM s")
+_BALANCE = "CASE WHEN abs(assets - liabilities) <= greatest(abs(assets), abs(liabilities)) * 0.005::double THEN 'ok' WHEN abs(assets - liabilities) < greatest(abs(assets), abs(liabilities)) * 0.005::double * 10 THEN 'warning' ELSE 'error' END AS severity"
+
+
+@query(f"WITH {ad.BALANCE_CELLS}, z AS (SELECT table_id, row_idx, replace(text_raw, ',', '.')::double AS v FROM balance_cells WHERE col_idx = 2), s AS (SELECT table_id, max(CASE WHEN row_idx = 0 THEN v END) AS assets, max(CASE WHEN row_idx = 1 THEN v END) AS liabilities FROM z GROUP BY table_id) SELECT *, {_BALANCE} FROM s")
 def balance_equation(spark, sf_dir):
-    return tables.balance(ad.balance_rows(spark, sf_dir))
+    return tables.balance(ad.balance_cells(spark, sf_dir))
 
 
-@query(r"SELECT page_id AS table_id, (i - 1)::int AS cell_seq, trim(regexp_replace(l[i], '<[^>]+>', '', 'g')) AS text_raw FROM (SELECT page_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT page_id, regexp_extract_all(html, '(?s)<li[^>]*>(.*?)</li>', 1) AS l FROM pages))")
+@query(r"SELECT page_id AS table_id, 0 AS row_idx, (i - 1)::int AS col_idx, (i - 1)::int AS cell_seq, trim(regexp_replace(l[i], '<[^>]+>', '', 'g')) AS text_raw FROM (SELECT page_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT page_id, regexp_extract_all(html, '(?s)<li[^>]*>(.*?)</li>', 1) AS l FROM pages))")
 def html_cells(spark, sf_dir):
     return tables.cells_from_html(ad.table(spark, sf_dir, "pages").select(F.col("page_id").alias("table_id"), "html"), "li")
 
 
+_TD = r"""SELECT table_id, row_idx, (generate_subscripts(l, 1) - 1)::int AS col_idx, (before + generate_subscripts(l, 1) - 1)::int AS cell_seq, unnest(l) AS text_raw FROM (
+  SELECT page_id AS table_id, row_idx, [t || ' ' || x FOR x IN w[row_idx * 3 + 1:row_idx * 3 + 3]] AS l, row_idx * 3 AS before FROM (
+    SELECT page_id, unnest(range(0, (len(w) + 2) // 3))::int AS row_idx, w, 'x' AS t FROM (SELECT page_id, list_filter(string_split(regexp_extract(html, '<title>([^<]*)</title>', 1), ' '), lambda v: v <> '') AS w FROM pages)))"""
+
+
+@query(_TD)
+def html_table_cells(spark, sf_dir):
+    """Titles of pages written as tables of three columns, and read again."""
+    w = F.filter(F.split(F.regexp_extract("html", r"<title>([^<]*)</title>", 1), " "), lambda v: v != "")
+    p = ad.table(spark, sf_dir, "pages").select(F.col("page_id").alias("table_id"), w.alias("w"))
+    cell = lambda x, i: F.concat(F.when(i % 3 == 0, "<tr class=r>").otherwise(""), F.lit("<td class='c'> <b>x</b> "), x, F.lit("</td>"))
+    return tables.cells_from_html(p.select("table_id", F.concat(F.lit("<table><thead></thead>"), F.array_join(F.transform("w", cell), ""), F.lit("</table>")).alias("html")))
+
+
 @query(r"SELECT table_id, row_idx, (generate_subscripts(t, 1) - 1)::int AS col_idx, unnest(t) AS text_raw FROM (SELECT table_id, row_idx, regexp_split_to_array(regexp_replace(line, '^\s+|\s+$', '', 'g'), '\s+') AS t FROM (SELECT item_id AS table_id, (generate_subscripts(a, 1) - 1)::int AS row_idx, unnest(a) AS line FROM (SELECT item_id, string_split(text, chr(10)) AS a FROM benchmark)) WHERE trim(line) <> '')")
 def text_cells(spark, sf_dir):
     return tables.cells_from_text(ad.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("table_id"), "text"))
@@ -217,24 +249,79 @@ def section_table_overlap(spark, sf_dir):
     return layout.free_thirds(d.withColumn("height", F.lit(900.0)), d.where("page_id % 3 <> 0").select("page_id", (y + 0.5).alias("y0"), (y + 150.5).alias("y1"))).select("page_id", "third")
 
 
-@query()
+_STAVES = """WITH RECURSIVE g AS (SELECT vec_id AS img_id, list_transform(embedding, lambda x, i: round(10.0::double * (i - 1) + round(10.0::double + abs(x)::double * 4, 3), 3)) AS ys FROM embeddings),
+st(img_id, ys, i, n) AS (SELECT img_id, ys, 1, 0 FROM g UNION ALL
+  SELECT img_id, ys, i + CASE WHEN fits THEN 5 ELSE 1 END, n + fits::int FROM (
+    SELECT *, list_bool_and([abs(ys[i + k + 1] - ys[i + k] - (ys[i + 4] - ys[i]) / 4) <= 0.3::double * ((ys[i + 4] - ys[i]) / 4) FOR k IN [0, 1, 2, 3]]) AS fits FROM st WHERE i + 4 <= len(ys)))
+SELECT img_id, max(n)::int AS n_staves, CASE WHEN max(n) >= 3 THEN least(0.5::double + max(n) / 20::double, 0.95::double) ELSE 0.0::double END AS confidence FROM st GROUP BY img_id"""
+
+
+@query(_STAVES)
 def staff_groups(spark, sf_dir):
-    gaps = F.transform("embedding", lambda x: F.round(F.lit(10.0) + F.abs(x) * 4, 3).cast("double"))
+    gaps = F.transform("embedding", lambda x: F.round(F.lit(10.0) + F.abs(x).cast("double") * 4, 3))
     ys = F.transform(gaps, lambda g, i: F.round(F.lit(10.0) * i + g, 3))
     v = ad.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("img_id"), ys.alias("ys"))
     return layout.staves(v).select("img_id", "n_staves", layout.sheet_confidence().alias("confidence"))
 
 
+@query("SELECT label AS img_id, quantile_cont(g, 0.5) AS interline FROM (SELECT label, CASE WHEN e < 0 THEN 0 ELSE round(10.0::double + e::double * 4, 3) END AS g FROM (SELECT label, unnest(embedding) AS e FROM embeddings)) WHERE g <> 0 GROUP BY label")
+def interline_by_image(spark, sf_dir):
+    e = F.col("e").cast("double")
+    x = ad.table(spark, sf_dir, "embeddings").select(F.col("label").alias("img_id"), F.explode("embedding").alias("e"))
+    return sheet.interline(x.select("img_id", F.when(e < 0, 0.0).otherwise(F.round(F.lit(10.0) + e * 4, 3)).alias("interline")))
+
+
 @query("SELECT label, quantile_cont(g, 0.5) AS interline FROM (SELECT label, round(10.0::double + abs(unnest(embedding))::double * 4, 3) AS g FROM embeddings) GROUP BY label")
 def interline_median(spark, sf_dir):
     x = ad.table(spark, sf_dir, "embeddings").select("label", F.explode("embedding").alias("e")).select("label", F.round(F.lit(10.0) + F.abs(F.col("e")).cast("double") * 4, 3).alias("g"))
     return x.groupBy("label").agg(F.percentile("g", F.lit(0.5)).alias("interline"))
 
 
-@query()
+_HEADER = f"""WITH RECURSIVE {ad.BLOCKS}, o AS (SELECT doc_id, page_index, seq, y0 / 4 AS y, text, row_number() OVER (PARTITION BY doc_id, page_index ORDER BY y0, seq) AS rn FROM blocks),
+f(doc_id, page_index, rn, anchor, line_no, text) AS (SELECT doc_id, page_index, rn, y, 0, text FROM o WHERE rn = 1 UNION ALL
+  SELECT o.doc_id, o.page_index, o.rn, CASE WHEN abs(o.y - f.anchor) >= 15 THEN o.y ELSE f.anchor END, f.line_no + (abs(o.y - f.anchor) >= 15)::int, o.text
+  FROM f JOIN o ON o.doc_id = f.doc_id AND o.page_index = f.page_index AND o.rn = f.rn + 1),
+w AS (SELECT f.*, o.seq FROM f JOIN o USING (doc_id, page_index, rn))
+SELECT doc_id, page_index, line_no, string_agg(text, ' ' ORDER BY seq) AS line, count(*) AS blocks FROM w GROUP BY ALL"""
+
+
+@query(_HEADER)
 def header_lines(spark, sf_dir):
-    b = ad.blocks(spark, sf_dir).where("page_index = 0").select(F.col("doc_id").alias("img_id"), "seq", (F.col("y0") / 4).alias("y0"), "text")
-    return layout.header_lines(b)
+    b = ad.blocks(spark, sf_dir).select("doc_id", "page_index", "seq", (F.col("y0") / 4).alias("y0"), "text")
+    return layout.header_lines(b, keys=("doc_id", "page_index"))
+
+
+@query(f"WITH {ad.BLOCKS} SELECT doc_id, page_index, seq, (row_number() OVER (PARTITION BY doc_id, page_index ORDER BY seq) - 1)::int AS block_no FROM blocks WHERE NOT regexp_full_match(text, '\\s*')")
+def numbered_blocks(spark, sf_dir):
+    return elements.numbered(ad.blocks(spark, sf_dir), ["doc_id", "page_index"]).select("doc_id", "page_index", "seq", "block_no")
+
+
+@query(_MODE + ", g AS (SELECT o.*, m.density FROM o JOIN m USING (doc_id)) SELECT doc_id, mode IN ('native', 'mixed') AS text, mode IN ('scan', 'mixed') AND dpi > 0 AS image, mode IN ('native', 'mixed') AND density > 0.2 AS lines FROM g")
+def mode_gates(spark, sf_dir):
+    p = layout.page_mode(_manifest(spark, sf_dir))
+    mark = lambda df, name: df.select("doc_id", F.lit(True).alias(name))
+    x = p.select("doc_id").join(mark(layout.for_native_text(p), "text"), "doc_id", "left").join(mark(layout.for_rendering(p), "image"), "doc_id", "left").join(mark(layout.for_vector_tables(p), "lines"), "doc_id", "left")
+    return x.fillna(False)
+
+
+def _regions(spark, sf_dir):
+    i = F.col("l_orderkey")
+    x = ad.table(spark, sf_dir, "lineitem").select(i.alias("img_id"), F.col("l_linenumber").cast("int").alias("region_idx"), "l_partkey", "l_suppkey")
+    a, b = F.col("l_partkey"), F.col("l_suppkey")
+    return x.select("img_id", "region_idx", F.when(a % 2 == 0, "table").otherwise("text").alias("type"), (a % 700 - 50 + 0.5).alias("x0"), (b % 900 - 40 + 0.5).alias("y0"), (a % 700 - 50 + b % 40 + 0.5).alias("x1"), (b % 900 - 40 + a % 50 + 0.5).alias("y1"), F.lit(595).alias("width"), F.lit(842).alias("height"))
+
+
+_REGIONS = "rg AS (SELECT l_orderkey AS img_id, l_linenumber::int AS region_idx, CASE WHEN l_partkey % 2 = 0 THEN 'table' ELSE 'text' END AS type, l_partkey % 700 - 50 + 0.5::double AS x0, l_suppkey % 900 - 40 + 0.5::double AS y0, l_partkey % 700 - 50 + l_suppkey % 40 + 0.5::double AS x1, l_suppkey % 900 - 40 + l_partkey % 50 + 0.5::double AS y1 FROM lineitem)"
+
+
+@query(f"WITH {_REGIONS}, c AS (SELECT img_id, region_idx, type, greatest(0, least(trunc(x0)::int, 595)) AS x0, greatest(0, least(trunc(y0)::int, 842)) AS y0, greatest(0, least(trunc(x1)::int, 595)) AS x1, greatest(0, least(trunc(y1)::int, 842)) AS y1 FROM rg) SELECT * FROM c WHERE x1 > x0 AND y1 > y0 AND (type <> 'text' OR (x1 - x0 >= 10 AND y1 - y0 >= 10))")
+def region_crops(spark, sf_dir):
+    return layout.crops(_regions(spark, sf_dir)).drop("width", "height")
+
+
+@query(f"WITH {_REGIONS} SELECT img_id, type, y0, (row_number() OVER (PARTITION BY img_id ORDER BY y0, type <> 'table', region_idx) - 1)::int AS rank FROM rg")
+def region_order(spark, sf_dir):
+    return layout.region_order(_regions(spark, sf_dir), ["img_id"]).select("img_id", "type", "y0", "rank")
 
 
 # ------------------------------------------------------------------ contents and sections
@@ -274,7 +361,7 @@ def toc_page_detect(spark, sf_dir):
 
 _ENTRY = f"""WITH {ad.TOC_LINES}, k AS (SELECT page_index, seq, lower(text) AS low, text, unnest(['tuloslaskelma', 'income statement', 'rahoituslaskelma', 'cash flow', 'tase', 'balance sheet', 'liitetiedot', 'notes']) AS word,
   unnest(['income_statement', 'income_statement', 'cash_flow_statement', 'cash_flow_statement', 'balance_sheet', 'balance_sheet', 'notes', 'notes']) AS type, unnest(range(0, 8)) AS i FROM toc),
-e0 AS (SELECT page_index, seq * 100 + i AS write, coalesce(nullif(regexp_extract(low, '[0-9]+\\.[0-9]+(?:\\.[0-9]+)?\\s*' || word || '[^\\n]*'), ''), word) AS entry, type, coalesce({_TARGET}, -1) AS target FROM k WHERE contains(low, word)),
+e0 AS (SELECT page_index, seq * 100 + i AS write, coalesce(nullif(regexp_extract(text, '(?i)[0-9]+\\.[0-9]+(?:\\.[0-9]+)?\\s*' || word || '[^\\n]*'), ''), word) AS entry, type, coalesce({_TARGET}, -1) AS target FROM k WHERE contains(low, word)),
 en AS (SELECT page_index, entry, arg_max(type, write) AS type, arg_max(target, write) AS target, min(write) AS first FROM e0 GROUP BY ALL)"""
 
 
@@ -295,15 +382,19 @@ def toc_target_map(spark, sf_dir):
     return contents.targets(contents.entries(t), t.select("page_index").distinct(), 2)
 
 
-@query(_ENTRY + ", m AS (SELECT t.page_index, t.seq, en.type, en.target, en.first FROM toc t JOIN en ON t.page_index = en.page_index AND contains(lower(t.text), en.entry)) SELECT page_index, seq, arg_min(type, first) AS type, arg_min(target, first) AS target FROM m GROUP BY ALL")
+@query(_ENTRY + ", m AS (SELECT t.page_index, t.seq, en.type, en.target, en.first FROM toc t JOIN en ON t.page_index = en.page_index AND contains(lower(t.text), lower(en.entry))) SELECT page_index, seq, arg_min(type, first) AS type, arg_min(target, first) AS target FROM m GROUP BY ALL")
 def toc_first_match(spark, sf_dir):
     t = ad.toc_lines(spark, sf_dir)
     return contents.first_match(t, contents.entries(t))
 
 
+_SECTION_RULES = [
+    "regexp_matches(lower(text), 'liitetiedot|notes|liite|selitykset|explanatory notes') THEN 'notes'", "regexp_matches(lower(text), 'tase|balance sheet') THEN 'balance_sheet'", "regexp_matches(lower(text), 'tuloslaskelma|income statement') THEN 'income_statement'",
+    "regexp_matches(lower(text), 'rahoituslaskelma|cash flow|rahavirtalaskelma|cash_assets') THEN 'cash_flow_statement'", "regexp_matches(lower(text), 'tilinpäätöksen laatimisperiaatteet|accounting policies|financial_statement_principles') THEN 'accounting_policies'",
+]
 _SECTION = _PAGES + ", se AS (SELECT page_index, n_items, CASE WHEN is_toc THEN 'toc' WHEN " + " WHEN ".join(
     ["page_index = 0 AND regexp_matches(lower(text), 'tilinpäätös|financial statement|annual report|vuosikertomus') THEN 'cover'", "regexp_matches(lower(text), 'johtajan kertomus|management report|hallituksen kertomus') THEN 'management_report'"]
-    + [f"regexp_matches(lower(text), '{'|'.join(ft.FINANCIAL[k])}') THEN '{k}'" for k in ("notes", "balance_sheet", "income_statement", "cash_flow_statement", "accounting_policies")]
+    + _SECTION_RULES
     + ["page_index > n_items * 0.8 THEN 'appendix'", "page_index = 0 THEN 'cover'"]
 ) + " ELSE 'appendix' END AS section FROM tp)"
 
@@ -345,34 +436,6 @@ def golden_diff(spark, sf_dir):
     return qa.snapshot_diff(_docs(spark, sf_dir), ad.golden(spark, sf_dir), "source")
 
 
-def _findings(spark, sf_dir):
-    def sums():
-        return qa.finding(tables.row_totals(ad.cells(spark, sf_dir)), "sums", "warning", "row total differs", page=None, item="table_id")
-
-    def balances():
-        return qa.finding(tables.balance(ad.balance_rows(spark, sf_dir)).where("severity <> 'ok'"), "balance", F.col("severity"), "assets and liabilities differ", page=None, item="table_id")
-
-    def notes():
-        return qa.finding(missing_notes(spark, sf_dir), "references", "warning", "note is missing", item="note")
-
-    def texts():
-        return qa.finding(quality.with_quality(_docs(spark, sf_dir)).where("status = 'bad'"), "quality", "warning", "text is bad", page=None, item="doc_id")
-
-    def snapshot():
-        return qa.finding(golden_diff(spark, sf_dir), "snapshot", "info", "count differs", page=None, item="source")
-
-    return qa.run_checks({"sums": sums, "balance": balances, "references": notes, "quality": texts, "snapshot": snapshot})
-
-
-def _count(checker: str, severity: str, name: str, where: str = "true") -> str:
-    return f"SELECT '{checker}' AS checker, {severity} AS severity, count(*) AS n FROM ({ORACLES[name]}) WHERE {where} GROUP BY ALL HAVING count(*) > 0"
-
-
-@query(" UNION ALL ".join([_count("sums", "'warning'", "row_total_mismatches"), _count("balance", "severity", "balance_equation", "severity <> 'ok'"), _count("references", "'warning'", "missing_notes"), _count("quality", "'warning'", "text_quality", "status = 'bad'"), _count("snapshot", "'info'", "golden_diff")]))
-def findings_by_checker(spark, sf_dir):
-    return _findings(spark, sf_dir).groupBy("checker", "severity").agg(F.count("*").alias("n"))
-
-
 # ------------------------------------------------------------------ music
 
 _BEATS = "CASE {0} WHEN 'whole' THEN 4.0 WHEN 'half' THEN 2.0 WHEN 'quarter' THEN 1.0 WHEN 'eighth' THEN 0.5 WHEN '16th' THEN 0.25 WHEN '32nd' THEN 0.125 WHEN '64th' THEN 0.0625 WHEN 'breve' THEN 8.0 WHEN 'long' THEN 16.0 ELSE 1.0 END::double"
@@ -425,6 +488,11 @@ def loc_by_language(spark, sf_dir):
     return loc.by_language(ad.source_lines(spark, sf_dir))
 
 
+@query(_LOC + " SELECT * FROM fi ORDER BY code + comments DESC, path LIMIT 20")
+def loc_topk_filled(spark, sf_dir):
+    return loc.top_files(ad.source_lines(spark, sf_dir), by="filled")
+
+
 @query(_LOC + " SELECT * FROM fi ORDER BY code DESC, path LIMIT 20")
 def loc_topk(spark, sf_dir):
     return loc.top_files(ad.source_lines(spark, sf_dir))
@@ -440,10 +508,10 @@ def _fonts(spark, sf_dir):
     k = F.col("doc_id") + F.col("seq")
     font = F.element_at(F.array(*[F.lit(f) for f in _FONTS]), (k % 4 + 1).cast("int"))
     mark = F.element_at(F.array(*[F.lit(m) for m in ("• ", "- ", "1. ", "", "7 ")]), (k % 5 + 1).cast("int"))
-    return b.select("doc_id", "page_index", "seq", font.alias("font"), (k % 6 + 9).cast("double").alias("size"), F.concat(mark, F.substring("text", 1, 120)).alias("text"))
+    return b.select("doc_id", "page_index", "seq", font.alias("font"), (k % 6 + 9).cast("double").alias("size"), F.concat(mark, F.col("text")).alias("text"))
 
 
-_FONTS_SQL = f"{ad.BLOCKS}, fo AS (SELECT doc_id, page_index, seq, ['Arial-Bold', 'Arial-Black', 'Arial-Italic', 'Arial'][(doc_id + seq) % 4 + 1] AS font, ((doc_id + seq) % 6 + 9)::double AS size, ['• ', '- ', '1. ', '', '7 '][(doc_id + seq) % 5 + 1] || substr(text, 1, 120) AS text FROM blocks)"
+_FONTS_SQL = f"{ad.BLOCKS}, fo AS (SELECT doc_id, page_index, seq, ['Arial-Bold', 'Arial-Black', 'Arial-Italic', 'Arial'][(doc_id + seq) % 4 + 1] AS font, ((doc_id + seq) % 6 + 9)::double AS size, ['• ', '- ', '1. ', '', '7 '][(doc_id + seq) % 5 + 1] || text AS text FROM blocks)"
 
 
 @query(f"WITH {_FONTS_SQL} SELECT doc_id, seq, font IN ('Arial-Bold', 'Arial-Black') AS bold, font = 'Arial-Italic' AS italic, CASE WHEN size > 12 AND length(text) < 100 THEN 'title' WHEN regexp_matches(trim(text), '^(•|-|1\\.|2\\.|3\\.)') THEN 'list_item' ELSE 'text' END AS kind FROM fo")
@@ -452,14 +520,14 @@ def block_kinds(spark, sf_dir):
     return elements.block_kinds(_fonts(spark, sf_dir)).select("doc_id", "seq", "bold", "italic", "kind")
 
 
-_TYPED = f"WITH {ad.TOC_LINES}, ty AS (SELECT page_index, seq, CASE WHEN seq % 11 = 0 THEN 'table' ELSE 'block' END AS kind, CASE WHEN seq % 13 = 0 THEN 'list_item' END AS semantic_type, seq % 20 = 0 AS is_first, seq % 2 = 0 AS bold, CASE seq % 3 WHEN 0 THEN '- ' ELSE '' END || substr(text, 1, (seq % 30 + 8)::int) AS text FROM toc)"
+_TYPED = f"WITH {ad.TOC_LINES}, ty AS (SELECT page_index, seq, CASE WHEN seq % 11 = 0 THEN 'table' ELSE 'block' END AS kind, CASE WHEN seq % 13 = 0 THEN 'list_item' END AS semantic_type, seq % 20 = 0 AS is_first, seq % 2 = 0 AS bold, CASE seq % 3 WHEN 0 THEN '- ' ELSE '' END || CASE WHEN seq % 4 = 0 THEN repeat(text || ' ', 4) ELSE text END AS text FROM toc)"
 
 
 @query(_TYPED + r" SELECT seq, CASE WHEN kind = 'table' THEN 'table' WHEN semantic_type IS NOT NULL THEN semantic_type WHEN is_first AND length(trim(lower(text))) < 100 AND len(list_filter(regexp_split_to_array(trim(lower(text)), '\s+'), lambda w: w <> '')) <= 5 THEN 'title' WHEN length(trim(lower(text))) < 50 AND bold AND regexp_matches(lower(text), 'tase|tuloslaskelma|liite|notes') THEN 'section_header' WHEN regexp_matches(trim(lower(text)), '^[0-9•*-]\s+') THEN 'list_item' ELSE 'text' END AS semantic_type FROM ty")
 def element_types(spark, sf_dir):
 
     s = F.col("seq")
-    t = ad.toc_lines(spark, sf_dir).select("page_index", "seq", F.when(s % 11 == 0, "table").otherwise("block").alias("kind"), F.when(s % 13 == 0, "list_item").alias("semantic_type"), (s % 20 == 0).alias("is_first"), (s % 2 == 0).alias("bold"), F.concat(F.when(s % 3 == 0, "- ").otherwise(""), F.substring("text", F.lit(1), (s % 30 + 8).cast("int"))).alias("text"))
+    t = ad.toc_lines(spark, sf_dir).select("page_index", "seq", F.when(s % 11 == 0, "table").otherwise("block").alias("kind"), F.when(s % 13 == 0, "list_item").alias("semantic_type"), (s % 20 == 0).alias("is_first"), (s % 2 == 0).alias("bold"), F.concat(F.when(s % 3 == 0, "- ").otherwise(""), F.when(s % 4 == 0, F.repeat(F.concat("text", F.lit(" ")), F.lit(4))).otherwise(F.col("text"))).alias("text"))
     return elements.semantic_types(t).select("seq", "semantic_type")
 
 
@@ -512,10 +580,21 @@ def distinct_sets(spark, sf_dir):
     return _docs(spark, sf_dir).groupBy("source").agg(F.count("*").alias("documents"), F.count_distinct("lang").alias("langs"), F.concat_ws(",", F.array_sort(F.collect_set("lang"))).alias("present"))
 
 
-@query("WITH p AS (SELECT 'src/' || source || CASE WHEN doc_id % 6 = 0 THEN '/node_modules' WHEN doc_id % 6 = 1 THEN '/build' ELSE '' END || '/d' || doc_id || ['.py', '.h', '.JS', '.md', '.xyz'][(doc_id % 5 + 1)::int] AS path FROM documents) SELECT CASE WHEN ends_with(path, '.py') THEN 'Python' WHEN ends_with(path, '.h') THEN 'C' WHEN ends_with(path, '.JS') THEN 'JavaScript' WHEN ends_with(path, '.md') THEN 'Markdown' ELSE 'Other' END AS language, count(*) AS files FROM p WHERE NOT contains(path, '/node_modules/') AND NOT contains(path, '/build/') GROUP BY ALL")
+_NAMES = ("main.py", "x.min.js", "style.css.map", "package-lock.json", "Yarn.lock", "pnpm-lock.yaml", "poetry.lock", "Pipfile.lock", "a.JS", "b.tsx", "c.cxx", "d.h", "e.bash", "f.htm", "Makefile", "minute.py", "map.md", "g.yml", "h.sql", "i.rs", "j.unknown", "k.c", "l.cc", "m.hpp", "n.kt", "o.toml", "p.json", "q.xml", "r.ps1")
+_FOLDERS = (*loc.EXCLUDED_DIRS, "", "vendor", "env", ".hg", "coverage2", "src/building")
+_FILES = _NAMES + tuple(f"z{s}" for s in loc.BINARY)
+_LANGUAGES_SQL = "CASE " + " ".join(f"WHEN lower(suffix) = '{e}' THEN '{lang}'" for e, lang in ((".py", "Python"), (".js", "JavaScript"), (".tsx", "TypeScript"), (".cxx", "C++"), (".h", "C"), (".bash", "Shell"), (".htm", "HTML"), (".md", "Markdown"), (".yml", "YAML"), (".sql", "SQL"), (".rs", "Rust"), (".c", "C"), (".cc", "C++"), (".hpp", "C++"), (".kt", "Kotlin"), (".toml", "TOML"), (".json", "JSON"), (".xml", "XML"), (".ps1", "PowerShell"))) + " ELSE 'Other' END"
+_PATHS = f"""WITH p AS (SELECT 'r/' || source || '/' || {ad._strings(_FOLDERS)}[(doc_id % {len(_FOLDERS)} + 1)::int] || '/d' || doc_id || '/' || {ad._strings(_FILES)}[(doc_id // {len(_FOLDERS)} % {len(_FILES)} + 1)::int] AS path FROM documents),
+q AS (SELECT path, regexp_extract(path, '[^/](\\.[^./]+)$', 1) AS suffix FROM p)
+SELECT {_LANGUAGES_SQL} AS language, count(*) AS files FROM q
+WHERE NOT list_has_any(string_split(path, '/'), ['node_modules', 'dist', 'build', '.next', '.nuxt', '.cache', '.venv', 'venv', '__pycache__', '.git', 'coverage', 'target', 'out', '.turbo', '.idea', '.vscode', '.pytest_cache'])
+  AND lower(suffix) NOT IN ('.pdf', '.png', '.jpg', '.jpeg', '.gif', '.bmp', '.ico', '.svg', '.zip', '.tar', '.gz', '.7z', '.rar', '.exe', '.dll', '.so', '.dylib', '.pyc', '.pyo', '.pyd', '.db', '.sqlite', '.sqlite3', '.xlsx', '.xls', '.doc', '.docx', '.mxl', '.omr')
+  AND NOT regexp_matches(path, '(?i)\\.min\\.|\\.map$|package-lock\\.json$|yarn\\.lock$|pnpm-lock\\.yaml$|poetry\\.lock$|pipfile\\.lock$') GROUP BY ALL"""
+
+
+@query(_PATHS)
 def path_filter(spark, sf_dir):
     i = F.col("doc_id")
-    folder = F.when(i % 6 == 0, "/node_modules").when(i % 6 == 1, "/build").otherwise("")
-    ext = F.element_at(F.array(*[F.lit(x) for x in (".py", ".h", ".JS", ".md", ".xyz")]), (i % 5 + 1).cast("int"))
-    p = _docs(spark, sf_dir).select(F.concat(F.lit("src/"), "source", folder, F.lit("/d"), i.cast("string"), ext).alias("path"))
+    pick = lambda values, n: F.element_at(F.array(*[F.lit(v) for v in values]), (n % len(values) + 1).cast("int"))
+    p = _docs(spark, sf_dir).select(F.concat(F.lit("r/"), "source", F.lit("/"), pick(_FOLDERS, i), F.lit("/d"), i.cast("string"), F.lit("/"), pick(_FILES, F.expr(f"doc_id div {len(_FOLDERS)}"))).alias("path"))
     return loc.without_excluded(p).select(loc.language(F.col("path")).alias("language")).groupBy("language").agg(F.count("*").alias("files"))

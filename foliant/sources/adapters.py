@@ -61,19 +61,27 @@ cells AS (
     FROM (SELECT table_id, count(*)::int AS n, sum(cents)::bigint AS p, sum(tax)::bigint AS t FROM li GROUP BY table_id)))"""
 
 
-def balance_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per customer a table of two rows, assets and liabilities, which differ by 0, 0.3, 2 or 20 per cent."""
-    a = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("a"))
-    more = F.expr("case o_custkey % 4 when 0 then 0 when 1 then a * 3 div 1000 when 2 then a * 2 div 100 else a * 20 div 100 end")
+def balance_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per customer a table of two rows (label, last year, this year), assets and liabilities, which differ by 0, 0.3, 2 or 20 per cent."""
+    a = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("table_id")).agg(F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("a"))
+    return _balance(a, ["table_id"], "table_id")
+
+
+def _balance(a: DataFrame, keys: list[str], by: str) -> DataFrame:
+    more = F.expr(f"case {by} % 4 when 0 then 0 when 1 then a * 3 div 1000 when 2 then a * 2 div 100 else a * 20 div 100 end")
     a = a.withColumn("l", F.col("a") + more)
-    rows = F.expr(f"array(struct(0 AS row_idx, 'Vastaavaa yhteensä' AS label, {_money('a')} AS text_raw), struct(1 AS row_idx, 'Vastattavaa yhteensä' AS label, {_money('l')} AS text_raw))")
-    return a.select(F.col("o_custkey").alias("table_id"), F.inline(rows))
+    rows = F.expr(f"array(array('Vastaavaa yhteensä', '1,0', {_money('a')}), array('Vastattavaa yhteensä', '2,0', {_money('l')}))")
+    x = a.select(*keys, F.posexplode(rows).alias("row_idx", "v")).select(*keys, "row_idx", F.posexplode("v").alias("col_idx", "text_raw"))
+    return x.select(*keys, "row_idx", "col_idx", (F.col("row_idx") * 3 + F.col("col_idx")).alias("cell_seq"), "text_raw")
+
 
+def _balance_sql(name: str, source: str, keys: str, by: str) -> str:
+    return f"""{name}_l AS (SELECT *, a + CASE {by} % 4 WHEN 0 THEN 0 WHEN 1 THEN a * 3 // 1000 WHEN 2 THEN a * 2 // 100 ELSE a * 20 // 100 END AS l FROM {source}),
+{name} AS (SELECT {keys}, row_idx, (generate_subscripts(v, 1) - 1)::int AS col_idx, (row_idx * 3 + generate_subscripts(v, 1) - 1)::int AS cell_seq, unnest(v) AS text_raw FROM (
+  SELECT {keys}, 0 AS row_idx, ['Vastaavaa yhteensä', '1,0', {_M.format("a")}] AS v FROM {name}_l UNION ALL SELECT {keys}, 1, ['Vastattavaa yhteensä', '2,0', {_M.format("l")}] FROM {name}_l))"""
 
-BALANCE_ROWS = f"""bt AS (SELECT o_custkey AS table_id, sum(round(o_totalprice * 100)::bigint)::bigint AS a FROM orders GROUP BY o_custkey),
-bl AS (SELECT *, a + CASE table_id % 4 WHEN 0 THEN 0 WHEN 1 THEN a * 3 // 1000 WHEN 2 THEN a * 2 // 100 ELSE a * 20 // 100 END AS l FROM bt),
-balance_rows AS (SELECT table_id, 0 AS row_idx, 'Vastaavaa yhteensä' AS label, {_M.format("a")} AS text_raw FROM bl
-                 UNION ALL SELECT table_id, 1, 'Vastattavaa yhteensä', {_M.format("l")} FROM bl)"""
+
+BALANCE_CELLS = "bt AS (SELECT o_custkey AS table_id, sum(round(o_totalprice * 100)::bigint)::bigint AS a FROM orders GROUP BY o_custkey),\n" + _balance_sql("balance_cells", "bt", "table_id", "table_id")
 
 #: Titles of contents entries, by part key modulo 6.
 TITLES = ("Tuloslaskelma", "Rahoituslaskelma", "Tase", "Liitetiedot", "Notes", "Muut tiedot")
@@ -163,3 +171,65 @@ def source_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 SOURCE_LINES = """files AS (SELECT 'pages/' || page_id || '.html' AS path, replace(html, '><', '>' || chr(10) || '<') AS text FROM pages
   UNION ALL SELECT 'docs/' || doc_id || '.md', text FROM documents UNION ALL SELECT 'bench/' || item_id || '.txt', text FROM benchmark),
 src_lines AS (SELECT path, (generate_subscripts(a, 1) - 1)::int AS line_no, unnest(a) AS text FROM (SELECT path, string_split(text, chr(10)) AS a FROM files))"""
+
+
+# ------------------------------------------------------------------ whole documents
+
+#: First lines of a report's pages, by order key modulo 12, and a line further down, modulo 9.
+HEADS = ("Vuosikertomus", "Sisällysluettelo", "Tase", "Tuloslaskelma", "Rahoituslaskelma", "Liitetiedot", "Hallituksen kertomus", "Tilinpäätöksen laatimisperiaatteet", "Muut tiedot", "Yhteystiedot", "Sisällys", "Kaaviot")
+LINES = ("Vastaavaa, vastattavaa", "Toimintatuotot ja vuosikate", "Toiminnan rahavirta, rahavarojen muutos", "eeeeeeeeeeee", "Kuvaus", "- kohta", "", "12 34 5", "liite " + "sana " * 120)
+
+
+def _pick(values, i):
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (i % len(values) + 1).cast("int"))
+
+
+def report_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as reports, their orders (k) as pages; some pages have no width."""
+    o = table(spark, sf_dir, "orders")
+    n = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")) - 1
+    return o.select(F.col("o_custkey").alias("doc_id"), n.cast("int").alias("page_index"), F.col("o_orderkey").alias("k"), F.when(F.col("o_orderkey") % 101 == 0, 0.0).otherwise(595.0).alias("width"), F.lit(842.0).alias("height"), F.round(F.col("o_totalprice") * 100).cast("long").alias("a"))
+
+
+def report_items(pages: DataFrame) -> DataFrame:
+    """Four blocks a page (head, contents line or reference or note, phrase, page number), and up to two tables."""
+    k = F.col("k")
+    n17 = (k % 17).cast("string")
+    second = F.when((k % 12).isin(1, 10), F.concat((k % 9).cast("string"), F.lit(".1 Tase .... "), (k % 7 + 1).cast("string"))).when(k % 12 == 5, F.concat(n17, F.lit(". Selite")))
+    second = second.when(k % 3 == 0, F.concat(F.lit("see note "), n17)).when(k % 3 == 1, F.concat(F.lit("ks. liite "), n17)).otherwise("Teksti")
+    number = (F.col("page_index") + 1 + F.col("doc_id") % 3).cast("string")
+    row = lambda seq, kind, text, y, on=None: (F.struct(F.lit(seq).alias("seq"), F.lit(kind).alias("kind"), text.alias("text"), F.lit(float(y)).alias("y0"), F.lit(y + 15.0).alias("y1")), on)
+    none = F.lit(None).cast("string")
+    rows = [row(0, "block", _pick(HEADS, k), 100), row(1, "block", second, 150), row(2, "block", _pick(LINES, k), 200), row(3, "block", number, 800), row(4, "table", none, 300, k % 2 == 0), row(5, "table", none, 500, k % 12 == 2)]
+    each = F.array_compact(F.array(*[r if on is None else F.when(on, r) for r, on in rows]))
+    listed = F.when((F.col("i.seq") == 2) & (k % 9 == 5), "list_item")
+    return pages.select("doc_id", "page_index", "k", F.explode(each).alias("i")).select("doc_id", "page_index", "k", "i.*", ((k + F.col("i.seq")) % 2 == 0).alias("bold"), listed.alias("semantic_type"))
+
+
+def report_cells(spark: SparkSession, sf_dir: str, pages: DataFrame) -> DataFrame:
+    """Cells of the pages' tables: order lines on every other page, a balance on those headed so."""
+    lines = cells(spark, sf_dir).join(pages.where("k % 2 = 0").select("doc_id", "page_index", F.col("k").alias("table_id")), "table_id")
+    lines = lines.select("doc_id", "page_index", F.lit(4).alias("seq"), "row_idx", "col_idx", "cell_seq", "text_raw")
+    both = _balance(pages.where("k % 12 = 2").select("doc_id", "page_index", "k", "a"), ["doc_id", "page_index"], "k")
+    return lines.unionByName(both.select("doc_id", "page_index", F.lit(5).alias("seq"), "row_idx", "col_idx", "cell_seq", "text_raw"))
+
+
+def _strings(values) -> str:
+    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+
+REPORT = f"""{CELLS},
+rp AS (SELECT o_custkey AS doc_id, (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1)::int AS page_index, o_orderkey AS k,
+              CASE WHEN o_orderkey % 101 = 0 THEN 0.0::double ELSE 595.0::double END AS width, 842.0::double AS height, round(o_totalprice * 100)::bigint AS a FROM orders),
+ri AS (SELECT *, (k + seq) % 2 = 0 AS bold, CASE WHEN seq = 2 AND k % 9 = 5 THEN 'list_item' END AS semantic_type FROM (
+  SELECT doc_id, page_index, k, 0 AS seq, 'block' AS kind, {_strings(HEADS)}[k % 12 + 1] AS text, 100.0::double AS y0, 115.0::double AS y1 FROM rp
+  UNION ALL SELECT doc_id, page_index, k, 1, 'block', CASE WHEN k % 12 IN (1, 10) THEN (k % 9) || '.1 Tase .... ' || (k % 7 + 1) WHEN k % 12 = 5 THEN (k % 17) || '. Selite'
+                   WHEN k % 3 = 0 THEN 'see note ' || (k % 17) WHEN k % 3 = 1 THEN 'ks. liite ' || (k % 17) ELSE 'Teksti' END, 150, 165 FROM rp
+  UNION ALL SELECT doc_id, page_index, k, 2, 'block', {_strings(LINES)}[k % 9 + 1], 200, 215 FROM rp
+  UNION ALL SELECT doc_id, page_index, k, 3, 'block', (page_index + 1 + doc_id % 3)::varchar, 800, 815 FROM rp
+  UNION ALL SELECT doc_id, page_index, k, 4, 'table', NULL, 300, 315 FROM rp WHERE k % 2 = 0
+  UNION ALL SELECT doc_id, page_index, k, 5, 'table', NULL, 500, 515 FROM rp WHERE k % 12 = 2)),
+rbt AS (SELECT doc_id, page_index, k, a FROM rp WHERE k % 12 = 2),
+{_balance_sql("rbc", "rbt", "doc_id, page_index", "k")},
+rc AS (SELECT doc_id, page_index, 4 AS seq, row_idx, col_idx, cell_seq, text_raw FROM cells JOIN rp ON table_id = k WHERE k % 2 = 0
+       UNION ALL SELECT doc_id, page_index, 5, row_idx, col_idx, cell_seq, text_raw FROM rbc)"""

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 Engine = Callable[[str, bytes], Iterable[dict]]
 
+#: Why a file gave no rows: null where it did. Every engine's schema ends with it.
+ERROR = "error string"
 MANIFEST = "path string, page_index int, width double, height double, chars int, coverage double, density double"
 BLOCKS = "path string, page_index int, seq int, text string, x0 double, y0 double, x1 double, y1 double, source string, confidence double"
 REGIONS = "path string, page_index int, region_idx int, type string, x0 double, y0 double, x1 double, y1 double, confidence double"
@@ -21,16 +23,17 @@ STAFF_LINES = "path string, y double, x double, width double, height double"
 
 
 def read_files(spark: SparkSession, path: str, suffixes: tuple[str, ...] = (".pdf",)) -> DataFrame:
-    """path and content of files below a folder; the suffix is tested before content is read."""
+    """path and content of files below a folder; the suffix is tested on the list of files, so others are never opened."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     hit = F.lit(False)
     for s in suffixes:
-        hit = hit | F.lower("path").endswith(s)
+        hit = hit | F.lower("_metadata.file_path").endswith(s)
     return files.where(hit).select("path", "content")
 
 
 def run_engine(files: DataFrame, engine: Engine, schema: str) -> DataFrame:
-    """The engine's rows for every file; a file that it fails on gives none."""
+    """The engine's rows for every file, with error; a file that it fails on gives one row with its path and what went wrong."""
+    schema = f"{schema}, {ERROR}"
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -38,18 +41,19 @@ def run_engine(files: DataFrame, engine: Engine, schema: str) -> DataFrame:
             for path, content in zip(b["path"], b["content"], strict=True):
                 try:
                     rows = [{"path": path, **r} for r in engine(path, bytes(content))]
-                except Exception:  # noqa: BLE001
-                    rows = []
+                except Exception as e:  # noqa: BLE001
+                    rows = [{"path": path, "error": f"{type(e).__name__}: {e}"}]
                 if rows:
-                    yield pd.DataFrame(rows).reindex(columns=names)
+                    yield pd.DataFrame(rows).reindex(columns=names).astype(object)
 
     return files.mapInPandas(run, schema)
 
 
 def with_fallback(primary: DataFrame, files: DataFrame, engine: Engine, schema: str) -> DataFrame:
-    """primary, and a second engine's rows for the files of which it has none."""
-    rest = files.join(primary.select("path").distinct(), "path", "left_anti")
-    return primary.unionByName(run_engine(rest, engine, schema))
+    """primary's rows without error, and a second engine's for the files of which it has none."""
+    good = primary.where("error is null")
+    rest = files.join(good.select("path").distinct(), "path", "left_anti")
+    return good.unionByName(run_engine(rest, engine, schema))
 
 
 def with_full_pages(regions: DataFrame, pages: DataFrame) -> DataFrame:
