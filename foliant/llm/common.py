@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -11,6 +10,8 @@ from contextvars import ContextVar
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliant.sources.scratch import shared_dir
+
 #: The white space of every operator here: space and U+0009 to U+000D.
 WS = " \t\n\x0b\x0c\r"
 #: The same as a regular expression class body, for Spark and DuckDB alike.
@@ -21,20 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. Only a session of one machine gets one of its own where none is set."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = spark.sparkContext.getCheckpointDir()
-    if not where:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir is not set: intermediate tables need a folder that all executors share")
-        where = "file://" + tempfile.mkdtemp(prefix="foliant-")
-        spark.sparkContext.setCheckpointDir(where)
-        where = spark.sparkContext.getCheckpointDir()
-    return where.rstrip("/")
-
-
 _SCRATCH: ContextVar[str] = ContextVar("scratch", default="")
 
 
