@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliant.functions.text import note_references
+from foliant.sources.scratch import saved
 
 FINDING = ["checker", "page_index", "item", "severity", "reason"]
 
@@ -20,18 +21,14 @@ def finding(df: DataFrame, checker: str, severity, reason, page="page_index", it
 
 
 def run_checks(checks: dict[str, Callable[[], DataFrame]]) -> DataFrame:
-    """The findings of all checks, numbered by their order. A check that cannot be planned becomes an error finding."""
+    """The findings of all checks, numbered by their order. Each is run here and now; one that fails, in planning or at work, becomes an error finding."""
     out = []
     for i, (name, check) in enumerate(checks.items()):
         try:
-            found = check()
+            found = saved(check().select(*FINDING), "findings")
         except Exception as e:  # noqa: BLE001
-            found = next(iter(out)).limit(0) if out else None
-            if found is None:
-                raise
-            spark = found.sparkSession
-            found = finding(spark.range(1), name, "error", f"check failed: {type(e).__name__}", page=None).select(*FINDING)
-        out.append(found.select(*FINDING, F.lit(i).alias("checker_order")))
+            found = finding(SparkSession.active().range(1), name, "error", f"check failed: {type(e).__name__}", page=None)
+        out.append(found.withColumn("checker_order", F.lit(i)))
     return reduce(DataFrame.unionByName, out)
 
 
@@ -55,7 +52,3 @@ def missing_sections(sections: DataFrame, group: str) -> DataFrame:
     n = sections.groupBy(group).agg(F.count("*").alias("pages"), F.collect_set("section").alias("present"))
     need = F.when(F.col("pages") <= 5, F.array(F.lit("cover"), F.lit("toc"))).otherwise(F.array(F.lit("income_statement"), F.lit("balance_sheet")))
     return n.select(group, "pages", F.explode(F.array_except(need, "present")).alias("missing"))
-
-
-def invalid_boxes(items: DataFrame) -> DataFrame:
-    return items.where(~((F.col("x1") > F.col("x0")) & (F.col("y1") > F.col("y0"))))

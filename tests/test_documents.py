@@ -193,8 +193,11 @@ def test_a_document_is_classified_and_checked(spark):
         (1, "balance", "error", "assets and liabilities differ"), (1, "references", "warning", "note is missing, mentions: 2"), (1, "references", "info", "0 of 1 notes found"),
         (1, "snapshot", "warning", "items changed on 2 pages: p5:2>0, p6:1>0"), (1, "snapshot", "warning", "financial types changed"), (1, "snapshot", "info", "page quality changed"), (1, "snapshot", "info", "7 pages, before 6; changed 2"),
     }
+    broken = document.findings(documents, pages.withColumn("width", F.raise_error(F.lit("x")).cast("double")), typed, c.drop("cell_seq"), s, pages, t).collect()
+    assert {(r.doc_id, r.checker, r.reason) for r in broken if r.severity == "error" and "failed" in r.reason} == {(d, k, f"check failed: {e}") for d in (1, 2) for k, e in (("schema", "SparkRuntimeException"), ("sums", "AnalysisException"), ("balance", "AnalysisException"))}
+    assert any(r.checker == "references" for r in broken)
     rep = {r.doc_id: r for r in document.reports(documents, c, found).collect()}
-    assert not rep[1].schema_valid and rep[1].blank_percent == 0 and [f.checker for f in rep[1].findings] == sorted((f.checker for f in rep[1].findings), key=document.CHECKERS.index)
+    assert not rep[1].schema_valid and rep[1].blank_percent == 0 and [f.checker for f in rep[1].findings] == sorted((f.checker for f in rep[1].findings), key=("schema", "sums", "sections", "quality", "balance", "references", "snapshot").index)
 
 
 def test_offsets_fall_back(spark):

@@ -149,6 +149,10 @@ def test_checks(spark):
     def broken():
         raise ValueError("x")
 
+    def fails_at_work():
+        return qa.finding(b.withColumn("text", F.raise_error(F.lit("x")).cast("string")), "late", "info", F.col("text"))
+
+    assert [r.severity for r in qa.run_checks({"broken": broken, "late": fails_at_work}).collect()] == ["error", "error"]
     out = qa.run_checks({"notes": lambda: qa.finding(qa.missing_notes(b, n), "notes", "warning", "missing", item="note"), "broken": broken}).collect()
     assert [(r.checker, r.severity, r.checker_order) for r in sorted(out, key=lambda r: r.checker_order)] == [("notes", "warning", 0), ("broken", "error", 1)]
 

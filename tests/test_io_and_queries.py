@@ -1,3 +1,4 @@
+import functools
 import os
 import time
 
@@ -26,6 +27,18 @@ def duck():
     return con
 
 
+@pytest.fixture(scope="module", autouse=True)
+def prepared_once():
+    """Queries over whole documents share what they prepare: the tests are about their results."""
+    names = ("_report", "_typed", "_checked")
+    was = {n: getattr(document_queries, n) for n in names}
+    for n, f in was.items():
+        setattr(document_queries, n, functools.cache(f))
+    yield
+    for n, f in was.items():
+        setattr(document_queries, n, f)
+
+
 def plain(v):
     return float(f"{v:.9g}") if isinstance(v, float) else v
 
