@@ -174,6 +174,16 @@ def test_recall_of_planted_pairs(spark, changed):
     assert all(got[2 * i + 1] != 2 * i for i in range(150) if i not in pairs)
 
 
+def test_join_of_long_texts_and_columns_named_alike(spark):
+    words = [f"w{i}" for i in range(60_000)]
+    rows = [(1, " ".join(words), 5, "a", 0), (2, " ".join(words[:59_000]), 6, "b", 0), (None, " ".join(words), 7, "c", 0), (4, "", 8, "d", 0)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, node int, places string, class_id int")
+    got = {r.doc_id: (r.class_id, r.n_links, r.n_copies) for r in ngram_join.ngram_join(d).collect()}
+    assert got == {1: (1, 2, 2), 2: (1, 2, 1), None: (1, 2, 2), 4: (4, 0, 1)}
+    kept = ngram_join.drop_near_copies(d)
+    assert sorted(r.node for r in kept.collect()) == [5, 8] and kept.columns == d.columns
+
+
 def test_bands_reach_recall():
     for t in (0.5, 0.8, 0.9):
         b, r = ngram_join.choose_bands(t, 0.99)
