@@ -3,9 +3,11 @@
 Each stage reads what its predecessor wrote and works on all of it. Null texts count as empty: the first stage drops them.
 Null ids, languages and sources are values like others. Rows that repeat a document are copies: line dedup leaves one.
 Columns besides doc_id, text, lang, source and n_chars pass through, whatever their names. Empty tables give empty
-results. Ties are settled by doc_id, then by hashes of the texts, as each operator's docstring says. Quality rules drop documents; line dedup drops
-lines, and documents that have none left; the n-gram join keeps one document of each near-duplicate class; mixing
-repeats documents of under-represented sources (no source loses one); packing returns token pieces in sequences.
+results. Ties are settled by doc_id, then by hashes of the texts, as each operator's docstring says.
+
+Quality rules drop documents; line dedup drops lines, and documents that have none left; the n-gram join keeps one
+document of each near-duplicate class; mixing repeats documents of under-represented sources (no source loses one);
+packing returns token pieces in sequences.
 """
 
 from __future__ import annotations
