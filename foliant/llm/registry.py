@@ -1,6 +1,6 @@
 """The queries of this subpackage and, where SQL can express them, their DuckDB twins."""
 
-from . import chat_format, ctw, exact_dedup, html_extract, line_dedup, ngram_join, packing, quality_rules, source_mix, url_filter
+from . import chat_format, ctw, exact_dedup, html_extract, line_dedup, ngram_join, packing, quality_rules, source_mix, suffix_dedup, url_filter
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_url_filter": url_filter.op8_url_filter,
     "op9_ngram_join": ngram_join.op9_ngram_join,
     "op10_html_extract": html_extract.op10_html_extract,
+    "op11_suffix_dedup": suffix_dedup.op11_suffix_dedup,
 }
 ORACLES = {
     "op9_ngram_join": ngram_join.ORACLE,
