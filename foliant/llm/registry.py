@@ -1,6 +1,6 @@
 """The queries of this subpackage and, where SQL can express them, their DuckDB twins."""
 
-from . import chat_format, ctw, exact_dedup, html_extract, line_dedup, ngram_join, packing, quality_rules, source_mix, suffix_dedup, url_filter
+from . import chat_format, ctw, exact_dedup, html_extract, line_dedup, ngram_join, packing, prefix_trie, quality_rules, source_mix, suffix_dedup, url_filter, whitening
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -14,6 +14,8 @@ QUERIES = {
     "op9_ngram_join": ngram_join.op9_ngram_join,
     "op10_html_extract": html_extract.op10_html_extract,
     "op11_suffix_dedup": suffix_dedup.op11_suffix_dedup,
+    "op12_whitening": whitening.op12_whitening,
+    "op13_prefix_trie": prefix_trie.op13_prefix_trie,
 }
 ORACLES = {
     "op9_ngram_join": ngram_join.ORACLE,
@@ -22,4 +24,5 @@ ORACLES = {
     "op2_exact_dedup": exact_dedup.ORACLE,
     "op5_quality_rules": quality_rules.ORACLE,
     "op8_url_filter": url_filter.ORACLE,
+    "op13_prefix_trie": prefix_trie.ORACLE,
 }
