@@ -24,6 +24,8 @@ from .common import stored, table
 COMPONENTS, BLOCK, DEGREE, SCALE = 4, 32, 10, 256
 #: Residual, as a share of the largest eigenvalue, that certifies an eigenvector, and filters that may be tried for it.
 TOLERANCE, ROUNDS = 2e-14, 60
+#: Sums are carried in two parts, since squares may have more digits than a decimal.
+PART = 10**18
 #: Share of the variance under which a component counts as none.
 NOTHING = 1e-13
 
@@ -55,11 +57,12 @@ def clean(vectors: DataFrame, column: str = "embedding") -> DataFrame:
 
 
 def _rows(batch: pa.RecordBatch) -> np.ndarray:
-    return batch["x"].flatten().to_numpy().reshape(batch.num_rows, -1)
+    flat = batch["x"].flatten().to_numpy()
+    return flat.reshape(batch.num_rows, len(flat) // batch.num_rows if batch.num_rows else 0)
 
 
 def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Exact sums of a task: at place 0 the vectors, then by dimension the entries, then their squares."""
+    """Exact sums of a task, as multiples of PART and rests: at place 0 the vectors, then by dimension the entries, then their squares."""
     total = None
     for b in batches:
         x = _rows(b)
@@ -68,7 +71,8 @@ def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = np.concatenate([[len(x)], x.sum(axis=0), (x * x).sum(axis=0)]).astype(object)
         total = part if total is None else total + part
     if total is not None:
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(total)), pa.int32()), pa.array([Decimal(int(v)) for v in total], pa.decimal128(38, 0))], names=["place", "value"])
+        parts = [pa.array([Decimal(v) for v in p], pa.decimal128(38, 0)) for p in zip(*(divmod(int(v), PART) for v in total), strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(total)), pa.int32()), *parts], names=["place", "high", "low"])
 
 
 def _deviations(x: np.ndarray, n: int, sums: list[int]) -> np.ndarray:
@@ -131,7 +135,8 @@ def leading(times: Callable[[np.ndarray], np.ndarray], size: int, k: int, block:
 def fitted(x: DataFrame, components: int = COMPONENTS) -> Fit | None:
     """The whitening of each distinct vector once; None where there is none."""
     fit = stored(x.select("x").distinct(), "fit-list")
-    sums = {r["place"]: int(r["value"]) for r in fit.mapInArrow(_moments, "place int, value decimal(38,0)").groupBy("place").agg(F.sum("value").cast("decimal(38,0)").alias("value")).collect()}
+    moments = fit.mapInArrow(_moments, "place int, high decimal(38,0), low decimal(38,0)").groupBy("place").agg(F.sum("high").alias("high"), F.sum("low").alias("low"))
+    sums = {r["place"]: int(r["high"]) * PART + int(r["low"]) for r in moments.collect()}
     if not sums or len(sums) < 3:
         return None
     n, size = sums[0], (len(sums) - 1) // 2
