@@ -2,10 +2,11 @@
 
 Windows of WIDTH bytes are dealt out by content: each takes the trigger inside it (suffix_array.triggers) whose next KEY
 bytes hash lowest, the first of equals, so equal windows take the same key wherever they stand. The windows of a text
-that share a trigger are a run, one row; runs whose key occurs once are done. Of the others equal stretches are counted
-once, with their number, and only one copy of each is read again. Runs with one key meet in a task, which sorts their
-suffixes by linear grouping (suffix_array.repeated_windows) and tells which windows stand in another stretch or in one
-that is counted more than once. No other key can hold an equal window.
+that share a trigger are a run, one row. A run that its own text repeats is told at once, and goes on once for the sake
+of other texts; runs whose key occurs once are done. Of the others equal stretches are counted once, with their number,
+and only one copy of each is read again. Runs with one key meet in a task, which sorts their suffixes by linear grouping
+(suffix_array.repeated_windows) and tells which windows stand in another stretch or in one that is counted more than
+once. No other key can hold an equal window.
 
 Where many different stretches share a key (a frequent passage in a thousand contexts), their runs are cut by the
 distance from window to trigger into runs of 16 windows, whose key is all bytes that those windows share; where even
@@ -23,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small, stored, table, text_of
+from .common import stored, table, text_of
 from .suffix_array import loads, mixed, repeated_windows, triggers
 
 WIDTH = 400
@@ -35,9 +36,10 @@ CUTS = (0, 16, 1)
 STRETCH_BYTES, SORT_BYTES = 1_000_000, 500_000
 #: Bytes of texts that are scanned at a time; a longer text is scanned by itself.
 SCAN_BYTES = 2_000_000
-BROADCAST_ROWS = 200_000
 
-RUN = "doc_id long, text_key long, first int, windows int, near int, key long, stretch long"
+SPANS = "array<struct<at int, n int>>"
+#: A run: its place, windows, distance from its first window to the trigger, key, digest of all its bytes, and how often it is in its text. A row without a key has in `own` what repeats within its text.
+RUN = f"doc_id long, text_key long, first int, windows int, near int, times int, key long, stretch long, own {SPANS}"
 
 
 def _digest(data: bytes) -> int:
@@ -104,20 +106,44 @@ def _slices(batch: pa.RecordBatch) -> Iterator[list[int]]:
         yield rows
 
 
+def _merged(at: np.ndarray, n: np.ndarray) -> list[dict]:
+    """Windows [at, at + n) as few such spans, in order."""
+    out: list[list[int]] = []
+    for a, k in sorted(zip(at.tolist(), n.tolist(), strict=True)):
+        if out and a <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], a + k)
+        else:
+            out.append([a, a + k])
+    return [{"at": a, "n": z - a} for a, z in out]
+
+
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of texts. What repeats within a text is told at once; one of its runs goes on for the sake of other texts."""
     for b in batches:
         for rows in _slices(b):
             texts = [b["text"][i].as_py() for i in rows]
             owner, first, windows, near, keys = runs_of(texts)
-            stretch = [_digest(texts[o][f : f + n + WIDTH - 1]) for o, f, n in zip(owner.tolist(), first.tolist(), windows.tolist(), strict=True)]
-            at = pa.array(np.asarray(rows)[owner])
-            yield _run_batch(b["doc_id"].take(at), b["text_key"].take(at), first, windows, near, keys, stretch)
-
-
-def _run_batch(doc_id, text_key, first, windows, near, keys, stretch) -> pa.RecordBatch:
+            stretch = np.array([_digest(texts[o][f : f + n + WIDTH - 1]) for o, f, n in zip(owner.tolist(), first.tolist(), windows.tolist(), strict=True)], np.int64)
+            by = np.lexsort((first, stretch, keys, owner))
+            new = np.ones(len(by), bool)
+            new[1:] = (np.diff(owner[by]) != 0) | (np.diff(keys[by]) != 0) | (np.diff(stretch[by]) != 0)
+            one = by[new]
+            times = np.diff(np.append(np.flatnonzero(new), len(by)))
+            again = by[np.repeat(times > 1, times)]
+            own = [(o, _merged(first[again[owner[again] == o]], windows[again[owner[again] == o]])) for o in np.unique(owner[again]).tolist()]
+            place = pa.array(np.asarray(rows)[owner[one]])
+            yield _run_batch(b["doc_id"].take(place), b["text_key"].take(place), first[one], windows[one], near[one], times, keys[one], stretch[one])
+            if own:
+                place = pa.array([rows[o] for o, _ in own])
+                none = [None] * len(own)
+                yield _run_batch(b["doc_id"].take(place), b["text_key"].take(place), none, none, none, none, none, none, [x for _, x in own])
+
+
+def _run_batch(doc_id, text_key, first, windows, near, times, keys, stretch, own=None) -> pa.RecordBatch:
     i32, i64 = pa.int32(), pa.int64()
-    arrays = [doc_id, text_key, pa.array(first, i32), pa.array(windows, i32), pa.array(near, i32), pa.array(keys, i64), pa.array(stretch, i64)]
-    return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "text_key", "first", "windows", "near", "key", "stretch"])
+    arrays = [doc_id, text_key, *(pa.array(x, i32) for x in (first, windows, near, times)), pa.array(keys, i64), pa.array(stretch, i64)]
+    arrays.append(pa.array(own or [None] * len(doc_id), pa.list_(pa.struct([("at", i32), ("n", i32)]))))
+    return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "text_key", "first", "windows", "near", "times", "key", "stretch", "own"])
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -126,10 +152,9 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(t).alias("text_key"), t.alias("text"))
 
 
-def _with_text(keyed: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
-    """text and `want` of the texts that wanted (doc_id, text_key, want) names, once each."""
+def _with_text(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
+    """text and `want` of the texts that wanted (doc_id, text_key, want) names; a row that is repeated has both again."""
     per = wanted.groupBy(F.col("doc_id").alias("w_id"), F.col("text_key").alias("w_key")).agg(F.collect_list("want").alias("want"))
-    per = small(stored(per, name), BROADCAST_ROWS)
     return keyed.join(per, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_key") == F.col("w_key")))
 
 
@@ -159,7 +184,7 @@ def _cut(windows: int):
                         trigger = w["first"] + w["near"]
                         top = far // windows * windows + windows - 1  # all windows of the class share these bytes
                         core = text[trigger - far // windows * windows : trigger - top + WIDTH]
-                        rows.append((first, size, far, _digest(b"%d %d " % (w["key"], far // windows) + core), _digest(text[first : first + size + WIDTH - 1])))
+                        rows.append((first, size, far, w["times"], _digest(b"%d %d " % (w["key"], far // windows) + core), _digest(text[first : first + size + WIDTH - 1])))
                         far = low - 1
                 for lo in range(0, len(rows), 50_000):
                     c = list(zip(*rows[lo : lo + 50_000], strict=True))
@@ -197,32 +222,30 @@ def spans(docs: DataFrame) -> DataFrame:
     """doc_id, text_key, and `spans`: the repeated windows of each text that has any, as (at, n) with n windows from byte `at` on."""
     keyed = _keyed(docs)
     runs = stored(keyed.where(F.octet_length("text") >= WIDTH).mapInArrow(_scan, RUN), "runs")
-    found = []
+    found = runs.where("own is not null").select("doc_id", "text_key", F.explode("own").alias("h")).select("doc_id", "text_key", "h.*")
+    runs = runs.where("key is not null").drop("own")
     for level, _ in enumerate(CUTS):
-        often = runs.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+        often = stored(runs.groupBy("key").agg(F.sum("times").alias("n")).where("n > 1").select("key"), "repeated-keys")
         alive = stored(runs.join(often, "key"), "repeated-runs")
-        one = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "first", "windows", "near")).alias("one")
-        part = stored(alive.groupBy("key", "stretch").agg(F.count("*").alias("times"), one), "stretches")
+        one = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "first", "windows")).alias("one")
+        part = stored(alive.groupBy("key", "stretch").agg(F.sum("times").alias("times"), one), "stretches")
+        rest = part
         if level + 1 < len(CUTS):
             big = part.groupBy("key").agg(F.sum(F.col("one.windows") + WIDTH - 1).alias("bytes"), F.count("*").alias("n")).where(f"bytes > {STRETCH_BYTES} and n > 1").select("key")
             big = stored(big, "frequent-keys")
             rest = part.join(big, "key", "left_anti")
-        else:
-            rest = part
         want = rest.select("one.doc_id", "one.text_key", F.struct("one.first", "one.windows", "key", "stretch", "times").alias("want"))
-        data = _with_text(keyed, want, "wanted").select("text", "want").mapInArrow(_stretches, "key long, stretch long, times long, data binary")
-        told = data.repartition("key").sortWithinPartitions("key", "stretch").mapInArrow(_sort, "key long, stretch long, hits array<struct<at int, n int>>")
+        data = _with_text(keyed, want).select("text", "want").mapInArrow(_stretches, "key long, stretch long, times long, data binary")
+        told = data.repartition("key").sortWithinPartitions("key", "stretch").mapInArrow(_sort, f"key long, stretch long, hits {SPANS}")
         told = stored(told.where("size(hits) > 0"), "hits")
-        hit = alive.join(told, ["key", "stretch"]).select("doc_id", "text_key", "first", F.explode("hits").alias("h"))
-        found.append(hit.select("doc_id", "text_key", (F.col("first") + F.col("h.at")).alias("at"), F.col("h.n").alias("n")))
+        # runs that are in their text more than once are told already
+        hit = alive.where("times = 1").join(told, ["key", "stretch"]).select("doc_id", "text_key", "first", F.explode("hits").alias("h"))
+        found = found.unionByName(hit.select("doc_id", "text_key", (F.col("first") + F.col("h.at")).alias("at"), F.col("h.n").alias("n")))
         if level + 1 == len(CUTS) or big.isEmpty():
             break
-        again = alive.join(big, "key").select("doc_id", "text_key", F.struct("first", "windows", "near", "key").alias("want")).distinct()
-        runs = stored(_with_text(keyed, again, "frequent-runs").select("doc_id", "text_key", "text", "want").mapInArrow(_cut(CUTS[level + 1]), RUN), "cut-runs")
-    every = found[0]
-    for f in found[1:]:
-        every = every.unionByName(f)
-    return every.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("at", "n")).alias("spans"))
+        again = alive.join(big, "key").select("doc_id", "text_key", F.struct("first", "windows", "near", "times", "key").alias("want")).distinct()
+        runs = stored(_with_text(keyed, again).select("doc_id", "text_key", "text", "want").mapInArrow(_cut(CUTS[level + 1]), RUN), "cut-runs").drop("own")
+    return found.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("at", "n")).alias("spans"))
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,7 +277,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """
     keyed, found = _keyed(docs), spans(docs)
     found = stored(found.withColumnsRenamed({"doc_id": "s_id", "text_key": "s_key"}), "spans")
-    x = keyed.join(small(found, BROADCAST_ROWS), F.col("doc_id").eqNullSafe(F.col("s_id")) & (F.col("text_key") == F.col("s_key")), "left")
+    x = keyed.join(found, F.col("doc_id").eqNullSafe(F.col("s_id")) & (F.col("text_key") == F.col("s_key")), "left")
     return x.select("doc_id", "text", "spans").mapInArrow(_kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
