@@ -7,9 +7,6 @@ table, row_idx, col_idx, cell_seq, text_raw. Every step is keyed by doc_id, so m
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -215,29 +212,6 @@ def check_snapshot(pages: DataFrame, items: DataFrame, old_pages: DataFrame, old
     return out.unionByName(_found(n, "snapshot", "info", done, page=None)).unionByName(_found(lost, "snapshot", "info", F.lit("no snapshot, not checked"), page=None))
 
 
-def _guarded(documents: DataFrame, name: str, check: Callable[[], DataFrame]) -> DataFrame:
-    """The findings of a check, run here and now; one that fails, in planning or at work, is an error finding of every document."""
-    try:
-        return saved(check(), name)
-    except Exception as e:  # noqa: BLE001
-        return _found(documents, name, "error", F.lit(f"check failed: {type(e).__name__}"), page=None)
-
-
-def findings(documents: DataFrame, pages: DataFrame, items: DataFrame, cells: DataFrame, sections: DataFrame, old_pages: DataFrame, old_items: DataFrame) -> DataFrame:
-    """The findings of all seven checkers on all documents, with checker_order. items have their financial types, sections their documents' pages."""
-    checks = {
-        "schema": lambda: check_schema(documents, pages),
-        "sums": lambda: check_sums(cells),
-        "sections": lambda: check_sections(sections),
-        "quality": lambda: check_quality(pages),
-        "balance": lambda: check_balance(items, cells),
-        "references": lambda: check_references(items, sections),
-        "snapshot": lambda: check_snapshot(pages, items, old_pages, old_items),
-    }
-    parts = [_guarded(documents, name, check).withColumn("checker_order", F.lit(i)) for i, (name, check) in enumerate(checks.items())]
-    return reduce(DataFrame.unionByName, parts)
-
-
 def reports(documents: DataFrame, cells: DataFrame, found: DataFrame) -> DataFrame:
     """Per document: pdf, schema_valid, the shares of blank cells and of cells with a digit that no number came of (per cent), and its findings in the order of the checkers."""
     n = tables.with_numbers(cells)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from foliant.sources.folders import list_files, read_contents
+
 # Languages by extension (of two claims the later counts), comment styles and categories.
 EXTENSIONS = {".py": "Python", ".js": "JavaScript", ".ts": "TypeScript", ".tsx": "TypeScript", ".go": "Go", ".java": "Java", ".cs": "C#", ".cpp": "C++", ".cc": "C++", ".cxx": "C++", ".hpp": "C++", ".c": "C", ".h": "C", ".rs": "Rust", ".rb": "Ruby", ".php": "PHP", ".kt": "Kotlin", ".swift": "Swift", ".sql": "SQL", ".sh": "Shell", ".bash": "Shell", ".ps1": "PowerShell", ".yaml": "YAML", ".yml": "YAML", ".toml": "TOML", ".json": "JSON", ".md": "Markdown", ".xml": "XML", ".html": "HTML", ".htm": "HTML", ".css": "CSS"}
 HASH = ("Python", "Shell", "PowerShell", "YAML")
@@ -40,7 +42,7 @@ def excluded(path):
 def read_ignored(spark: SparkSession, root: str) -> DataFrame:
     """pattern: the lines of root's .gitignore, without blank lines and comments; none where there is no such file.
 
-    Spark's sources do not see files whose names begin with a dot, so the driver opens this one.
+    It is one small file, so the driver opens it.
     """
     path = spark._jvm.org.apache.hadoop.fs.Path(root, ".gitignore")
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -58,28 +60,36 @@ def ignored_by(path, pattern):
     return path.contains(pattern) | (pattern.contains("*") & F.rlike(path, F.regexp_replace(pattern, r"\*", ".*")))
 
 
+#: Patterns that are tried in one pass over the paths.
+PATTERNS = 1_000
+
+
 def without_excluded(files: DataFrame, ignored: DataFrame | None = None, path: str = "path") -> DataFrame:
-    """files (path) that are not `excluded`, nor `ignored_by` a pattern; patterns are those of one small file and are broadcast."""
+    """files (path) that are not `excluded`, nor `ignored_by` a pattern: a filter for each block of PATTERNS patterns, no join."""
     kept = files.where(~excluded(F.col(path)))
-    return kept if ignored is None else kept.join(F.broadcast(ignored), ignored_by(F.col(path), F.col("pattern")), "left_anti")
+    if ignored is None:
+        return kept
+    patterns = [r["pattern"] for r in ignored.collect()]  # the lines of one file that the driver has read
+    for i in range(0, len(patterns), PATTERNS):
+        block = F.array(*[F.lit(p) for p in patterns[i : i + PATTERNS]])
+        kept = kept.where(~F.exists(block, lambda p: ignored_by(F.col(path), p)))
+    return kept
+
+
+def list_sources(spark: SparkSession, root: str, use_ignored: bool = False) -> DataFrame:
+    """path (below root), size and modified of the files that count; hidden names are names like others, excluded folders are not opened."""
+    files = list_files(spark, root, EXCLUDED_DIRS).withColumn("_full", F.concat(F.lit(root.rstrip("/") + "/"), "path"))
+    kept = without_excluded(files, path="_full").drop("_full")
+    return without_excluded(kept, read_ignored(spark, root)) if use_ignored else kept
 
 
 def read_lines(spark: SparkSession, root: str, use_ignored: bool = False) -> DataFrame:
-    """path (below root), line_no and text of the files that count.
+    """path (below root), line_no and text of the files that count, with those whose names begin with a dot or an underscore.
 
-    Paths are tested on the file list: what is excluded is never opened. Files and folders whose names begin with a dot or
-    an underscore are hidden to Spark's sources, and so not counted. Bytes that are no UTF-8 are left out. Lines end
-    with a line feed, a carriage return or both; a last line without text is none.
+    What is excluded is never opened, and links to folders are not followed. Bytes that are no UTF-8 are left out. Lines end with a
+    line feed, a carriage return or both; a last line without text is none. Empty files, and files that may not be read, give nothing.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    base = spark._jvm.org.apache.hadoop.fs.Path(root)
-    base = base.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(base).toString().rstrip("/")
-    below = lambda c: F.regexp_replace(F.substring(c, F.length(c) - F.length(F.regexp_replace(c, r"^[a-z][a-z0-9+.\-]*:/*", "")) + 1, 1 << 20), "^/*", "")
-    kept = files.where(~excluded(F.col("_metadata.file_path")))
-    rel = F.substring(below(F.col("path")), F.length(below(F.lit(base))) + 2, 1 << 20)
-    x = kept.select(rel.alias("path"), "content")
-    if use_ignored:
-        x = without_excluded(x, read_ignored(spark, root))
+    x = read_contents(list_sources(spark, root, use_ignored), root)
     text = F.regexp_replace(F.make_valid_utf8(F.col("content").cast("string")), "\ufffd", "")
     lines = F.split(F.regexp_replace(text, r"(\r\n|\r|\n)\z", ""), r"\r\n|\r|\n", -1)
     return x.where(F.length("content") > 0).select("path", F.posexplode(lines).alias("line_no", "text"))

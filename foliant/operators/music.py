@@ -83,33 +83,62 @@ def best_scores(files: DataFrame) -> DataFrame:
     return x.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n", "folder", "name")
 
 
-def _measures_of(files: DataFrame) -> DataFrame:
-    xml = F.make_valid_utf8(F.col("content").cast("string")) if dict(files.dtypes)["content"] == "binary" else F.col("content")
-    text = F.regexp_replace(F.regexp_replace(xml, r"<!DOCTYPE[^>]*>", ""), r"<\?xml[^>]*\?>", "")
-    return files.select("path", F.posexplode(F.regexp_extract_all(text, F.lit(r"(?s)(<measure\b.*?</measure>)"), F.lit(1))).alias("measure_seq", "m"))
+#: What is read of a score. Attributes have an underscore before their names.
+SCORE = "struct<part:array<struct<_id:string,measure:array<struct<_number:string,attributes:array<struct<key:array<struct<fifths:string>>,time:array<struct<beats:string,`beat-type`:string>>>>,note:array<struct<pitch:struct<step:string,alter:string,octave:string>,type:string,voice:string>>>>>>,_broken:string>"
+
 
+def scores(files: DataFrame) -> DataFrame:
+    """files (path, content as text or bytes) of uncompressed MusicXML, a row each: path, error, time_signature, key_signature, measures.
 
-def _tag(column: str, tag: str):
-    return F.nullif(F.regexp_extract(column, rf"<{tag}>\s*([^<]*?)\s*</{tag}>", 1), F.lit(""))
+    Namespaces, document types and attributes do not matter. Measures of all parts follow one another; those without notes,
+    time and key are left out. A measure has its part, number, time and key signature (null where it states none), and notes:
+    pitch, duration (a quarter where the note has no type) and voice. Rests, and notes without pitch, are left out. The
+    score's own signatures are the first that a measure states. error says why a file gave no measures: it is not well-formed XML,
+    or a measure's number or a key is no integer. For .mxl see `unpacked`.
+    """
+    xml = F.make_valid_utf8(F.col("content").cast("string")) if dict(files.dtypes)["content"] == "binary" else F.col("content")
+    x = files.select("path", F.from_xml(xml, SCORE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken", "ignoreNamespace": "true"}).alias("s"))
+
+    def note(n):
+        p = n["pitch"]
+        return F.struct(pitch(p["step"], p["alter"], F.coalesce(p["octave"], F.lit(""))).alias("pitch"), F.coalesce(n["type"], F.lit("quarter")).alias("duration"), F.coalesce(n["voice"].try_cast("int"), F.lit(1)).alias("voice"))
+
+    def measure(part, m):
+        stated = lambda what: F.get(F.flatten(F.transform(F.filter(m["attributes"], lambda a: a[what].isNotNull()), lambda a: a[what])), F.lit(0))
+        time, key = stated("time"), stated("key")
+        full = (time["beats"] != "") & (time["beat-type"] != "")
+        fifths = F.coalesce(key["fifths"], F.lit("0")).try_cast("int")
+        notes = F.transform(F.filter(m["note"], lambda n: n["pitch"].isNotNull()), note)
+        return F.struct(
+            part["_id"].alias("part"),
+            F.coalesce(m["_number"], F.lit("0")).try_cast("int").alias("number"),
+            F.when(full, F.concat(time["beats"], F.lit("/"), time["beat-type"])).alias("time_signature"),
+            F.when(key.isNotNull(), F.coalesce(key_name(fifths), F.lit("C"))).alias("key_signature"),
+            (key.isNotNull() & fifths.isNull()).alias("odd_key"),
+            F.coalesce(notes, F.array().cast("array<struct<pitch:string,duration:string,voice:int>>")).alias("notes"),
+        )
+
+    each = F.flatten(F.transform("s.part", lambda part: F.transform(F.coalesce(part["measure"], F.array()), lambda m: measure(part, m))))
+    x = x.select("path", F.col("s").isNull().alias("none"), F.col("s._broken").isNotNull().alias("broken"), F.inline(F.array(F.struct(F.coalesce(each, F.array()).alias("m")))))
+    odd = F.exists("m", lambda m: m["number"].isNull() | m["odd_key"])
+    error = F.when(F.col("none") | F.col("broken"), "not well-formed").when(odd, "a number or key is no integer")
+    kept = F.filter("m", lambda m: (F.size(m["notes"]) > 0) | m["time_signature"].isNotNull() | m["key_signature"].isNotNull())
+    kept = F.transform(kept, lambda m: m.dropFields("odd_key"))
+    x = x.select("path", error.alias("error"), F.when(error.isNull(), kept).otherwise(F.slice(kept, 1, 0)).alias("measures"))
+    first = lambda c: F.get(F.filter(F.transform("measures", lambda m: m[c]), lambda v: v.isNotNull()), F.lit(0)).alias(c)
+    return x.select("path", "error", first("time_signature"), first("key_signature"), "measures")
 
 
 def parse_measures(files: DataFrame) -> DataFrame:
-    """files (path, content as text or bytes) of MusicXML to measures: path, measure_seq, number, time_signature, key_signature (null where a measure states none)."""
-    m = _measures_of(files)
-    time = F.concat_ws("/", _tag("m", "beats"), _tag("m", "beat-type"))
-    key = F.when(F.col("m").rlike(r"<key\b"), key_name(F.coalesce(_tag("m", "fifths"), F.lit("0")).try_cast("int")))
-    return m.select("path", "measure_seq", F.regexp_extract("m", r'number="([^"]*)"', 1).alias("number"), F.when(time.contains("/"), time).alias("time_signature"), key.alias("key_signature"))
+    """The measures of `scores`, a row each: path, measure_seq from 0, part, number, time_signature, key_signature."""
+    m = scores(files).select("path", F.posexplode("measures").alias("measure_seq", "m"))
+    return m.select("path", "measure_seq", "m.part", "m.number", "m.time_signature", "m.key_signature")
 
 
 def parse_musicxml(files: DataFrame) -> DataFrame:
-    """files (path, content as text or bytes) of uncompressed MusicXML to notes, one row each, rests left out; for .mxl see `unpacked`.
-
-    Measures of all parts follow one another, and the notes of a chord count one after another.
-    """
-    m = _measures_of(files)
-    n = m.select("path", "measure_seq", F.regexp_extract("m", r'number="([^"]*)"', 1).alias("number"), F.posexplode(F.regexp_extract_all("m", F.lit(r"(?s)(<note\b.*?</note>)"), F.lit(1))).alias("note_seq", "n"))
-    get = lambda tag: _tag("n", tag)
-    return n.where(~F.col("n").rlike(r"<rest\b")).select("path", "measure_seq", "number", "note_seq", pitch(get("step"), get("alter"), get("octave")).alias("pitch"), F.coalesce(get("type"), F.lit("quarter")).alias("duration"), F.coalesce(get("voice").try_cast("int"), F.lit(1)).alias("voice"))
+    """The notes of `scores`, a row each: path, measure_seq, part, number, note_seq, pitch, duration, voice. Notes of a chord count one after another."""
+    m = scores(files).select("path", F.posexplode("measures").alias("measure_seq", "m"))
+    return m.select("path", "measure_seq", "m.part", "m.number", F.posexplode("m.notes").alias("note_seq", "n")).select("path", "measure_seq", "part", "number", "note_seq", "n.*")
 
 
 def placed_share(notes: DataFrame) -> DataFrame:

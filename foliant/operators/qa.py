@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import AnalysisException, ArithmeticException, ArrayIndexOutOfBoundsException, DateTimeException, IllegalArgumentException, NumberFormatException, PythonException, SparkRuntimeException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliant.functions.text import note_references
 from foliant.sources.scratch import saved
 
+#: Faults of a check's plan or of the data it reads. Aborted jobs (lost executors, full disks, missing files) are none, and end the run.
+FAULTS = (AnalysisException, ArithmeticException, ArrayIndexOutOfBoundsException, DateTimeException, IllegalArgumentException, NumberFormatException, PythonException, SparkRuntimeException, KeyError, TypeError, ValueError)
 FINDING = ["checker", "page_index", "item", "severity", "reason"]
 
 
@@ -21,12 +24,12 @@ def finding(df: DataFrame, checker: str, severity, reason, page="page_index", it
 
 
 def run_checks(checks: dict[str, Callable[[], DataFrame]]) -> DataFrame:
-    """The findings of all checks, numbered by their order. Each is run here and now; one that fails, in planning or at work, becomes an error finding."""
+    """The findings of all checks, numbered by their order. Each is run here and now; one with a fault of its own becomes an error finding."""
     out = []
     for i, (name, check) in enumerate(checks.items()):
         try:
             found = saved(check().select(*FINDING), "findings")
-        except Exception as e:  # noqa: BLE001
+        except FAULTS as e:
             found = finding(SparkSession.active().range(1), name, "error", f"check failed: {type(e).__name__}", page=None)
         out.append(found.withColumn("checker_order", F.lit(i)))
     return reduce(DataFrame.unionByName, out)

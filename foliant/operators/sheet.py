@@ -51,11 +51,12 @@ def metadata(tokens: DataFrame) -> DataFrame:
     )
 
 
-def header_fields(lines: DataFrame) -> DataFrame:
-    """Per piece dedication, composer and title from header lines (piece_id, line_no, line).
+def header_fields(lines: DataFrame, tokens: DataFrame | None = None) -> DataFrame:
+    """Per piece dedication, composer and title from header lines (piece_id, line_no, line), and the header's tokens (piece_id, seq, text).
 
     A line is a dedication (it says so, or is the first and names a person) while there is none, else a composer (it
-    has a year; the last counts), else a title (under 30 characters, while there is none).
+    has a year; the last counts), else a title (under 30 characters, while there is none). Without a title it is the first
+    token, in order from the top, under 15 characters that the dedication does not hold and that is not the composer.
     """
     low = F.lower("line")
     says = low.contains("omistettu") | low.contains("dedicated") | low.contains("für") | low.contains("for")
@@ -65,7 +66,13 @@ def header_fields(lines: DataFrame) -> DataFrame:
     x = x.join(first, "piece_id").where("d is null or line_no <> d")
     clean = F.trim(F.regexp_replace(F.regexp_replace("line", r"^[a-z]\s+", ""), r"\s+\d$", ""))
     rest = x.groupBy("piece_id").agg(F.max_by(clean, F.when(F.col("year"), F.col("line_no"))).alias("composer"), F.min_by("line", F.when(~F.col("year") & (F.length("line") < 30) & ~F.col("line").eqNullSafe(F.col("dedication")), F.col("line_no"))).alias("title"))
-    return first.drop("d").join(rest, "piece_id", "left")
+    found = first.drop("d").join(rest, "piece_id", "left")
+    if tokens is None:
+        return found
+    t = tokens.select("piece_id", "seq", F.trim("text").alias("text")).join(found.where("title is null"), "piece_id")
+    t = t.where((F.length("text") < 15) & ~F.coalesce("dedication", F.lit("")).contains(F.col("text")) & ~F.col("text").eqNullSafe(F.col("composer")))
+    last = t.groupBy("piece_id").agg(F.min_by("text", "seq").alias("short"))
+    return found.join(last, "piece_id", "left").withColumn("title", F.coalesce("title", "short")).drop("short")
 
 
 def time_hint(tokens: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from foliant.functions.text import FINANCIAL
-from foliant.operators import document, music, quality, sheet
+from foliant.operators import checkers, document, music, quality, sheet
 from foliant.plans import queries as q
 from foliant.plans.queries import query
 from foliant.sources import adapters as ad
@@ -150,7 +150,7 @@ def _checked(spark, sf_dir):
     old = typed.join(pages.select("doc_id", "page_index", "k"), document.PAGE).where(there & ~((F.col("k") % 29 == 0) & (F.col("seq") == 2)))
     old = old.withColumn("financial_type", F.when(F.col("k") % 37 == 0, "notes").otherwise(F.col("financial_type")))
     with_text = typed.join(items.select(*document.TABLE, "text"), document.TABLE)
-    return documents, cells, document.findings(documents, pages, with_text, cells, sections, old_pages, old)
+    return documents, cells, checkers.findings(checkers.Model(documents, pages, with_text, cells, sections, old_pages, old), checkers.standard())
 
 
 @query(f"WITH {_CHECKED} SELECT * FROM fi")

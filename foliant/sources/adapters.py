@@ -138,6 +138,24 @@ NOTES_CTE = """notes AS (SELECT piece_id, (i // 4)::int AS measure_seq, (i % 4):
   FROM (SELECT user_id AS piece_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS i FROM events))"""
 
 
+def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as MusicXML: path and content of a file for each 2048 of a user's, with two parts, measures of four notes, and all that readers stumble over."""
+    e = table(spark, sf_dir, "events")
+    i = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")) - 1
+    e = e.select("user_id", "event_id", "event_type", i.alias("_i")).selectExpr("user_id", "event_id", "event_type", "_i div 2048 AS v", "_i % 2048 AS i", "_i % 2048 div 4 AS m")
+    kind = "CASE event_type WHEN 'error' THEN '<type size=\"cue\">half</type>' WHEN 'purchase' THEN '<type>eighth</type>' WHEN 'signup' THEN '<type/>' WHEN 'view' THEN ' <type >16th</type>' ELSE '' END"
+    alter = "CASE event_id % 4 WHEN 0 THEN '' ELSE concat('<alter>', elt(cast(event_id % 4 AS int), '1', '-1', '2'), '</alter>') END"
+    note = f"CASE WHEN event_id % 11 = 0 THEN '<note><rest/><type>half</type></note>' ELSE concat('<note default-x=\"1\"><pitch><step>', substr('CDEFGAB', cast(event_id % 7 + 1 AS int), 1), '</step>', {alter}, '<octave>', 2 + event_id % 5, '</octave></pitch>', {kind}, '</note>') END"
+    joined = lambda order, text: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, text))), lambda x: x[text]), "")
+    m = e.selectExpr("user_id", "v", "m", "i", f"{note} AS note").groupBy("user_id", "v", "m").agg(joined("i", "note").alias("notes"))
+    stated = "CASE m % 3 WHEN 0 THEN concat('<attributes><divisions>1</divisions><key><fifths>', user_id % 15 - 7, '</fifths></key><time><beats>', 2 + m % 5, '</beats><beat-type>4</beat-type></time></attributes>') WHEN 1 THEN '<attributes/>' ELSE '' END"
+    p = m.selectExpr("user_id", "v", "m % 2 AS part", "m", f"concat('<measure number=\"', m, '\" width=\"9\">', {stated}, notes, '</measure>') AS measure").groupBy("user_id", "v", "part").agg(joined("m", "measure").alias("measures"))
+    s = p.selectExpr("user_id", "v", "part", "concat('<part id=\"P', part + 1, '\"><measure number=\"0\"/>', measures, '</part>') AS body").groupBy("user_id", "v").agg(joined("part", "body").alias("body"))
+    space = "CASE WHEN user_id % 3 = 0 THEN ' xmlns=\"http://www.musicxml.org/xsd/3.1\"' ELSE '' END"
+    head = "<?xml version=\"1.0\" encoding=\"UTF-8\"?><!DOCTYPE score-partwise PUBLIC \"-//x//y\" \"http://localhost/none.dtd\">"
+    return s.selectExpr("concat('u', user_id, '/', v, '.xml') AS path", f"concat('{head}<score-partwise', {space}, '><part-list/>', body, '</score-partwise>') AS content")
+
+
 def passes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation turns as recognition passes over a region; every third region degrades from pass to pass."""
     c = table(spark, sf_dir, "conversations")

@@ -49,11 +49,18 @@ def run_engine(files: DataFrame, engine: Engine, schema: str) -> DataFrame:
     return files.mapInPandas(run, schema)
 
 
-def with_fallback(primary: DataFrame, files: DataFrame, engine: Engine, schema: str) -> DataFrame:
-    """primary's rows without error, and a second engine's for the files of which it has none."""
+def with_fallback(primary: DataFrame, files: DataFrame, engine: Engine, schema: str, pages: DataFrame | None = None) -> DataFrame:
+    """primary's rows without error, and a second engine's for the pages (path, page_index) of which it has none.
+
+    pages: all pages, where they are known; files of which every page was read are not opened again, and rows of the second engine
+    for pages that were read are left out. Without them, files that have no rows are read again.
+    """
+    page = ["path", "page_index"]
     good = primary.where("error is null")
-    rest = files.join(good.select("path").distinct(), "path", "left_anti")
-    return good.unionByName(run_engine(rest, engine, schema))
+    read = good.select(*page).distinct()
+    needed = files.join(read.select("path").distinct(), "path", "left_anti") if pages is None else files.join(pages.join(read, page, "left_anti").select("path").distinct(), "path", "left_semi")
+    second = run_engine(needed, engine, schema)
+    return good.unionByName(second.join(read.withColumnsRenamed({"path": "_p", "page_index": "_i"}), (F.col("path") == F.col("_p")) & F.col("page_index").eqNullSafe(F.col("_i")), "left_anti"))
 
 
 def with_full_pages(regions: DataFrame, pages: DataFrame) -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import re
 import tempfile
 import uuid
+from contextlib import suppress
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,16 +15,39 @@ def shared_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir. Only a session of one machine gets a folder of its own where none is set."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not where:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("spark.checkpoint.dir is not set: intermediate tables need a folder that all executors share")
         spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="foliant-"))
         where = spark.sparkContext.getCheckpointDir()
     return where.rstrip("/")
 
 
+_KEPT: set[str] = set()
+
+
+def run_dir(spark: SparkSession) -> str:
+    """The application's own folder in the shared one. It goes when the driver ends: results that are read lazily need its tables until then."""
+    path = f"{shared_dir(spark)}/foliant-{spark.sparkContext.applicationId}"
+    if path not in _KEPT:
+        _KEPT.add(path)
+        atexit.register(_drop, spark, path)
+    return path
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    with suppress(Exception):  # the JVM may have ended before
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jvm.org.apache.hadoop.conf.Configuration()).delete(folder, True)
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """The path of a folder that nothing else uses, below run_dir; it is not made."""
+    return f"{run_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet and read again: lineage ends here, and a lost executor costs a re-read."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/foliant-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

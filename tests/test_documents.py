@@ -5,7 +5,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from foliant.operators import contents, document, elements, layout, loc, music, quality, sheet, tables
+from foliant.operators import checkers, contents, document, elements, layout, loc, music, quality, sheet, tables
 from foliant.sources import perception, scratch, sinks
 
 
@@ -24,6 +24,11 @@ FILES = {
     "tmp/log1.txt": b"x",
     "vendor/v.go": b"package v\n",
     "env/c.py": b"c",
+    "pkg/__init__.py": b"import x\n# y\n",
+    "pkg/_private.py": b"p = 1\n",
+    "_under/q.sql": b"-- a\nselect 1 -- b\n\n",
+    ".github/x.yml": b"a: 1\n",
+    "pkg/.hidden.js": b"let a; // b\n/* c\nd */ let e;\n",
     ".gitignore": b"# c\n\ntmp/\n*.log\n",
 }
 GONE = {"a/p.png": b"\x89PNG\xff", "a/q.MXL": b"PK", "node_modules/z.js": b"x", "b/.next/q.py": b"x", "yarn.lock": b"x", "b/s.min.js": b"x", "coverage/c.js": b"x", "x.map": b"x"}
@@ -42,13 +47,14 @@ def test_a_folder_is_read_without_what_is_excluded(spark, folder):
     got = {}
     for r in lines.collect():
         got.setdefault(r.path, {})[r.line_no] = r.text
-    want = {p for p, c in FILES.items() if c and not p.startswith(".")}
-    assert set(got) - {".gitignore"} == want
+    want = {p for p, c in FILES.items() if c}
+    assert set(got) == want
     assert [got["a/x.py"][i] for i in range(3)] == ["# c", "x = 1", ""] and got["a/latin.js"] == {0: "// caf", 1: "let a;"} and got["vendor/v.go"] == {0: "package v"}
     f = {r.path: (r.language, r.code, r.comments, r.blanks) for r in loc.files(lines).collect()}
     assert f["a/x.py"] == ("Python", 1, 1, 1) and f["a/latin.js"] == ("JavaScript", 1, 1, 0) and f["b/Makefile"] == ("Other", 2, 0, 0)
+    assert f["pkg/__init__.py"] == ("Python", 1, 1, 0) and f["_under/q.sql"] == ("SQL", 1, 2, 1) and f["pkg/.hidden.js"] == ("JavaScript", 2, 2, 0)
     kept = {r.path for r in loc.read_lines(spark, folder, use_ignored=True).select("path").distinct().collect()}
-    assert kept - {".gitignore"} == want - {"tmp/log1.txt", "b/y.log"}
+    assert kept == want - {"tmp/log1.txt", "b/y.log"}
     assert {r.pattern for r in loc.read_ignored(spark, folder).collect()} == {"tmp", "*.log"}
     os.remove(f"{folder}/.gitignore")
     assert loc.read_ignored(spark, folder).count() == 0
@@ -92,9 +98,9 @@ def test_scores_are_read_from_files(spark, tmp_path):
     files = perception.read_files(spark, str(tmp_path), (".mxl", ".musicxml"))
     assert files.count() == 3
     notes = music.parse_musicxml(music.unpacked(files)).collect()
-    assert sorted((r.path.rsplit("/", 1)[1], r.number, r.pitch, r.duration) for r in notes) == [(n, m, p, d) for n in ("s.musicxml", "s.mxl") for m, p, d in (("1", "C#4", "half"), ("2", "B3", "quarter"))]
+    assert sorted((r.path.rsplit("/", 1)[1], r.number, r.pitch, r.duration) for r in notes) == [(n, m, p, d) for n in ("s.musicxml", "s.mxl") for m, p, d in ((1, "C#4", "half"), (2, "B3", "quarter"))]
     m = sorted((r.path.rsplit("/", 1)[1], r.number, r.time_signature, r.key_signature) for r in music.parse_measures(files.where("path like '%musicxml'")).collect())
-    assert m == [("s.musicxml", "1", "3/4", "F"), ("s.musicxml", "2", None, None)]
+    assert m == [("s.musicxml", 1, "3/4", "F"), ("s.musicxml", 2, None, None)]
     assert [r.path.rsplit("/", 1)[1] for r in music.best_scores(files).collect()] == ["bad.mxl"]
     assert [r.path.rsplit("/", 1)[1] for r in music.best_scores(files.where("path not like '%bad%'")).collect()] == ["s.mxl"]
 
@@ -185,7 +191,7 @@ def test_a_document_is_classified_and_checked(spark):
     assert by[1, 1].financial_type == "balance_sheet" and by[1, 1].toc_target_page == 3 and by[1, 1].pdf_target_page == 2 and by[1, 1].evidence == "toc_entry:1.1 Tase .... 3"
     assert by[3, 9].financial_type == "balance_sheet" and by[3, 9].semantic_type == "table" and by[5, 0].financial_type == "notes" and by[0, 0].semantic_type == "title"
     typed = t.join(items.select(*document.TABLE, "text"), document.TABLE)
-    found = document.findings(documents, pages, typed, c, s, pages.where("page_index < 6"), t.where("page_index < 5"))
+    found = checkers.findings(checkers.Model(documents, pages, typed, c, s, pages.where("page_index < 6"), t.where("page_index < 5")), checkers.standard())
     said = {(r.doc_id, r.checker, r.severity, r.reason) for r in found.collect()}
     assert said == {
         (2, "schema", "error", "no PDF metadata"), (2, "schema", "error", "no pages"), (1, "schema", "error", "page without extent"), (1, "sums", "warning", "row 2 does not add up"),
@@ -193,7 +199,7 @@ def test_a_document_is_classified_and_checked(spark):
         (1, "balance", "error", "assets and liabilities differ"), (1, "references", "warning", "note is missing, mentions: 2"), (1, "references", "info", "0 of 1 notes found"),
         (1, "snapshot", "warning", "items changed on 2 pages: p5:2>0, p6:1>0"), (1, "snapshot", "warning", "financial types changed"), (1, "snapshot", "info", "page quality changed"), (1, "snapshot", "info", "7 pages, before 6; changed 2"),
     }
-    broken = document.findings(documents, pages.withColumn("width", F.raise_error(F.lit("x")).cast("double")), typed, c.drop("cell_seq"), s, pages, t).collect()
+    broken = checkers.findings(checkers.Model(documents, pages.withColumn("width", F.raise_error(F.lit("x")).cast("double")), typed, c.drop("cell_seq"), s, pages, t), checkers.standard()).collect()
     assert {(r.doc_id, r.checker, r.reason) for r in broken if r.severity == "error" and "failed" in r.reason} == {(d, k, f"check failed: {e}") for d in (1, 2) for k, e in (("schema", "SparkRuntimeException"), ("sums", "AnalysisException"), ("balance", "AnalysisException"))}
     assert any(r.checker == "references" for r in broken)
     rep = {r.doc_id: r for r in document.reports(documents, c, found).collect()}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from foliant.operators import music
-from foliant.plans import document_queries
+from foliant.plans import document_queries, job_queries  # noqa: F401
 from foliant.plans import queries as plans
 from foliant.sources import perception, sinks
 from foliant.streaming import quality as stream
@@ -64,7 +64,7 @@ def test_musicxml(spark):
     <note><pitch><step>C</step><alter>1</alter><octave>4</octave></pitch><voice>2</voice><type>half</type></note><note><rest/><type>half</type></note></measure>
     <measure number="2"><note><pitch><step>B</step><octave>3</octave></pitch></note></measure></part></score-partwise>"""
     got = music.parse_musicxml(spark.createDataFrame([("a", xml)], "path string, content string")).orderBy("measure_seq", "note_seq").collect()
-    assert [(r.measure_seq, r.number, r.pitch, r.duration, r.voice) for r in got] == [(0, "1", "C#4", "half", 2), (1, "2", "B3", "quarter", 1)]
+    assert [(r.measure_seq, r.number, r.pitch, r.duration, r.voice) for r in got] == [(0, 1, "C#4", "half", 2), (1, 2, "B3", "quarter", 1)]
 
 
 def test_sinks(spark, tmp_path):
