@@ -74,7 +74,7 @@ def test_the_report_of_lines(spark, folder):
     text = sinks.loc_report(loc.files(loc.read_lines(spark, folder)), k=2).first().report
     assert "| Total Code LOC | " in text and "- `node_modules/`" in text and "- `.omr`" in text and text.count("\n## ") == 6
     top = text[text.index("## TOP-2 Files by Code LOC") :].split("\n")
-    assert top[4].endswith("| `b/Makefile` |") and len([x for x in top[:8] if x.startswith("| ") and "`" in x]) == 2
+    assert top[4].endswith("| `.gitignore` |") and top[5].endswith("| `b/Makefile` |") and len([x for x in top[:8] if x.startswith("| ") and "`" in x]) == 2
     assert "| Total Files | 0 |" in sinks.loc_report(frame(spark, [], "path string, language string, category string, code long, comments long, blanks long")).first().report
 
 
