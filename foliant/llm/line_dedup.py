@@ -17,8 +17,6 @@ from pyspark.sql import functions as F
 
 from .common import WS, small, stored, table, text_of
 
-#: Characters that a line has for each edit that duplicates may differ by: similarity is at least 15/16, and one edit the bound.
-PER_EDIT = 16
 #: Characters of a segment at most (a line has two at least): the variants of a line cost its length times this.
 SEGMENT = 2_048
 #: Rows (digests, documents) that may be broadcast; beyond it joins shuffle.
@@ -67,7 +65,7 @@ def _segment_keys() -> Column:
         lo = lambda i: F.floor(m.cast("long") * i / q).cast("int")
         return F.transform(F.sequence(F.lit(0), q - 1), lambda i: F.struct(F.xxhash64(m, i, F.substring("line", F.lit(1), lo(i)), F.substring("line", n - m + lo(i + 1) + 1, m - lo(i + 1))).alias("key"), m.alias("m"), i.alias("part")))
 
-    return F.when(n >= PER_EDIT, F.concat(keys(n), keys(n - 1)))
+    return F.when(n > 0, F.concat(keys(n), keys(n - 1)))
 
 
 def _near(unique: DataFrame, docs: DataFrame) -> DataFrame:
@@ -124,9 +122,8 @@ def line_report(docs: DataFrame) -> DataFrame:
     """One row per input row: doc_id, n_lines, n_exact, n_near, n_kept, dropped (line numbers from 0, joined by commas).
 
     Lines are compared without white space around them. Of equal lines the earliest stays, by doc_id (null last), then
-    hash of the text, then place. A line of PER_EDIT or more characters also goes when any earlier line is within one
-    edit of it (a character replaced, inserted or removed), whether or not that one stays; shorter lines would differ by
-    more than a sixteenth. Blank lines always stay. Null texts count as empty: one blank line. Of rows that repeat both
+    hash of the text, then place. A line of any length also goes when any earlier line is within one edit of it (a
+    character replaced, inserted or removed), whether or not that one stays. Blank lines always stay. Null texts count as empty: one blank line. Of rows that repeat both
     doc_id and text the first is judged so, and all others lose every line that is not blank; rows that repeat only the
     doc_id are told apart. An empty table gives an empty result. Columns other than doc_id and text are ignored.
     """
@@ -174,7 +171,7 @@ ORACLE_PARTS = r"""
 ls AS (SELECT doc_id, rid, generate_subscripts(a, 1) - 1 AS no, trim(unnest(a), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS l
        FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id, text) AS rid, string_split(coalesce(text, ''), chr(10)) AS a FROM src)),
 un AS (SELECT l, length(l) AS n, row_number() OVER (ORDER BY min((doc_id, rid, no))) AS pos, min((doc_id, rid, no)) AS f FROM ls WHERE l <> '' GROUP BY l),
-hv AS (SELECT l, n, pos, m, left(l, m // 2) AS a, right(l, m - m // 2) AS b FROM un, LATERAL (SELECT unnest([n, n - 1]) AS m) WHERE n >= 16),
+hv AS (SELECT l, n, pos, m, left(l, m // 2) AS a, right(l, m - m // 2) AS b FROM un, LATERAL (SELECT unnest([n, n - 1]) AS m)),
 cp AS (SELECT DISTINCT x.l AS s, y.l AS t, x.pos AS p, y.pos AS r
        FROM hv x JOIN hv y ON x.m = y.m AND x.a = y.a AND x.n = x.m AND x.l <> y.l
        UNION SELECT DISTINCT x.l, y.l, x.pos, y.pos FROM hv x JOIN hv y ON x.m = y.m AND x.b = y.b AND x.n = x.m AND x.l <> y.l),

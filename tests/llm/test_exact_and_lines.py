@@ -18,7 +18,7 @@ def test_exact_keeps_longest_then_smallest_id(spark):
     out = {r.doc_id: r for r in ed.exact_dedup(docs(spark, rows)).collect()}
     assert [out[i].keep_id for i in (1, 2, 3, 7)] == [1, 1, 1, 1] and out[1].group_size == 4
     assert out[1].kept and not out[7].kept
-    assert out[4].keep_id == 4 and out[None].keep_id == 4 and not out[None].kept
+    assert out[4].keep_id == 4 and out[None].keep_id == 4 and not out[None].kept and out[4].kept
     assert out[5].keep_id == 6 and out[5].text_sha256 == hashlib.sha256(b"").hexdigest()
 
 
@@ -32,6 +32,22 @@ def test_exact_heavy_and_light_agree(spark):
     assert [(x[0], x[1], x[2]) for x in a] == [(i, first[t][0], len(first[t])) for i, t in rows]
 
 
+def test_exact_keeps_one_row_of_each_group(spark):
+    import duckdb
+
+    rows = [(1, "a b"), (1, "ab"), (2, "x"), (2, "x"), (2, "x"), (3, "c d"), (3, "cd "), (None, "z"), (None, "z"), (7, None), (7, ""), (8, "hot")] + [(8, "hot")] * 200 + [(9, "h o t")] * 100
+    for tracked, heavy in ((ed.TRACKED, ed.HEAVY), (4, 1)):
+        out = ed.exact_dedup(docs(spark, rows), tracked=tracked, heavy=heavy).collect()
+        assert len(out) == len(rows)
+        kept = [r for r in out if r.kept]
+        assert len(kept) == len({r.text_sha256 for r in out}) and all(r.doc_id == r.keep_id for r in kept)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    want = con.execute(ed.ORACLE).fetchall()
+    assert sorted(map(repr, want)) == sorted(repr(tuple(r)) for r in out)
+
+
 def test_exact_empty_table(spark):
     assert ed.exact_dedup(docs(spark, [])).collect() == []
 
@@ -52,7 +68,7 @@ def brute_lines(rows):
         if not line:
             continue
         exact = line in seen
-        near = not exact and len(line) >= 16 and any(len(o) >= 16 and abs(len(o) - len(line)) <= 1 and edits(line, o) <= 1 for o in seen)
+        near = not exact and any(abs(len(o) - len(line)) <= 1 and edits(line, o) <= 1 for o in seen)
         seen[line] = True
         if exact or near:
             out.setdefault(None if miss else i, []).append((no, exact))
@@ -61,11 +77,11 @@ def brute_lines(rows):
 
 def test_lines_against_brute_force(spark):
     rng = random.Random(7)
-    base = ["".join(rng.choice("abcdé ") for _ in range(rng.choice((5, 15, 16, 17, 40, 300)))) for _ in range(12)]
+    base = ["".join(rng.choice("abcdé ") for _ in range(rng.choice((1, 2, 3, 5, 15, 16, 17, 40, 300)))) for _ in range(12)]
 
     def mutate(s):
         for _ in range(rng.choice((0, 0, 1, 1, 2))):
-            p, c = rng.randrange(len(s)), rng.choice("abcxé")
+            p, c = rng.randrange(len(s) + 1), rng.choice("abcxé")
             s = rng.choice((s[:p] + c + s[p + 1 :], s[:p] + s[p + 1 :], s[:p] + c + s[p:]))
         return s
 
@@ -87,6 +103,12 @@ def test_long_lines_in_segments(spark, length):
     assert got == {1: 0, 2: 1, 3: 1, 4: 1, 5: 1, 20: 1, 21: 1, 22: 0}
 
 
+def test_short_lines_are_near_as_well(spark):
+    rows = [(1, "fourteen chars\n}"), (2, "fourteen chart\n]"), (3, "fourteen charts"), (4, "fourteen xharx"), (5, "ab\n;;;;")]
+    got = {r.doc_id: (r.n_near, r.dropped) for r in ld.line_report(docs(spark, rows)).collect()}
+    assert got == {1: (0, ""), 2: (2, "0,1"), 3: (1, "0"), 4: (0, ""), 5: (0, "")}
+
+
 def test_dedup_lines_rebuilds_texts(spark):
     rows = [(1, "one line of text here\nb"), (2, "one line of text here"), (3, "one line of text hare\nnew"), (4, None)]
     out = {r.doc_id: r for r in ld.dedup_lines(docs(spark, rows)).collect()}
@@ -95,7 +117,7 @@ def test_dedup_lines_rebuilds_texts(spark):
 
 
 def test_repeated_rows_lose_their_lines(spark):
-    rows = [(1, "one line of text here\nb")] * 3 + [(1, "other text\n\nb"), (2, "x\n\ny"), (2, "x\n\ny"), (3, None), (3, None), (None, "one line of text hers"), (None, "one line of text hers")]
+    rows = [(1, "one line of text here\nb")] * 3 + [(1, "other text\n\nb"), (2, "xxxx\n\nyyyy"), (2, "xxxx\n\nyyyy"), (3, None), (3, None), (None, "one line of text hers"), (None, "one line of text hers")]
     got = sorted((str(r.doc_id), r.n_lines, r.n_exact, r.n_near, r.n_kept, r.dropped) for r in ld.line_report(docs(spark, rows)).collect())
     first, again = ("1", 2, 0, 0, 2, ""), ("1", 2, 2, 0, 0, "0,1")
     swapped = {("1", 2, 1, 0, 1, "1"), ("1", 3, 1, 0, 2, "2")}  # which of the two texts of document 1 is first is up to their hashes
