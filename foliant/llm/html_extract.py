@@ -1,12 +1,13 @@
 """Main text of web pages by minimum-cut labelling.
 
-A page is cut into blocks of text; neighbouring blocks with the same tag path form a segment. Two kinds of evidence price
-each segment as content and as boilerplate, the capacities from the source and to the sink. What its text looks like
-(length, punctuation, links, lists, place) is weighed by a logistic classifier, trained here on a bounded sample of pages
-whose tags tell article and boilerplate apart: tags and class names are its labels, and none of its features. What tags,
-roles and class names say is added with fixed weights, since text alone must not overrule an article tag. Neighbours, and
-segments that share a container, are tied by smoothness edges that weaken with their distance in the tree. The minimum
-cut, found by max-flow, is the cheapest labelling.
+A page is cut into blocks of text; neighbouring blocks with the same container form a segment. Three kinds of evidence price
+each segment as content and as boilerplate, the capacities from the source and to the sink: what its text looks like
+(length, punctuation, links, lists, place), what class names and ids say, and what tags and roles say. A logistic
+classifier weighs the first two; it is trained here on a bounded sample of pages, with tags and roles as labels, which it
+does not see. Tags and roles add fixed odds, few enough for text and neighbours to overrule an article tag. Neighbours,
+and segments that share a container, are tied by smoothness edges that weaken with their distance in the tree. The
+minimum cut, found by max-flow, is the cheapest labelling. Reading takes time in proportion to the page, however deep its
+elements are nested and whatever end tags are missing.
 """
 
 from __future__ import annotations
@@ -25,12 +26,14 @@ from .common import table
 
 #: Pages read to train the classifier, its steps, and the ridge that keeps its weights finite.
 SAMPLE_PAGES, STEPS, RIDGE = 1_000, 30, 1.0
-#: Weights (log odds) of lying in an article and of boilerplate by name, and how far text may sway the odds.
-IN_ARTICLE, BY_NAME, TEXT_SWAY = 5.0, -8.0, 2.5
-#: Strength of boilerplate evidence: of a tag or role, of a class or id named so, and of one that has such a word among others.
-BY_TAG, BY_CLASS, BY_WORD = 1.5, 1.0, 0.25
+#: Log odds of an article's tag or role and of one of boilerplate, and how far text and names may sway the odds.
+IN_ARTICLE, BY_TAG, TEXT_SWAY, NAME_SWAY = 3.0, -9.0, 4.0, 8.0
+#: Strength of a class or id that is named as boilerplate, of one whose word may mean else, and of one that has such a word among others.
+BY_CLASS, BY_VAGUE, BY_WORD = 1.0, 0.35, 0.3
 #: Capacity of a smoothness edge between neighbours, and between segments of one container.
-ADJACENT, PROXIMITY = 0.3, 0.3
+ADJACENT, PROXIMITY = 0.8, 0.8
+#: Bytes of html and text that are held at a time.
+HELD = 8_000_000
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose text is none of the page's; those of _TEXT_ONLY run to the end of the page where no end tag comes.
@@ -52,8 +55,28 @@ _ATTR = re.compile(rf"([^\s/>=]++)(?:{_VALUE})?+")
 BOILER_TAGS = frozenset("nav footer aside menu dialog header".split())
 CONTENT_TAGS = frozenset("article main".split())
 BOILER_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentary consent cookie cookies discussion disqus feedback footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices notification pagination popup popular promo promoted recommended related replies reply respond share sharing sidebar signup social sponsor sponsored subscribe subscription tags toolbar topbar widget widgets alert".split()
+    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentary consent cookie cookies discussion disqus feedback footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices notification pagination popup popular promo promoted recommended related replies reply respond share sharing sidebar signup social sponsor sponsored subscribe subscription tags toolbar topbar widget widgets alert"
+    " comentario comentarios commentaire commentaires commenti kommentar kommentare kommentarer werbung anzeige publicidad publicite".split()
 )
+#: Of these, words that articles and their parts are called as well: text and neighbours may overrule them.
+VAGUE_WORDS = frozenset("alert banner discussion feedback header masthead modal notice notices notification popup signup tags toolbar topbar widget widgets".split())
+#: Of these, words long enough to be told apart inside a word that is not split: "commentlist", "leftsidebar".
+_LONG_WORDS = tuple(w for w in sorted(BOILER_WORDS) if len(w) >= 6)
+CONTENT_WORDS = frozenset("article body content entry main post story text".split())
+_HEADERS = frozenset(("header", "masthead"))
+_ROLES = frozenset(("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert"))
+#: Words that make a name say something else: a page that has a sidebar is none.
+_ABOUT = frozenset("has is no not with without".split())
+#: Words of headings: an id that has one is a heading's address ("on-comments-and-replies"), not the name of a thing.
+_PROSE = frozenset("a about an and are as at by for from how in my of on or our the to what when why your au aux das de del der des die du el en et la las le les los ou sur und une ueber von wie y zu zum zur".split())
+_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentary consent cookie cookies discussion disqus feedback footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices notification pagination popup popular promo promoted recommended related replies reply respond share sharing sidebar signup social sponsor sponsored subscribe subscription tags toolbar topbar widget widgets alert"
+    " comentario comentarios commentaire commentaires commenti kommentar kommentare kommentarer werbung anzeige publicidad publicite".split()
+)
+#: Of these, words that articles and their parts are called as well: text and neighbours may overrule them.
+VAGUE_WORDS = frozenset("alert banner discussion feedback header masthead modal notice notices notification popup signup tags toolbar topbar widget widgets".split())
+#: Of these, words long enough to be told apart inside a word that is not split: "commentlist", "leftsidebar".
+_LONG_WORDS = tuple(w for w in sorted(BOILER_WORDS) if len(w) >= 6)
 CONTENT_WORDS = frozenset("article body content entry main post story text".split())
 _HEADERS = frozenset(("header", "masthead"))
 _ROLES = frozenset(("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert"))
@@ -62,54 +85,141 @@ _ABOUT = frozenset("has is no not with without".split())
 _WORDS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 
 
+def _is_boiler(word: str) -> bool:
+    return word in BOILER_WORDS or any(word.startswith(w) or word.endswith(w) for w in _LONG_WORDS)
+
+
 def named(name: str, in_article: bool) -> tuple[float, bool]:
     """What one class or id says: (strength of boilerplate evidence, whether it names content).
 
     The last word of a name is what the thing is ("post-comments" are comments, a "comment-body" is a body); other
-    words count little beside a content word. The header of an article is part of it.
+    words count little beside a content word, and so do all words of a heading's address. The header of an article is part of it.
     """
     words = [w.lower() for w in _WORDS.findall(name)]
-    boiler, content = [w for w in words if w in BOILER_WORDS], any(w in CONTENT_WORDS for w in words)
+    boiler, content = [w for w in words if _is_boiler(w)], any(w in CONTENT_WORDS for w in words)
     if not words or words[0] in _ABOUT:
         return 0.0, False
     if not boiler:
         return 0.0, words[-1] in CONTENT_WORDS
     if all(w in _HEADERS for w in boiler) and (in_article or content):
         return (0.0 if in_article else BY_WORD), False
-    if words[-1] in BOILER_WORDS or not content:
-        return BY_CLASS, False
+    if len(words) > 2 and any(w in _PROSE for w in words):
+        return BY_WORD, False
+    if _is_boiler(words[-1]) or not content:
+        return (BY_VAGUE if all(w in VAGUE_WORDS for w in boiler) else BY_CLASS), False
     return BY_WORD, False
 
 
 class _Segment:
-    __slots__ = ("boiler", "chars", "content", "heading", "items", "linked", "marks", "path", "texts")
+    """A run of text blocks in one container. low: how many of the open elements around the segment before are still open around this one."""
+
+    __slots__ = ("box", "by_name", "by_tag", "chars", "depth", "heading", "in_article", "items", "linked", "low", "marks", "says_content", "texts")
+
+    def __init__(self, box: int, depth: int, low: int, top: _Open):
+        self.box, self.depth, self.low, self.texts, self.chars, self.linked, self.marks = box, depth, low, [], 0, 0, 0
+        self.in_article, self.by_tag, self.by_name, self.says_content, self.items, self.heading = *top.evidence(), top.item, top.heading
+
+
+class _Open:
+    """An open element, with what it has from those around it. box, depth: number and depth of the container that its text belongs to."""
+
+    __slots__ = ("box", "by_name", "by_tag", "depth", "form", "heading", "hidden", "in_article", "item", "says_content", "tag")
+
+    def __init__(self, tag: str, around: _Open | None):
+        self.tag = tag
+        for k in self.__slots__[:-1]:
+            setattr(self, k, getattr(around, k) if around else 0)
+
+    def evidence(self) -> tuple:
+        return bool(self.in_article), bool(self.by_tag or self.form), float(self.by_name), bool(self.says_content)
+
+
+#: Elements that are part of the container around them.
+_WITHIN = _INLINE | frozenset("p li h1 h2 h3 h4 h5 h6 ul ol dl dt dd tr td th tbody table blockquote pre figure figcaption".split())
+_PARTS = frozenset("p li dt dd td th tr".split())
+
+
+class _Stack:
+    """The open elements, with where each kind stands, so that none is looked for by walking down."""
 
-    def __init__(self, path: tuple[int, ...], flags: tuple):
-        self.path, self.texts, self.chars, self.linked, self.marks = path, [], 0, 0, 0
-        self.content, self.boiler, self.items, self.heading = flags
+    def __init__(self):
+        self.open: list[_Open] = [_Open("", None)]
+        self.at: dict[str, list[int]] = {}
+        self.blocks: list[int] = []  # elements that are not inline
+        self.walls: list[int] = []  # elements that are neither inline nor such as a start tag ends
+        self.low = 1
+
+    def push(self, x: _Open) -> None:
+        i = len(self.open)
+        self.open.append(x)
+        self.at.setdefault(x.tag, []).append(i)
+        if x.tag not in _INLINE:
+            self.blocks.append(i)
+            if x.tag not in _PARTS:
+                self.walls.append(i)
+
+    def cut(self, i: int) -> None:
+        """Closes element i and all inside it."""
+        for x in self.open[i:]:
+            self.at[x.tag].pop()
+        del self.open[i:]
+        for places in (self.blocks, self.walls):
+            while places and places[-1] >= i:
+                places.pop()
+        self.low = min(self.low, i)
+
+    def last(self, tag: str) -> int:
+        found = self.at.get(tag)
+        return found[-1] if found else 0
+
+    def end(self, tag: str) -> None:
+        """An end tag: closes the innermost element of its kind, an inline one only within its block."""
+        i = self.last(tag)
+        if i and not (tag in _INLINE and self.blocks and self.blocks[-1] > i):
+            self.cut(i)
+
+    def ends(self, tags: set[str]) -> None:
+        """A start tag that closes the innermost of these, unless another kind of block lies between."""
+        i = max(map(self.last, tags))
+        if i and not (self.walls and self.walls[-1] > i):
+            self.cut(i)
+
+    def links(self) -> bool:
+        return bool(self.at.get("a"))
+
+
+class _Ends:
+    """Where the text of elements that hold none of the page's ends: each kind's end tags are looked for once over the page."""
+
+    def __init__(self, page: str):
+        self.page, self.next = page, {}
+
+    def after(self, tag: str, at: int) -> int:
+        """Where it ends, or -1."""
+        start, end = self.next.get(tag, (-1, -1))
+        if start != len(self.page) and start < at:
+            m = (_OPTION_END if tag == "option" else re.compile(rf"</{re.escape(tag)}\s*>", re.I)).search(self.page, at)
+            start, end = self.next[tag] = (m.start(), m.end()) if m else (len(self.page), -1)
+        return end
 
 
 def segments(page: str) -> list[_Segment]:
     """The page's text blocks, in order, gathered into runs that share a container."""
     out: list[_Segment] = []
-    # one entry per open element: tag, number, content?, strength of boilerplate evidence, item?, heading?, hidden?, form?
-    stack: list[tuple] = [("", 0, False, 0.0, False, False, False, False)]
+    stack, ends = _Stack(), _Ends(page)
     words: list[str] = []
-    linked, links, serial, at, n = 0, 0, 0, 0, len(page)
+    linked, serial, at, n = 0, 0, 0, len(page)
 
     def flush() -> None:
         nonlocal words, linked
         text = " ".join("".join(words).split())
         words = []
         if text:
-            i = len(stack) - 1
-            while i and (stack[i][0] in _INLINE or stack[i][0] in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "dl", "dt", "dd", "tr", "td", "th", "tbody", "table", "blockquote", "pre", "figure", "figcaption")):
-                i -= 1
-            top = stack[-1]
-            path = tuple(x[1] for x in stack[: i + 1])
-            flags = (top[2], max(top[3], BY_TAG) if top[7] else top[3], top[4], top[5])
-            if not out or out[-1].path != path or (out[-1].content, out[-1].boiler, out[-1].items) != flags[:3]:
-                out.append(_Segment(path, flags))
+            top = stack.open[-1]
+            last = out[-1] if out else None
+            if not last or last.box != top.box or (last.in_article, last.by_tag, last.by_name, last.says_content) != top.evidence() or last.items != top.item:
+                out.append(_Segment(top.box, top.depth + 1, stack.low, top))
+                stack.low = top.depth + 1
             s = out[-1]
             s.texts.append(text)
             s.chars += len(text)
@@ -123,9 +233,9 @@ def segments(page: str) -> list[_Segment]:
             lt = n
         if lt > at:
             raw = page[at:lt]
-            if not stack[-1][6]:
+            if not stack.open[-1].hidden:
                 words.append(_html.unescape(raw) if "&" in raw else raw)
-                if links:
+                if stack.links():
                     linked += len(raw.strip())
         if lt >= n:
             break
@@ -143,77 +253,63 @@ def segments(page: str) -> list[_Segment]:
         if m[1]:
             if tag not in _INLINE:
                 flush()
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    if tag in _INLINE and any(x[0] not in _INLINE for x in stack[i:]):
-                        break
-                    del stack[i:]
-                    break
-                if tag in _INLINE and stack[i][0] not in _INLINE:
-                    break
-            links = sum(x[0] == "a" for x in stack)
+            stack.end(tag)
             continue
         if tag == "br" or tag not in _INLINE:
             flush()
         if tag in _BLOCK_ENDS_P or tag in _SELF_CLOSING:
-            ends = _SELF_CLOSING.get(tag, set()) | ({"p"} if tag in _BLOCK_ENDS_P else set())
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] in ends:
-                    del stack[i:]
-                    links = sum(x[0] == "a" for x in stack)
-                    break
-                if stack[i][0] not in _INLINE and stack[i][0] not in ("p", "li", "dt", "dd", "td", "th", "tr"):
-                    break
+            stack.ends(_SELF_CLOSING.get(tag, set()) | ({"p"} if tag in _BLOCK_ENDS_P else set()))
         if tag in _VOID or m[3].endswith("/"):
             continue
         if tag in _RAW:
-            close = (_OPTION_END if tag == "option" else re.compile(rf"</{re.escape(tag)}\s*>", re.I)).search(page, at)
-            if close or tag in _TEXT_ONLY:
-                at = close.end() if close else n
+            end = ends.after(tag, at)
+            if end >= 0 or tag in _TEXT_ONLY:
+                at = end if end >= 0 else n
             continue
-        top = stack[-1]
-        content, boiler, hidden, form = top[2] or tag in CONTENT_TAGS, top[3], top[6], top[7] or tag == "form"
-        if tag in BOILER_TAGS and not (tag == "header" and top[2]):
-            boiler = max(boiler, BY_TAG)
-        if tag in CONTENT_TAGS:
-            form = False  # a form around the whole page
+        top = stack.open[-1]
+        x = _Open(tag, top)
+        x.in_article = top.in_article or tag in CONTENT_TAGS
+        x.form = (top.form or tag == "form") and tag not in CONTENT_TAGS  # there may be a form around the whole page
+        x.by_tag = top.by_tag or (tag in BOILER_TAGS and not (tag == "header" and top.in_article))
+        x.item, x.heading = top.item or tag in ("li", "td", "dd", "dt"), top.heading or tag in ("h1", "h2", "h3")
         if m[3] and tag not in ("html", "body"):
             for a in _ATTR.finditer(m[3]):
                 kind, value = a[1].lower(), (a[2] or "").strip("\"'")
                 if kind == "hidden" or kind == "style" and re.search(r"display\s*:\s*none", value):
-                    hidden = True
+                    x.hidden = True
                 elif kind == "role":
                     got = {w.lower() for w in _WORDS.findall(value)}
-                    boiler = max(boiler, BY_TAG) if got & _ROLES else boiler
-                    content = content or bool(got & {"main", "article"})
+                    x.by_tag = x.by_tag or bool(got & _ROLES)
+                    x.in_article = x.in_article or bool(got & {"main", "article"})
                 elif kind in ("class", "id"):
                     for name in value.split():
-                        strength, is_content = named(name, top[2] or tag in CONTENT_TAGS)
-                        boiler, content = max(boiler, strength), content or is_content
-        serial += 1
-        stack.append((tag, serial, content, boiler, top[4] or tag in ("li", "td", "dd", "dt"), top[5] or tag in ("h1", "h2", "h3"), hidden, form))
-        links += tag == "a"
+                        strength, is_content = named(name, bool(top.in_article or tag in CONTENT_TAGS))
+                        x.by_name, x.says_content = max(x.by_name, strength), x.says_content or is_content
+        if tag not in _WITHIN:
+            serial += 1
+            x.box, x.depth = serial, len(stack.open)
+        stack.push(x)
     flush()
     return out
 
 
 def features(seg: list[_Segment]) -> np.ndarray:
-    """One row per segment: what the classifier sees, all of it of the text and its place."""
+    """One row per segment: what the classifier sees of the text and its place, and last of its names."""
     total = sum(s.chars for s in seg) or 1
     k = len(seg)
     return np.array(
-        [[1.0, s.linked / s.chars, min(s.chars, 2000) / 2000, s.chars / total, min(s.marks / s.chars * 50, 2.0), min(s.chars / len(s.texts), 400) / 400, bool(s.items), bool(s.heading), i / k] for i, s in enumerate(seg)],
+        [[1.0, s.linked / s.chars, min(s.chars, 2000) / 2000, s.chars / total, min(s.marks / s.chars * 50, 2.0), min(s.chars / len(s.texts), 400) / 400, bool(s.items), bool(s.heading), i / k, s.by_name, s.says_content and not s.by_name] for i, s in enumerate(seg)],
         dtype=float,
     ).reshape(k, N_FEATURES)
 
 
-#: Weights of the features, and where training starts: text that is long, punctuated and not linked.
-PRIOR = (-1.0, -4.0, 2.0, 2.0, 1.0, 1.5, -0.5, 0.5, 0.0)
-N_FEATURES = len(PRIOR)
+#: Weights of the features, and where training starts: text that is long, punctuated and not linked; names as they are meant.
+PRIOR = (-1.0, -4.0, 2.0, 2.0, 1.0, 1.5, -0.5, 0.5, 0.0, -8.0, 2.0)
+N_FEATURES, N_NAMES = len(PRIOR), 2
 
 
 def examples(page: str) -> list[tuple[float, np.ndarray]]:
-    """(1, mean features of content) and (0, those of boilerplate) of a page whose tags tell them apart; else none.
+    """(1, mean features of content) and (0, those of boilerplate) of a page whose tags and roles tell them apart; else none.
 
     A page speaks once for either, however many segments it has.
     """
@@ -221,7 +317,7 @@ def examples(page: str) -> list[tuple[float, np.ndarray]]:
     if not seg:
         return []
     x = features(seg)
-    content, boiler = [s.content and s.boiler < BY_CLASS for s in seg], [s.boiler >= BY_CLASS for s in seg]
+    content, boiler = [s.in_article and not s.by_tag for s in seg], [s.by_tag for s in seg]
     if not any(content) or not any(boiler):
         return []
     return [(y, x[np.array(pick)].mean(axis=0)) for y, pick in ((1.0, content), (0.0, boiler))]
@@ -241,9 +337,11 @@ def train(rows: list[tuple[float, np.ndarray]], steps: int = STEPS) -> np.ndarra
 
 
 def log_odds(seg: list[_Segment], weights: np.ndarray) -> np.ndarray:
-    """Of being content, for each segment: what its text says, within bounds, and what names say."""
-    text = np.clip(features(seg) @ weights, -TEXT_SWAY, TEXT_SWAY)
-    return text + IN_ARTICLE * np.array([s.content for s in seg], float) + BY_NAME * np.array([s.boiler for s in seg])
+    """Of being content, for each segment: what its text and its names say, within bounds, and what tags say."""
+    x, words = features(seg), N_FEATURES - N_NAMES
+    text = np.clip(x[:, :words] @ weights[:words], -TEXT_SWAY, TEXT_SWAY)
+    names = np.clip(x[:, words:] @ weights[words:], -NAME_SWAY, NAME_SWAY)
+    return text + names + IN_ARTICLE * np.array([s.in_article for s in seg], float) + BY_TAG * np.array([s.by_tag for s in seg], float)
 
 
 def min_cut(source: list[float], sink: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
@@ -351,23 +449,15 @@ def label(seg: list[_Segment], weights: np.ndarray, adjacent: float = ADJACENT,
     edges, last = [], {}
     for i, s in enumerate(seg):
         if i:
-            a, b = seg[i - 1].path, s.path
-            common = sum(1 for _ in _shared(a, b))
-            edges.append((i - 1, i, adjacent / (1 + len(a) + len(b) - 2 * common)))
-        if s.path in last:
-            edges.append((last[s.path], i, proximity))
-        last[s.path] = i
+            common = min(seg[i - 1].depth, s.depth, s.low)
+            edges.append((i - 1, i, adjacent / (1 + seg[i - 1].depth + s.depth - 2 * common)))
+        if s.box in last:
+            edges.append((last[s.box], i, proximity))
+        last[s.box] = i
     # the cost of calling content boilerplate and the other way round: -log of the other's probability
     return min_cut(np.logaddexp(0, odds).tolist(), np.logaddexp(0, -odds).tolist(), edges)
 
 
-def _shared(a, b):
-    for x, y in zip(a, b, strict=False):
-        if x != y:
-            return
-        yield x
-
-
 def main_text(page: str, weights: np.ndarray) -> str:
     seg = segments(page)
     return " ".join(t for s, is_content in zip(seg, label(seg, weights), strict=True) if is_content for t in s.texts)
@@ -400,12 +490,22 @@ def extract(pages: DataFrame, sample: int = SAMPLE_PAGES, weights: np.ndarray |
     """
     w = sampled_weights(pages, sample) if weights is None else weights
 
+    def told(b: pa.RecordBatch, at: int, text: list[str]) -> pa.RecordBatch:
+        some = b.slice(at, len(text))
+        return pa.RecordBatch.from_arrays([some["page_id"], some["url"], pa.array(text, pa.string()), pa.array(list(map(len, text)), pa.int64())], names=["page_id", "url", "text", "n_chars"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                b = whole.slice(at, 500)
-                text = [main_text(h or "", w) for h in b["html"].to_pylist()]
-                yield pa.RecordBatch.from_arrays([b["page_id"], b["url"], pa.array(text, pa.string()), pa.array(list(map(len, text)), pa.int64())], names=["page_id", "url", "text", "n_chars"])
+        for b in batches:
+            at, text, held = 0, [], 0
+            for i in range(b.num_rows):
+                page = b["html"][i].as_py() or ""
+                text.append(main_text(page, w))
+                held += len(page)
+                if held > HELD:
+                    yield told(b, at, text)
+                    at, text, held = i + 1, [], 0
+            if text:
+                yield told(b, at, text)
 
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
     return rows.mapInArrow(run, "page_id long, url string, text string, n_chars long")
