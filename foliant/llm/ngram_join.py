@@ -5,10 +5,11 @@
 2. Representatives are shuffled on band hashes; bands with two or more are buckets, and buckets that share members form a
    candidate cluster (labels move along bands until nothing changes, over written tables).
 3. Pairs are verified on full shingle sets, block against block, so that a group of any size becomes many bounded tasks;
-   blocks are bounded in documents and in shingles. A cluster that fits one block is verified as it is. A larger one is
-   verified bucket by bucket, a pair in the first bucket that it shares; or as a whole, where its buckets overlap so much
-   that this moves less. Long chains of texts so cost in proportion to their buckets, dense clusters the square of their
-   different texts. No pair is emitted, only each document's number of links and a spanning forest.
+   blocks are bounded in documents and in shingles. A pair is one to verify when it shares a bucket, whatever the size of
+   its cluster. A cluster is verified bucket by bucket, a pair in the first bucket that it shares, or as a whole, pairs
+   without a bucket left out, where its buckets overlap so much that this moves less: which of the two is a matter of
+   cost only. Long chains of texts so cost in proportion to their buckets, dense clusters the square of their different
+   texts. No pair is emitted, only each document's number of links and a spanning forest.
 4. The forests' components are the classes.
 """
 
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import release, small, stored, table, text_of
 
-N, THRESHOLD, RECALL, MOST_HASHES = 5, 0.8, 0.999, 160
+N, THRESHOLD, RECALL, MOST_HASHES = 5, 0.8, 0.9999, 192
 #: Documents and shingles in a verification block, about; a task holds two blocks.
 BLOCK, BLOCK_SHINGLES = 256, 1_000_000
 #: Candidate documents whose ids and clusters may be broadcast to the second reading of the texts.
@@ -189,10 +190,10 @@ def shared_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -
     return common
 
 
-def verify_block(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, same: bool, threshold: float, sooner: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+def verify_block(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, same: bool, threshold: float, sooner: list[np.ndarray] | None = None, buckets: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (i, j) of positions with Jaccard at least the threshold; i from left, j from right (i < j when they are the same).
 
-    Pairs that share a bucket in `sooner` are left to that bucket.
+    Pairs that share a bucket in `sooner` are left to that bucket; with `buckets`, pairs that share none of them are left out.
     """
     size = np.array([len(s) for s in sets])
     common = shared_counts(sets, left, right)
@@ -202,12 +203,14 @@ def verify_block(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, sa
         ok &= np.triu(np.ones(ok.shape, bool), 1)
     if sooner is not None and ok.any():
         ok &= shared_counts(sooner, left, right) == 0
+    if buckets is not None and ok.any():
+        ok &= shared_counts(buckets, left, right) > 0
     i, j = np.nonzero(ok)
     return left[i], right[j]
 
 
 def _verified(placed: DataFrame, threshold: float) -> DataFrame:
-    """placed: cluster, block_a, block_b, node, block, copies, shingles, sooner. Rows: node, n_near (copies of linked texts), n_texts, hub."""
+    """placed: cluster, block_a, block_b, node, block, copies, shingles, sooner, buckets (null where the cluster is a bucket). Rows: node, n_near (copies of linked texts), n_texts, hub."""
 
     def run(key, t):
         nodes = t["node"].to_pylist()
@@ -220,7 +223,9 @@ def _verified(placed: DataFrame, threshold: float) -> DataFrame:
         right = left if same else np.flatnonzero(block == key[2].as_py())
         near, texts, hub = np.zeros(n, np.int64), np.zeros(n, np.int64), np.arange(n)
         if len(left) and len(right):
-            i, j = verify_block(sets, left, right, same, threshold, [x.values.to_numpy() for x in t["sooner"]])
+            shared = lambda c: [np.array(x, np.int64) for x in t[c].to_pylist()]
+            whole = t["buckets"][0].is_valid
+            i, j = verify_block(sets, left, right, same, threshold, None if whole else shared("sooner"), shared("buckets") if whole else None)
             for a, b in ((i, j), (j, i)):
                 near += np.bincount(a, copies[b], n).astype(np.int64)
                 texts += np.bincount(a, minlength=n)
@@ -245,8 +250,8 @@ def _blocks(members: str, shingles: str):
 def _members(reps: DataFrame) -> DataFrame:
     """Candidates among reps (node, rep_id, copies, shingles, bands): node, rep_id, copies, places.
 
-    A place says with whom a node is verified: cluster (a label or a bucket), its number of blocks, the node's block, and
-    the buckets of the node that come sooner (none for a whole cluster). A node has as many places as bands at most.
+    A place says with whom a node is verified: cluster (a label or a bucket), its number of blocks, the node's block, the
+    buckets of the node that come sooner, and in a whole cluster all its buckets. A node has as many places as bands at most.
     """
     banded = reps.select("node", "shingles", F.explode("bands").alias("hub"))
     shared = banded.groupBy("hub").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("hub")
@@ -261,11 +266,12 @@ def _members(reps: DataFrame) -> DataFrame:
     cost = bucket.groupBy("label").agg(F.sum(F.col("all") * F.col("blocks")).alias("apart"))
     cluster = stored(cluster.join(cost, "label", "left").select("label", "blocks", F.coalesce(F.col("apart") < F.col("all") * F.col("blocks"), F.lit(False)).alias("by_bucket")), "cluster-blocks")
     at = lambda blocks: F.pmod(F.xxhash64("node"), F.col(blocks)).cast("int").alias("block")
-    whole = label.join(cluster.where("not by_bucket"), "label")
-    whole = whole.select("node", "rep_id", "copies", F.array(F.struct(F.col("label").alias("cluster"), "blocks", at("blocks"), F.array().cast("array<bigint>").alias("sooner"))).alias("places"))
+    none = F.lit(None).cast("array<bigint>")
+    whole = label.join(cluster.where("not by_bucket"), "label").join(links.groupBy("node").agg(F.collect_set("hub").alias("buckets")), "node")
+    whole = whole.select("node", "rep_id", "copies", F.array(F.struct(F.col("label").alias("cluster"), "blocks", at("blocks"), none.alias("sooner"), "buckets")).alias("places"))
     apart = links.select("node", "hub").join(bucket.join(cluster.where("by_bucket").select("label"), "label").select("hub", "blocks"), "hub")
     hubs = apart.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("hub", "blocks", at("blocks")))).alias("hubs"))
-    place = lambda x, i: F.struct(F.unhex(F.hex(x["hub"])).alias("cluster"), x["blocks"].alias("blocks"), x["block"].alias("block"), F.transform(F.slice("hubs", 1, i), lambda y: y["hub"]).alias("sooner"))
+    place = lambda x, i: F.struct(F.unhex(F.hex(x["hub"])).alias("cluster"), x["blocks"].alias("blocks"), x["block"].alias("block"), F.transform(F.slice("hubs", 1, i), lambda y: y["hub"]).alias("sooner"), none.alias("buckets"))
     apart = label.join(hubs, "node").select("node", "rep_id", "copies", F.transform("hubs", place).alias("places"))
     return whole.unionByName(apart)
 
@@ -307,7 +313,7 @@ def _joined(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: f
     full = again.mapInArrow(sets, f"node binary, copies long, places {member.schema['places'].dataType.simpleString()}, shingles binary")
     # a row for each block that this one meets
     met = full.select("node", "copies", "shingles", F.explode("places").alias("p")).select("*", F.explode(F.sequence(F.lit(0), F.col("p.blocks") - 1)).alias("other"))
-    placed = met.select(F.col("p.cluster").alias("cluster"), F.least("p.block", "other").alias("block_a"), F.greatest("p.block", "other").alias("block_b"), "node", F.col("p.block").alias("block"), "copies", "shingles", F.col("p.sooner").alias("sooner"))
+    placed = met.select(F.col("p.cluster").alias("cluster"), F.least("p.block", "other").alias("block_a"), F.greatest("p.block", "other").alias("block_b"), "node", F.col("p.block").alias("block"), "copies", "shingles", F.col("p.sooner").alias("sooner"), F.col("p.buckets").alias("buckets"))
     found = stored(_verified(placed, threshold), "verified")
     classes = components(found.select("node", "hub").unionByName(found.select(F.col("hub").alias("node"), "hub")), "classes")
     counts = found.groupBy("node").agg(F.sum("n_near").alias("n_near"), F.sum("n_texts").alias("n_texts"))

@@ -139,7 +139,7 @@ def test_blocks_of_a_large_cluster(spark, monkeypatch):
     base = [f"w{i}" for i in range(100)]
     rows = [(i, " ".join(base[:i] + ["x"] + base[i + 1 :])) for i in range(60)]
     got = ngram_join.ngram_join(docs(spark, rows)).collect()
-    assert {r.n_links for r in got} == {59} and {r.class_id for r in got} == {0}
+    assert sum(r.n_links for r in got) >= 0.999 * 60 * 59 and {r.class_id for r in got} == {0}
 
 
 def test_a_chain_is_verified_bucket_by_bucket(spark, monkeypatch):
@@ -157,6 +157,24 @@ def test_a_chain_is_verified_bucket_by_bucket(spark, monkeypatch):
     assert len(member) == 140 and max(p.blocks for m in member for p in m.places) <= 4 and moved < 140 * 18  # 140 * 18 blocks, were it one cluster
 
 
+def test_links_do_not_depend_on_blocks(spark, monkeypatch):
+    """Chained and dense texts with a recall at which many pairs share no bucket: the same links whole, in blocks and by bucket."""
+    text, base = [f"w{i}" for i in range(400)], [f"v{i}" for i in range(120)]
+    rows = [(i, " ".join(text[4 * i : 4 * i + 100])) for i in range(60)] + [(100 + i, " ".join(base[:i] + ["x"] + base[i + 1 :])) for i in range(40)]
+    seen = []
+    for block in (1024, 16, 8):
+        monkeypatch.setattr(ngram_join, "BLOCK", block)
+        seen.append(sorted((r.doc_id, r.n_links, r.class_id) for r in ngram_join.ngram_join(docs(spark, rows), recall=0.7).collect()))
+    assert seen[0] == seen[1] == seen[2]
+    bands, per = ngram_join.choose_bands(recall=0.7)
+    sets = list(ngram_join.shingle_sets([t.encode() for _, t in rows]))
+    hashes = [set(ngram_join.band_hashes(ngram_join.min_hash(s, bands * per), bands, per).tolist()) for s in sets]
+    like = lambda i, j: len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j]))
+    pairs = [(i, j) for i in range(len(rows)) for j in range(len(rows)) if i != j and like(i, j)]
+    assert [n for _, n, _ in seen[0]] == [sum(a == i and bool(hashes[a] & hashes[b]) for a, b in pairs) for i in range(len(rows))]
+    assert sum(bool(hashes[a] & hashes[b]) for a, b in pairs) < len(pairs)
+
+
 @pytest.mark.parametrize("changed", [1, 2, 3, 4])
 def test_recall_of_planted_pairs(spark, changed):
     rng = random.Random(changed)
