@@ -30,13 +30,25 @@ def merged(first: DataFrame, second: DataFrame, first_kind: str = "native", seco
     return x.withColumn("_n", (F.row_number().over(order) - 1).cast("int")).drop("_r", "seq").withColumnRenamed("_n", "seq")
 
 
-def _texts(items: DataFrame, cells: DataFrame) -> DataFrame:
-    """items with `full` (a table's cells joined), `sample` (a table's head) and toc_table."""
-    parts = F.array_sort(F.collect_list(F.struct("cell_seq", "text_raw")))
-    full = cells.groupBy(*TABLE).agg(F.concat_ws(" ", F.transform(parts, lambda c: c["text_raw"])).alias("full"))
-    t = full.join(tables.header_text(cells, TABLE), TABLE, "left").join(tables.contents_like(cells, TABLE).select(*TABLE, F.col("is_toc").alias("toc_table")), TABLE, "left")
+def item_texts(items: DataFrame, cells: DataFrame) -> DataFrame:
+    """items with `full` (a table's cells joined), `sample` (the first five cells of its first row), `structure` (what its first ten cells state) and toc_table.
+
+    One grouping of the cells gives all four: a table's cells meet in a row, in order.
+    """
+    parts = F.array_sort(F.collect_list(F.struct("cell_seq", "row_idx", "text_raw")))
+    dots, numbers = F.count_if(F.col("text_raw").rlike(r"\.{2,}")), F.count_if(F.trim("text_raw").rlike(r"^\d{1,3}$"))
+    g = cells.groupBy(*TABLE).agg(parts.alias("c"), F.count("*").alias("n"), dots.alias("dotted"), numbers.alias("paged"))
+    text = lambda p: p["text_raw"]
+    head = F.slice(F.filter("c", lambda p: p["row_idx"] == 0), 1, 5)
+    t = g.select(
+        *TABLE,
+        F.concat_ws(" ", F.transform("c", text)).alias("_full"),
+        F.when(F.exists("c", lambda p: p["row_idx"] == 0), F.concat_ws(" ", F.transform(head, text))).alias("_head"),
+        tables.stated(F.concat_ws(" ", F.transform(F.slice("c", 1, 10), lambda p: F.lower(p["text_raw"])))).alias("structure"),
+        tables.looks_like_contents(F.col("n"), F.col("dotted"), F.col("paged")).alias("_toc"),
+    )
     x = items.join(t, TABLE, "left")
-    return x.withColumns({"full": F.coalesce("full", "text", F.lit("")), "sample": F.coalesce("header", "text", F.lit("")), "toc_table": F.coalesce("toc_table", F.lit(False))}).drop("header")
+    return x.withColumns({"full": F.coalesce("_full", "text", F.lit("")), "sample": F.coalesce("_head", "text", F.lit("")), "toc_table": F.coalesce("_toc", F.lit(False))}).drop("_full", "_head", "_toc")
 
 
 def first_sections(pages: DataFrame, texts: DataFrame) -> DataFrame:
@@ -56,13 +68,13 @@ def first_sections(pages: DataFrame, texts: DataFrame) -> DataFrame:
     return contents.section(p).select(*PAGE, "n_items", "full", "section", "confidence")
 
 
-def classified_pages(documents: DataFrame, pages: DataFrame, items: DataFrame, cells: DataFrame) -> DataFrame:
-    """doc_id, page_index, section, confidence, offset.
+def classified_pages(documents: DataFrame, pages: DataFrame, items: DataFrame, cells: DataFrame, texts: DataFrame | None = None) -> DataFrame:
+    """doc_id, page_index, section, confidence, offset. texts: item_texts of items and cells, where they are at hand.
 
     Pages are classified by their words; the contents pages so found point to others; a page that is no contents or
     cover page takes what they say of it, else what strong words say, else keeps its own.
     """
-    own = saved(first_sections(pages, _texts(items, cells)), "first-sections")
+    own = saved(first_sections(pages, item_texts(items, cells) if texts is None else texts), "first-sections")
     at = pages.select(*PAGE, "height", (F.row_number().over(Window.partitionBy("doc_id").orderBy("page_index")) - 1).alias("page_no"))
     blocks = items.where("kind = 'block'").join(at, PAGE)
     offsets = contents.page_offsets(documents, blocks, own)
@@ -83,21 +95,20 @@ def toc_entries(items: DataFrame, cells: DataFrame, sections: DataFrame) -> Data
     return contents.entries(lines.withColumn("seq", seq), PAGE)
 
 
-def classified_items(items: DataFrame, cells: DataFrame, sections: DataFrame) -> DataFrame:
+def classified_items(items: DataFrame, cells: DataFrame, sections: DataFrame, texts: DataFrame | None = None) -> DataFrame:
     """doc_id, page_index, seq, kind, semantic_type, financial_type, evidence, toc_target_page, pdf_target_page.
 
     On contents pages an item takes the type and target of the first entry that it holds; other blocks go by their
     words, tables by their first cells and then by the words of their head.
     """
-    texts = _texts(items, cells)
+    texts = item_texts(items, cells) if texts is None else texts
     first = F.row_number().over(Window.partitionBy(*PAGE).orderBy("seq")) == 1
     x = elements.semantic_types(texts.withColumns({"is_first": first, "text": F.coalesce("text", F.lit(""))}))
     found = saved(toc_entries(items, cells, sections), "contents-entries")
     i, e = items.where("kind = 'block'").alias("i"), found.alias("e")
     hit = i.join(e, (F.col("i.doc_id") == F.col("e.doc_id")) & (F.col("i.page_index") == F.col("e.page_index")) & F.lower("i.text").contains(F.lower("e.entry")))
     hit = hit.groupBy("i.doc_id", "i.page_index", "i.seq").agg(F.min_by(F.struct("e.type", "e.target", "e.entry"), "e.first").alias("hit"))
-    kind = tables.structure_type(cells, TABLE).withColumnRenamed("type", "structure")
-    x = x.join(hit, TABLE, "left").join(kind, TABLE, "left").join(sections.select(*PAGE, "offset"), PAGE, "left")
+    x = x.join(hit, TABLE, "left").join(sections.select(*PAGE, "offset"), PAGE, "left")
     words = financial_type(F.when(F.col("kind") == "table", F.col("sample")).otherwise(F.col("text")))
     table = F.when(F.col("structure") != "unknown", F.struct(F.col("structure").alias("type"), F.concat(F.lit("structure:"), "structure").alias("evidence")))
     entry = F.when(F.col("hit").isNotNull(), F.struct(F.col("hit.type").alias("type"), F.concat(F.lit("toc_entry:"), "hit.entry").alias("evidence")))

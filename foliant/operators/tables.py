@@ -5,7 +5,7 @@ Cells carry table_id, row_idx, col_idx, cell_seq (their order of appearance) and
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliant.functions.text import is_blank, normalize_number, parse_number
@@ -34,11 +34,16 @@ def validity(cells: DataFrame) -> DataFrame:
     return g.withColumn("valid", (F.col("columns") >= 2) & (F.col("numeric") * 10 >= F.col("cells")))
 
 
+def looks_like_contents(cells: Column, dotted: Column, paged: Column) -> Column:
+    """Of a table's counts: three cells, and a tenth dotted leaders and a tenth page numbers, or a fifth leaders."""
+    dots, pages = dotted / cells, paged / cells
+    return (cells >= 3) & (((dots > 0.1) & (pages > 0.1)) | (dots > 0.2))
+
+
 def contents_like(cells: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Per table whether it looks like a table of contents: dotted leaders, and cells that are page numbers."""
     g = cells.groupBy(*(keys or ["table_id"])).agg(F.count("*").alias("cells"), F.count_if(F.col("text_raw").rlike(r"\.{2,}")).alias("dotted"), F.count_if(F.trim("text_raw").rlike(r"^\d{1,3}$")).alias("paged"))
-    dots, pages = F.col("dotted") / F.col("cells"), F.col("paged") / F.col("cells")
-    return g.withColumn("is_toc", (F.col("cells") >= 3) & (((dots > 0.1) & (pages > 0.1)) | (dots > 0.2)))
+    return g.withColumn("is_toc", looks_like_contents(F.col("cells"), F.col("dotted"), F.col("paged")))
 
 
 def _numbered_rows(cells: DataFrame, keys: list[str], labels: tuple[str, ...]) -> DataFrame:
@@ -90,14 +95,18 @@ def grid(cells: DataFrame, keys: list[str] | None = None) -> DataFrame:
     return x.select(*keys, "row_idx", F.transform(F.sequence(F.lit(0), F.col("columns")), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(""))).alias("cells"))
 
 
+def stated(text: Column) -> Column:
+    """What the words of a table's first cells, in lower case, say that it states."""
+    has = lambda *words: text.rlike("|".join(words))
+    return F.when(has("vastaavaa", "vastattavaa", "varat", "velat"), "balance_sheet").when(has("2023", "2024") & has("tuotot", "kulut", "tulos"), "income_statement").otherwise("unknown")
+
+
 def structure_type(cells: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """What a table states, from words in its first ten cells."""
     keys = keys or ["table_id"]
     first = F.slice(F.array_sort(F.collect_list(F.struct("cell_seq", F.lower("text_raw").alias("t")))), 1, 10)
     text = cells.groupBy(*keys).agg(F.concat_ws(" ", F.transform(first, lambda x: x["t"])).alias("t"))
-    has = lambda *words: F.col("t").rlike("|".join(words))
-    kind = F.when(has("vastaavaa", "vastattavaa", "varat", "velat"), "balance_sheet").when(has("2023", "2024") & has("tuotot", "kulut", "tulos"), "income_statement").otherwise("unknown")
-    return text.select(*keys, kind.alias("type"))
+    return text.select(*keys, stated(F.col("t")).alias("type"))
 
 
 def header_text(cells: DataFrame, keys: list[str] | None = None) -> DataFrame:

@@ -13,19 +13,20 @@ from foliant.sources.scratch import saved
 
 
 def _report(spark, sf_dir):
-    """documents, pages (with quality), items and cells of the reports."""
-    pages = ad.report_pages(spark, sf_dir)
-    items, cells = ad.report_items(pages), ad.report_cells(spark, sf_dir, pages)
+    """documents, pages (with quality), items and cells of the reports, each written once."""
+    pages = saved(ad.report_pages(spark, sf_dir), "report-pages")
+    items, cells = saved(ad.report_items(pages), "report-items"), saved(ad.report_cells(spark, sf_dir, pages), "report-cells")
     texts = quality.page_text(items.where("kind = 'block'"), document.PAGE)
     documents = pages.select("doc_id").distinct().withColumn("pdf", F.when(F.col("doc_id") % 41 != 0, F.concat(F.lit("r"), F.col("doc_id").cast("string"), F.lit(".pdf"))))
     lost = documents.select((F.col("doc_id") + 10_000_000).alias("doc_id"), "pdf").where("doc_id % 50 = 7")
-    return documents.unionByName(lost), saved(document.with_quality(pages, texts), "report-pages"), items, saved(cells, "report-cells")
+    return documents.unionByName(lost), saved(document.with_quality(pages, texts), "report-quality"), items, cells
 
 
 def _typed(spark, sf_dir):
     documents, pages, items, cells = _report(spark, sf_dir)
-    sections = saved(document.classified_pages(documents, pages, items, cells), "sections")
-    typed = saved(document.classified_items(items, cells, sections), "items")
+    texts = saved(document.item_texts(items, cells), "item-texts")
+    sections = saved(document.classified_pages(documents, pages, items, cells, texts), "sections")
+    typed = saved(document.classified_items(items, cells, sections, texts), "items")
     return documents, pages, items, cells, sections, typed
 
 
