@@ -55,8 +55,10 @@ def status_counts(c: str, text: Column) -> Column:
 def quality_counts(c: str, tok: str, text: Column) -> Column:
     """The integers that quality is made of, from the columns of a text's bare characters and of its tokens."""
     s = status_counts(c, text)
-    words = F.filter(tok, lambda x: x.rlike(f"^{_WORD}"))
-    junk = F.filter(tok, lambda x: (F.length(x) <= 3) & ~x.rlike(f"^{_WORD}+$") & ~x.rlike(r"^\p{Nd}+$"))
+    first = lambda x: F.substring(x, 1, 1)
+    words = F.filter(tok, lambda x: first(x).between("a", "z") | first(x).isin("ä", "ö", "å"))
+    # length decides most tokens before any pattern is tried
+    junk = F.filter(tok, lambda x: (F.length(x) <= 3) & ~x.rlike(f"^(?:{_WORD}+|\\p{{Nd}}+)$"))
     return F.struct(s["chars"].alias("chars"), s["alpha"].alias("alpha"), s["digits"].alias("digits"), s["run"].alias("run"), s["blank"].alias("blank"), F.size(tok).alias("tokens"), F.size(words).alias("words"), F.length(F.array_join(words, "")).alias("word_chars"), F.size(junk).alias("junk"))
 
 

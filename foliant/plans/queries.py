@@ -28,6 +28,11 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ad.table(spark, sf_dir, "documents")
 
 
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents, for work on every character of their texts: a table of few files is dealt out first."""
+    return ad.spread(_docs(spark, sf_dir))
+
+
 # ------------------------------------------------------------------ text quality
 
 #: Quality of a CTE `q_in` (id, text), as `q`.
@@ -51,12 +56,12 @@ _Q_DOCS = "WITH q_in AS (SELECT doc_id AS id, text FROM documents), " + Q_SQL
 
 @query(_Q_DOCS + " SELECT id AS doc_id, alpha_ratio, digit_ratio, repeat_run_max, junk_token_ratio, avg_word_len, status, score FROM q")
 def text_quality(spark, sf_dir):
-    return quality.with_quality(_docs(spark, sf_dir)).select("doc_id", "alpha_ratio", "digit_ratio", "repeat_run_max", "junk_token_ratio", "avg_word_len", "status", "score")
+    return quality.with_quality(_texts(spark, sf_dir)).select("doc_id", "alpha_ratio", "digit_ratio", "repeat_run_max", "junk_token_ratio", "avg_word_len", "status", "score")
 
 
 @query(_Q_DOCS + " SELECT id AS doc_id, repeat_run_max, noisy FROM q")
 def noise_gate(spark, sf_dir):
-    return quality.with_quality(_docs(spark, sf_dir)).select("doc_id", "repeat_run_max", "noisy")
+    return quality.with_quality(_texts(spark, sf_dir)).select("doc_id", "repeat_run_max", "noisy")
 
 
 _VERDICT = "count(*) AS pages, count_if(status = 'bad') AS bad, CASE WHEN count_if(status = 'bad')::double / count(*) > 0.20 THEN 'FAILED' WHEN count_if(status = 'bad')::double / count(*) > 0.10 THEN 'WARNING' ELSE 'PASSED' END AS verdict"
@@ -64,17 +69,17 @@ _VERDICT = "count(*) AS pages, count_if(status = 'bad') AS bad, CASE WHEN count_
 
 @query(_Q_DOCS + f" SELECT source, {_VERDICT} FROM q JOIN documents ON q.id = doc_id GROUP BY source")
 def quality_verdict_by_source(spark, sf_dir):
-    return quality.verdict(quality.with_bad(_docs(spark, sf_dir)), ["source"])
+    return quality.verdict(quality.with_bad(_texts(spark, sf_dir)), ["source"])
 
 
 @query(_Q_DOCS + " SELECT lang, status, count(*) AS n FROM q JOIN documents ON q.id = doc_id GROUP BY ALL")
 def quality_status_hist(spark, sf_dir):
-    return quality.with_quality(_docs(spark, sf_dir)).groupBy("lang", "status").agg(F.count("*").alias("n"))
+    return quality.with_quality(_texts(spark, sf_dir)).groupBy("lang", "status").agg(F.count("*").alias("n"))
 
 
 @query(_Q_DOCS + " SELECT id AS doc_id, score, repeat_run_max FROM q WHERE status = 'bad' ORDER BY score, id LIMIT 5")
 def worst_pages_topk(spark, sf_dir):
-    return quality.worst(quality.with_quality(_docs(spark, sf_dir))).select("doc_id", "score", "repeat_run_max")
+    return quality.worst(quality.with_quality(_texts(spark, sf_dir))).select("doc_id", "score", "repeat_run_max")
 
 
 _Q_PASSES = f"WITH {ad.PASSES}, q_in AS (SELECT region_id || '/' || pass AS id, text FROM passes), {Q_SQL}"
@@ -100,12 +105,12 @@ SELECT b.doc_id, CASE WHEN blank OR len(w) = 0 THEN 0::double ELSE length(array_
 
 @query(_SMOKE)
 def text_smoke(spark, sf_dir):
-    return quality.smoke(_docs(spark, sf_dir), "doc_id")
+    return quality.smoke(_texts(spark, sf_dir), "doc_id")
 
 
 @query("SELECT doc_id, t AS trigram, n FROM (SELECT doc_id, t, n, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, f) AS r FROM (SELECT doc_id, t, count(*) AS n, min(i) AS f FROM (SELECT doc_id, i, substr(text, i, 3) AS t FROM (SELECT doc_id, text, unnest(range(1, length(text) - 1)) AS i FROM documents)) GROUP BY doc_id, t)) WHERE r <= 10")
 def trigram_topk(spark, sf_dir):
-    x = _docs(spark, sf_dir).select("doc_id", ft.characters(F.col("text")).alias("c")).select("doc_id", F.posexplode(ft.trigrams("c")).alias("i", "trigram"))
+    x = _texts(spark, sf_dir).select("doc_id", ft.characters(F.col("text")).alias("c")).select("doc_id", F.posexplode(ft.trigrams("c")).alias("i", "trigram"))
     g = x.groupBy("doc_id", "trigram").agg(F.count("*").alias("n"), F.min("i").alias("i"))
     r = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("n"), "i"))
     return g.withColumn("r", r).where("r <= 10").select("doc_id", "trigram", "n")
@@ -113,7 +118,7 @@ def trigram_topk(spark, sf_dir):
 
 @query(r"SELECT doc_id, regexp_replace(regexp_replace(replace(regexp_replace(text, ' +', ' ', 'g'), chr(173), ''), chr(10) || '{3,}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g') AS text FROM documents")
 def normalize_text(spark, sf_dir):
-    return _docs(spark, sf_dir).select("doc_id", ft.normalize_text(F.col("text")).alias("text"))
+    return _texts(spark, sf_dir).select("doc_id", ft.normalize_text(F.col("text")).alias("text"))
 
 
 @query(f"WITH {ad.BLOCKS} SELECT doc_id, page_index, string_agg(text, ' ' ORDER BY seq) AS text FROM blocks GROUP BY ALL")

@@ -13,6 +13,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """rows of a scan, dealt anew where its files make fewer partitions than there are cores: for work that is far heavier than moving its rows."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of documents as text blocks on pages of 20, in two columns, with boxes in points (595 x 842)."""
     d = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "text"))
