@@ -7,10 +7,12 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.sources.scratch import shared_dir
+from foliant.sources.scratch import run_dir
 
 #: The white space of every operator here: space and U+0009 to U+000D.
 WS = " \t\n\x0b\x0c\r"
@@ -18,17 +20,35 @@ WS = " \t\n\x0b\x0c\r"
 WS_CLASS = "\\x20\\x09-\\x0D"
 
 
+#: Bytes of rows that Spark hands to a Python worker at once, and of texts that a task works on at a time.
+BATCH_BYTES, HELD_BYTES = 32_000_000, 8_000_000
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Batches that go to Python workers hold so many bytes at most, or one row. The setting stays in the session."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def text_slices(texts: pa.Array, rows: int) -> Iterator[tuple[int, int]]:
+    """(first, number) of runs of texts: at most so many rows and HELD_BYTES, one text at least."""
+    first, held = 0, 0
+    for i, n in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        if i > first and (held + n > HELD_BYTES or i - first == rows):
+            yield first, i - first
+            first, held = i, 0
+        held += n
+    if len(texts) > first:
+        yield first, len(texts) - first
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 _SCRATCH: ContextVar[str] = ContextVar("scratch", default="")
 
 
-def _folder(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/foliant-{spark.sparkContext.applicationId}"
-
-
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Tables stored inside are deleted at the end, but for those stored to stay: results must be written by then."""
@@ -38,7 +58,7 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _SCRATCH.reset(token)
-        _delete(spark, _folder(spark) + name)
+        _delete(spark, run_dir(spark) + name)
 
 
 def stored(df: DataFrame, name: str, stays: bool = False) -> DataFrame:
@@ -47,7 +67,8 @@ def stored(df: DataFrame, name: str, stays: bool = False) -> DataFrame:
     Lineage ends here: a lost executor costs a re-read of the table and never a re-run of the stages before it.
     """
     spark = df.sparkSession
-    path = f"{_folder(spark)}{'' if stays else _SCRATCH.get()}/{name}-{uuid.uuid4().hex}"
+    bound_batches(spark)
+    path = f"{run_dir(spark)}{'' if stays else _SCRATCH.get()}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import release, small, stored, table, text_of
+from .common import release, small, stored, table, text_of, text_slices
 
 N, THRESHOLD, RECALL, MOST_HASHES = 5, 0.8, 0.9999, 192
 #: Documents and shingles in a verification block, about; a task holds two blocks.
@@ -127,8 +127,8 @@ def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 2_000):
-                b = whole.slice(at, 2_000)
+            for at, size in text_slices(whole["text"], 2_000):
+                b = whole.slice(at, size)
                 ids, sizes, keys, seen = [], [], [], {}
                 for s in shingle_sets([(t or "").encode() for t in b["text"].to_pylist()], n):
                     ids.append(d := _set_id(s))
@@ -303,8 +303,8 @@ def _joined(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: f
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 2_000):
-                b = whole.slice(at, 2_000)
+            for at, size in text_slices(whole["text"], 2_000):
+                b = whole.slice(at, size)
                 s = list(shingle_sets([(t or "").encode() for t in b["text"].to_pylist()], n))
                 own = [i for i, (x, node) in enumerate(zip(s, b["node"].to_pylist(), strict=True)) if _set_id(x) == node]  # another text may have the id
                 b = b.take(pa.array(own, pa.int32()))

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from .common import stored, table, text_slices
 
 SIZE, END_ID = 2048, 1
 #: Words whose ids a worker remembers: the memory it may take, not what it may encode.
@@ -122,8 +122,8 @@ def pieces(docs: DataFrame, size: int = SIZE, end_id: int = END_ID, path: str |
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 2_500):
-                b = whole.slice(at, 2_500)
+            for at, rows in text_slices(whole["text"], 2_500):
+                b = whole.slice(at, rows)
                 out = []
                 ids, bounds = encode(b["text"], path, end_id)
                 for doc, row, lo, hi in zip(b["doc_id"].to_pylist(), b["doc_row"].to_pylist(), bounds[:-1], bounds[1:], strict=True):

@@ -42,5 +42,5 @@ def test_stages(spark, corpus):
 
 def test_registered():
     q = entry.queries()
-    assert {f"op{i}_" for i in range(1, 11)} == {n[: n.index("_") + 1] for n in q if n.startswith("op")} and "pipeline" in q
+    assert {f"op{i}_" for i in range(1, 14)} == {n[: n.index("_") + 1] for n in q if n.startswith("op")} and "pipeline" in q
     assert set(entry.oracle_sql()) <= set(q)

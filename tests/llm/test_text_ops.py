@@ -308,6 +308,14 @@ def test_ctw_learns_held_out_text(spark):
     assert got and sum(r.bits_per_byte for r in got) / len(got) < 0.8
 
 
+def test_slices_are_bounded_in_bytes():
+    from foliant.llm import common
+
+    t = pa.array(["x" * n if n is not None else None for n in (5, 9_000_000, 3, None, 7_999_997, 1, 8_000_001, *[4] * 7)])
+    got = list(common.text_slices(t, 3))
+    assert got == [(0, 1), (1, 1), (2, 3), (5, 1), (6, 1), (7, 3), (10, 3), (13, 1)] and list(common.text_slices(t.slice(0, 0), 3)) == []
+
+
 # ------------------------------------------------------------------ html
 
 
