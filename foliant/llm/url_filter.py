@@ -30,6 +30,8 @@ _SECOND = {
     "io": "github gitlab", "com": "blogspot wordpress herokuapp weebly wixsite", "dev": "pages workers web", "app": "netlify vercel web", "net": "azurewebsites cloudfront", "me": "medium",
 }
 SUFFIXES = tuple(f"{x}.{last}" for last, xs in _SECOND.items() for x in xs.split())
+#: Suffixes up to so many are part of one expression; more are joined as a table, with the same result.
+COMPILED_SUFFIXES = 500
 #: Host verdict rows that may be broadcast; beyond it the join shuffles.
 BROADCAST_HOSTS = 200_000
 
@@ -71,7 +73,7 @@ def with_rules(urls: DataFrame, rules) -> DataFrame:
     each = urls.select("host", "path").distinct()
     parts = F.split("host", r"\.", -1)
     above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
-    x = each.select("host", "path", F.explode(above).alias("above")).join(lengths, "above")
+    x = each.select("host", "path", F.explode(above).alias("above")).join(small(lengths, BROADCAST_HOSTS), "above")
     x = x.select("host", "path", "above", F.explode("lengths").alias("n")).where(F.length("path") >= F.col("n"))
     x = x.join(r, (F.col("above") == F.col("r_host")) & (F.expr("substr(path, 1, n)") == F.col("r_path")))
     best = x.groupBy("host", "path").agg(F.max(F.struct(F.length("rule"), "rule", "verdict")).alias("best"))
@@ -79,18 +81,33 @@ def with_rules(urls: DataFrame, rules) -> DataFrame:
     return urls.join(best, ["host", "path"], "left")
 
 
-def site_of(host: str = "host") -> tuple[Column, Column]:
-    """(registered domain, suffix) of a host, read without user info, port and final dot.
+def _bare(host: str) -> Column:
+    """A host without user info, port and final dot."""
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(host, r"(?s)^.*@", ""), r":\d*$", ""), r"\.$", "")
 
-    The suffix is the last label, or the last two where SUFFIXES has them; the domain has one label more. An IP address
-    is a domain of its own, and all of them have one suffix.
+
+def with_sites(hosts: DataFrame, suffixes: tuple[str, ...] | DataFrame = SUFFIXES) -> DataFrame:
+    """hosts (host, ...) with domain (the registered one) and suffix. suffixes: names of one label or more, or a table (suffix) of them.
+
+    The suffix is the longest of `suffixes` that the host ends with, label by label, else its last label; the domain has one label more. An
+    IP address is a domain of its own, and all of them have one suffix. A table of suffixes meets the hosts by an equal join on
+    each domain above them; a tuple of up to COMPILED_SUFFIXES is part of the expression.
     """
-    name = F.regexp_replace(F.regexp_replace(F.regexp_replace(host, r"(?s)^.*@", ""), r":\d*$", ""), r"\.$", "")
-    ip = name.rlike(r"^\d{1,3}(\.\d{1,3}){3}$") | name.startswith("[")
-    two = F.substring_index(name, ".", -2)
-    long = two.isin(*SUFFIXES)
-    domain = F.when(ip, name).when(long, F.substring_index(name, ".", -3)).otherwise(two)
-    return domain, F.when(ip, "[ip]").when(long, two).otherwise(F.substring_index(name, ".", -1))
+    x = hosts.withColumn("_name", _bare("host"))
+    parts = F.split("_name", r"\.", -1)
+    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.struct(i.alias("k"), F.array_join(F.slice(parts, F.size(parts) - i + 1, i), ".").alias("above")))
+    if not isinstance(suffixes, DataFrame) and len(suffixes) > COMPILED_SUFFIXES:
+        suffixes = hosts.sparkSession.createDataFrame([(s,) for s in suffixes], "suffix string")
+    if isinstance(suffixes, DataFrame):
+        each = x.select("host", F.explode(above).alias("a")).select("host", "a.k", F.col("a.above").alias("suffix"))
+        known = each.join(small(suffixes.select("suffix").distinct(), BROADCAST_HOSTS), "suffix").groupBy(F.col("host").alias("_host")).agg(F.max("k").alias("_k"))
+        x = x.join(known, F.col("host").eqNullSafe(F.col("_host")), "left").drop("_host")
+    else:
+        x = x.withColumn("_k", F.array_max(F.transform(F.filter(above, lambda a: a["above"].isin(*suffixes)), lambda a: a["k"])) if suffixes else F.lit(None).cast("int"))
+    x = x.withColumn("_k", F.coalesce("_k", F.lit(1)))
+    ip = F.col("_name").rlike(r"^\d{1,3}(\.\d{1,3}){3}$") | F.col("_name").startswith("[")
+    domain, suffix = (F.expr(f"substring_index(_name, '.', -(_k + {n}))") for n in (1, 0))
+    return x.withColumns({"domain": F.when(ip, F.col("_name")).otherwise(domain), "suffix": F.when(ip, "[ip]").otherwise(suffix)}).drop("_name", "_k")
 
 
 def _strength(level: DataFrame) -> float:
@@ -104,13 +121,12 @@ def _strength(level: DataFrame) -> float:
     return m.select(F.round(F.coalesce(k, F.lit(STRENGTH[1])), 2).alias("k")).first()["k"]
 
 
-def reputations(outcomes: DataFrame, limit: float = LIMIT, z: float = Z) -> DataFrame:
+def reputations(outcomes: DataFrame, limit: float = LIMIT, z: float = Z, suffixes: tuple[str, ...] | DataFrame = SUFFIXES) -> DataFrame:
     """outcomes: host, n, bad (one row per host, n may be 0). Returns host and blocked.
 
-    Domain and suffix are those of `site_of`.
+    Domain and suffix are those of `with_sites`.
     """
-    domain, suffix = site_of()
-    hosts = outcomes.withColumn("suffix", suffix).withColumn("domain", domain)
+    hosts = with_sites(outcomes, suffixes)
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     whole = suffixes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")).first()
@@ -128,11 +144,11 @@ def reputations(outcomes: DataFrame, limit: float = LIMIT, z: float = Z) -> Data
     return hosts.select("host", (F.col("m3") - z * sd > limit).alias("blocked"))
 
 
-def url_filter(pages: DataFrame, labels: DataFrame, rules=RULES, limit: float = LIMIT, z: float = Z) -> DataFrame:
+def url_filter(pages: DataFrame, labels: DataFrame, rules=RULES, limit: float = LIMIT, z: float = Z, suffixes: tuple[str, ...] | DataFrame = SUFFIXES) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict.
 
     labels (doc_id, quality, toxic) are outcomes of the page with the same id; bad is quality 0 or toxic 1, a label
-    with both null is no outcome. rules are those of `with_rules`. A null url, or one without "://", has an empty host and path. Repeated pages and
+    with both null is no outcome. rules are those of `with_rules`, suffixes those of `with_sites`. A null url, or one without "://", has an empty host and path. Repeated pages and
     repeated labels count each time. Empty tables give empty results or verdicts from the prior alone.
     """
     seen = stored(pages.select("page_id", host_of().alias("host"), path_of().alias("path")), "urls")
@@ -141,7 +157,7 @@ def url_filter(pages: DataFrame, labels: DataFrame, rules=RULES, limit: float =
     label = label.groupBy("doc_id").agg(F.count("*").alias("n"), F.sum(bad.cast("long")).alias("bad"))
     outcome = seen.join(label, seen.page_id == label.doc_id, "left").groupBy("host")
     outcome = outcome.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
-    judged = stored(reputations(stored(outcome, "hosts"), limit, z), "reputations")
+    judged = stored(reputations(stored(outcome, "hosts"), limit, z, suffixes), "reputations")
     out = with_rules(seen, rules).join(small(judged, BROADCAST_HOSTS), "host", "left")
     model = F.when(F.col("blocked"), "block").otherwise("allow")
     return out.select("page_id", "host", "path", "rule", F.coalesce("rule_verdict", model).alias("verdict"))
@@ -162,10 +178,11 @@ WITH u AS (
          coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
 l AS (SELECT doc_id, count(*) AS n, sum((coalesce(quality, 1) = 0 OR coalesce(toxic, 0) = 1)::bigint) AS bad
       FROM labels WHERE doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL) GROUP BY doc_id),
-h AS (SELECT host, coalesce(sum(n), 0)::bigint AS n, coalesce(sum(bad), 0)::bigint AS bad,
-             list_extract(string_split(host, '.'), -1) AS suffix,
-             array_to_string(string_split(host, '.')[-2:], '.') AS domain
+h3 AS (SELECT host, coalesce(sum(n), 0)::bigint AS n, coalesce(sum(bad), 0)::bigint AS bad, regexp_replace(regexp_replace(regexp_replace(host, '^(?s:.*)@', ''), ':[0-9]*$', ''), '\.$', '') AS name
       FROM u LEFT JOIN l ON u.page_id = l.doc_id GROUP BY host),
+h2 AS (SELECT *, string_split(name, '.') AS p, coalesce(list_max(list_filter(range(1, len(string_split(name, '.')) + 1), lambda i: list_contains([{SUFFIXES}], array_to_string(string_split(name, '.')[-i:], '.')))), 1) AS k,
+             regexp_matches(name, '^[0-9]{1,3}(\.[0-9]{1,3}){3}$') OR starts_with(name, '[') AS ip FROM h3),
+h AS (SELECT host, n, bad, CASE WHEN ip THEN '[ip]' ELSE array_to_string(p[-k:], '.') END AS suffix, CASE WHEN ip THEN name ELSE array_to_string(p[-(k + 1):], '.') END AS domain FROM h2),
 d AS (SELECT domain, suffix, sum(n)::bigint AS n, sum(bad)::bigint AS bad FROM h GROUP BY ALL),
 s AS (SELECT suffix, sum(n)::bigint AS n, sum(bad)::bigint AS bad FROM d GROUP BY ALL),
 w AS (SELECT coalesce((sum(bad) + 0.5::double) / (sum(n) + 1.0::double), 0.5) AS m0 FROM s),
@@ -188,4 +205,4 @@ SELECT u.page_id, u.host, u.path, f.rule,
        coalesce(f.verdict, CASE WHEN m3 - 1.645 * sqrt(m3 * (1 - m3) / (n + k + 1)) > 0.30 THEN 'block' ELSE 'allow' END) AS verdict
 FROM u JOIN h1 USING (host) LEFT JOIN f ON u.host = f.host AND u.path = f.path
 """
-)
+).replace("{SUFFIXES}", ", ".join(f"'{s}'" for s in SUFFIXES))

@@ -155,3 +155,28 @@ def test_exponent_meets_its_target(spark):
     a = sm.exponent(shares, 3.0)
     w = [v**a / v for v in tokens.values()]
     assert abs(max(w) / min(w) - 3) < 1e-3
+
+
+def test_sites_of_hosts_with_suffixes_of_any_length_and_as_a_table(spark):
+    hosts = ["a.b.co.uk", "co.uk", "x.y.z", "z", "", "u:p@shop.example.com:8080", "10.0.0.1:80", "[::1]", "a.city.kawasaki.jp", "kawasaki.jp", "b.c.kawasaki.jp", "ends.example.org.", None]
+    df = spark.createDataFrame([(h,) for h in hosts], "host string")
+    some = ("co.uk", "kawasaki.jp", "city.kawasaki.jp", "com")
+    want = {"a.b.co.uk": ("b.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "x.y.z": ("y.z", "z"), "z": ("z", "z"), "": ("", ""), "u:p@shop.example.com:8080": ("example.com", "com"), "10.0.0.1:80": ("10.0.0.1", "[ip]"), "[::1]": ("[:", "[ip]"), "a.city.kawasaki.jp": ("a.city.kawasaki.jp", "city.kawasaki.jp"), "kawasaki.jp": ("kawasaki.jp", "kawasaki.jp"), "b.c.kawasaki.jp": ("c.kawasaki.jp", "kawasaki.jp"), "ends.example.org.": ("example.org", "org")}
+    for given in (some, spark.createDataFrame([(s,) for s in (*some, "com")], "suffix string")):
+        got = {r.host: (r.domain, r.suffix) for r in uf.with_sites(df, given).collect()}
+        assert {h: got[h] for h in want if h != "[::1]"} == {h: v for h, v in want.items() if h != "[::1]"} and got["[::1]"][1] == "[ip]" and len(got) == len(hosts)
+    none = {r.host: r.suffix for r in uf.with_sites(df, ()).collect()}
+    assert none["a.b.co.uk"] == "uk" and none["b.c.kawasaki.jp"] == "jp"
+
+
+def test_the_sql_reads_suffixes_ports_and_addresses(spark):
+    import duckdb
+
+    urls = ["http://a.b.co.uk/x", "https://b.co.uk:80/de/", "http://10.0.0.1/de/1", "http://u@x.github.io/", "http://y.github.io/", "nothing", None, "http://www.example.org/es/1", "http://z.com./de/", "http://q.com.br/fr/"]
+    pages = spark.createDataFrame([(i, urls[i % len(urls)]) for i in range(60)], "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(i % 4 != 0), int(i % 10 == 1)) for i in range(0, 60, 2)], "doc_id long, quality int, toxic int")
+    con = duckdb.connect()
+    for n, df in (("pages", pages), ("labels", labels)):
+        con.register(n, df.toPandas())
+    want = sorted(map(repr, con.execute(uf.ORACLE).fetchall()))
+    assert sorted(repr(tuple(r)) for r in uf.url_filter(pages, labels).select("page_id", "host", "path", "rule", "verdict").collect()) == want
