@@ -24,5 +24,6 @@ ORACLES = {
     "op2_exact_dedup": exact_dedup.ORACLE,
     "op5_quality_rules": quality_rules.ORACLE,
     "op8_url_filter": url_filter.ORACLE,
+    "op11_suffix_dedup": suffix_dedup.ORACLE,
     "op13_prefix_trie": prefix_trie.ORACLE,
 }

@@ -284,3 +284,18 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = without_repeats(table(spark, sf_dir, "documents"))
     return x.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: Every window of WIDTH bytes by its digest, over texts in hexadecimal digits; for tables small enough for a row for each byte.
+ORACLE = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+c AS (SELECT rid, c, substr(x, c * 2000 + 1, 2798) AS y FROM (SELECT rid, x, unnest(range(0, length(x) // 2000 + 1)) AS c FROM d)),
+w AS (SELECT rid, c * 1000 + s AS s, md5(substr(y, 2 * s + 1, 800)) AS h FROM (SELECT rid, c, y, unnest(range(0, length(y) // 2 - 399)) AS s FROM c WHERE length(y) >= 800)),
+o AS (SELECT h FROM w GROUP BY h HAVING count(*) > 1),
+r AS (SELECT rid, s, sum(new) OVER (PARTITION BY rid ORDER BY s) AS run FROM (SELECT rid, s, (s > coalesce(lag(s) OVER (PARTITION BY rid ORDER BY s) + 400, -1))::int AS new FROM w SEMI JOIN o USING (h))),
+u AS (SELECT rid, run, min(s) AS a, max(s) + 400 AS b FROM r GROUP BY ALL),
+k AS (SELECT rid, sum(b - a)::bigint AS n_removed, count(*) AS n_spans, list(a ORDER BY a) AS a, list(b ORDER BY a) AS b FROM u GROUP BY rid)
+SELECT doc_id, length(x) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(array_to_string(list_transform(range(0, n_spans + 1), lambda i: x[2 * (CASE WHEN i = 0 THEN 0 ELSE b[i] END) + 1:2 * (CASE WHEN i = n_spans THEN length(x) // 2 ELSE a[i + 1] END)]), ''), x))) AS kept_sha256
+FROM d LEFT JOIN k USING (rid)
+"""
