@@ -41,7 +41,8 @@ FORMS = {"py": ("# {0}", "{0}", "  {0}  ", "{0} # no"), "js": ("/* {0} */", "/*
 _KIND = {"yml": "py", "json": "sql"}
 
 
-def _forms(suffix: str, at: str, text: str, sql: bool) -> str:
+def _forms(suffix: str, at: str, text: str) -> str:
+    """The form of a line by its number, in terms that Spark and DuckDB share."""
     forms = FORMS[_KIND.get(suffix, suffix)]
     say = lambda f: "concat(" + ", ".join([x for i, part in enumerate(f.split("{0}")) for x in ([text] if i else []) + ([f"'{part}'"] if part else [])] or ["''"]) + ")"
     return f"CASE {at} % {len(forms)} " + " ".join(f"WHEN {i} THEN {say(f)}" for i, f in enumerate(forms)) + " END"
@@ -49,7 +50,7 @@ def _forms(suffix: str, at: str, text: str, sql: bool) -> str:
 
 _SUFFIX = [n.rpartition(".")[2] for n in TREE]
 _TREE_SQL = f"""tree AS (SELECT doc_id, CASE doc_id % 8 {" ".join(f"WHEN {i} THEN '{n.split('{0}')[0]}' || doc_id || '{n.split('{0}')[1]}'" for i, n in enumerate(TREE))} END AS path, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
-src AS (SELECT path, array_to_string(list_transform(range(0, len(l)), lambda i: CASE {" ".join(f"WHEN ends_with(path, '.{s}') THEN {_forms(s, 'i', 'l[i + 1]', True)}" for s in dict.fromkeys(_SUFFIX))} END), chr(10)) AS c FROM tree WHERE NOT (path LIKE 'node_modules/%' OR path LIKE '%.min.%')),
+src AS (SELECT path, array_to_string(list_transform(range(0, len(l)), lambda i: CASE {" ".join(f"WHEN ends_with(path, '.{s}') THEN {_forms(s, 'i', 'l[i + 1]')}" for s in dict.fromkeys(_SUFFIX))} END), chr(10)) AS c FROM tree WHERE NOT (path LIKE 'node_modules/%' OR path LIKE '%.min.%')),
 sl AS (SELECT path, (generate_subscripts(a, 1) - 1)::int AS line_no, regexp_replace(unnest(a), '^\\s+|\\s+$', '', 'g') AS t FROM (SELECT path, regexp_split_to_array(regexp_replace(c, '(\\r\\n|\\r|\\n)$', ''), '\\r\\n|\\r|\\n') AS a FROM src WHERE c <> '')),
 s0 AS (SELECT *, CASE WHEN path LIKE '%.py' THEN 'Python' WHEN path LIKE '%.yml' THEN 'YAML' WHEN path LIKE '%.js' THEN 'JavaScript' WHEN path LIKE '%.c' THEN 'C' WHEN path LIKE '%.sql' THEN 'SQL' ELSE 'JSON' END AS language FROM sl),
 s1 AS (SELECT *, language IN ('JavaScript', 'C') AS slash, CASE WHEN language NOT IN ('JavaScript', 'C') THEN NULL WHEN contains(t, '*/') THEN 0 WHEN contains(t, '/*') THEN 1 END AS mark FROM s0),
@@ -62,7 +63,7 @@ fl AS (SELECT path, language, sum((t <> '' AND NOT ins AND NOT hash AND coalesce
 def folder_lines(spark, sf_dir):
     """Documents as source files, hidden and excluded ones among them, scanned and counted."""
     path = "CASE doc_id % 8 " + " ".join(f"WHEN {i} THEN concat('{n.split('{0}')[0]}', doc_id, '{n.split('{0}')[1]}')" for i, n in enumerate(TREE)) + " END"
-    form = "CASE doc_id % 8 " + " ".join(f"WHEN {i} THEN {_forms(s, 'i', 'x', False)}" for i, s in enumerate(_SUFFIX)) + " END"
+    form = "CASE doc_id % 8 " + " ".join(f"WHEN {i} THEN {_forms(s, 'i', 'x')}" for i, s in enumerate(_SUFFIX)) + " END"
     d = ad.table(spark, sf_dir, "documents").selectExpr(f"{path} AS name", rf"array_join(transform(split(coalesce(text, ''), '\n', -1), (x, i) -> {form}), '\n') AS content")
     root = new_folder(spark, "folder-lines")
     files.write_files(d, root)
