@@ -74,14 +74,15 @@ def classified_pages(documents: DataFrame, pages: DataFrame, items: DataFrame, c
     Pages are classified by their words; the contents pages so found point to others; a page that is no contents or
     cover page takes what they say of it, else what strong words say, else keeps its own.
     """
-    own = saved(first_sections(pages, item_texts(items, cells) if texts is None else texts), "first-sections")
+    own = first_sections(pages, item_texts(items, cells) if texts is None else texts).withColumnsRenamed({"full": "text", "section": "own", "confidence": "sure"})
+    # strong words are looked for in the same pass, so that the pages' text is not stored again
+    own = saved(elements.indicated(own).select(*PAGE, F.col("own").alias("section"), F.col("sure").alias("confidence"), F.col("section").alias("hard"), F.col("confidence").alias("hard_confidence")), "first-sections")
     at = pages.select(*PAGE, "height", (F.row_number().over(Window.partitionBy("doc_id").orderBy("page_index")) - 1).alias("page_no"))
     blocks = items.where("kind = 'block'").join(at, PAGE)
     offsets = contents.page_offsets(documents, blocks, own)
     entries = toc_entries(items, cells, own).where("target >= 0").join(offsets, "doc_id").withColumn("pdf_page", F.col("target") + F.col("offset"))
     targets = entries.where("pdf_page >= 0").groupBy("doc_id", F.col("pdf_page").alias("page_index")).agg(F.max_by("type", F.struct(entries.page_index, "first")).alias("target"))
-    hard = elements.indicated(own.select(*PAGE, F.col("full").alias("text"))).select(*PAGE, F.col("section").alias("hard"), F.col("confidence").alias("hard_confidence"))
-    x = own.join(targets, PAGE, "left").join(hard, PAGE)
+    x = own.join(targets, PAGE, "left")
     return elements.settled_sections(x).join(offsets, "doc_id", "left").select(*PAGE, "section", "confidence", "offset")
 
 
