@@ -262,10 +262,11 @@ tg AS (SELECT a.page_id, a.id AS a, b.id AS b FROM sg a JOIN sg b ON a.page_id =
 
 
 def _segments(spark, sf_dir):
-    x = ad.table(spark, sf_dir, "lineitem").selectExpr("l_orderkey AS page_id", "l_partkey AS p", "l_suppkey AS s", "cast(round(l_quantity) AS bigint) AS q", "row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS n")
-    h = x.selectExpr("page_id", "n * 2 AS segment_id", "'h' AS kind", "double(p % 300) AS x0", "double(s * 7 % 400) AS y0", "double(p % 300 + 60 + q * 4) AS x1", "double(s * 7 % 400) AS y1")
-    v = x.selectExpr("page_id", "n * 2 + 1", "'v'", "double(p % 300 + q)", "double(s * 7 % 400 - 20)", "double(p % 300 + q)", "double(s * 7 % 400 + 40 + q * 5)")
-    return saved(h.union(v), "segments")
+    x = ad.table(spark, sf_dir, "lineitem").selectExpr("l_orderkey AS page_id", "l_linenumber", "l_partkey AS p", "l_suppkey AS s", "cast(round(l_quantity) AS bigint) AS q", "l_extendedprice")
+    x = x.withColumn("n", F.row_number().over(Window.partitionBy("page_id").orderBy("l_linenumber", "p", "s", "l_extendedprice")))
+    h = "named_struct('segment_id', n * 2, 'kind', 'h', 'x0', double(p % 300), 'y0', double(s * 7 % 400), 'x1', double(p % 300 + 60 + q * 4), 'y1', double(s * 7 % 400))"
+    v = "named_struct('segment_id', n * 2 + 1, 'kind', 'v', 'x0', double(p % 300 + q), 'y0', double(s * 7 % 400 - 20), 'x1', double(p % 300 + q), 'y1', double(s * 7 % 400 + 40 + q * 5))"
+    return x.selectExpr("page_id", f"inline(array({h}, {v}))")
 
 
 @query(f"""WITH RECURSIVE {_SEGMENTS}, rc AS (SELECT page_id, id, id AS c FROM sg UNION SELECT tg.page_id, tg.b, rc.c FROM rc JOIN tg ON rc.page_id = tg.page_id AND rc.id = tg.a),

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import random
 from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from foliant.operators import regions
 from foliant.sources.scratch import release, saved
 
 
@@ -37,3 +39,33 @@ def test_shuffle_files_go_with_the_query(spark):
     assert out.count() == 7
     release(out)
     assert not Path(out._saved_at.removeprefix("file:")).exists()
+
+
+SEGMENTS = "page_id long, segment_id long, kind string, x0 double, y0 double, x1 double, y1 double"
+
+
+def test_tables_of_whole_pages_are_those_of_the_general_way(spark):
+    draw = random.Random(5)
+    rows = []
+    for page in range(120):
+        for i in range(draw.choice((1, 2, 9, 40, 150))):  # pages beyond what is grouped at once among them
+            x, y, n = draw.uniform(0, 900), draw.uniform(0, 900), draw.uniform(20, 160)
+            rows.append((page, i, "h", x, y, x + n, y) if i % 2 else (page, i, "v", x, y, x, y + n))
+    # odd rows: an id twice, a side turned round, a null, no number
+    rows += [(0, 0, "v", 5.0, 5.0, 5.0, 500.0), (1, 900, "h", 400.0, 50.0, 100.0, 50.0), (2, None, "h", 1.0, 1.0, 500.0, 1.0), (3, 900, "h", float("nan"), 1.0, 500.0, 1.0), (4, 900, None, 1.0, 1.0, 500.0, 1.0)]
+    s = spark.createDataFrame(rows, SEGMENTS).repartition(3)
+    size = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    try:
+        for batch in (7, size):  # pages that go on in the next batch
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+            got = sorted(tuple(r) for r in regions.drawn_tables(s).collect())
+            assert got == sorted(tuple(r) for r in regions._tables(regions._joined_boxes(s, regions.NEAR)).collect()) and len(got) > 50
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(size))
+
+
+def test_small_pages_are_not_grouped_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(regions, "components", None)
+    s = spark.createDataFrame([(p, i, "hv"[i], 0.0, 0.0, 200.0 * (1 - i), 200.0 * i) for p in range(9) for i in (0, 1)], SEGMENTS)
+    assert sorted((r.page_id, r.lines) for r in regions.drawn_tables(s).collect()) == [(p, 2) for p in range(9)]
+    assert regions.drawn_tables(s.limit(0)).collect() == []
