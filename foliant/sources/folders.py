@@ -18,8 +18,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from foliant.sources.scratch import saved
 
-#: Folders that the driver opens at most to find subtrees for tasks, and files that one task's list may hold.
-OPENED, LISTED = 256, 20_000
+#: Folders that the driver opens at most to find subtrees for tasks, tasks that subtrees are dealt to where no number is asked for, and files that one task's list may hold.
+OPENED, DEALT, LISTED = 256, 64, 20_000
 #: Bytes of files for each task that reads them, and bytes of contents in one batch.
 PER_TASK, PER_BATCH = 64_000_000, 8_000_000
 
@@ -49,6 +49,7 @@ class _Part(InputPartition):
 class _Reader(DataSourceReader):
     def __init__(self, options: dict):
         self.root, self.skipped = options["path"], frozenset(json.loads(options.get("skip", "[]")))
+        self.tasks = max(1, int(options.get("tasks", DEALT)))
 
     def _row(self, root: str, x: fs.FileInfo) -> tuple:
         return x.path[len(root) :].lstrip("/"), x.size, x.mtime
@@ -62,7 +63,8 @@ class _Reader(DataSourceReader):
             files += [self._row(root, x) for x in here]
             opened += 1
         lists = [files[i : i + LISTED] for i in range(0, len(files), LISTED)] or [[]]
-        return [_Part([], f) for f in lists] + [_Part([f], []) for f in waiting]
+        # neighbours go to different tasks; a tree of many small folders is not a task for each
+        return [_Part([], f) for f in lists] + [_Part(waiting[i :: self.tasks], []) for i in range(min(self.tasks, len(waiting)))]
 
     def read(self, part: _Part) -> Iterator[tuple]:
         yield from part.files
@@ -75,7 +77,7 @@ class _Reader(DataSourceReader):
 
 
 class FolderSource(DataSource):
-    """format("folder"), options path and skip (a JSON list of folder names that are not descended to)."""
+    """format("folder"), options path, skip (a JSON list of folder names that are not descended to) and tasks (that subtrees are dealt to at most)."""
 
     @classmethod
     def name(cls) -> str:
@@ -91,7 +93,7 @@ class FolderSource(DataSource):
 def list_files(spark: SparkSession, root: str, skip: tuple[str, ...] = ()) -> DataFrame:
     """path below root, size and modified of all files of a tree, but for those in folders named in skip."""
     spark.dataSource.register(FolderSource)
-    return spark.read.format("folder").option("path", root).option("skip", json.dumps(list(skip))).load()
+    return spark.read.format("folder").option("path", root).option("skip", json.dumps(list(skip))).option("tasks", str(4 * spark.sparkContext.defaultParallelism)).load()
 
 
 def read_contents(files: DataFrame, root: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from foliant.operators import regions
+from foliant.sources import folders
 from foliant.sources.scratch import release, saved
 
 
@@ -69,3 +70,12 @@ def test_small_pages_are_not_grouped_in_rounds(spark, monkeypatch):
     s = spark.createDataFrame([(p, i, "hv"[i], 0.0, 0.0, 200.0 * (1 - i), 200.0 * i) for p in range(9) for i in (0, 1)], SEGMENTS)
     assert sorted((r.page_id, r.lines) for r in regions.drawn_tables(s).collect()) == [(p, 2) for p in range(9)]
     assert regions.drawn_tables(s.limit(0)).collect() == []
+
+
+def test_many_small_folders_are_not_a_task_each(spark, tmp_path):
+    for i in range(600):
+        (tmp_path / f"src/{i}").mkdir(parents=True)
+        (tmp_path / f"src/{i}/__init__.py").write_text("x\n")
+    files = folders.list_files(spark, str(tmp_path))
+    assert files.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism + 1
+    assert sorted(r.path for r in files.collect()) == sorted(f"src/{i}/__init__.py" for i in range(600))
