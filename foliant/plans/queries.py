@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliant.functions import music as fm
 from foliant.functions import text as ft
-from foliant.operators import contents, elements, layout, loc, music, qa, quality, sheet, tables
+from foliant.operators import contents, elements, layout, loc, music, qa, quality, sheet, tables, trigrams
 from foliant.sources import adapters as ad
 
 QUERIES: dict = {}
@@ -110,10 +110,9 @@ def text_smoke(spark, sf_dir):
 
 @query("SELECT doc_id, t AS trigram, n FROM (SELECT doc_id, t, n, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, f) AS r FROM (SELECT doc_id, t, count(*) AS n, min(i) AS f FROM (SELECT doc_id, i, substr(text, i, 3) AS t FROM (SELECT doc_id, text, unnest(range(1, length(text) - 1)) AS i FROM documents)) GROUP BY doc_id, t)) WHERE r <= 10")
 def trigram_topk(spark, sf_dir):
-    x = _texts(spark, sf_dir).select("doc_id", ft.characters(F.col("text")).alias("c")).select("doc_id", F.posexplode(ft.trigrams("c")).alias("i", "trigram"))
-    g = x.groupBy("doc_id", "trigram").agg(F.count("*").alias("n"), F.min("i").alias("i"))
-    r = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("n"), "i"))
-    return g.withColumn("r", r).where("r <= 10").select("doc_id", "trigram", "n")
+    d = _texts(spark, sf_dir).select("doc_id", "text")
+    top = trigrams.with_top(d, "doc_id", "text", 10, each=False).select("doc_id", F.explode("top").alias("v"))
+    return top.select("doc_id", F.col("v.t").alias("trigram"), F.col("v.n").alias("n"))
 
 
 @query(r"SELECT doc_id, regexp_replace(regexp_replace(replace(regexp_replace(text, ' +', ' ', 'g'), chr(173), ''), chr(10) || '{3,}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g') AS text FROM documents")

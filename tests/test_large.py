@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from foliant.operators import regions
+from foliant.operators import regions, trigrams
 from foliant.sources import folders
 from foliant.sources.scratch import release, saved
 
@@ -79,3 +79,23 @@ def test_many_small_folders_are_not_a_task_each(spark, tmp_path):
     files = folders.list_files(spark, str(tmp_path))
     assert files.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism + 1
     assert sorted(r.path for r in files.collect()) == sorted(f"src/{i}/__init__.py" for i in range(600))
+
+
+def test_trigrams_of_one_text_meet_in_no_shuffle_and_repeated_keys_count_together(spark, monkeypatch):
+    rows = [(1, "abcabc xyz"), (2, ""), (3, None), (4, "ab"), (None, "ÄÄÄÄ 12 12 12"), (5, "ΛΟΣ ΛΟΣ λος İİİ éé a\U0001f600b\U0001f600"), (6, " \n "), (7, "b-c b-c\x00\x00\x00\x00")]
+    twice = [(8, "abab"), (8, "bab ab"), (9, "only"), (9, None)]
+    plain = lambda x: sorted((str(r.doc_id), [tuple(t) for t in r.top]) for r in x.collect())
+    for folded in (False, True):
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        got = trigrams.with_top(docs, "doc_id", "text", 3, folded)
+        text = docs.select("doc_id", F.col("text").cast("binary").alias("_text"))
+        want = dict(plain(trigrams._by_key(text, "doc_id", 3, folded)))
+        assert plain(got) == sorted((str(k), want.get(str(k), [])) for k, _ in rows)
+        assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    both = spark.createDataFrame(rows + twice, "doc_id long, text string")
+    for few in (trigrams.FEW, 0):  # repeated keys broadcast, and joined by shuffles
+        monkeypatch.setattr(trigrams, "FEW", few)
+        found = [x for x in plain(trigrams.with_top(both, "doc_id", "text", 2)) if x[0] in ("8", "9")]
+        assert found == [("8", [("bab", 2), ("aba", 1)])] * 2 + [("9", [("onl", 1), ("nly", 1)])] * 2
+        once = [x for x in plain(trigrams.with_top(both, "doc_id", "text", 2, each=False)) if x[0] in ("8", "9")]
+        assert once == [("8", [("bab", 2), ("aba", 1)]), ("9", [("onl", 1), ("nly", 1)])]
