@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliant.functions.text import bare, characters, is_bad, is_blank, quality, quality_counts, ratio, status_counts, tokens, trigrams
+from foliant.functions.text import bare, is_bad, is_blank, quality, quality_counts, ratio, status_counts, tokens
+from foliant.operators.trigrams import with_top
 
 STRICT, LENIENT = 0.10, 0.20
 
@@ -37,12 +38,10 @@ def smoke(df: DataFrame, key: str, text: str = "text", k: int = 10) -> DataFrame
     x = _once(df.select(key, F.col(text).alias("_text")), blank=is_blank(F.col("_text")), bare=bare(F.col("_text")), word=F.regexp_extract_all(F.coalesce(F.col("_text"), F.lit("")), F.lit(r"(?U)\w+"), F.lit(0)))
     x = x.select(key, "blank", "bare", F.length(F.regexp_replace("bare", r"\P{L}+", "")).alias("letters"), F.length("bare").alias("chars"), F.size("word").alias("words"), F.length(F.array_join("word", "")).alias("word_chars"))
     unless = lambda c: F.when(F.col("blank"), F.lit(0.0)).otherwise(c)
-    base = x.select(key, unless(ratio(F.col("word_chars"), F.col("words"))).alias("chars_per_word"), unless(ratio(F.col("chars") - F.col("letters"), F.col("chars"))).alias("non_alpha_ratio"))
-    g = x.where("not blank").select(key, characters(F.col("bare")).alias("c")).select(key, F.posexplode(trigrams("c")).alias("i", "t"))
-    g = g.select(key, "i", F.lower("t").alias("t")).where(F.col("t").rlike(r"^[\p{L}\p{Nd}]{3}$")).groupBy(key, "t").agg(F.count("*").alias("n"), F.min("i").alias("i"))
-    g = g.withColumn("r", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("n"), "i"))).where(F.col("r") <= k)
-    top = g.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", "t", "n"))), lambda v: F.concat(v["t"], F.lit(":"), v["n"].cast("string"))), ",").alias("top"))
-    return base.join(top, key, "left").withColumn("top", F.coalesce("top", F.lit("")))
+    base = x.select(key, unless(ratio(F.col("word_chars"), F.col("words"))).alias("chars_per_word"), unless(ratio(F.col("chars") - F.col("letters"), F.col("chars"))).alias("non_alpha_ratio"), F.when(~F.col("blank"), F.col("bare")).alias("bare"))
+    top = F.array_join(F.transform("top", lambda v: F.concat(v["t"], F.lit(":"), v["n"].cast("string"))), ",")
+    # rows without a key have none, as a join by key gives them none
+    return with_top(base, key, "bare", k, folded=True, keys=df.select(key)).select(key, "chars_per_word", "non_alpha_ratio", F.when(F.col(key).isNotNull(), top).otherwise("").alias("top"))
 
 
 def page_text(blocks: DataFrame, keys: list[str]) -> DataFrame:

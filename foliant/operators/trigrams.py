@@ -65,15 +65,15 @@ def _by_key(rows: DataFrame, key: str, k: int, folded: bool) -> DataFrame:
     return g.groupBy(key).agg(top.alias("top"))
 
 
-def with_top(df: DataFrame, key: str, text: str, k: int, folded: bool = False, each: bool = True) -> DataFrame:
+def with_top(df: DataFrame, key: str, text: str, k: int, folded: bool = False, each: bool = True, keys: DataFrame | None = None) -> DataFrame:
     """df with `top` in place of its column text: the k most frequent trigrams of text and their numbers, of equals the first seen first; texts that share a key count together.
 
     folded: in lower case, and of letters and digits alone. Of keys that repeat the trigrams are gathered, of others nothing moves.
-    each: every row of such a key has its trigrams; else the key has one row, with no column besides that has a value.
+    each: every row of such a key has its trigrams; else the key has one row, with no column besides that has a value. keys: the keys of df alone, where they are had for less.
     """
     rows = df.withColumn("_text", F.col(text).cast("binary")).drop(text)
     schema = StructType([f for f in rows.schema if f.name != "_text"]).add("top", ArrayType(StructType().add("t", "string").add("n", "long")))
-    repeated = saved(df.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(F.col(key).alias("_key")), "repeated-keys")
+    repeated = saved((df if keys is None else keys).groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(F.col(key).alias("_key")), "repeated-keys")
     many = repeated.limit(FEW + 1).count()
     if not many:
         return rows.mapInArrow(_counted(k, folded, to_arrow_schema(schema)), schema)
